@@ -47,7 +47,11 @@ def to_warehouse(clean_pings: DataFrame, assume_tz: str = "UTC") -> DataFrame:
 
     Two timestamp texts of one instant collapse here, as the warehouse key
     does; rows whose timestamp text does not parse are left out (they are
-    reported by :func:`bad_timestamps`).
+    reported by :func:`bad_timestamps`). Applied to *validated* (not yet
+    de-duplicated) pings this one keep-first equals the text-key dedupe
+    followed by the instant-key one: equal texts are equal instants, and the
+    first row of an instant group is also first in its text group. That saves
+    a whole shuffle of the ping table.
     """
     e = enrich(clean_pings, assume_tz).filter(F.col("recorded_at").isNotNull())
     return keep_first(e, ["gps_id", "recorded_at"], ["src_file", "src_row"]).select(*WAREHOUSE_COLS)
@@ -57,13 +61,25 @@ def bad_timestamps(clean_pings: DataFrame, assume_tz: str = "UTC") -> DataFrame:
     return clean_pings.filter(parse_ts(F.col("timestamp"), assume_tz).isNull())
 
 
+def flag_known_lights(pings: DataFrame, lights: DataFrame) -> DataFrame:
+    """Add ``light_known``: NULL light or a light of the dimension.
+
+    One broadcast left join against the (bounded) light dimension, so the ping
+    side is scanned once whether the caller keeps the known or the unknown part.
+    """
+    dim = small_side(lights.select("traffic_light_id")
+                     .withColumn("__in_dim", F.lit(True)), known_rows=len(seeds.TRAFFIC_LIGHTS))
+    return (pings.join(dim, "traffic_light_id", "left")
+                 .withColumn("light_known", F.col("traffic_light_id").isNull()
+                             | F.coalesce(F.col("__in_dim"), F.lit(False)))
+                 .drop("__in_dim"))
+
+
 def quarantine_unknown_lights(pings: DataFrame, lights: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split pings into (known or no light, unknown light) via broadcast semi/anti joins."""
-    dim = small_side(lights.select("traffic_light_id").distinct(), known_rows=len(seeds.TRAFFIC_LIGHTS))
-    has = F.col("traffic_light_id").isNotNull()
-    known = pings.filter(has).join(dim, "traffic_light_id", "left_semi")
-    unknown = pings.filter(has).join(dim, "traffic_light_id", "left_anti")
-    return pings.filter(~has).unionByName(known), unknown
+    """Split pings into (known or no light, unknown light)."""
+    f = flag_known_lights(pings, lights)
+    return (f.filter("light_known").drop("light_known"),
+            f.filter(~F.col("light_known")).drop("light_known"))
 
 
 def attach_time(pings: DataFrame, time_dim: DataFrame) -> DataFrame:

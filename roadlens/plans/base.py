@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roadlens.operators.clean import clean
+from roadlens.operators.clean import clean, valid
 from roadlens.operators.enrich import quarantine_unknown_lights, to_warehouse
 from roadlens.sources import dimensions
 from roadlens.sources.fixtures import gps_raw
@@ -22,8 +22,8 @@ def clean_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def warehouse_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Enriched, instant-deduplicated pings including unknown lights."""
-    return to_warehouse(clean_pings(spark, sf_dir))
+    """Enriched, instant-deduplicated pings including unknown lights (one shuffle)."""
+    return to_warehouse(valid(raw_pings(spark, sf_dir)))
 
 
 def warehouse_pings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,3 +86,181 @@ def verdict_snapshot_collapsed(spark, sf_dir):
     """As the warehouse job, one stored verdict per light (insert-or-ignore on the key)."""
     return congestion.snapshot(base.warehouse_pings(spark, sf_dir), dimensions.light_schedule(spark),
                                base.AS_OF, bound_above=False)
+
+
+# ------------------------------------------------------------------ cleaning and enrichment
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from roadlens.functions.timeparts import seconds_of_day, ts_text  # noqa: E402
+from roadlens.operators import clean as clean_ops  # noqa: E402
+from roadlens.operators import enrich, load, quality, trajectory  # noqa: E402
+from roadlens.operators.schedule import lookup_red  # noqa: E402
+from roadlens.sources import decode, fixtures, lake, seeds  # noqa: E402
+from roadlens.session import scratch_path  # noqa: E402
+
+RAW_COLS = ["gps_id", "timestamp", "latitude", "longitude", "speed_kmh", "traffic_light_id",
+            "day_type", "time_window", "received_at", "src_file", "src_row"]
+
+
+@register("clean_pings", oracle.with_ctes("SELECT * FROM clean"))
+def clean_pings(spark, sf_dir):
+    """Validated pings, first copy per (gps_id, timestamp text) in lake order."""
+    return base.clean_pings(spark, sf_dir).select(*RAW_COLS)
+
+
+_REASON_SQL = """CASE
+    WHEN gps_id IS NULL OR timestamp IS NULL OR latitude IS NULL OR isnan(latitude)
+         OR longitude IS NULL OR isnan(longitude) THEN 'missing_field'
+    WHEN NOT latitude BETWEEN -90 AND 90 THEN 'latitude_range'
+    WHEN NOT longitude BETWEEN -180 AND 180 THEN 'longitude_range'
+    WHEN NOT COALESCE(speed_kmh BETWEEN 0 AND 200, FALSE) THEN 'speed_range'
+    WHEN abs(latitude) < 0.001 AND abs(longitude) < 0.001 THEN 'null_island' END"""
+
+
+@register("clean_rejects", oracle.with_ctes(f"""
+    SELECT *, {_REASON_SQL} AS reject_reason FROM raw WHERE NOT ({oracle.VALID_PRED})
+    UNION ALL
+    SELECT v.*, 'duplicate' AS reject_reason FROM valid v
+    WHERE NOT EXISTS (SELECT 1 FROM clean c WHERE c.gps_id = v.gps_id AND c.timestamp = v.timestamp
+                      AND c.src_file = v.src_file AND c.src_row = v.src_row)"""))
+def clean_rejects(spark, sf_dir):
+    """Every dropped raw row with its first failing rule (or ``duplicate``)."""
+    return clean_ops.rejects(base.raw_pings(spark, sf_dir)).select(*RAW_COLS, "reject_reason")
+
+
+ENRICHED_OUT = ["gps_id", "vehicle_id", "recorded_at", "latitude", "longitude", "speed_kmh", "heading",
+                "traffic_light_id", "day_type", "time_window", "time_id"]
+
+
+def _enriched_out(df):
+    return df.select(*[ts_text(c).alias(c) if c == "recorded_at" else F.col(c) for c in ENRICHED_OUT])
+
+
+@register("enriched_pings", oracle.with_ctes(
+    f"SELECT * EXCLUDE (recorded_at, src_file, src_row), {oracle.ts_text('recorded_at')} AS recorded_at "
+    "FROM wh_all"))
+def enriched_pings(spark, sf_dir):
+    """Warehouse rows: instant key, sentinel → NULL, derived day type, time window, time id."""
+    return _enriched_out(base.warehouse_all(spark, sf_dir))
+
+
+@register("unknown_lights", oracle.with_ctes(
+    f"SELECT gps_id, {oracle.ts_text('recorded_at')} AS recorded_at, traffic_light_id FROM wh_all "
+    "WHERE traffic_light_id IS NOT NULL AND traffic_light_id NOT IN (SELECT traffic_light_id FROM lights)"))
+def unknown_lights(spark, sf_dir):
+    """Quarantined pings: light not in the light dimension (anti-join)."""
+    return base.unknown_light_pings(spark, sf_dir).select(
+        "gps_id", ts_text("recorded_at").alias("recorded_at"), "traffic_light_id")
+
+
+def _sched_sql(mode: str) -> str:
+    return oracle.with_ctes(f"""
+    SELECT p.gps_id, {oracle.ts_text('p.recorded_at')} AS recorded_at, p.traffic_light_id, p.day_type,
+           {oracle.tod('p.recorded_at')} AS tod_sec, CAST(s.red_duration AS INTEGER) AS scheduled_red_duration
+    FROM wh p LEFT JOIN sched s ON s.traffic_light_id = p.traffic_light_id
+        AND s.applicable_days = p.day_type AND {oracle.sched_match(oracle.tod('p.recorded_at'), mode)}""")
+
+
+def _sched_query(spark, sf_dir, mode):
+    p = base.warehouse_pings(spark, sf_dir).withColumn("tod_sec", seconds_of_day("recorded_at"))
+    return lookup_red(p, dimensions.light_schedule(spark), "tod_sec", "day_type", mode).select(
+        "gps_id", ts_text("recorded_at").alias("recorded_at"), "traffic_light_id", "day_type",
+        "tod_sec", "scheduled_red_duration")
+
+
+@register("schedule_strict", _sched_sql("strict"))
+def schedule_strict(spark, sf_dir):
+    """Red duration active at each ping's time of day, closed intervals, no wrap."""
+    return _sched_query(spark, sf_dir, "strict")
+
+
+@register("schedule_wrap", _sched_sql("wrap"))
+def schedule_wrap(spark, sf_dir):
+    """Red duration active at each ping's time of day, half-open with midnight wrap."""
+    return _sched_query(spark, sf_dir, "wrap")
+
+
+@register("time_lookup", oracle.with_ctes(f"""
+    SELECT p.gps_id, {oracle.ts_text('p.recorded_at')} AS recorded_at, p.time_id,
+           td.time_id AS dim_time_id, td.season, td.is_weekend
+    FROM wh p LEFT JOIN td ON td.full_timestamp = date_trunc('hour', p.recorded_at)""",
+    extra=f"td AS ({dimensions.sql_time_dimension()})"))
+def time_lookup(spark, sf_dir):
+    """Hour lookup of each ping in the generated time dimension (broadcast join)."""
+    p = enrich.attach_time(base.warehouse_pings(spark, sf_dir), dimensions.time_dimension(spark))
+    return p.select("gps_id", ts_text("recorded_at").alias("recorded_at"), "time_id",
+                    "dim_time_id", "season", "is_weekend")
+
+
+# ------------------------------------------------------------------ decode layer
+
+RECEIVED_AT = "2026-01-09T08:30:00+00:00"
+
+
+def _decoded(spark, sf_dir):
+    return decode.decode_requests(fixtures.gps_requests(spark, sf_dir), received_at=F.lit(RECEIVED_AT))
+
+
+_DECODE_SQL = f"""
+req AS ({fixtures.sql_gps_requests()}),
+rq AS (
+    SELECT event_id, value,
+           CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' ELSE FALSE END AS is_obj
+    FROM req),
+fld AS (
+    SELECT event_id, value, is_obj,
+           CASE WHEN is_obj THEN len(json_keys(value)) END AS n_keys,
+           CASE WHEN is_obj THEN json_extract_string(value, '$.gps_id') END AS gps_id,
+           CASE WHEN is_obj THEN json_extract_string(value, '$.device_id') END AS vehicle_id,
+           CASE WHEN is_obj THEN json_extract_string(value, '$.timestamp') END AS timestamp,
+           CASE WHEN is_obj THEN json_extract_string(value, '$.latitude') END AS lat_t,
+           CASE WHEN is_obj THEN json_extract_string(value, '$.longitude') END AS lon_t,
+           CASE WHEN is_obj THEN json_extract_string(value, '$.speed') END AS spd_t,
+           CASE WHEN is_obj THEN json_extract_string(value, '$.traffic_light_id') END AS light_t,
+           CASE WHEN is_obj THEN json_extract_string(value, '$.day_type') END AS day_t,
+           CASE WHEN is_obj THEN json_extract_string(value, '$.time_window') END AS tw_t
+    FROM rq),
+num AS (
+    SELECT *, try_cast(lat_t AS DOUBLE) AS latitude, try_cast(lon_t AS DOUBLE) AS longitude,
+           try_cast(spd_t AS DOUBLE) AS spd FROM fld),
+dec AS (
+    SELECT *,
+      CASE WHEN NOT is_obj THEN 'malformed'
+           WHEN n_keys = 0 THEN 'empty'
+           WHEN gps_id IS NULL OR timestamp IS NULL OR lat_t IS NULL OR lon_t IS NULL THEN 'missing_field'
+           WHEN latitude IS NULL OR longitude IS NULL THEN 'not_a_number'
+           WHEN NOT (latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180) THEN 'coordinates'
+           WHEN spd_t IS NOT NULL AND spd IS NULL THEN 'not_a_number' END AS reject_reason,
+      COALESCE(CASE WHEN isnan(spd) THEN 0.0 ELSE
+          {oracle.dec_round('GREATEST(0.0, LEAST(spd * CAST(3.6 AS DOUBLE), 200.0))', 2)} END, 0.0) AS speed_kmh
+    FROM num)"""
+
+
+@register("gateway_decode", oracle.with_ctes(f"""
+    SELECT event_id, gps_id, vehicle_id, timestamp, latitude, longitude, speed_kmh,
+           COALESCE(light_t, 'unknown') AS traffic_light_id, COALESCE(day_t, 'weekday') AS day_type,
+           COALESCE(tw_t, 'off_peak') AS time_window, '{RECEIVED_AT}' AS received_at
+    FROM dec WHERE reject_reason IS NULL""", extra=_DECODE_SQL))
+def gateway_decode(spark, sf_dir):
+    """Accepted JSON requests as typed queue messages (defaults, km/h speed)."""
+    return _decoded(spark, sf_dir).filter(F.col("reject_reason").isNull()).select(
+        "event_id", *decode.MESSAGE_COLS)
+
+
+@register("gateway_rejects", oracle.with_ctes(
+    "SELECT event_id, value, reject_reason FROM dec WHERE reject_reason IS NOT NULL", extra=_DECODE_SQL))
+def gateway_rejects(spark, sf_dir):
+    """Rejected JSON requests with the reason (accepted + rejected = input)."""
+    return _decoded(spark, sf_dir).filter(F.col("reject_reason").isNotNull()).select(
+        "event_id", "value", "reject_reason")
+
+
+@register("speed_normalize", f"""
+    SELECT event_id, CASE WHEN isnan(value) THEN 0.0 ELSE
+        {oracle.dec_round('GREATEST(0.0, LEAST(value * CAST(3.6 AS DOUBLE), 200.0))', 2)} END AS speed_kmh
+    FROM events""")
+def speed_normalize(spark, sf_dir):
+    """m/s → km/h clamped to [0, 200], rounded 2 HALF_UP, over every event value."""
+    ev = fixtures.events(spark, sf_dir)
+    return ev.select("event_id", decode.speed_to_kmh(F.col("value")).alias("speed_kmh"))

@@ -18,6 +18,7 @@ BASE_CONF = {
     # so one chatty device never lands whole in one task.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

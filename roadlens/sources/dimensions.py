@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from roadlens.functions.timeparts import day_type_of, dow0, season_of, time_window_of
 from roadlens.sources import seeds
@@ -31,49 +30,32 @@ def point(lon, lat) -> F.Column:
                     F.lit(4326).alias("srid"))
 
 
+def _typed(df: DataFrame, types: dict) -> DataFrame:
+    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+
+
 def intersections(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([
-        T.StructField("intersection_id", T.IntegerType(), False),
-        T.StructField("intersection_name", T.StringType(), False),
-        T.StructField("latitude", T.DoubleType()),
-        T.StructField("longitude", T.DoubleType()),
-        T.StructField("description", T.StringType()),
-    ])
-    df = spark.createDataFrame(seeds.INTERSECTIONS, schema)
+    """5 seeded intersections (inline table: a local scan, no job)."""
+    df = _typed(spark.sql(sql_intersections()), {"intersection_id": "int", "latitude": "double",
+                                                  "longitude": "double"})
     return df.withColumn("geom", point("longitude", "latitude"))
 
 
 def traffic_lights(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([
-        T.StructField("traffic_light_id", T.StringType(), False),
-        T.StructField("intersection_id", T.IntegerType()),
-        T.StructField("intersection_name", T.StringType()),
-        T.StructField("latitude", T.DoubleType()),
-        T.StructField("longitude", T.DoubleType()),
-        T.StructField("direction_degree", T.ShortType()),
-        T.StructField("default_green", T.ShortType()),
-        T.StructField("default_yellow", T.ShortType()),
-        T.StructField("default_red", T.ShortType()),
-        T.StructField("is_adaptive", T.BooleanType()),
-    ])
-    df = spark.createDataFrame(seeds.TRAFFIC_LIGHTS, schema)
+    """5 seeded traffic lights."""
+    df = _typed(spark.sql(sql_traffic_lights()), {
+        "intersection_id": "int", "latitude": "double", "longitude": "double",
+        "direction_degree": "short", "default_green": "short", "default_yellow": "short",
+        "default_red": "short", "is_adaptive": "boolean"})
     return (df.withColumn("geom", point("longitude", "latitude"))
               .withColumn("active_status", F.lit(True)))
 
 
 def light_schedule(spark: SparkSession) -> DataFrame:
-    schema = T.StructType([
-        T.StructField("schedule_id", T.IntegerType(), False),
-        T.StructField("traffic_light_id", T.StringType(), False),
-        T.StructField("start_sec", T.IntegerType(), False),
-        T.StructField("end_sec", T.IntegerType(), False),
-        T.StructField("green_duration", T.ShortType(), False),
-        T.StructField("yellow_duration", T.ShortType(), False),
-        T.StructField("red_duration", T.ShortType(), False),
-        T.StructField("applicable_days", T.StringType(), False),
-        T.StructField("control_mode", T.StringType(), False),
-    ])
-    return spark.createDataFrame(seeds.schedule_rows(), schema)
+    """22 seeded schedule rows; TIME of day kept as seconds (start_sec, end_sec)."""
+    return _typed(spark.sql(sql_light_schedule()), {
+        "schedule_id": "int", "start_sec": "int", "end_sec": "int", "green_duration": "short",
+        "yellow_duration": "short", "red_duration": "short"})
 
 
 def time_dimension(spark: SparkSession) -> DataFrame:

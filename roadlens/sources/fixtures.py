@@ -126,3 +126,88 @@ def sql_gps_raw() -> str:
     SELECT gps_id, timestamp, latitude, longitude, speed_kmh + CAST(1.0 AS DOUBLE) AS speed_kmh,
            traffic_light_id, day_type, time_window, received_at, 1 AS src_file, src_row
     FROM ({base}) c WHERE src_row % 50 = 0"""
+
+
+# ---------------------------------------------------------------- JSON requests
+#
+# Gateway request bodies built from the same pings, one per event (the first
+# copy). ``case = event_id % 37`` injects the decode cases: 0 not JSON, 1 a
+# JSON array, 2 an empty object, 3 longitude absent, 4 gps_id null, 5
+# latitude as a numeric string, 6 latitude "abc", 7 latitude 90.5, 8 speed
+# "abc", 9 speed absent, 10 speed null, 11 an extra accuracy_m key, 12 speed
+# 60 m/s, 13 speed -3 m/s; otherwise a regular body. Numbers are written with
+# fixed decimals after a HALF_UP decimal round so both engines print the same
+# text. Keys with NULL payload values are left out (absent → default).
+REQUEST_CASES = 37
+
+
+def _fmt(c: F.Column, places: int) -> F.Column:
+    r = F.round(c.cast("decimal(28,12)"), places).cast("double")
+    return F.when(c.isNull(), F.lit("null")).otherwise(F.format_string(f"%.{places}f", r))
+
+
+def gps_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(event_id, value)`` with ``value`` the JSON body of one request."""
+    p = gps_raw(spark, sf_dir).filter(F.col("src_file") == 0)
+    case = F.col("src_row") % REQUEST_CASES
+
+    def kv(k, v):
+        return F.concat(F.lit(f'"{k}": '), v)
+
+    def q(c):
+        return F.concat(F.lit('"'), c, F.lit('"'))
+
+    lat_v = (F.when(case == 5, q(_fmt(F.col("latitude"), 6)))
+             .when(case == 6, F.lit('"abc"')).when(case == 7, F.lit("90.5"))
+             .otherwise(_fmt(F.col("latitude"), 6)))
+    speed_v = (F.when(case == 8, F.lit('"abc"')).when(case == 9, F.lit(None).cast("string"))
+               .when(case == 10, F.lit("null")).when(case == 12, F.lit("60"))
+               .when(case == 13, F.lit("-3"))
+               .otherwise(_fmt(F.col("speed_kmh") / F.lit(3.6), 4)))
+    parts = [
+        kv("gps_id", F.when(case == 4, F.lit("null")).otherwise(q(F.col("gps_id")))),
+        kv("device_id", q(F.concat(F.lit("DEV"), F.substring("gps_id", -4, 4)))),
+        kv("timestamp", q(F.col("timestamp"))),
+        kv("latitude", lat_v),
+        F.when(case != 3, kv("longitude", _fmt(F.col("longitude"), 6))),
+        F.when(speed_v.isNotNull(), kv("speed", speed_v)),
+        kv("traffic_light_id", q(F.col("traffic_light_id"))),
+        F.when(F.col("day_type").isNotNull(), kv("day_type", q(F.col("day_type")))),
+        F.when(F.col("time_window").isNotNull(), kv("time_window", q(F.col("time_window")))),
+        F.when(case == 11, F.lit('"accuracy_m": 5.0')),
+    ]
+    body = F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+    value = (F.when(case == 0, F.lit("{bad")).when(case == 1, F.lit("[1]"))
+             .when(case == 2, F.lit("{}")).otherwise(body))
+    return p.select(F.col("src_row").alias("event_id"), value.alias("value"))
+
+
+def sql_gps_requests() -> str:
+    def fmt(c, places):
+        return (f"(CASE WHEN {c} IS NULL THEN 'null' ELSE printf('%.{places}f', "
+                f"CAST(ROUND(CAST({c} AS DECIMAL(28,12)), {places}) AS DOUBLE)) END)")
+
+    case = f"(src_row % {REQUEST_CASES})"
+    lat_v = (f"CASE WHEN {case} = 5 THEN '\"' || {fmt('latitude', 6)} || '\"' "
+             f"WHEN {case} = 6 THEN '\"abc\"' WHEN {case} = 7 THEN '90.5' ELSE {fmt('latitude', 6)} END")
+    speed_v = (f"CASE WHEN {case} = 8 THEN '\"abc\"' WHEN {case} = 9 THEN NULL "
+               f"WHEN {case} = 10 THEN 'null' WHEN {case} = 12 THEN '60' WHEN {case} = 13 THEN '-3' "
+               f"ELSE {fmt('speed_kmh / CAST(3.6 AS DOUBLE)', 4)} END")
+    parts = [
+        f"'\"gps_id\": ' || (CASE WHEN {case} = 4 THEN 'null' ELSE '\"' || gps_id || '\"' END)",
+        "'\"device_id\": \"DEV' || right(gps_id, 4) || '\"'",
+        "'\"timestamp\": \"' || timestamp || '\"'",
+        f"'\"latitude\": ' || ({lat_v})",
+        f"CASE WHEN {case} <> 3 THEN '\"longitude\": ' || {fmt('longitude', 6)} END",
+        f"'\"speed\": ' || ({speed_v})",
+        "'\"traffic_light_id\": \"' || traffic_light_id || '\"'",
+        "'\"day_type\": \"' || day_type || '\"'",
+        "'\"time_window\": \"' || time_window || '\"'",
+        f"CASE WHEN {case} = 11 THEN '\"accuracy_m\": 5.0' END",
+    ]
+    body = "'{' || concat_ws(', ', " + ", ".join(parts) + ") || '}'"
+    return f"""
+    SELECT src_row AS event_id,
+           CASE WHEN {case} = 0 THEN '{{bad' WHEN {case} = 1 THEN '[1]' WHEN {case} = 2 THEN '{{}}'
+                ELSE {body} END AS value
+    FROM ({sql_gps_raw()}) r WHERE src_file = 0"""
