@@ -264,3 +264,172 @@ def speed_normalize(spark, sf_dir):
     """m/s → km/h clamped to [0, 200], rounded 2 HALF_UP, over every event value."""
     ev = fixtures.events(spark, sf_dir)
     return ev.select("event_id", decode.speed_to_kmh(F.col("value")).alias("speed_kmh"))
+
+
+# ------------------------------------------------------------------ read queries over verdicts
+
+def _flagship_sql() -> str:
+    return oracle.verdict_select(oracle.window_stats(5), "w_end", "strict")
+
+
+def _flagship(spark, sf_dir):
+    return congestion_by_window(spark, sf_dir)
+
+
+@register("latest_verdicts", oracle.with_ctes(
+    "SELECT * FROM v ORDER BY analysis_time DESC, traffic_light_id LIMIT 10", extra=f"v AS ({_flagship_sql()})"))
+def latest_verdicts(spark, sf_dir):
+    """Top-10 most recent verdicts (the limit is the feature; TakeOrdered, no full sort)."""
+    return _flagship(spark, sf_dir).orderBy(F.col("analysis_time").desc(), "traffic_light_id").limit(10)
+
+
+@register("latest_per_light", oracle.with_ctes(
+    "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY traffic_light_id "
+    "ORDER BY analysis_time DESC) AS rn FROM v) WHERE rn = 1", extra=f"v AS ({_flagship_sql()})"))
+def latest_per_light(spark, sf_dir):
+    """Most recent verdict per light (max_by, partially aggregated)."""
+    v = _flagship(spark, sf_dir)
+    rest = [c for c in v.columns if c != "traffic_light_id"]
+    return (v.groupBy("traffic_light_id")
+             .agg(F.max_by(F.struct(*rest), F.col("analysis_time")).alias("__v"))
+             .select("traffic_light_id", *[F.col(f"__v.{c}").alias(c) for c in rest]))
+
+
+@register("inefficient_lights", oracle.with_ctes(
+    "SELECT * FROM v WHERE is_inefficient", extra=f"v AS ({_flagship_sql()})"))
+def inefficient_lights(spark, sf_dir):
+    """Verdicts flagged inefficient (>= 3 vehicles below 5 km/h)."""
+    return _flagship(spark, sf_dir).filter("is_inefficient")
+
+
+@register("by_time_window", oracle.with_ctes(
+    "SELECT * FROM v WHERE time_window = 'peak_hour' AND day_type = 'weekday'",
+    extra=f"v AS ({_flagship_sql()})"))
+def by_time_window(spark, sf_dir):
+    """Verdicts of weekday peak hours."""
+    return _flagship(spark, sf_dir).filter((F.col("time_window") == "peak_hour")
+                                           & (F.col("day_type") == "weekday"))
+
+
+# ------------------------------------------------------------------ read queries over pings
+
+@register("pings_per_vehicle", oracle.with_ctes(f"""
+    SELECT vehicle_id, CAST(count(*) AS BIGINT) AS n_pings,
+           {oracle.ts_text('min(recorded_at)')} AS first_ping, {oracle.ts_text('max(recorded_at)')} AS last_ping,
+           {oracle.dec_round('avg(speed_kmh)', 6)} AS avg_speed_kmh
+    FROM wh GROUP BY vehicle_id"""))
+def pings_per_vehicle(spark, sf_dir):
+    """Per vehicle: ping count, first and last ping, mean speed."""
+    from roadlens.functions.congestion import round_dec
+    return (base.warehouse_pings(spark, sf_dir).groupBy("vehicle_id")
+            .agg(F.count(F.lit(1)).alias("n_pings"), F.min("recorded_at").alias("f"),
+                 F.max("recorded_at").alias("l"), F.avg("speed_kmh").alias("a"))
+            .select("vehicle_id", "n_pings", ts_text("f").alias("first_ping"),
+                    ts_text("l").alias("last_ping"), round_dec("a", 6).alias("avg_speed_kmh")))
+
+
+@register("pings_per_light", oracle.with_ctes(f"""
+    SELECT traffic_light_id, {oracle.ts_text("date_trunc('hour', recorded_at)")} AS hour_start,
+           CAST(count(*) AS BIGINT) AS n_pings, CAST(count(DISTINCT gps_id) AS BIGINT) AS n_vehicles
+    FROM wh GROUP BY ALL"""))
+def pings_per_light(spark, sf_dir):
+    """Per light and hour: pings and distinct vehicles (NULL light kept as its own group)."""
+    return (base.warehouse_pings(spark, sf_dir)
+            .groupBy("traffic_light_id", ts_text(F.date_trunc("hour", "recorded_at")).alias("hour_start"))
+            .agg(F.count(F.lit(1)).alias("n_pings"), F.count_distinct("gps_id").alias("n_vehicles")))
+
+
+@register("light_enriched", oracle.with_ctes(f"""
+    SELECT p.gps_id, {oracle.ts_text('p.recorded_at')} AS recorded_at, p.traffic_light_id,
+           l.intersection_id, i.intersection_name, i.description,
+           l.latitude AS light_latitude, l.longitude AS light_longitude
+    FROM wh p LEFT JOIN lights l ON l.traffic_light_id = p.traffic_light_id
+    LEFT JOIN inters i ON i.intersection_id = l.intersection_id"""))
+def light_enriched(spark, sf_dir):
+    """Pings with their light's intersection (broadcast joins on the bounded dims)."""
+    p = enrich.with_light_info(base.warehouse_pings(spark, sf_dir), dimensions.traffic_lights(spark),
+                               dimensions.intersections(spark))
+    return p.select("gps_id", ts_text("recorded_at").alias("recorded_at"), "traffic_light_id",
+                    "intersection_id", "intersection_name", "description", "light_latitude",
+                    "light_longitude")
+
+
+@register("ping_count", oracle.with_ctes("SELECT CAST(count(*) AS BIGINT) AS n_pings FROM wh"))
+def ping_count(spark, sf_dir):
+    """Total stored pings (health check count)."""
+    return base.warehouse_pings(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_pings"))
+
+
+@register("legacy_projection", oracle.with_ctes(f"""
+    SELECT sha256(vehicle_id || '|' || {oracle.ts_text('recorded_at')}) AS legacy_id, vehicle_id,
+           {oracle.ts_text('recorded_at')} AS timestamp, CAST(NULL AS DOUBLE) AS speed_kmh,
+           CAST(NULL AS DOUBLE) AS heading, longitude, latitude
+    FROM wh"""))
+def legacy_projection(spark, sf_dir):
+    """Legacy ping table view: stable generated id, speed and heading NULL, point columns."""
+    p = base.warehouse_pings(spark, sf_dir)
+    t = ts_text("recorded_at")
+    return p.select(F.sha2(F.concat_ws("|", "vehicle_id", t), 256).alias("legacy_id"), "vehicle_id",
+                    t.alias("timestamp"), F.lit(None).cast("double").alias("speed_kmh"),
+                    F.lit(None).cast("double").alias("heading"), "longitude", "latitude")
+
+
+# ------------------------------------------------------------------ trajectories
+
+SESSION_GAP_S = 600
+
+
+@register("downsample_5s", oracle.with_ctes(f"""
+    SELECT gps_id, {oracle.ts_text('b')} AS bucket_start, {oracle.ts_text('recorded_at')} AS recorded_at,
+           latitude, longitude, speed_kmh
+    FROM (SELECT *, time_bucket(INTERVAL 5 SECONDS, recorded_at) AS b,
+                 row_number() OVER (PARTITION BY gps_id, time_bucket(INTERVAL 5 SECONDS, recorded_at)
+                                    ORDER BY recorded_at) AS rn FROM wh) WHERE rn = 1"""))
+def downsample_5s(spark, sf_dir):
+    """First ping per vehicle and 5-second bucket (the phone's sampling cadence)."""
+    return trajectory.downsample(base.warehouse_pings(spark, sf_dir), 5)
+
+
+_SESS_SQL = f"""
+sess AS (
+    SELECT *, sum(CASE WHEN prev IS NULL OR epoch(recorded_at) - epoch(prev) > {SESSION_GAP_S}
+                       THEN 1 ELSE 0 END)
+              OVER (PARTITION BY gps_id ORDER BY recorded_at ROWS UNBOUNDED PRECEDING) AS sid
+    FROM (SELECT *, lag(recorded_at) OVER (PARTITION BY gps_id ORDER BY recorded_at) AS prev FROM wh)),
+runs AS (
+    SELECT gps_id, min(recorded_at) AS f, max(recorded_at) AS l, count(*) AS n,
+           arg_min(latitude, recorded_at) AS slat, arg_min(longitude, recorded_at) AS slon,
+           arg_max(latitude, recorded_at) AS clat, arg_max(longitude, recorded_at) AS clon
+    FROM sess GROUP BY gps_id, sid)"""
+
+
+@register("route_sessions", oracle.with_ctes(f"""
+    SELECT gps_id, {oracle.ts_text('f')} AS session_start, {oracle.ts_text('l')} AS last_ping,
+           slat AS start_latitude, slon AS start_longitude, clat AS current_latitude, clon AS current_longitude
+    FROM runs""", extra=_SESS_SQL))
+def route_sessions(spark, sf_dir):
+    """Per run (600 s gap sessions): start marker and current marker positions."""
+    return trajectory.sessions(base.warehouse_pings(spark, sf_dir), SESSION_GAP_S).select(
+        "gps_id", "session_start", "last_ping", "start_latitude", "start_longitude",
+        "current_latitude", "current_longitude")
+
+
+@register("run_summary", oracle.with_ctes(f"""
+    SELECT gps_id, {oracle.ts_text('f')} AS session_start, {oracle.ts_text('l')} AS last_ping,
+           CAST(n AS INTEGER) AS n_points, CAST(epoch(l) - epoch(f) AS INTEGER) AS duration_s
+    FROM runs""", extra=_SESS_SQL))
+def run_summary(spark, sf_dir):
+    """Per run: point count, first and last ping, duration in seconds."""
+    return trajectory.sessions(base.warehouse_pings(spark, sf_dir), SESSION_GAP_S).select(
+        "gps_id", "session_start", "last_ping", "n_points", "duration_s")
+
+
+@register("marker_feed", oracle.with_ctes(f"""
+    SELECT gps_id, vehicle_id, {oracle.ts_text('recorded_at')} AS recorded_at, latitude, longitude,
+           printf('{trajectory.POPUP_FMT.replace("%s", "%s")}', gps_id, vehicle_id,
+                  printf('%.1f', {oracle.dec_round('speed_kmh', 1)}), '{trajectory.NA}',
+                  {oracle.ts_text('recorded_at')}) AS popup
+    FROM wh"""))
+def marker_feed(spark, sf_dir):
+    """Map marker per ping with the popup text (speed one decimal, accuracy N/A)."""
+    return trajectory.marker_feed(base.warehouse_pings(spark, sf_dir))
