@@ -433,3 +433,152 @@ def run_summary(spark, sf_dir):
 def marker_feed(spark, sf_dir):
     """Map marker per ping with the popup text (speed one decimal, accuracy N/A)."""
     return trajectory.marker_feed(base.warehouse_pings(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ loading, retention, quality
+
+FIRST_LOAD_BEFORE = "2026-01-10 00:00:00"
+
+
+@register("load_idempotent", oracle.with_ctes(f"""
+    SELECT gps_id, {oracle.ts_text('recorded_at')} AS recorded_at, speed_kmh,
+           CASE WHEN recorded_at < TIMESTAMP '{FIRST_LOAD_BEFORE}' THEN 1 ELSE 2 END AS load_batch
+    FROM wh"""))
+def load_idempotent(spark, sf_dir):
+    """Two overlapping loads (Friday, then everything) with insert-or-ignore on the key.
+
+    The second load re-offers every Friday row; the result holds each key once.
+    """
+    pings = base.warehouse_pings(spark, sf_dir)
+    first = pings.filter(F.col("recorded_at") < F.to_timestamp(F.lit(FIRST_LOAD_BEFORE)))
+    added = load.insert_or_ignore(first, pings, ["gps_id", "recorded_at"])
+    stored = first.withColumn("load_batch", F.lit(1)).unionByName(added.withColumn("load_batch", F.lit(2)))
+    return stored.select("gps_id", ts_text("recorded_at").alias("recorded_at"), "speed_kmh", "load_batch")
+
+
+RETENTION_AS_OF = "2026-01-17 06:00:00"
+
+
+@register("retention_7d", oracle.with_ctes(f"""
+    SELECT gps_id, {oracle.ts_text('recorded_at')} AS recorded_at,
+           recorded_at >= TIMESTAMP '{RETENTION_AS_OF}' - INTERVAL 7 DAYS AS retained
+    FROM wh"""))
+def retention_7d(spark, sf_dir):
+    """7-day retention at a fixed instant: strictly older rows are marked for deletion."""
+    pings = base.warehouse_pings(spark, sf_dir)
+    as_of = F.to_timestamp(F.lit(RETENTION_AS_OF))
+    return pings.select("gps_id", ts_text("recorded_at").alias("recorded_at"),
+                        (F.col("recorded_at") >= as_of - F.expr("INTERVAL 7 DAYS")).alias("retained"))
+
+
+def _null_sql(table: str, src: str, cols) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, 'not_null:{c}' AS check_name, "
+        f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS violations FROM {src}" for c in cols)
+
+
+WH_NOT_NULL = ["gps_id", "recorded_at", "latitude", "longitude", "speed_kmh"]
+RAW_NOT_NULL = ["gps_id", "timestamp", "latitude", "longitude"]
+
+
+@register("constraint_report", oracle.with_ctes(f"""
+    {_null_sql('lake_raw', 'raw', RAW_NOT_NULL)}
+    UNION ALL {_null_sql('vehicle_gps', 'wh', WH_NOT_NULL)}
+    UNION ALL SELECT 'vehicle_gps', 'unique:gps_id,recorded_at', CAST(count(*) AS BIGINT)
+        FROM (SELECT gps_id, recorded_at FROM wh GROUP BY ALL HAVING count(*) > 1)
+    UNION ALL SELECT 'vehicle_gps_offered', 'references:traffic_light_id', CAST(count(*) AS BIGINT)
+        FROM wh_all WHERE traffic_light_id IS NOT NULL
+        AND traffic_light_id NOT IN (SELECT traffic_light_id FROM lights)
+    UNION ALL SELECT 'congestion_analysis', 'check:congestion_level in [0,100]',
+        CAST(count(*) FILTER (WHERE congestion_level IS NOT NULL AND NOT congestion_level BETWEEN 0 AND 100)
+             AS BIGINT) FROM v
+    UNION ALL SELECT 'congestion_analysis', 'unique:traffic_light_id,analysis_time', CAST(count(*) AS BIGINT)
+        FROM (SELECT traffic_light_id, analysis_time FROM v GROUP BY ALL HAVING count(*) > 1)
+    UNION ALL {_null_sql('congestion_analysis', 'v', ['analysis_time'])}""",
+    extra=f"v AS ({_flagship_sql()})"))
+def constraint_report(spark, sf_dir):
+    """NOT NULL / unique / CHECK / reference violations per table (0 = constraint holds)."""
+    raw = base.raw_pings(spark, sf_dir)
+    wh_all = base.warehouse_all(spark, sf_dir)
+    wh = base.warehouse_pings(spark, sf_dir)
+    v = _flagship(spark, sf_dir)
+    parts = [
+        quality.null_counts(raw, "lake_raw", RAW_NOT_NULL),
+        quality.null_counts(wh, "vehicle_gps", WH_NOT_NULL),
+        quality.duplicate_keys(wh, "vehicle_gps", ["gps_id", "recorded_at"]),
+        quality.reference_check(wh_all, "vehicle_gps_offered", "traffic_light_id",
+                                dimensions.traffic_lights(spark), "traffic_light_id",
+                                len(seeds.TRAFFIC_LIGHTS)),
+        quality.range_check(v, "congestion_analysis", "congestion_level", 0, 100),
+        quality.duplicate_keys(v, "congestion_analysis", ["traffic_light_id", "analysis_time"]),
+        quality.null_counts(v, "congestion_analysis", ["analysis_time"]),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("load_audit", oracle.with_ctes(f"""
+    SELECT 'rows_offered' AS metric, CAST(count(*) AS BIGINT) AS value FROM raw
+    UNION ALL SELECT 'rows_valid', CAST(count(*) AS BIGINT) FROM valid
+    UNION ALL SELECT 'rows_rejected_rule', CAST(count(*) AS BIGINT) FROM raw WHERE NOT ({oracle.VALID_PRED})
+    UNION ALL SELECT 'rows_loaded', CAST(count(*) AS BIGINT) FROM wh_all
+    UNION ALL SELECT 'rows_without_light', CAST(count(*) FILTER (WHERE traffic_light_id IS NULL) AS BIGINT) FROM wh_all
+    UNION ALL SELECT 'rows_unknown_light', CAST(count(*) FILTER (WHERE traffic_light_id IS NOT NULL
+        AND traffic_light_id NOT IN (SELECT traffic_light_id FROM lights)) AS BIGINT) FROM wh_all
+    UNION ALL SELECT 'results_written', CAST(count(*) AS BIGINT) FROM v""",
+    extra=f"v AS ({_flagship_sql()})"))
+def load_audit(spark, sf_dir):
+    """Load metrics: offered, valid, rejected, loaded, no-light and unknown-light rows, results."""
+    raw = base.raw_pings(spark, sf_dir)
+    reason = clean_ops.reject_reason(raw)
+    m1 = load.metrics_table([("rows_offered", F.count(F.lit(1))),
+                             ("rows_valid", F.count_if(reason.isNull())),
+                             ("rows_rejected_rule", F.count_if(reason.isNotNull()))], raw)
+    flagged = enrich.flag_known_lights(base.warehouse_all(spark, sf_dir), dimensions.traffic_lights(spark))
+    m2 = load.metrics_table([("rows_loaded", F.count(F.lit(1))),
+                             ("rows_without_light", F.count_if(F.col("traffic_light_id").isNull())),
+                             ("rows_unknown_light", F.count_if(~F.col("light_known")))], flagged)
+    m3 = load.metrics_table([("results_written", F.count(F.lit(1)))], _flagship(spark, sf_dir))
+    return m1.unionByName(m2).unionByName(m3)
+
+
+# ------------------------------------------------------------------ lake
+
+def _lake_from_raw(spark, sf_dir, env_col):
+    """Write the raw pings to a fresh lake folder (event-time date partitions) and read it back."""
+    root = scratch_path(spark, "lake")
+    raw = base.raw_pings(spark, sf_dir)
+    at = F.to_timestamp("timestamp")
+    lake.write(lake.with_partitions(raw, env_col, at), root)
+    return lake.read(spark, root)
+
+
+_LAKE_SQL_COLS = ("gps_id, timestamp, latitude, longitude, speed_kmh, traffic_light_id, day_type, "
+                  "time_window, received_at")
+
+
+@register("lake_roundtrip", oracle.with_ctes(f"""
+    SELECT {_LAKE_SQL_COLS}, 'prod' AS env, CAST(year(CAST(timestamp AS TIMESTAMP)) AS INTEGER) AS year,
+           CAST(month(CAST(timestamp AS TIMESTAMP)) AS INTEGER) AS month,
+           CAST(day(CAST(timestamp AS TIMESTAMP)) AS INTEGER) AS day
+    FROM raw"""))
+def lake_roundtrip(spark, sf_dir):
+    """Raw pings written to the partitioned Parquet lake and read back with the fixed schema."""
+    back = _lake_from_raw(spark, sf_dir, F.lit("prod"))
+    return back.drop("src_file", "src_row")
+
+
+@register("env_union", oracle.with_ctes("""
+    SELECT CASE WHEN src_file = 0 THEN 'prod' ELSE 'mock' END AS env, CAST(count(*) AS BIGINT) AS n_rows,
+           CAST(count(DISTINCT gps_id) AS BIGINT) AS n_vehicles
+    FROM raw GROUP BY ALL"""))
+def env_union(spark, sf_dir):
+    """Production and mock streams side by side in one lake; per-env counts via partition pruning."""
+    env = F.when(F.col("src_file") == 0, F.lit("prod")).otherwise(F.lit("mock"))
+    back = _lake_from_raw(spark, sf_dir, env)
+    prod = back.filter(F.col("env") == "prod")
+    mock = back.filter(F.col("env") == "mock")
+    return (prod.unionByName(mock).groupBy("env")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("gps_id").alias("n_vehicles")))

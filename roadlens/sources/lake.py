@@ -39,25 +39,43 @@ READ_SCHEMA = T.StructType(LAKE_SCHEMA.fields + [
 ])
 
 
+def _aligned(columns) -> list[Column]:
+    cols = set(columns)
+    return [(F.col(f.name) if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in LAKE_SCHEMA.fields]
+
+
 def align(df: DataFrame) -> DataFrame:
     """Lake layout: missing columns as NULL, extras dropped, fixed order and types."""
-    cols = set(df.columns)
-    return df.select(*[(F.col(f.name) if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
-                       for f in LAKE_SCHEMA.fields])
+    return df.select(*_aligned(df.columns))
 
 
 def with_partitions(df: DataFrame, env: Column | str, at: Column | None = None) -> DataFrame:
-    """Add env/year/month/day; ``at`` defaults to processing time (now, UTC)."""
+    """Aligned rows plus env/year/month/day; ``at`` defaults to processing time (now, UTC).
+
+    ``env`` and ``at`` are evaluated on the input row, so they may use columns
+    that alignment drops.
+    """
     t = at if at is not None else F.current_timestamp()
     e = F.lit(env) if isinstance(env, str) else env
-    return (align(df).withColumn("env", e)
-            .withColumn("year", F.date_format(t, "yyyy"))
-            .withColumn("month", F.date_format(t, "MM"))
-            .withColumn("day", F.date_format(t, "dd")))
+    return df.select(*_aligned(df.columns), e.alias("env"),
+                     F.date_format(t, "yyyy").alias("year"),
+                     F.date_format(t, "MM").alias("month"),
+                     F.date_format(t, "dd").alias("day"))
+
 
+def write(df: DataFrame, root: str, files_per_day: int = 64, max_records_per_file: int = 5_000_000,
+          mode: str = "append", spread_col: str = "gps_id") -> None:
+    """Append to the lake.
 
-def write(df: DataFrame, root: str, max_records_per_file: int = 5_000_000, mode: str = "append") -> None:
-    (df.repartition(*PARTITIONS)
+    Rows are hash-partitioned on the partition columns plus a bounded salt
+    (``hash(gps_id) % files_per_day``): one day is written by up to
+    ``files_per_day`` tasks in parallel, never by a single task, and each task
+    writes one file per partition it holds (sorted within the task).
+    """
+    salt = F.pmod(F.xxhash64(F.col(spread_col)), F.lit(int(files_per_day)))
+    (df.repartition(*PARTITIONS, salt)
+       .sortWithinPartitions(*PARTITIONS)
        .write.mode(mode)
        .option("maxRecordsPerFile", max_records_per_file)
        .option("compression", "snappy")
