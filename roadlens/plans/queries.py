@@ -582,3 +582,92 @@ def env_union(spark, sf_dir):
     mock = back.filter(F.col("env") == "mock")
     return (prod.unionByName(mock).groupBy("env")
             .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("gps_id").alias("n_vehicles")))
+
+
+# ------------------------------------------------------------------ streaming (availableNow runs)
+
+from roadlens.streaming import pipelines  # noqa: E402
+
+LAKE_COLS = [f.name for f in lake.LAKE_SCHEMA.fields]
+
+
+def _ingest_run(spark, sf_dir):
+    d = scratch_path(spark, "ingest")
+    fixtures.gps_requests(spark, sf_dir).select("value").write.text(d + "/requests")
+    q1, q2 = pipelines.ingest(pipelines.read_text_stream(spark, d + "/requests"), d + "/lake",
+                              d + "/dead", d + "/ckpt", received_at=F.lit(RECEIVED_AT))
+    q1.awaitTermination()
+    q2.awaitTermination()
+    return d
+
+
+@register("stream_ingest", oracle.with_ctes(f"""
+    SELECT gps_id, timestamp, latitude, longitude, speed_kmh,
+           COALESCE(light_t, 'unknown') AS traffic_light_id, COALESCE(day_t, 'weekday') AS day_type,
+           COALESCE(tw_t, 'off_peak') AS time_window, '{RECEIVED_AT}' AS received_at
+    FROM dec WHERE reject_reason IS NULL""", extra=_DECODE_SQL))
+def stream_ingest(spark, sf_dir):
+    """JSON request stream → decode → partitioned lake (availableNow run), read back."""
+    d = _ingest_run(spark, sf_dir)
+    return lake.read(spark, d + "/lake", with_order=False).select(*LAKE_COLS)
+
+
+@register("stream_dead_letters", oracle.with_ctes(
+    "SELECT value, reject_reason FROM dec WHERE reject_reason IS NOT NULL", extra=_DECODE_SQL))
+def stream_dead_letters(spark, sf_dir):
+    """Rejected requests of the ingest stream, kept with their reason."""
+    d = _ingest_run(spark, sf_dir)
+    return spark.read.parquet(d + "/dead").select("value", "reject_reason")
+
+
+def _as_stream(spark, df, name):
+    """Materialise ``df`` as Parquet files and open them as a file stream."""
+    d = scratch_path(spark, name)
+    df.write.parquet(d + "/in")
+    return d, spark.readStream.schema(df.schema).parquet(d + "/in")
+
+
+_WM_SQL = "(SELECT max(recorded_at) FROM wh_all) - INTERVAL 10 MINUTES"
+
+
+@register("stream_verdicts", oracle.with_ctes(
+    f"SELECT * FROM v WHERE CAST(analysis_time AS TIMESTAMP) <= {_WM_SQL}",
+    extra=f"v AS ({_flagship_sql()})"))
+def stream_verdicts(spark, sf_dir):
+    """Streaming 5-minute verdicts (watermark 10 min, append, foreachBatch sink): closed windows."""
+    d, stream = _as_stream(spark, base.warehouse_all(spark, sf_dir).drop("geom"), "stream-verdicts")
+    # stream-static broadcast join against the bounded light dimension (quarantine)
+    flagged = enrich.flag_known_lights(stream, dimensions.traffic_lights(spark)).filter("light_known")
+    q = pipelines.verdicts(flagged, dimensions.light_schedule(spark), d + "/out", d + "/ckpt")
+    q.awaitTermination()
+    return spark.read.parquet(d + "/out").drop("batch_id")
+
+
+@register("stream_dedupe", oracle.with_ctes(
+    f"SELECT gps_id, {oracle.ts_text('recorded_at')} AS recorded_at FROM wh_all"))
+def stream_dedupe(spark, sf_dir):
+    """Streaming dedupe on (gps_id, recorded_at) within the watermark; keys equal the batch load."""
+    valid = enrich.enrich(clean_ops.valid(base.raw_pings(spark, sf_dir))).filter(
+        F.col("recorded_at").isNotNull()).drop("geom")
+    d, stream = _as_stream(spark, valid, "stream-dedupe")
+    q = (pipelines.dedupe(stream).writeStream.format("parquet").option("path", d + "/out")
+         .option("checkpointLocation", d + "/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(d + "/out").select("gps_id", ts_text("recorded_at").alias("recorded_at"))
+
+
+@register("stream_sessions", oracle.with_ctes(f"""
+    SELECT gps_id, {oracle.ts_text('f')} AS session_start, {oracle.ts_text('l')} AS last_ping,
+           CAST(n AS BIGINT) AS n_points
+    FROM runs WHERE l + INTERVAL {SESSION_GAP_S} SECONDS <= {_WM_SQL.replace('wh_all', 'wh')}""",
+    extra=_SESS_SQL))
+def stream_sessions(spark, sf_dir):
+    """Streaming 600 s gap sessions per vehicle; sessions closed by the watermark."""
+    d, stream = _as_stream(spark, base.warehouse_pings(spark, sf_dir).drop("geom"), "stream-sessions")
+    q = (pipelines.sessions(stream, SESSION_GAP_S).writeStream.outputMode("append").format("parquet")
+         .option("path", d + "/out").option("checkpointLocation", d + "/ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(d + "/out").select(
+        "gps_id", ts_text("first_ping").alias("session_start"), ts_text("last_ping").alias("last_ping"),
+        "n_points")
