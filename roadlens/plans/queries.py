@@ -232,7 +232,7 @@ dec AS (
            WHEN latitude IS NULL OR longitude IS NULL THEN 'not_a_number'
            WHEN NOT (latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180) THEN 'coordinates'
            WHEN spd_t IS NOT NULL AND spd IS NULL THEN 'not_a_number' END AS reject_reason,
-      COALESCE(CASE WHEN isnan(spd) THEN 0.0 ELSE
+      COALESCE(CASE WHEN spd IS NULL THEN NULL WHEN isnan(spd) THEN 0.0 ELSE
           {oracle.dec_round('GREATEST(0.0, LEAST(spd * CAST(3.6 AS DOUBLE), 200.0))', 2)} END, 0.0) AS speed_kmh
     FROM num)"""
 

@@ -25,10 +25,6 @@ from pyspark.sql import functions as F
 
 from roadlens.functions.congestion import round_dec
 
-REQUEST_SCHEMA = ("gps_id STRING, device_id STRING, timestamp STRING, latitude STRING, "
-                  "longitude STRING, speed STRING, speed_kmh STRING, traffic_light_id STRING, "
-                  "day_type STRING, time_window STRING, received_at STRING")
-
 MESSAGE_COLS = ["gps_id", "vehicle_id", "timestamp", "latitude", "longitude", "speed_kmh",
                 "traffic_light_id", "day_type", "time_window", "received_at"]
 
@@ -44,17 +40,22 @@ def _num(text: Column) -> Column:
 
 
 def speed_to_kmh(v: Column, unit: str = "m/s") -> Column:
-    """Clamp to [0, 200] km/h, NaN → 0, round 2 (HALF_UP through DECIMAL)."""
+    """Clamp to [0, 200] km/h, NaN → 0, round 2 (HALF_UP through DECIMAL).
+
+    NULL stays NULL (GREATEST/LEAST skip NULLs, so it is tested first).
+    """
     kmh = v * F.lit(3.6) if unit == "m/s" else v
     clamped = F.greatest(F.lit(0.0), F.least(kmh, F.lit(MAX_SPEED_KMH)))
-    return F.when(F.isnan(v), F.lit(0.0)).otherwise(round_dec(clamped, 2))
+    return (F.when(v.isNull(), F.lit(None).cast("double"))
+            .when(F.isnan(v), F.lit(0.0)).otherwise(round_dec(clamped, 2)))
 
 
 def decode_requests(df: DataFrame, received_at: Column | None = None,
                     speed_unit: str = "m/s", value_col: str = "value") -> DataFrame:
     v = F.col(value_col)
-    keys = F.json_object_keys(v)
-    j = F.from_json(v, REQUEST_SCHEMA)
+    # one lenient parse (bare NaN allowed, like the gateway's JSON reader):
+    # NULL for anything that is not a JSON object, values kept as text
+    j = F.from_json(v, "map<string,string>")
     lat_t, lon_t = j["latitude"], j["longitude"]
     lat, lon = _num(lat_t), _num(lon_t)
     spd_t = j["speed"] if speed_unit == "m/s" else j["speed_kmh"]
@@ -63,8 +64,8 @@ def decode_requests(df: DataFrame, received_at: Column | None = None,
     for k in ("gps_id", "timestamp", "latitude", "longitude"):
         m = j[k].isNull()
         missing = m if missing is None else (missing | m)
-    reason = (F.when(keys.isNull(), F.lit("malformed"))
-              .when(F.size(keys) == 0, F.lit("empty"))
+    reason = (F.when(j.isNull(), F.lit("malformed"))
+              .when(F.size(j) == 0, F.lit("empty"))
               .when(missing, F.lit("missing_field"))
               .when(lat.isNull() | lon.isNull(), F.lit("not_a_number"))
               .when(~(lat.between(-90, 90) & lon.between(-180, 180)), F.lit("coordinates"))
