@@ -40,9 +40,24 @@ def reject_reason(df: DataFrame) -> Column:
             .when((F.abs(lat) < 0.001) & (F.abs(lon) < 0.001), F.lit("null_island")))
 
 
+def passes(df: DataFrame) -> Column:
+    """The rules as one conjunction (cheaper to evaluate than the reason chain).
+
+    Equivalent to ``reject_reason(df).isNull()``.
+    """
+    types = dict(df.dtypes)
+    ok = None
+    for c in REQUIRED:
+        m = ~_missing(c, types.get(c, "string"))
+        ok = m if ok is None else (ok & m)
+    lat, lon, spd = F.col("latitude"), F.col("longitude"), F.col("speed_kmh")
+    return (ok & lat.between(-90, 90) & lon.between(-180, 180) & spd.between(0, 200)
+            & ~((F.abs(lat) < 0.001) & (F.abs(lon) < 0.001)))
+
+
 def valid(df: DataFrame) -> DataFrame:
     """Rows that pass every rule (a single filter, pushed to the scan)."""
-    return df.filter(reject_reason(df).isNull())
+    return df.filter(passes(df))
 
 
 def clean(df: DataFrame, key=("gps_id", "timestamp"), order=ORDER) -> DataFrame:

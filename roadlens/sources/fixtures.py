@@ -31,12 +31,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _light_attr(k, idx: int) -> F.Column:
-    """Attribute ``idx`` of light number k (0-based) from the seed list."""
-    expr = None
-    for i, row in enumerate(seeds.TRAFFIC_LIGHTS):
-        expr = (F.when(k == i, F.lit(row[idx])) if expr is None
-                else expr.when(k == i, F.lit(row[idx])))
-    return expr
+    """Attribute ``idx`` of light number k (0-based): one lookup in a literal array."""
+    return F.element_at(F.array(*[F.lit(row[idx]) for row in seeds.TRAFFIC_LIGHTS]),
+                        (k + 1).cast("int"))
 
 
 def gps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +61,10 @@ def gps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .otherwise(F.lit("weekend")))
     time_window = (F.when(eid % 4 == 0, F.lit(None).cast("string"))
                    .when(peak, F.lit("peak_hour")).otherwise(F.lit("off_peak")))
-    stamp = F.concat(day, F.lit(" "), F.date_format("ts", "HH:mm:ss"))
+    def two(c):
+        return F.lpad(c.cast("string"), 2, "0")
+    stamp = F.concat(day, F.lit(" "), two(F.hour("ts")), F.lit(":"), two(F.minute("ts")), F.lit(":"),
+                     two(F.second("ts")))
     base = ev.select(
         F.concat(F.lit("GPS_"), (F.lit(GPS_ID_BASE) + F.col("user_id") % N_VEHICLES).cast("string"))
         .alias("gps_id"),
@@ -135,15 +135,15 @@ def sql_gps_raw() -> str:
 # JSON array, 2 an empty object, 3 longitude absent, 4 gps_id null, 5
 # latitude as a numeric string, 6 latitude "abc", 7 latitude 90.5, 8 speed
 # "abc", 9 speed absent, 10 speed null, 11 an extra accuracy_m key, 12 speed
-# 60 m/s, 13 speed -3 m/s; otherwise a regular body. Numbers are written with
-# fixed decimals after a HALF_UP decimal round so both engines print the same
+# 60 m/s, 13 speed -3 m/s; otherwise a regular body. Numbers are written as
+# fixed-scale DECIMAL text after a HALF_UP round so both engines print the same
 # text. Keys with NULL payload values are left out (absent → default).
 REQUEST_CASES = 37
 
 
 def _fmt(c: F.Column, places: int) -> F.Column:
-    r = F.round(c.cast("decimal(28,12)"), places).cast("double")
-    return F.when(c.isNull(), F.lit("null")).otherwise(F.format_string(f"%.{places}f", r))
+    r = F.round(c.cast("decimal(28,12)"), places).cast(f"decimal(20,{places})").cast("string")
+    return F.coalesce(r, F.lit("null"))
 
 
 def gps_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,8 +184,8 @@ def gps_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_gps_requests() -> str:
     def fmt(c, places):
-        return (f"(CASE WHEN {c} IS NULL THEN 'null' ELSE printf('%.{places}f', "
-                f"CAST(ROUND(CAST({c} AS DECIMAL(28,12)), {places}) AS DOUBLE)) END)")
+        return (f"COALESCE(CAST(CAST(ROUND(CAST({c} AS DECIMAL(28,12)), {places}) "
+                f"AS DECIMAL(20,{places})) AS VARCHAR), 'null')")
 
     case = f"(src_row % {REQUEST_CASES})"
     lat_v = (f"CASE WHEN {case} = 5 THEN '\"' || {fmt('latitude', 6)} || '\"' "
