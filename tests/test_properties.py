@@ -44,3 +44,15 @@ def test_clean_plus_rejects_is_input(spark):
     from roadlens.operators import clean
     raw = base.raw_pings(spark, SF_SMALL)
     assert clean.clean(raw).count() + clean.rejects(raw).count() == raw.count()
+
+
+def test_lake_partition_pruning_in_plan(spark):
+    import tempfile
+    from roadlens.sources import lake
+    root = tempfile.mkdtemp(prefix="roadlens-lake-")
+    raw = base.raw_pings(spark, SF_SMALL)
+    lake.write(lake.with_partitions(raw, "prod", F.to_timestamp("timestamp")), root, files_per_day=4)
+    df = lake.read(spark, root, env="prod").filter(F.col("day") == 9)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "day" in plan.split("PartitionFilters")[1][:200]
+    assert df.count() == raw.filter(F.col("timestamp").startswith("2026-01-09")).count()
