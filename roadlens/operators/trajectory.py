@@ -9,10 +9,10 @@ table jobs:
   count, first/last instant and start/current position.
 * :func:`marker_feed` — one display row per ping with a popup text.
 
-Both aggregations are partial (map-side) so a vehicle with a third of all
-pings never sits whole in one task: ``min_by``/``max_by`` are declarative
-aggregates, and session-window aggregation merges sessions locally before
-the shuffle (``...sessionWindow.merge.sessions.in.local.partition``).
+Both aggregations are partial (map-side) or bucketed so a vehicle with a
+third of all pings never sits whole in one task: ``min_by``/``max_by`` are
+declarative aggregates, and sessions are built per (vehicle, hour bucket)
+first, then stitched across bucket edges (see :func:`sessions`).
 A run is not in the data (the phone clears its list on a button press), so a
 gap delimits it: a ping at most ``gap`` after the previous one continues the
 run (``session_window`` merges at exactly one gap).
@@ -20,7 +20,7 @@ run (``session_window`` merges at exactly one gap).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.functions.congestion import round_dec
@@ -40,26 +40,58 @@ def downsample(pings: DataFrame, seconds: int = 5, vehicle_col: str = "gps_id")
                          F.col("__p.speed_kmh").alias("speed_kmh")))
 
 
-def sessions(pings: DataFrame, gap_seconds: int = 600, vehicle_col: str = "gps_id") -> DataFrame:
-    """One row per run: start/end instants, points, start and current position."""
-    sw = F.session_window("recorded_at", f"{int(gap_seconds)} seconds")
+def sessions(pings: DataFrame, gap_seconds: int = 600, vehicle_col: str = "gps_id",
+             bucket_seconds: int = 3600) -> DataFrame:
+    """One row per run: start/end instants, points, start and current position.
+
+    Two levels, so no vehicle's whole timeline is ever one group:
+
+    1. ``session_window`` inside each (vehicle, time bucket) group — a group is
+       bounded by one bucket of one vehicle, and a hot vehicle spreads over
+       many buckets/tasks (Spark's batch session merge runs after the shuffle
+       on the vehicle key, without it one device would be one task).
+    2. Only sessions that can reach across a bucket edge
+       (``first - gap < bucket start`` or ``last + gap >= bucket end``) are
+       merged, by gaps-and-islands over those edge sessions per vehicle: at most
+       two per bucket, a count bounded by the time span, not by data volume.
+       Interior sessions are final after level 1.
+
+    A ping at most ``gap`` after the previous one continues the run, as
+    ``session_window`` does.
+    """
+    g = int(gap_seconds)
+    ts = F.col("recorded_at")
+    bucket = F.floor(F.unix_timestamp(ts) / F.lit(bucket_seconds)).cast("long")
     pos = F.struct("latitude", "longitude")
-    return (pings.groupBy(vehicle_col, sw.alias("__s"))
-                 .agg(F.count(F.lit(1)).alias("n_points"),
-                      F.min("recorded_at").alias("__first"),
-                      F.max("recorded_at").alias("__last"),
-                      F.min_by(pos, F.col("recorded_at")).alias("__start"),
-                      F.max_by(pos, F.col("recorded_at")).alias("__cur"))
-                 .select(vehicle_col,
-                         ts_text("__first").alias("session_start"),
-                         ts_text("__last").alias("last_ping"),
-                         F.col("n_points").cast("int").alias("n_points"),
-                         (F.unix_timestamp("__last") - F.unix_timestamp("__first")).cast("int")
-                         .alias("duration_s"),
-                         F.col("__start.latitude").alias("start_latitude"),
-                         F.col("__start.longitude").alias("start_longitude"),
-                         F.col("__cur.latitude").alias("current_latitude"),
-                         F.col("__cur.longitude").alias("current_longitude")))
+    lvl1 = (pings.groupBy(vehicle_col, bucket.alias("__b"),
+                          F.session_window(ts, f"{g} seconds").alias("__s"))
+                 .agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("f"), F.max(ts).alias("l"),
+                      F.min_by(pos, ts).alias("sp"), F.max_by(pos, ts).alias("cp")))
+    f_s, l_s = F.unix_timestamp("f"), F.unix_timestamp("l")
+    b_start = F.col("__b") * F.lit(bucket_seconds)
+    edge = (f_s - g < b_start) | (l_s + g >= b_start + F.lit(bucket_seconds))
+    cols = [vehicle_col, "n", "f", "l", "sp", "cp"]
+    interior = lvl1.filter(~edge).select(*cols)
+    w = Window.partitionBy(vehicle_col).orderBy("f")
+    edges = (lvl1.filter(edge).select(*cols)
+             .withColumn("__prev", F.lag("l").over(w))
+             .withColumn("__new", F.when(F.col("__prev").isNull()
+                                         | (f_s - F.unix_timestamp("__prev") > g), 1).otherwise(0))
+             .withColumn("__isl", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    merged = (edges.groupBy(vehicle_col, "__isl")
+              .agg(F.sum("n").alias("n"), F.min("f").alias("f"), F.max("l").alias("l"),
+                   F.min_by("sp", F.col("f")).alias("sp"), F.max_by("cp", F.col("l")).alias("cp"))
+              .select(*cols))
+    runs = interior.unionByName(merged)
+    return runs.select(vehicle_col,
+                       ts_text("f").alias("session_start"),
+                       ts_text("l").alias("last_ping"),
+                       F.col("n").cast("int").alias("n_points"),
+                       (F.unix_timestamp("l") - F.unix_timestamp("f")).cast("int").alias("duration_s"),
+                       F.col("sp.latitude").alias("start_latitude"),
+                       F.col("sp.longitude").alias("start_longitude"),
+                       F.col("cp.latitude").alias("current_latitude"),
+                       F.col("cp.longitude").alias("current_longitude"))
 
 
 # FIXED VALUES: popup labels of the marker feed.

@@ -14,8 +14,8 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Session-window aggregation merges sessions map-side before the shuffle,
-    # so one chatty device never lands whole in one task.
+    # Streaming session windows merge sessions map-side before the shuffle
+    # (batch sessions are bucketed instead, see operators/trajectory.py).
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Generated methods above HotSpot's 8000-byte JIT limit run interpreted; at
     # this limit Spark splits such stages instead (3x faster ping validation).

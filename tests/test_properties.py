@@ -1,5 +1,6 @@
 """Properties: idempotent load, permutation invariance, keep-first under skew."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -56,3 +57,22 @@ def test_lake_partition_pruning_in_plan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "day" in plan.split("PartitionFilters")[1][:200]
     assert df.count() == raw.filter(F.col("timestamp").startswith("2026-01-09")).count()
+
+
+def test_bucketed_sessions_equal_native_session_window(spark):
+    """Runs crossing many hour buckets (a continuously active vehicle) and random gaps."""
+    from roadlens.operators.trajectory import sessions
+    gap = 600
+    ts = (F.timestamp_seconds(F.lit(1767916800) + F.col("t")))
+    # vehicle A: every 59 s for 10 h (one run across 10 buckets); B: pseudo-random gaps up to 20 min
+    a = spark.range(0, 610).select(F.lit("A").alias("gps_id"), (F.col("id") * 59).alias("t"))
+    b = spark.range(0, 3000).select(F.lit("B").alias("gps_id"),
+                                    F.sum(F.abs(F.hash("id")) % 1300 + 1).over(Window.orderBy("id")).alias("t"))
+    pings = a.unionByName(b).select("gps_id", ts.alias("recorded_at"),
+                                    F.lit(21.0).alias("latitude"), F.lit(105.0).alias("longitude"))
+    mine = sorted((r.gps_id, r.session_start, r.n_points) for r in sessions(pings, gap).collect())
+    native = (pings.groupBy("gps_id", F.session_window("recorded_at", f"{gap} seconds").alias("s"))
+              .agg(F.count(F.lit(1)).alias("n"), F.min("recorded_at").alias("f")))
+    want = sorted((r.gps_id, r.f.strftime("%Y-%m-%d %H:%M:%S"), r.n) for r in native.collect())
+    assert mine == want
+    assert any(n == 610 for g, _, n in mine if g == "A")
