@@ -68,7 +68,7 @@ def flag_known_lights(pings: DataFrame, lights: DataFrame) -> DataFrame:
     side is scanned once whether the caller keeps the known or the unknown part.
     """
     dim = small_side(lights.select("traffic_light_id")
-                     .withColumn("__in_dim", F.lit(True)), known_rows=len(seeds.TRAFFIC_LIGHTS))
+                     .withColumn("__in_dim", F.lit(True)))
     return (pings.join(dim, "traffic_light_id", "left")
                  .withColumn("light_known", F.col("traffic_light_id").isNull()
                              | F.coalesce(F.col("__in_dim"), F.lit(False)))
@@ -86,8 +86,7 @@ def attach_time(pings: DataFrame, time_dim: DataFrame) -> DataFrame:
     """Lookup join of each ping's hour against the time dimension (bounded, broadcast)."""
     td = small_side(time_dim.select(F.col("full_timestamp").alias("__hour"),
                                     F.col("time_id").alias("dim_time_id"),
-                                    F.col("season"), F.col("is_weekend")),
-                    known_rows=seeds.TIME_DIM_HOURS)
+                                    F.col("season"), F.col("is_weekend")))
     return (pings.withColumn("__hour", F.date_trunc("hour", "recorded_at"))
                  .join(td, "__hour", "left").drop("__hour"))
 
@@ -96,8 +95,6 @@ def with_light_info(df: DataFrame, lights: DataFrame, inters: DataFrame) -> Data
     """Light ↔ intersection enrichment (broadcast left joins on tiny dims)."""
     li = small_side(lights.select("traffic_light_id", "intersection_id",
                                   F.col("latitude").alias("light_latitude"),
-                                  F.col("longitude").alias("light_longitude")),
-                    known_rows=len(seeds.TRAFFIC_LIGHTS))
-    it = small_side(inters.select("intersection_id", "intersection_name", "description"),
-                    known_rows=len(seeds.INTERSECTIONS))
+                                  F.col("longitude").alias("light_longitude")))
+    it = small_side(inters.select("intersection_id", "intersection_name", "description"))
     return df.join(li, "traffic_light_id", "left").join(it, "intersection_id", "left")

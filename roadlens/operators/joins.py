@@ -10,15 +10,34 @@ from pyspark.sql import functions as F
 from roadlens.sources.dimensions import BROADCAST_ROW_BOUND
 
 
+# Same bound as Spark's autoBroadcastJoinThreshold default: file-based estimates are
+# compressed sizes, so the bound stays conservative.
+BROADCAST_MAX_BYTES = 10 * 1024 * 1024
+
+
+def plan_size_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (exact for inline tables and ranges)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return None
+
+
 def small_side(df: DataFrame, known_rows: int | None = None,
-               max_rows: int = BROADCAST_ROW_BOUND) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven to be small.
+               max_rows: int = BROADCAST_ROW_BOUND, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when its size is proven to be small.
 
-    ``known_rows`` is the static size of a seeded/generated dimension; when it
-    is not given, at most ``max_rows + 1`` rows are counted. Beyond the bound
-    the DataFrame is returned as is and Spark plans a shuffle join.
+    Proof, in order: a caller-given static row count; the optimizer's size
+    estimate (exact for inline ``VALUES`` tables and ``range``; no job); else
+    counting at most ``max_rows + 1`` rows. Beyond the bound the DataFrame is
+    returned as is and Spark plans a shuffle join.
     """
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
+    if known_rows is not None:
+        return F.broadcast(df) if known_rows <= max_rows else df
+    est = plan_size_bytes(df)
+    if est is not None and est <= max_bytes:
+        return F.broadcast(df)
+    n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 

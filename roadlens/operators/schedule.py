@@ -39,8 +39,7 @@ def lookup_red(df: DataFrame, schedule: DataFrame, tod_col: str, day_col: str =
         F.col("applicable_days").alias("__s_days"),
         F.col("start_sec").alias("__s_start"),
         F.col("end_sec").alias("__s_end"),
-        F.col("red_duration").cast("int").alias("scheduled_red_duration")),
-        known_rows=len(seeds.LIGHT_SCHEDULE))
+        F.col("red_duration").cast("int").alias("scheduled_red_duration")))
     cond = ((F.col(light_col) == F.col("__s_light")) & (F.col(day_col) == F.col("__s_days"))
             & interval_match(F.col(tod_col), F.col("__s_start"), F.col("__s_end"), mode))
     return df.join(s, cond, "left").drop("__s_light", "__s_days", "__s_start", "__s_end")
