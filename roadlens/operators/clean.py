@@ -18,46 +18,47 @@ REQUIRED = ("gps_id", "timestamp", "latitude", "longitude")
 ORDER = ("src_file", "src_row")
 
 
-def _missing(c: str, dtype: str) -> Column:
-    m = F.col(c).isNull()
+def _missing_sql(c: str, dtype: str) -> str:
     if dtype in ("double", "float"):
-        m = m | F.isnan(F.col(c))
-    return m
+        return f"({c} IS NULL OR isnan({c}))"
+    return f"{c} IS NULL"
 
 
-def reject_reason(df: DataFrame) -> Column:
-    """First failing rule of a ping, NULL when it passes all."""
+def _missing_any(df: DataFrame) -> str:
     types = dict(df.dtypes)
-    missing = None
-    for c in REQUIRED:
-        m = _missing(c, types.get(c, "string"))
-        missing = m if missing is None else (missing | m)
-    lat, lon, spd = F.col("latitude"), F.col("longitude"), F.col("speed_kmh")
-    return (F.when(missing, F.lit("missing_field"))
-            .when(~lat.between(-90, 90), F.lit("latitude_range"))
-            .when(~lon.between(-180, 180), F.lit("longitude_range"))
-            .when(~F.coalesce(spd.between(0, 200), F.lit(False)), F.lit("speed_range"))
-            .when((F.abs(lat) < 0.001) & (F.abs(lon) < 0.001), F.lit("null_island")))
+    return " OR ".join(_missing_sql(c, types.get(c, "string")) for c in REQUIRED)
 
 
-def passes(df: DataFrame) -> Column:
+def reject_reason_sql(df: DataFrame) -> str:
+    """First failing rule of a ping, NULL when it passes all."""
+    return (f"CASE WHEN {_missing_any(df)} THEN 'missing_field' "
+            "WHEN NOT latitude BETWEEN -90 AND 90 THEN 'latitude_range' "
+            "WHEN NOT longitude BETWEEN -180 AND 180 THEN 'longitude_range' "
+            "WHEN NOT coalesce(speed_kmh BETWEEN 0 AND 200, false) THEN 'speed_range' "
+            "WHEN abs(latitude) < 0.001D AND abs(longitude) < 0.001D THEN 'null_island' END")
+
+
+def reject_reason(df: DataFrame) -> Column:
+    return F.expr(reject_reason_sql(df))
+
+
+def passes_sql(df: DataFrame) -> str:
     """The rules as one conjunction (cheaper to evaluate than the reason chain).
 
-    Equivalent to ``reject_reason(df).isNull()``.
+    Equivalent to ``reject_reason(df) IS NULL``.
     """
-    types = dict(df.dtypes)
-    ok = None
-    for c in REQUIRED:
-        m = ~_missing(c, types.get(c, "string"))
-        ok = m if ok is None else (ok & m)
-    lat, lon, spd = F.col("latitude"), F.col("longitude"), F.col("speed_kmh")
-    return (ok & lat.between(-90, 90) & lon.between(-180, 180) & spd.between(0, 200)
-            & ~((F.abs(lat) < 0.001) & (F.abs(lon) < 0.001)))
+    return (f"NOT ({_missing_any(df)}) AND latitude BETWEEN -90 AND 90 "
+            "AND longitude BETWEEN -180 AND 180 AND speed_kmh BETWEEN 0 AND 200 "
+            "AND NOT (abs(latitude) < 0.001D AND abs(longitude) < 0.001D)")
+
+
+def passes(df: DataFrame) -> Column:
+    return F.expr(passes_sql(df))
 
 
 def valid(df: DataFrame) -> DataFrame:
     """Rows that pass every rule (a single filter, pushed to the scan)."""
-    return df.filter(passes(df))
+    return df.filter(passes_sql(df))
 
 
 def clean(df: DataFrame, key=("gps_id", "timestamp"), order=ORDER) -> DataFrame:
@@ -72,10 +73,10 @@ def rejects(df: DataFrame, key=("gps_id", "timestamp"), order=ORDER) -> DataFram
     anti-join of the valid rows against the kept ones on the full key plus
     order columns (unique, so the join has no hot key).
     """
-    tagged = df.withColumn("reject_reason", reject_reason(df))
-    failed = tagged.filter(F.col("reject_reason").isNotNull())
-    ok = tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    tagged = df.selectExpr("*", f"{reject_reason_sql(df)} AS reject_reason")
+    failed = tagged.filter("reject_reason IS NOT NULL")
+    ok = tagged.filter("reject_reason IS NULL").drop("reject_reason")
     kept = clean(df, key, order).select(*key, *order)
     dups = (ok.join(kept, on=[*key, *order], how="left_anti")
-              .withColumn("reject_reason", F.lit("duplicate")))
+              .selectExpr("*", "'duplicate' AS reject_reason"))
     return failed.unionByName(dups)

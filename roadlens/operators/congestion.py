@@ -24,8 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.functions.congestion import indicator_columns
-from roadlens.functions.timeparts import seconds_of_day, ts_text
+from roadlens.functions.congestion import indicator_sql
+from roadlens.functions.timeparts import seconds_of_day_sql, ts_text_sql
 from roadlens.operators.joins import keep_first
 from roadlens.operators.schedule import lookup_red
 from roadlens.sources import dimensions, seeds
@@ -39,10 +39,10 @@ GROUP = ["traffic_light_id", "time_window", "day_type"]
 
 def group_stats(pings: DataFrame, extra_keys=(), vehicle_col: str = "gps_id") -> DataFrame:
     """AVG(speed) and COUNT(DISTINCT vehicle) per light/time_window/day_type."""
-    return (pings.filter(F.col("traffic_light_id").isNotNull())
+    return (pings.filter("traffic_light_id IS NOT NULL")
                  .groupBy(*extra_keys, *GROUP)
-                 .agg(F.avg("speed_kmh").alias("avg_speed"),
-                      F.count_distinct(vehicle_col).alias("veh_count")))
+                 .agg(F.expr("avg(speed_kmh) AS avg_speed"),
+                      F.expr(f"count(DISTINCT `{vehicle_col}`) AS veh_count")))
 
 
 def verdicts(stats: DataFrame, schedule: DataFrame, as_of_col: str = "analysis_ts",
@@ -55,34 +55,33 @@ def verdicts(stats: DataFrame, schedule: DataFrame, as_of_col: str = "analysis_t
     deterministic: most vehicles, then time_window, day_type and red duration
     ascending, NULLs last.
     """
-    s = stats.withColumn("__tod", seconds_of_day(as_of_col))
+    s = stats.selectExpr("*", f"{seconds_of_day_sql(as_of_col)} AS __tod")
     s = lookup_red(s, schedule, "__tod", "day_type", mode)
-    ind = indicator_columns("avg_speed", "veh_count", congested, slow)
-    out = s.select(
+    ind = indicator_sql("avg_speed", "veh_count", congested, slow)
+    out = s.selectExpr(
         "traffic_light_id",
-        F.col(as_of_col).alias("__as_of"),
-        dimensions.time_id_of(as_of_col).alias("time_id"),
+        f"`{as_of_col}` AS __as_of",
+        f"{dimensions.time_id_sql(as_of_col)} AS time_id",
         "time_window", "day_type",
-        *[c.alias(n) for n, c in ind.items()],
+        *[f"{c} AS {n}" for n, c in ind.items()],
         "scheduled_red_duration",
     )
     if collapse:
         out = keep_first(out, ["traffic_light_id", "__as_of"],
-                         [-F.col("vehicle_count"), F.col("time_window"), F.col("day_type"),
-                          F.col("scheduled_red_duration")])
-    return out.select(*[ts_text("__as_of").alias(c) if c == "analysis_time" else F.col(c)
-                        for c in VERDICT_COLS])
+                         ["-vehicle_count", "time_window", "day_type", "scheduled_red_duration"])
+    return out.selectExpr(*[f"{ts_text_sql('__as_of')} AS analysis_time" if c == "analysis_time" else c
+                            for c in VERDICT_COLS])
 
 
 def snapshot(pings: DataFrame, schedule: DataFrame, as_of: str, minutes: int = 5,
              bound_above: bool = False, mode: str = "strict", collapse: bool = True,
              **kw) -> DataFrame:
     """Verdicts for one analysis instant ``as_of`` (text, UTC)."""
-    t = F.to_timestamp(F.lit(as_of))
-    recent = pings.filter(F.col("recorded_at") > t - F.expr(f"INTERVAL {int(minutes)} MINUTES"))
+    t = f"to_timestamp('{as_of}')"
+    recent = pings.filter(f"recorded_at > {t} - INTERVAL {int(minutes)} MINUTES")
     if bound_above:
-        recent = recent.filter(F.col("recorded_at") <= t)
-    stats = group_stats(recent).withColumn("analysis_ts", t)
+        recent = recent.filter(f"recorded_at <= {t}")
+    stats = group_stats(recent).selectExpr("*", f"{t} AS analysis_ts")
     return verdicts(stats, schedule, "analysis_ts", mode, collapse=collapse, **kw)
 
 
@@ -92,5 +91,5 @@ def windowed(pings: DataFrame, schedule: DataFrame, window: str = "5 minutes",
     """Verdicts per event-time window, analysis time = window end."""
     w = F.window("recorded_at", window, slide) if slide else F.window("recorded_at", window)
     stats = (group_stats(pings.withColumn("__w", w), extra_keys=["__w"])
-             .withColumn("analysis_ts", F.col("__w.end")).drop("__w"))
+             .selectExpr("*", "__w.end AS analysis_ts").drop("__w"))
     return verdicts(stats, schedule, "analysis_ts", mode, collapse=collapse, **kw)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.functions.timeparts import day_type_of, parse_ts, time_window_of
+from roadlens.functions.timeparts import day_type_sql, parse_ts_sql, time_window_sql
 from roadlens.operators.joins import keep_first, small_side
 from roadlens.sources import dimensions, seeds
 
@@ -23,22 +23,23 @@ WAREHOUSE_COLS = ["gps_id", "vehicle_id", "recorded_at", "latitude", "longitude"
 
 def enrich(df: DataFrame, assume_tz: str = "UTC", unknown_light: str = "unknown") -> DataFrame:
     cols = set(df.columns)
-    rec = parse_ts(F.col("timestamp"), assume_tz) if "recorded_at" not in cols else F.col("recorded_at")
-    veh = F.coalesce(F.col("vehicle_id"), F.col("gps_id")) if "vehicle_id" in cols else F.col("gps_id")
-    out = df.withColumn("recorded_at", rec)
-    return out.select(
-        F.col("gps_id").cast("string").alias("gps_id"),
-        veh.alias("vehicle_id"),
-        F.col("recorded_at"),
-        F.col("latitude"), F.col("longitude"),
-        dimensions.point("longitude", "latitude").alias("geom"),
-        F.col("speed_kmh"),
-        (F.col("heading") if "heading" in cols else F.lit(None).cast("double")).alias("heading"),
-        F.nullif(F.col("traffic_light_id"), F.lit(unknown_light)).alias("traffic_light_id"),
-        F.coalesce(F.col("day_type"), day_type_of("recorded_at")).alias("day_type"),
-        F.coalesce(F.col("time_window"), time_window_of("recorded_at")).alias("time_window"),
-        dimensions.time_id_of("recorded_at").alias("time_id"),
-        *[F.col(c) for c in ("src_file", "src_row") if c in cols],
+    rec = "recorded_at" if "recorded_at" in cols else parse_ts_sql("timestamp", assume_tz)
+    veh = "coalesce(vehicle_id, gps_id)" if "vehicle_id" in cols else "gps_id"
+    light = unknown_light.replace("'", "''")
+    out = df.withColumn("recorded_at", F.expr(rec))
+    return out.selectExpr(
+        "CAST(gps_id AS STRING) AS gps_id",
+        f"{veh} AS vehicle_id",
+        "recorded_at",
+        "latitude", "longitude",
+        f"{dimensions.point_sql('longitude', 'latitude')} AS geom",
+        "speed_kmh",
+        f"{'heading' if 'heading' in cols else 'CAST(NULL AS DOUBLE)'} AS heading",
+        f"nullif(traffic_light_id, '{light}') AS traffic_light_id",
+        f"coalesce(day_type, {day_type_sql('recorded_at')}) AS day_type",
+        f"coalesce(time_window, {time_window_sql('recorded_at')}) AS time_window",
+        f"{dimensions.time_id_sql('recorded_at')} AS time_id",
+        *[c for c in ("src_file", "src_row") if c in cols],
     )
 
 
@@ -53,12 +54,12 @@ def to_warehouse(clean_pings: DataFrame, assume_tz: str = "UTC") -> DataFrame:
     first row of an instant group is also first in its text group. That saves
     a whole shuffle of the ping table.
     """
-    e = enrich(clean_pings, assume_tz).filter(F.col("recorded_at").isNotNull())
+    e = enrich(clean_pings, assume_tz).filter("recorded_at IS NOT NULL")
     return keep_first(e, ["gps_id", "recorded_at"], ["src_file", "src_row"]).select(*WAREHOUSE_COLS)
 
 
 def bad_timestamps(clean_pings: DataFrame, assume_tz: str = "UTC") -> DataFrame:
-    return clean_pings.filter(parse_ts(F.col("timestamp"), assume_tz).isNull())
+    return clean_pings.filter(f"{parse_ts_sql('timestamp', assume_tz)} IS NULL")
 
 
 def flag_known_lights(pings: DataFrame, lights: DataFrame) -> DataFrame:
@@ -67,11 +68,9 @@ def flag_known_lights(pings: DataFrame, lights: DataFrame) -> DataFrame:
     One broadcast left join against the (bounded) light dimension, so the ping
     side is scanned once whether the caller keeps the known or the unknown part.
     """
-    dim = small_side(lights.select("traffic_light_id")
-                     .withColumn("__in_dim", F.lit(True)))
+    dim = small_side(lights.selectExpr("traffic_light_id", "true AS __in_dim"))
     return (pings.join(dim, "traffic_light_id", "left")
-                 .withColumn("light_known", F.col("traffic_light_id").isNull()
-                             | F.coalesce(F.col("__in_dim"), F.lit(False)))
+                 .selectExpr("*", "traffic_light_id IS NULL OR coalesce(__in_dim, false) AS light_known")
                  .drop("__in_dim"))
 
 
@@ -79,7 +78,7 @@ def quarantine_unknown_lights(pings: DataFrame, lights: DataFrame) -> tuple[Data
     """Split pings into (known or no light, unknown light)."""
     f = flag_known_lights(pings, lights)
     return (f.filter("light_known").drop("light_known"),
-            f.filter(~F.col("light_known")).drop("light_known"))
+            f.filter("NOT light_known").drop("light_known"))
 
 
 def attach_time(pings: DataFrame, time_dim: DataFrame) -> DataFrame:

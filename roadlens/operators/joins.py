@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.sources.dimensions import BROADCAST_ROW_BOUND
@@ -41,28 +41,24 @@ def small_side(df: DataFrame, known_rows: int | None = None,
     return F.broadcast(df) if n <= max_rows else df
 
 
-def _as_col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence, nulls_last: bool = True) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], nulls_last: bool = True) -> DataFrame:
     """One row per ``keys``: the first by ``order`` (ascending).
 
-    Expressed as ``min(struct(order…, payload…))`` per key, which Spark
+    Expressed as ``min(named_struct(order…, payload…))`` per key, which Spark
     aggregates partially on the map side: a key holding a large share of all
     rows (many copies of one ping) is reduced inside every input task before
     the shuffle, never gathered whole in one task as a ``row_number`` window
-    would. With ``nulls_last`` each order term is preceded by its null flag,
-    giving SQL ``NULLS LAST``. Use a negated term for descending order.
+    would. ``order`` terms are column names or SQL expression text; use a
+    negated term (``"-n"``) for descending order. With ``nulls_last`` each
+    term is preceded by its null flag, giving SQL ``NULLS LAST``.
     """
     payload = [c for c in df.columns if c not in keys]
-    terms = []
+    fields = []
     for i, o in enumerate(order):
-        oc = _as_col(o)
         if nulls_last:
-            terms.append(oc.isNull().alias(f"__n{i}"))
-        terms.append(oc.alias(f"__o{i}"))
-    packed = F.struct(*terms, *[F.col(c) for c in payload])
+            fields.append(f"'__n{i}', ({o}) IS NULL")
+        fields.append(f"'__o{i}', ({o})")
+    fields += [f"'{c}', `{c}`" for c in payload]
     return (df.groupBy(*keys)
-              .agg(F.min(packed).alias("__first"))
-              .select(*keys, *[F.col(f"__first.{c}").alias(c) for c in payload]))
+              .agg(F.expr(f"min(named_struct({', '.join(fields)})) AS __first"))
+              .selectExpr(*[f"`{k}`" for k in keys], *[f"__first.`{c}` AS `{c}`" for c in payload]))

@@ -16,17 +16,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadlens.operators.joins import small_side
-from roadlens.sources import seeds
 
 
-def interval_match(tod: Column, start: Column, end: Column, mode: str = "strict") -> Column:
+def interval_match_sql(tod: str, start: str, end: str, mode: str = "strict") -> str:
     if mode == "strict":
-        return tod.between(start, end)
+        return f"({tod} BETWEEN {start} AND {end})"
     if mode == "wrap":
-        return F.when(start <= end, (tod >= start) & (tod < end)).otherwise((tod >= start) | (tod < end))
+        return (f"(CASE WHEN {start} <= {end} THEN {tod} >= {start} AND {tod} < {end} "
+                f"ELSE {tod} >= {start} OR {tod} < {end} END)")
     raise ValueError(f"unknown schedule mode {mode!r}")
 
 
+def interval_match(tod: str, start: str, end: str, mode: str = "strict") -> Column:
+    return F.expr(interval_match_sql(tod, start, end, mode))
+
+
 def lookup_red(df: DataFrame, schedule: DataFrame, tod_col: str, day_col: str = "day_type",
                mode: str = "strict", light_col: str = "traffic_light_id") -> DataFrame:
     """Left join each row to the schedule rows active at ``tod_col`` seconds.
@@ -34,12 +38,9 @@ def lookup_red(df: DataFrame, schedule: DataFrame, tod_col: str, day_col: str =
     Adds ``scheduled_red_duration`` (NULL when none matches). A row matching
     two schedule rows comes out twice, as in the reference query.
     """
-    s = small_side(schedule.select(
-        F.col("traffic_light_id").alias("__s_light"),
-        F.col("applicable_days").alias("__s_days"),
-        F.col("start_sec").alias("__s_start"),
-        F.col("end_sec").alias("__s_end"),
-        F.col("red_duration").cast("int").alias("scheduled_red_duration")))
-    cond = ((F.col(light_col) == F.col("__s_light")) & (F.col(day_col) == F.col("__s_days"))
-            & interval_match(F.col(tod_col), F.col("__s_start"), F.col("__s_end"), mode))
+    s = small_side(schedule.selectExpr(
+        "traffic_light_id AS __s_light", "applicable_days AS __s_days", "start_sec AS __s_start",
+        "end_sec AS __s_end", "CAST(red_duration AS INT) AS scheduled_red_duration"))
+    cond = F.expr(f"`{light_col}` = __s_light AND `{day_col}` = __s_days AND "
+                  + interval_match_sql(f"`{tod_col}`", "__s_start", "__s_end", mode))
     return df.join(s, cond, "left").drop("__s_light", "__s_days", "__s_start", "__s_end")

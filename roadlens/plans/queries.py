@@ -335,7 +335,7 @@ def pings_per_vehicle(spark, sf_dir):
 def pings_per_light(spark, sf_dir):
     """Per light and hour: pings and distinct vehicles (NULL light kept as its own group)."""
     return (base.warehouse_pings(spark, sf_dir)
-            .groupBy("traffic_light_id", ts_text(F.date_trunc("hour", "recorded_at")).alias("hour_start"))
+            .groupBy("traffic_light_id", ts_text("date_trunc('hour', recorded_at)").alias("hour_start"))
             .agg(F.count(F.lit(1)).alias("n_pings"), F.count_distinct("gps_id").alias("n_vehicles")))
 
 

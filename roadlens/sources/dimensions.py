@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.functions.timeparts import day_type_of, dow0, season_of, time_window_of
+from roadlens.functions.timeparts import day_type_sql, dow0_sql, season_sql, time_window_sql
 from roadlens.sources import seeds
 
 # Largest dimension we ever broadcast (the hourly time dimension).
@@ -23,39 +23,45 @@ SCHEDULE_COLS = ["schedule_id", "traffic_light_id", "start_sec", "end_sec", "gre
                  "yellow_duration", "red_duration", "applicable_days", "control_mode"]
 
 
-def point(lon, lat) -> F.Column:
+def point_sql(lon: str, lat: str) -> str:
     """Point geometry (SRID 4326) kept as a plain struct."""
-    return F.struct(F.col(lon).alias("lon") if isinstance(lon, str) else lon.alias("lon"),
-                    F.col(lat).alias("lat") if isinstance(lat, str) else lat.alias("lat"),
-                    F.lit(4326).alias("srid"))
+    return f"named_struct('lon', {lon}, 'lat', {lat}, 'srid', 4326)"
 
 
-def _typed(df: DataFrame, types: dict) -> DataFrame:
-    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+def point(lon: str, lat: str) -> F.Column:
+    return F.expr(point_sql(lon, lat))
+
+
+def _typed_sql(values_sql: str, columns: list[str], types: dict, extra: str = "") -> str:
+    cols = ", ".join(f"CAST({c} AS {types[c]}) AS {c}" if c in types else c for c in columns)
+    return f"SELECT {cols}{extra} FROM {values_sql}"
 
 
 def intersections(spark: SparkSession) -> DataFrame:
     """5 seeded intersections (inline table: a local scan, no job)."""
-    df = _typed(spark.sql(sql_intersections()), {"intersection_id": "int", "latitude": "double",
-                                                  "longitude": "double"})
-    return df.withColumn("geom", point("longitude", "latitude"))
+    return spark.sql(_typed_sql(
+        seeds.sql_values(seeds.INTERSECTIONS, INTERSECTION_COLS), INTERSECTION_COLS,
+        {"intersection_id": "int", "latitude": "double", "longitude": "double"},
+        f", {point_sql('CAST(longitude AS DOUBLE)', 'CAST(latitude AS DOUBLE)')} AS geom"))
 
 
 def traffic_lights(spark: SparkSession) -> DataFrame:
     """5 seeded traffic lights."""
-    df = _typed(spark.sql(sql_traffic_lights()), {
-        "intersection_id": "int", "latitude": "double", "longitude": "double",
-        "direction_degree": "short", "default_green": "short", "default_yellow": "short",
-        "default_red": "short", "is_adaptive": "boolean"})
-    return (df.withColumn("geom", point("longitude", "latitude"))
-              .withColumn("active_status", F.lit(True)))
+    return spark.sql(_typed_sql(
+        seeds.sql_values(seeds.TRAFFIC_LIGHTS, LIGHT_COLS), LIGHT_COLS, {
+            "intersection_id": "int", "latitude": "double", "longitude": "double",
+            "direction_degree": "smallint", "default_green": "smallint", "default_yellow": "smallint",
+            "default_red": "smallint", "is_adaptive": "boolean"},
+        f", {point_sql('CAST(longitude AS DOUBLE)', 'CAST(latitude AS DOUBLE)')} AS geom, "
+        "true AS active_status"))
 
 
 def light_schedule(spark: SparkSession) -> DataFrame:
     """22 seeded schedule rows; TIME of day kept as seconds (start_sec, end_sec)."""
-    return _typed(spark.sql(sql_light_schedule()), {
-        "schedule_id": "int", "start_sec": "int", "end_sec": "int", "green_duration": "short",
-        "yellow_duration": "short", "red_duration": "short"})
+    return spark.sql(_typed_sql(
+        seeds.sql_values(seeds.schedule_rows(), SCHEDULE_COLS), SCHEDULE_COLS, {
+            "schedule_id": "int", "start_sec": "int", "end_sec": "int", "green_duration": "smallint",
+            "yellow_duration": "smallint", "red_duration": "smallint"}))
 
 
 def time_dimension(spark: SparkSession) -> DataFrame:
@@ -64,40 +70,43 @@ def time_dimension(spark: SparkSession) -> DataFrame:
     Generated with ``spark.range`` (a distributed generator), ids follow the
     hour order from 1 like a SERIAL filled in timestamp order.
     """
-    start = F.to_timestamp(F.lit(seeds.TIME_DIM_START))
-    ts = F.timestamp_add("HOUR", F.col("id"), start)
+    ts = "full_timestamp"
     return (spark.range(seeds.TIME_DIM_HOURS)
-            .select((F.col("id") + 1).cast("int").alias("time_id"), ts.alias("full_timestamp"))
-            .select(
-                "time_id", "full_timestamp",
-                F.to_date("full_timestamp").alias("date_val"),
-                F.year("full_timestamp").cast("short").alias("year"),
-                F.month("full_timestamp").cast("short").alias("month"),
-                F.dayofmonth("full_timestamp").cast("short").alias("day"),
-                F.hour("full_timestamp").cast("short").alias("hour"),
-                F.lit(0).cast("short").alias("minute"),
-                dow0("full_timestamp").cast("short").alias("day_of_week"),
-                F.weekofyear("full_timestamp").cast("short").alias("week_of_year"),
-                F.quarter("full_timestamp").cast("short").alias("quarter"),
-                F.dayofweek("full_timestamp").isin(1, 7).alias("is_weekend"),
-                F.lit(False).alias("is_holiday"),
-                day_type_of("full_timestamp").alias("day_type"),
-                time_window_of("full_timestamp").alias("time_window"),
-                season_of("full_timestamp").alias("season"),
+            .selectExpr("CAST(id + 1 AS INT) AS time_id",
+                        f"timestampadd(HOUR, id, TIMESTAMP '{seeds.TIME_DIM_START}') AS full_timestamp")
+            .selectExpr(
+                "time_id", ts,
+                f"to_date({ts}) AS date_val",
+                f"CAST(year({ts}) AS SMALLINT) AS year",
+                f"CAST(month({ts}) AS SMALLINT) AS month",
+                f"CAST(dayofmonth({ts}) AS SMALLINT) AS day",
+                f"CAST(hour({ts}) AS SMALLINT) AS hour",
+                "CAST(0 AS SMALLINT) AS minute",
+                f"CAST({dow0_sql(ts)} AS SMALLINT) AS day_of_week",
+                f"CAST(weekofyear({ts}) AS SMALLINT) AS week_of_year",
+                f"CAST(quarter({ts}) AS SMALLINT) AS quarter",
+                f"dayofweek({ts}) IN (1, 7) AS is_weekend",
+                "false AS is_holiday",
+                f"{day_type_sql(ts)} AS day_type",
+                f"{time_window_sql(ts)} AS time_window",
+                f"{season_sql(ts)} AS season",
             ))
 
 
-def time_id_of(ts) -> F.Column:
+def time_id_sql(ts: str) -> str:
     """time_id of the hour holding ``ts``; NULL outside the dimension.
 
     Equals the lookup join on (date, hour) against :func:`time_dimension`
     because the dimension is dense and hourly from its start; computing it
     avoids a join per ping.
     """
-    c = F.col(ts) if isinstance(ts, str) else ts
-    start = F.to_timestamp(F.lit(seeds.TIME_DIM_START))
-    hours = F.floor((F.unix_timestamp(c) - F.unix_timestamp(start)) / 3600).cast("long") + 1
-    return F.when((hours >= 1) & (hours <= seeds.TIME_DIM_HOURS), hours.cast("int"))
+    hours = (f"(CAST(floor((unix_timestamp({ts}) - unix_timestamp(TIMESTAMP '{seeds.TIME_DIM_START}'))"
+             f" / 3600) AS BIGINT) + 1)")
+    return f"(CASE WHEN {hours} BETWEEN 1 AND {seeds.TIME_DIM_HOURS} THEN CAST({hours} AS INT) END)"
+
+
+def time_id_of(ts: str) -> F.Column:
+    return F.expr(time_id_sql(ts))
 
 
 # --------------------------------------------------------------------------- SQL twins

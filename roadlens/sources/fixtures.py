@@ -30,59 +30,48 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _light_attr(k, idx: int) -> F.Column:
-    """Attribute ``idx`` of light number k (0-based): one lookup in a literal array."""
-    return F.element_at(F.array(*[F.lit(row[idx]) for row in seeds.TRAFFIC_LIGHTS]),
-                        (k + 1).cast("int"))
+def _light_attr_sql(idx: int) -> str:
+    """Attribute ``idx`` of light number ``event_id % 5``: one lookup in a literal array."""
+    arr = ", ".join(f"{float(row[idx])!r}D" for row in seeds.TRAFFIC_LIGHTS)
+    return f"element_at(array({arr}), CAST(event_id % 5 + 1 AS INT))"
 
 
 def gps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = events(spark, sf_dir).select("event_id", "ts", "user_id", "value")
-    eid = F.col("event_id")
-    k = eid % 5
-    h = F.hour("ts")
-    peak = h.isin(*seeds.PEAK_HOURS)
-    day = F.when(F.dayofmonth("ts") % 2 == 1, F.lit(FRIDAY)).otherwise(F.lit(SATURDAY))
-    jitter_lat = ((eid * LAT_MULT) % JITTER_MOD - JITTER_HALF) / F.lit(1e6)
-    jitter_lon = ((eid * LON_MULT) % JITTER_MOD - JITTER_HALF) / F.lit(1e6)
-    lat = (F.when(eid % 97 == 0, F.lit(None).cast("double"))
-           .when(eid % 101 == 1, F.lit(91.0))
-           .when(eid % 103 == 2, F.lit(0.0))
-           .otherwise(_light_attr(k, 3) + jitter_lat))
-    lon = F.when(eid % 103 == 2, F.lit(0.0)).otherwise(_light_attr(k, 4) + jitter_lon)
-    speed = (F.when(eid % 107 == 3, F.lit(-1.0))
-             .when(peak, F.col("value") * F.lit(0.125))
-             .otherwise(F.col("value") * F.lit(0.5)))
-    light = (F.when(eid % 23 == 0, F.lit("unknown"))
-             .when(eid % 211 == 5, F.lit("TL999"))
-             .otherwise(F.concat(F.lit("TL00"), (k + 1).cast("string"))))
-    day_type = (F.when(eid % 3 == 0, F.lit(None).cast("string"))
-                .when(F.dayofmonth("ts") % 2 == 1, F.lit("weekday"))
-                .otherwise(F.lit("weekend")))
-    time_window = (F.when(eid % 4 == 0, F.lit(None).cast("string"))
-                   .when(peak, F.lit("peak_hour")).otherwise(F.lit("off_peak")))
-    def two(c):
-        return F.lpad(c.cast("string"), 2, "0")
-    stamp = F.concat(day, F.lit(" "), two(F.hour("ts")), F.lit(":"), two(F.minute("ts")), F.lit(":"),
-                     two(F.second("ts")))
-    base = ev.select(
-        F.concat(F.lit("GPS_"), (F.lit(GPS_ID_BASE) + F.col("user_id") % N_VEHICLES).cast("string"))
-        .alias("gps_id"),
-        stamp.alias("timestamp"),
-        lat.alias("latitude"),
-        lon.alias("longitude"),
-        speed.alias("speed_kmh"),
-        light.alias("traffic_light_id"),
-        day_type.alias("day_type"),
-        time_window.alias("time_window"),
-        stamp.alias("received_at"),
-        F.lit(0).alias("src_file"),
-        eid.alias("src_row"),
-    )
-    copies = (base.filter(F.col("src_row") % 50 == 0)
-              .withColumn("speed_kmh", F.col("speed_kmh") + F.lit(1.0))
-              .withColumn("src_file", F.lit(1)))
-    return base.unionByName(copies)
+    """Raw lake pings, one scan of ``events``.
+
+    The later copies of every ``event_id % 50 = 0`` row come from a generator
+    on the same scan (``explode`` of ``[0, 1]`` instead of ``[0]``), so the
+    table is read once however many copies there are. All rules are SQL
+    expression text: one JVM call for the whole projection.
+    """
+    peak = ", ".join(str(h) for h in seeds.PEAK_HOURS)
+    is_peak = f"hour(ts) IN ({peak})"
+    odd_day = "dayofmonth(ts) % 2 = 1"
+    stamp = f"concat(CASE WHEN {odd_day} THEN '{FRIDAY}' ELSE '{SATURDAY}' END, ' ', date_format(ts, 'HH:mm:ss'))"
+    jitter_lat = f"((event_id * {LAT_MULT}) % {JITTER_MOD} - {JITTER_HALF}) / 1000000.0D"
+    jitter_lon = f"((event_id * {LON_MULT}) % {JITTER_MOD} - {JITTER_HALF}) / 1000000.0D"
+    speed = (f"CASE WHEN event_id % 107 = 3 THEN -1.0D WHEN {is_peak} THEN value * 0.125D "
+             "ELSE value * 0.5D END")
+    return (events(spark, sf_dir)
+            .selectExpr("event_id", "ts", "user_id", "value",
+                        "explode(CASE WHEN event_id % 50 = 0 THEN array(0, 1) ELSE array(0) END) AS src_file")
+            .selectExpr(
+                f"concat('GPS_', CAST({GPS_ID_BASE} + user_id % {N_VEHICLES} AS STRING)) AS gps_id",
+                f"{stamp} AS timestamp",
+                "CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS DOUBLE) WHEN event_id % 101 = 1 THEN 91.0D "
+                f"WHEN event_id % 103 = 2 THEN 0.0D ELSE {_light_attr_sql(3)} + {jitter_lat} END AS latitude",
+                f"CASE WHEN event_id % 103 = 2 THEN 0.0D ELSE {_light_attr_sql(4)} + {jitter_lon} END AS longitude",
+                f"CASE WHEN src_file = 1 THEN ({speed}) + 1.0D ELSE {speed} END AS speed_kmh",
+                "CASE WHEN event_id % 23 = 0 THEN 'unknown' WHEN event_id % 211 = 5 THEN 'TL999' "
+                "ELSE concat('TL00', CAST(event_id % 5 + 1 AS STRING)) END AS traffic_light_id",
+                f"CASE WHEN event_id % 3 = 0 THEN CAST(NULL AS STRING) WHEN {odd_day} THEN 'weekday' "
+                "ELSE 'weekend' END AS day_type",
+                f"CASE WHEN event_id % 4 = 0 THEN CAST(NULL AS STRING) WHEN {is_peak} THEN 'peak_hour' "
+                "ELSE 'off_peak' END AS time_window",
+                f"{stamp} AS received_at",
+                "src_file",
+                "event_id AS src_row",
+            ))
 
 
 def _sql_light_case(idx: int) -> str:

@@ -60,5 +60,5 @@ def test_timestamp_forms(spark):
     from roadlens.functions.timeparts import parse_ts
     df = spark.createDataFrame([("2025-11-23 08:34:39",), ("2025-11-23T08:34:39",),
                                 ("2025-11-23T15:34:39+07:00",)], "t string")
-    got = {r[0] for r in df.select(F.date_format(parse_ts(F.col("t")), "yyyy-MM-dd HH:mm:ss")).collect()}
+    got = {r[0] for r in df.select(F.date_format(parse_ts("t"), "yyyy-MM-dd HH:mm:ss")).collect()}
     assert got == {"2025-11-23 08:34:39"}
