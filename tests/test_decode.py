@@ -62,3 +62,14 @@ def test_timestamp_forms(spark):
                                 ("2025-11-23T15:34:39+07:00",)], "t string")
     got = {r[0] for r in df.select(F.date_format(parse_ts("t"), "yyyy-MM-dd HH:mm:ss")).collect()}
     assert got == {"2025-11-23 08:34:39"}
+
+
+def test_timestamp_assume_zone(spark):
+    """Zone-less text is read in ``assume_tz``; text with an offset keeps its own zone."""
+    from roadlens.functions.timeparts import parse_ts
+    df = spark.createDataFrame([("2025-11-23 15:34:39",), ("2025-11-23T15:34:39+07:00",),
+                                ("2025-11-23T08:34:39Z",), ("2025-11-23T15:34:39+0700",), ("junk",)],
+                               "t string")
+    got = [r[0] for r in df.select(F.date_format(parse_ts("t", "Asia/Ho_Chi_Minh"),
+                                                 "yyyy-MM-dd HH:mm:ss")).collect()]
+    assert got == ["2025-11-23 08:34:39"] * 4 + [None]
