@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.functions.congestion import round_dec
-from roadlens.functions.timeparts import ts_text
+from roadlens.functions.timeparts import ts_text, ts_text_sql
 
 
 def downsample(pings: DataFrame, seconds: int = 5, vehicle_col: str = "gps_id") -> DataFrame:
@@ -50,48 +50,45 @@ def sessions(pings: DataFrame, gap_seconds: int = 600, vehicle_col: str = "gps_i
        bounded by one bucket of one vehicle, and a hot vehicle spreads over
        many buckets/tasks (Spark's batch session merge runs after the shuffle
        on the vehicle key, without it one device would be one task).
-    2. Only sessions that can reach across a bucket edge
+    2. Sessions that can reach across a bucket edge
        (``first - gap < bucket start`` or ``last + gap >= bucket end``) are
-       merged, by gaps-and-islands over those edge sessions per vehicle: at most
-       two per bucket, a count bounded by the time span, not by data volume.
-       Interior sessions are final after level 1.
-
-    A ping at most ``gap`` after the previous one continues the run, as
-    ``session_window`` does.
+       stitched by gaps-and-islands per vehicle: at most two per bucket, a
+       count bounded by the time span, not by data volume. Interior sessions
+       are final after level 1; they pass the same window partitioned by
+       (vehicle, bucket), where each is its own island (sessions of one
+       bucket are more than ``gap`` apart).
+
+    Both kinds flow through one window and one aggregate (no union of two
+    branches, so level 1 is computed once), and the aggregate reuses the
+    window's partitioning. A ping at most ``gap`` after the previous one
+    continues the run, as ``session_window`` does.
     """
-    g = int(gap_seconds)
-    ts = F.col("recorded_at")
-    bucket = F.floor(F.unix_timestamp(ts) / F.lit(bucket_seconds)).cast("long")
-    pos = F.struct("latitude", "longitude")
-    lvl1 = (pings.groupBy(vehicle_col, bucket.alias("__b"),
-                          F.session_window(ts, f"{g} seconds").alias("__s"))
-                 .agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("f"), F.max(ts).alias("l"),
-                      F.min_by(pos, ts).alias("sp"), F.max_by(pos, ts).alias("cp")))
-    f_s, l_s = F.unix_timestamp("f"), F.unix_timestamp("l")
-    b_start = F.col("__b") * F.lit(bucket_seconds)
-    edge = (f_s - g < b_start) | (l_s + g >= b_start + F.lit(bucket_seconds))
-    cols = [vehicle_col, "n", "f", "l", "sp", "cp"]
-    interior = lvl1.filter(~edge).select(*cols)
-    w = Window.partitionBy(vehicle_col).orderBy("f")
-    edges = (lvl1.filter(edge).select(*cols)
-             .withColumn("__prev", F.lag("l").over(w))
-             .withColumn("__new", F.when(F.col("__prev").isNull()
-                                         | (f_s - F.unix_timestamp("__prev") > g), 1).otherwise(0))
-             .withColumn("__isl", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    merged = (edges.groupBy(vehicle_col, "__isl")
-              .agg(F.sum("n").alias("n"), F.min("f").alias("f"), F.max("l").alias("l"),
-                   F.min_by("sp", F.col("f")).alias("sp"), F.max_by("cp", F.col("l")).alias("cp"))
-              .select(*cols))
-    runs = interior.unionByName(merged)
-    return runs.select(vehicle_col,
-                       ts_text("f").alias("session_start"),
-                       ts_text("l").alias("last_ping"),
-                       F.col("n").cast("int").alias("n_points"),
-                       (F.unix_timestamp("l") - F.unix_timestamp("f")).cast("int").alias("duration_s"),
-                       F.col("sp.latitude").alias("start_latitude"),
-                       F.col("sp.longitude").alias("start_longitude"),
-                       F.col("cp.latitude").alias("current_latitude"),
-                       F.col("cp.longitude").alias("current_longitude"))
+    g, bs = int(gap_seconds), int(bucket_seconds)
+    v = f"`{vehicle_col}`"
+    lvl1 = (pings.groupBy(F.col(vehicle_col), F.expr(f"floor(unix_timestamp(recorded_at) / {bs}) AS __b"),
+                          F.session_window("recorded_at", f"{g} seconds").alias("__s"))
+                 .agg(F.expr("count(1) AS n"), F.expr("min(recorded_at) AS f"), F.expr("max(recorded_at) AS l"),
+                      F.expr("min_by(named_struct('latitude', latitude, 'longitude', longitude), recorded_at) AS sp"),
+                      F.expr("max_by(named_struct('latitude', latitude, 'longitude', longitude), recorded_at) AS cp")))
+    edge = (f"unix_timestamp(f) - {g} < __b * {bs} OR unix_timestamp(l) + {g} >= (__b + 1) * {bs}")
+    x = lvl1.selectExpr(v, "n", "f", "l", "sp", "cp", f"{edge} AS __edge",
+                        f"CASE WHEN {edge} THEN NULL ELSE __b END AS __part")
+    w = Window.partitionBy(vehicle_col, "__edge", "__part").orderBy("f")
+    islands = (x.withColumn("__prev", F.lag("l").over(w))
+                .withColumn("__new", F.expr(f"CASE WHEN __prev IS NULL OR "
+                                            f"unix_timestamp(f) - unix_timestamp(__prev) > {g} THEN 1 ELSE 0 END"))
+                .withColumn("__isl", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    runs = (islands.groupBy(vehicle_col, "__edge", "__part", "__isl")
+            .agg(F.expr("sum(n) AS n"), F.expr("min(f) AS f"), F.expr("max(l) AS l"),
+                 F.expr("min_by(sp, f) AS sp"), F.expr("max_by(cp, l) AS cp")))
+    return runs.selectExpr(
+        v,
+        f"{ts_text_sql('f')} AS session_start",
+        f"{ts_text_sql('l')} AS last_ping",
+        "CAST(n AS INT) AS n_points",
+        "CAST(unix_timestamp(l) - unix_timestamp(f) AS INT) AS duration_s",
+        "sp.latitude AS start_latitude", "sp.longitude AS start_longitude",
+        "cp.latitude AS current_latitude", "cp.longitude AS current_longitude")
 
 
 # FIXED VALUES: popup labels of the marker feed.
