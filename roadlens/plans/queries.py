@@ -199,7 +199,7 @@ RECEIVED_AT = "2026-01-09T08:30:00+00:00"
 
 
 def _decoded(spark, sf_dir):
-    return decode.decode_requests(fixtures.gps_requests(spark, sf_dir), received_at=F.lit(RECEIVED_AT))
+    return decode.decode_requests(fixtures.gps_requests(spark, sf_dir), received_at=f"'{RECEIVED_AT}'")
 
 
 _DECODE_SQL = f"""
@@ -263,7 +263,7 @@ def gateway_rejects(spark, sf_dir):
 def speed_normalize(spark, sf_dir):
     """m/s → km/h clamped to [0, 200], rounded 2 HALF_UP, over every event value."""
     ev = fixtures.events(spark, sf_dir)
-    return ev.select("event_id", decode.speed_to_kmh(F.col("value")).alias("speed_kmh"))
+    return ev.select("event_id", decode.speed_to_kmh("value").alias("speed_kmh"))
 
 
 # ------------------------------------------------------------------ read queries over verdicts
@@ -629,7 +629,7 @@ def _ingest_run(spark, sf_dir):
     d = scratch_path(spark, "ingest")
     fixtures.gps_requests(spark, sf_dir).select("value").write.text(d + "/requests")
     q1, q2 = pipelines.ingest(pipelines.read_text_stream(spark, d + "/requests"), d + "/lake",
-                              d + "/dead", d + "/ckpt", received_at=F.lit(RECEIVED_AT))
+                              d + "/dead", d + "/ckpt", received_at=f"'{RECEIVED_AT}'")
     q1.awaitTermination()
     q2.awaitTermination()
     return d

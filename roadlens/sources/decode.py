@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.functions.congestion import round_dec
+from roadlens.functions.congestion import round_dec_sql
 
 MESSAGE_COLS = ["gps_id", "vehicle_id", "timestamp", "latitude", "longitude", "speed_kmh",
                 "traffic_light_id", "day_type", "time_window", "received_at"]
@@ -35,65 +35,72 @@ DEFAULT_TIME_WINDOW = "off_peak"
 MAX_SPEED_KMH = 200.0
 
 
-def _num(text: Column) -> Column:
-    return F.regexp_replace(text, r'^"(.*)"$', "$1").try_cast("double")
+def _num_sql(text: str) -> str:
+    """Numeric text → DOUBLE (NULL if not a number); a quoted token is unquoted first."""
+    return (f"try_cast(CASE WHEN {text} LIKE '\"%\"' THEN substring({text}, 2, length({text}) - 2) "
+            f"ELSE {text} END AS DOUBLE)")
 
 
-def speed_to_kmh(v: Column, unit: str = "m/s") -> Column:
+def speed_to_kmh_sql(v: str, unit: str = "m/s") -> str:
     """Clamp to [0, 200] km/h, NaN → 0, round 2 (HALF_UP through DECIMAL).
 
     NULL stays NULL (GREATEST/LEAST skip NULLs, so it is tested first).
     """
-    kmh = v * F.lit(3.6) if unit == "m/s" else v
-    clamped = F.greatest(F.lit(0.0), F.least(kmh, F.lit(MAX_SPEED_KMH)))
-    return (F.when(v.isNull(), F.lit(None).cast("double"))
-            .when(F.isnan(v), F.lit(0.0)).otherwise(round_dec(clamped, 2)))
+    kmh = f"({v} * 3.6D)" if unit == "m/s" else v
+    clamped = f"greatest(0.0D, least({kmh}, {MAX_SPEED_KMH!r}D))"
+    return (f"CASE WHEN {v} IS NULL THEN CAST(NULL AS DOUBLE) WHEN isnan({v}) THEN 0.0D "
+            f"ELSE {round_dec_sql(clamped, 2)} END")
 
 
-def decode_requests(df: DataFrame, received_at: Column | None = None,
+def speed_to_kmh(v: str, unit: str = "m/s") -> Column:
+    return F.expr(speed_to_kmh_sql(v, unit))
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def decode_requests(df: DataFrame, received_at: str | None = None,
                     speed_unit: str = "m/s", value_col: str = "value") -> DataFrame:
-    v = F.col(value_col)
-    # one lenient parse (bare NaN allowed, like the gateway's JSON reader):
-    # NULL for anything that is not a JSON object, values kept as text
-    j = F.from_json(v, "map<string,string>")
-    lat_t, lon_t = j["latitude"], j["longitude"]
-    lat, lon = _num(lat_t), _num(lon_t)
-    spd_t = j["speed"] if speed_unit == "m/s" else j["speed_kmh"]
-    spd = _num(spd_t)
-    missing = None
-    for k in ("gps_id", "timestamp", "latitude", "longitude"):
-        m = j[k].isNull()
-        missing = m if missing is None else (missing | m)
-    reason = (F.when(j.isNull(), F.lit("malformed"))
-              .when(F.size(j) == 0, F.lit("empty"))
-              .when(missing, F.lit("missing_field"))
-              .when(lat.isNull() | lon.isNull(), F.lit("not_a_number"))
-              .when(~(lat.between(-90, 90) & lon.between(-180, 180)), F.lit("coordinates"))
-              .when(spd_t.isNotNull() & spd.isNull(), F.lit("not_a_number")))
-    rec = received_at if received_at is not None else F.date_format(
-        F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-    return df.select(
-        "*",
-        j["gps_id"].alias("gps_id"),
-        j["device_id"].alias("vehicle_id"),
-        j["timestamp"].alias("timestamp"),
-        lat.alias("latitude"),
-        lon.alias("longitude"),
-        F.coalesce(speed_to_kmh(spd, speed_unit), F.lit(0.0)).alias("speed_kmh"),
-        F.coalesce(j["traffic_light_id"], F.lit(DEFAULT_LIGHT)).alias("traffic_light_id"),
-        F.coalesce(j["day_type"], F.lit(DEFAULT_DAY_TYPE)).alias("day_type"),
-        F.coalesce(j["time_window"], F.lit(DEFAULT_TIME_WINDOW)).alias("time_window"),
-        F.coalesce(j["received_at"], rec).alias("received_at"),
-        reason.alias("reject_reason"),
+    """Typed message columns plus ``reject_reason`` (NULL when accepted).
+
+    ``received_at`` is SQL expression text (default: now, UTC ISO text).
+    One lenient parse per row (bare NaN allowed, like the gateway's JSON
+    reader): NULL for anything that is not a JSON object, values kept as text.
+    """
+    parsed = df.selectExpr("*", f"from_json(`{value_col}`, 'map<string,string>') AS __j")
+    lat, lon = _num_sql("__j['latitude']"), _num_sql("__j['longitude']")
+    spd_t = "__j['speed']" if speed_unit == "m/s" else "__j['speed_kmh']"
+    spd = _num_sql(spd_t)
+    missing = " OR ".join(f"__j['{k}'] IS NULL" for k in ("gps_id", "timestamp", "latitude", "longitude"))
+    reason = (f"CASE WHEN __j IS NULL THEN 'malformed' WHEN size(__j) = 0 THEN 'empty' "
+              f"WHEN {missing} THEN 'missing_field' "
+              f"WHEN {lat} IS NULL OR {lon} IS NULL THEN 'not_a_number' "
+              f"WHEN NOT ({lat} BETWEEN -90 AND 90 AND {lon} BETWEEN -180 AND 180) THEN 'coordinates' "
+              f"WHEN {spd_t} IS NOT NULL AND {spd} IS NULL THEN 'not_a_number' END")
+    rec = received_at or "date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX\")"
+    return parsed.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        "__j['gps_id'] AS gps_id",
+        "__j['device_id'] AS vehicle_id",
+        "__j['timestamp'] AS timestamp",
+        f"{lat} AS latitude",
+        f"{lon} AS longitude",
+        f"coalesce({speed_to_kmh_sql(spd, speed_unit)}, 0.0D) AS speed_kmh",
+        f"coalesce(__j['traffic_light_id'], {_lit(DEFAULT_LIGHT)}) AS traffic_light_id",
+        f"coalesce(__j['day_type'], {_lit(DEFAULT_DAY_TYPE)}) AS day_type",
+        f"coalesce(__j['time_window'], {_lit(DEFAULT_TIME_WINDOW)}) AS time_window",
+        f"coalesce(__j['received_at'], {rec}) AS received_at",
+        f"{reason} AS reject_reason",
     )
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
-    return decoded.filter(F.col("reject_reason").isNull()).select(*MESSAGE_COLS)
+    return decoded.filter("reject_reason IS NULL").select(*MESSAGE_COLS)
 
 
 def rejected(decoded: DataFrame, value_col: str = "value") -> DataFrame:
-    return decoded.filter(F.col("reject_reason").isNotNull()).select(value_col, "reject_reason")
+    return decoded.filter("reject_reason IS NOT NULL").select(value_col, "reject_reason")
 
 
 def encode_message(df: DataFrame, key_col: str = "gps_id") -> DataFrame:

@@ -15,7 +15,6 @@ columns ``src_file`` and ``src_row`` that define "first" for dedupe.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from roadlens.sources import seeds
 
@@ -130,45 +129,45 @@ def sql_gps_raw() -> str:
 REQUEST_CASES = 37
 
 
-def _fmt(c: F.Column, places: int) -> F.Column:
-    r = F.round(c.cast("decimal(28,12)"), places).cast(f"decimal(20,{places})").cast("string")
-    return F.coalesce(r, F.lit("null"))
+def _fmt_sql(c: str, places: int) -> str:
+    return (f"coalesce(CAST(CAST(round(CAST({c} AS decimal(28,12)), {places}) AS decimal(20,{places})) "
+            f"AS STRING), 'null')")
+
+
+def _q(c: str) -> str:
+    """SQL text of ``c`` wrapped in JSON double quotes."""
+    return f"concat('\"', {c}, '\"')"
+
+
+def _kv(key: str, v: str) -> str:
+    return f"concat('\"{key}\": ', {v})"
 
 
 def gps_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(event_id, value)`` with ``value`` the JSON body of one request."""
-    p = gps_raw(spark, sf_dir).filter(F.col("src_file") == 0)
-    case = F.col("src_row") % REQUEST_CASES
-
-    def kv(k, v):
-        return F.concat(F.lit(f'"{k}": '), v)
-
-    def q(c):
-        return F.concat(F.lit('"'), c, F.lit('"'))
-
-    lat_v = (F.when(case == 5, q(_fmt(F.col("latitude"), 6)))
-             .when(case == 6, F.lit('"abc"')).when(case == 7, F.lit("90.5"))
-             .otherwise(_fmt(F.col("latitude"), 6)))
-    speed_v = (F.when(case == 8, F.lit('"abc"')).when(case == 9, F.lit(None).cast("string"))
-               .when(case == 10, F.lit("null")).when(case == 12, F.lit("60"))
-               .when(case == 13, F.lit("-3"))
-               .otherwise(_fmt(F.col("speed_kmh") / F.lit(3.6), 4)))
+    case = f"(src_row % {REQUEST_CASES})"
+    lat_v = (f"CASE WHEN {case} = 5 THEN {_q(_fmt_sql('latitude', 6))} WHEN {case} = 6 THEN '\"abc\"' "
+             f"WHEN {case} = 7 THEN '90.5' ELSE {_fmt_sql('latitude', 6)} END")
+    speed_v = (f"CASE WHEN {case} = 8 THEN '\"abc\"' WHEN {case} = 9 THEN CAST(NULL AS STRING) "
+               f"WHEN {case} = 10 THEN 'null' WHEN {case} = 12 THEN '60' WHEN {case} = 13 THEN '-3' "
+               f"ELSE {_fmt_sql('speed_kmh / 3.6D', 4)} END")
     parts = [
-        kv("gps_id", F.when(case == 4, F.lit("null")).otherwise(q(F.col("gps_id")))),
-        kv("device_id", q(F.concat(F.lit("DEV"), F.substring("gps_id", -4, 4)))),
-        kv("timestamp", q(F.col("timestamp"))),
-        kv("latitude", lat_v),
-        F.when(case != 3, kv("longitude", _fmt(F.col("longitude"), 6))),
-        F.when(speed_v.isNotNull(), kv("speed", speed_v)),
-        kv("traffic_light_id", q(F.col("traffic_light_id"))),
-        F.when(F.col("day_type").isNotNull(), kv("day_type", q(F.col("day_type")))),
-        F.when(F.col("time_window").isNotNull(), kv("time_window", q(F.col("time_window")))),
-        F.when(case == 11, F.lit('"accuracy_m": 5.0')),
+        _kv("gps_id", f"CASE WHEN {case} = 4 THEN 'null' ELSE {_q('gps_id')} END"),
+        _kv("device_id", _q("concat('DEV', substring(gps_id, -4, 4))")),
+        _kv("timestamp", _q("timestamp")),
+        _kv("latitude", lat_v),
+        f"CASE WHEN {case} != 3 THEN {_kv('longitude', _fmt_sql('longitude', 6))} END",
+        f"CASE WHEN ({speed_v}) IS NOT NULL THEN {_kv('speed', speed_v)} END",
+        _kv("traffic_light_id", _q("traffic_light_id")),
+        f"CASE WHEN day_type IS NOT NULL THEN {_kv('day_type', _q('day_type'))} END",
+        f"CASE WHEN time_window IS NOT NULL THEN {_kv('time_window', _q('time_window'))} END",
+        f"CASE WHEN {case} = 11 THEN '\"accuracy_m\": 5.0' END",
     ]
-    body = F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
-    value = (F.when(case == 0, F.lit("{bad")).when(case == 1, F.lit("[1]"))
-             .when(case == 2, F.lit("{}")).otherwise(body))
-    return p.select(F.col("src_row").alias("event_id"), value.alias("value"))
+    body = f"concat('{{', concat_ws(', ', {', '.join(parts)}), '}}')"
+    value = (f"CASE WHEN {case} = 0 THEN '{{bad' WHEN {case} = 1 THEN '[1]' WHEN {case} = 2 THEN '{{}}' "
+             f"ELSE {body} END")
+    return (gps_raw(spark, sf_dir).filter("src_file = 0")
+            .selectExpr("src_row AS event_id", f"{value} AS value"))
 
 
 def sql_gps_requests() -> str:
