@@ -67,30 +67,32 @@ def decode_requests(df: DataFrame, received_at: str | None = None,
     ``received_at`` is SQL expression text (default: now, UTC ISO text).
     One lenient parse per row (bare NaN allowed, like the gateway's JSON
     reader): NULL for anything that is not a JSON object, values kept as text.
+    The parse is written inline in one projection so that subexpression
+    elimination evaluates it once per row.
     """
-    parsed = df.selectExpr("*", f"from_json(`{value_col}`, 'map<string,string>') AS __j")
-    lat, lon = _num_sql("__j['latitude']"), _num_sql("__j['longitude']")
-    spd_t = "__j['speed']" if speed_unit == "m/s" else "__j['speed_kmh']"
+    j = f"from_json(`{value_col}`, 'map<string,string>')"
+    lat, lon = _num_sql(f"{j}['latitude']"), _num_sql(f"{j}['longitude']")
+    spd_t = f"{j}['speed']" if speed_unit == "m/s" else f"{j}['speed_kmh']"
     spd = _num_sql(spd_t)
-    missing = " OR ".join(f"__j['{k}'] IS NULL" for k in ("gps_id", "timestamp", "latitude", "longitude"))
-    reason = (f"CASE WHEN __j IS NULL THEN 'malformed' WHEN size(__j) = 0 THEN 'empty' "
+    missing = " OR ".join(f"{j}['{k}'] IS NULL" for k in ("gps_id", "timestamp", "latitude", "longitude"))
+    reason = (f"CASE WHEN {j} IS NULL THEN 'malformed' WHEN size({j}) = 0 THEN 'empty' "
               f"WHEN {missing} THEN 'missing_field' "
               f"WHEN {lat} IS NULL OR {lon} IS NULL THEN 'not_a_number' "
               f"WHEN NOT ({lat} BETWEEN -90 AND 90 AND {lon} BETWEEN -180 AND 180) THEN 'coordinates' "
               f"WHEN {spd_t} IS NOT NULL AND {spd} IS NULL THEN 'not_a_number' END")
     rec = received_at or "date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX\")"
-    return parsed.selectExpr(
-        *[f"`{c}`" for c in df.columns],
-        "__j['gps_id'] AS gps_id",
-        "__j['device_id'] AS vehicle_id",
-        "__j['timestamp'] AS timestamp",
+    return df.selectExpr(
+        "*",
+        f"{j}['gps_id'] AS gps_id",
+        f"{j}['device_id'] AS vehicle_id",
+        f"{j}['timestamp'] AS timestamp",
         f"{lat} AS latitude",
         f"{lon} AS longitude",
         f"coalesce({speed_to_kmh_sql(spd, speed_unit)}, 0.0D) AS speed_kmh",
-        f"coalesce(__j['traffic_light_id'], {_lit(DEFAULT_LIGHT)}) AS traffic_light_id",
-        f"coalesce(__j['day_type'], {_lit(DEFAULT_DAY_TYPE)}) AS day_type",
-        f"coalesce(__j['time_window'], {_lit(DEFAULT_TIME_WINDOW)}) AS time_window",
-        f"coalesce(__j['received_at'], {rec}) AS received_at",
+        f"coalesce({j}['traffic_light_id'], {_lit(DEFAULT_LIGHT)}) AS traffic_light_id",
+        f"coalesce({j}['day_type'], {_lit(DEFAULT_DAY_TYPE)}) AS day_type",
+        f"coalesce({j}['time_window'], {_lit(DEFAULT_TIME_WINDOW)}) AS time_window",
+        f"coalesce({j}['received_at'], {rec}) AS received_at",
         f"{reason} AS reject_reason",
     )
 
