@@ -79,3 +79,54 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         return tempfile.mkdtemp(prefix=f"{name}-", dir=local)
     import uuid
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+# Shuffle sizing for cluster runs: target bytes of shuffle data per partition,
+# the ratio of shuffled bytes to compressed Parquet input (rows decompress and
+# widen; map-side partial aggregation removes copies first), and bounds.
+TARGET_SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+SHUFFLE_EXPANSION = 2.0
+MIN_SHUFFLE_PARTITIONS, MAX_SHUFFLE_PARTITIONS = 200, 100_000
+SPARK_DEFAULT_SHUFFLE_PARTITIONS = "200"
+
+
+def shuffle_partitions_for(input_bytes: int) -> int:
+    """Initial shuffle partitions for ``input_bytes`` of compressed input."""
+    n = int(input_bytes * SHUFFLE_EXPANSION // TARGET_SHUFFLE_PARTITION_BYTES)
+    return max(MIN_SHUFFLE_PARTITIONS, min(MAX_SHUFFLE_PARTITIONS, n))
+
+
+def input_bytes(df) -> int | None:
+    """Size of a file-based DataFrame's input from the file listing (no job)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:
+        return None
+
+
+def size_for_input(spark: SparkSession, input_path: str) -> None:
+    """Cluster settings sized from the input, applied only where left at Spark's defaults.
+
+    * ``spark.sql.shuffle.partitions`` from the input size (so a 100 TB run
+      does not funnel every shuffle through 200 partitions); AQE then
+      coalesces small partitions and splits skewed ones at run time, with
+      ``advisoryPartitionSizeInBytes`` at the same target.
+    * Streaming state in RocksDB (off-heap, changelog checkpoints) instead of
+      the in-memory provider, for window state that grows with the key count.
+
+    On a ``local`` master the session is left alone (tests and the bench set
+    their own partition counts).
+    """
+    if spark.sparkContext.master.startswith("local"):
+        return
+    conf = spark.conf
+    if conf.get("spark.sql.shuffle.partitions") == SPARK_DEFAULT_SHUFFLE_PARTITIONS:
+        n = input_bytes(spark.read.parquet(input_path))
+        if n:
+            conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(n)))
+            conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TARGET_SHUFFLE_PARTITION_BYTES))
+    if not conf.get("spark.sql.streaming.stateStore.providerClass", None) or conf.get(
+            "spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider"):
+        conf.set("spark.sql.streaming.stateStore.providerClass",
+                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
