@@ -619,6 +619,22 @@ def lake_write_metrics(spark, sf_dir):
     return spark.createDataFrame([(k, int(m[k])) for k in lake.WRITE_METRICS], "metric string, value bigint")
 
 
+@register("verdict_from_store", oracle.with_ctes(
+    oracle.verdict_select(_snapshot_stats(False), "as_of_ts", "strict")))
+def verdict_from_store(spark, sf_dir):
+    """The warehouse job's snapshot read from the month-partitioned store.
+
+    The pings are stored under ``ym`` partitions; the trailing 5-minute frame
+    is read with the month predicate added, so only the months that can hold
+    recent rows are listed and read.
+    """
+    from roadlens.sources import warehouse
+    root = scratch_path(spark, "warehouse")
+    warehouse.write(base.warehouse_pings(spark, sf_dir), root)
+    recent = warehouse.read_since(spark, root, f"TIMESTAMP '{base.AS_OF}' - INTERVAL 5 MINUTES")
+    return congestion.snapshot(recent, dimensions.light_schedule(spark), base.AS_OF, bound_above=False)
+
+
 # ------------------------------------------------------------------ streaming (availableNow runs)
 
 from roadlens.streaming import pipelines  # noqa: E402

@@ -76,3 +76,17 @@ def test_bucketed_sessions_equal_native_session_window(spark):
     want = sorted((r.gps_id, r.f.strftime("%Y-%m-%d %H:%M:%S"), r.n) for r in native.collect())
     assert mine == want
     assert any(n == 610 for g, _, n in mine if g == "A")
+
+
+def test_warehouse_month_pruning_in_plan(spark):
+    import tempfile
+    from roadlens.sources import warehouse
+    root = tempfile.mkdtemp(prefix="roadlens-wh-")
+    pings = base.warehouse_pings(spark, SF_SMALL)
+    warehouse.write(pings, root, files_per_month=2)
+    since = f"TIMESTAMP '{base.AS_OF}' - INTERVAL 5 MINUTES"
+    df = warehouse.read_since(spark, root, since)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ym" in plan.split("PartitionFilters")[1][:300]
+    assert "recorded_at" in plan.split("PushedFilters")[1][:300]
+    assert df.count() == pings.filter(f"recorded_at > {since}").count()
