@@ -706,6 +706,22 @@ def stream_dedupe(spark, sf_dir):
     return spark.read.parquet(d + "/out").select("gps_id", ts_text("recorded_at").alias("recorded_at"))
 
 
+@register("stream_keep_first", oracle.with_ctes(
+    f"SELECT gps_id, {oracle.ts_text('recorded_at')} AS recorded_at, speed_kmh FROM wh_all "
+    f"WHERE recorded_at <= {_WM_SQL}"))
+def stream_keep_first(spark, sf_dir):
+    """Skew-safe streaming keep-first (append aggregation): keys closed by the watermark, first copy kept."""
+    valid = enrich.enrich(clean_ops.valid(base.raw_pings(spark, sf_dir))).filter(
+        F.col("recorded_at").isNotNull()).drop("geom")
+    d, stream = _as_stream(spark, valid, "stream-keep-first")
+    q = (pipelines.keep_first_stream(stream).writeStream.outputMode("append").format("parquet")
+         .option("path", d + "/out").option("checkpointLocation", d + "/ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(d + "/out").select(
+        "gps_id", ts_text("recorded_at").alias("recorded_at"), "speed_kmh")
+
+
 @register("stream_sessions", oracle.with_ctes(f"""
     SELECT gps_id, {oracle.ts_text('f')} AS session_start, {oracle.ts_text('l')} AS last_ping,
            CAST(n AS BIGINT) AS n_points
