@@ -456,6 +456,21 @@ def load_idempotent(spark, sf_dir):
     return stored.select("gps_id", ts_text("recorded_at").alias("recorded_at"), "speed_kmh", "load_batch")
 
 
+@register("verdict_load_idempotent", oracle.with_ctes(
+    f"SELECT *, CASE WHEN analysis_time <= '{FIRST_LOAD_BEFORE}' THEN 1 ELSE 2 END AS load_batch FROM v",
+    extra=f"v AS ({_flagship_sql()})"))
+def verdict_load_idempotent(spark, sf_dir):
+    """Result load, insert-or-ignore on (light, analysis_time): a run over Friday's pings, then a rerun
+    over everything; keys already stored keep their first verdict, each key is stored once."""
+    pings = base.warehouse_pings(spark, sf_dir)
+    sched = dimensions.light_schedule(spark)
+    run1 = congestion.windowed(pings.filter(f"recorded_at < TIMESTAMP '{FIRST_LOAD_BEFORE}'"), sched)
+    run2 = congestion.windowed(pings, sched)
+    added = load.insert_or_ignore(run1, run2, ["traffic_light_id", "analysis_time"])
+    return (run1.selectExpr("*", "1 AS load_batch")
+            .unionByName(added.selectExpr("*", "2 AS load_batch")))
+
+
 RETENTION_AS_OF = "2026-01-17 06:00:00"
 
 

@@ -60,3 +60,16 @@ def test_schedule_lookup(spark):
             got.setdefault(r.i, []).append(r.scheduled_red_duration)
         for i, case in enumerate(CASES):
             assert sorted(got[i], key=lambda x: (x is None, x)) == case[idx], (mode, case)
+
+
+def test_seeding_twice_equals_once(spark):
+    """Seed inserts are insert-or-ignore on each table's key (intersections: the name)."""
+    from roadlens.operators.load import insert_or_ignore
+    cases = [(dimensions.intersections, ["intersection_name"]),
+             (dimensions.traffic_lights, ["traffic_light_id"]),
+             (dimensions.light_schedule, ["traffic_light_id", "start_sec", "applicable_days"])]
+    for build, key in cases:
+        seed = build(spark)
+        first = insert_or_ignore(seed.limit(0), seed, key)
+        stored = first.unionByName(insert_or_ignore(first, seed, key))
+        assert stored.count() == seed.count() == first.count()
