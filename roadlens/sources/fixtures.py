@@ -144,7 +144,11 @@ def _kv(key: str, v: str) -> str:
 
 
 def gps_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(event_id, value)`` with ``value`` the JSON body of one request."""
+    """``(event_id, value)`` with ``value`` the JSON body of one request.
+
+    A key whose value is NULL drops out by itself: ``concat`` with a NULL is
+    NULL and ``concat_ws`` skips NULLs.
+    """
     case = f"(src_row % {REQUEST_CASES})"
     lat_v = (f"CASE WHEN {case} = 5 THEN {_q(_fmt_sql('latitude', 6))} WHEN {case} = 6 THEN '\"abc\"' "
              f"WHEN {case} = 7 THEN '90.5' ELSE {_fmt_sql('latitude', 6)} END")
@@ -157,10 +161,10 @@ def gps_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         _kv("timestamp", _q("timestamp")),
         _kv("latitude", lat_v),
         f"CASE WHEN {case} != 3 THEN {_kv('longitude', _fmt_sql('longitude', 6))} END",
-        f"CASE WHEN ({speed_v}) IS NOT NULL THEN {_kv('speed', speed_v)} END",
+        _kv("speed", speed_v),
         _kv("traffic_light_id", _q("traffic_light_id")),
-        f"CASE WHEN day_type IS NOT NULL THEN {_kv('day_type', _q('day_type'))} END",
-        f"CASE WHEN time_window IS NOT NULL THEN {_kv('time_window', _q('time_window'))} END",
+        _kv("day_type", _q("day_type")),
+        _kv("time_window", _q("time_window")),
         f"CASE WHEN {case} = 11 THEN '\"accuracy_m\": 5.0' END",
     ]
     body = f"concat('{{', concat_ws(', ', {', '.join(parts)}), '}}')"
