@@ -69,14 +69,15 @@ def clean(df: DataFrame, key=("gps_id", "timestamp"), order=ORDER) -> DataFrame:
 def rejects(df: DataFrame, key=("gps_id", "timestamp"), order=ORDER) -> DataFrame:
     """Every input row that ``clean`` drops, with the reason.
 
-    Rule failures are tagged row-locally; later copies are found by an
-    anti-join of the valid rows against the kept ones on the full key plus
-    order columns (unique, so the join has no hot key).
+    (key, order) identifies a raw row and a row failing a rule is never kept,
+    so "every row whose (key, order) is not among the kept ones" is exactly the
+    rule failures plus the later copies: one anti-join of the tagged input
+    against the kept keys, no union of separate passes. The join key is unique
+    per row, so it has no hot key (rows with a NULL key field still spread on
+    the order columns, and never match, as rejected rows must not).
     """
-    tagged = df.selectExpr("*", f"{reject_reason_sql(df)} AS reject_reason")
-    failed = tagged.filter("reject_reason IS NOT NULL")
-    ok = tagged.filter("reject_reason IS NULL").drop("reject_reason")
+    tagged = df.selectExpr("*", f"{reject_reason_sql(df)} AS __reason")
     kept = clean(df, key, order).select(*key, *order)
-    dups = (ok.join(kept, on=[*key, *order], how="left_anti")
-              .selectExpr("*", "'duplicate' AS reject_reason"))
-    return failed.unionByName(dups)
+    cols = [f"`{c}`" for c in df.columns]
+    return (tagged.join(kept, on=[*key, *order], how="left_anti")
+                  .selectExpr(*cols, "coalesce(__reason, 'duplicate') AS reject_reason"))
