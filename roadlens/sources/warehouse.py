@@ -8,8 +8,8 @@ months that can hold rows after ``since`` are listed and read
 (``PartitionFilters`` in the plan), then the exact instant filter runs on
 those files (and reaches the Parquet reader as a pushed filter).
 
-Writes spread each month over ``files_per_month`` salted tasks, as the lake
-writer does, so a month is never written by one task.
+Writes spread each month over salted tasks (as many as the shuffle has
+partitions by default), so a month is never written by one task or a fixed few.
 """
 
 from __future__ import annotations
@@ -44,12 +44,25 @@ def ym_sql(ts: str) -> str:
     return f"(year({ts}) * 100 + month({ts}))"
 
 
-def write(pings: DataFrame, root: str, files_per_month: int = 64, mode: str = "append") -> None:
-    """Append warehouse rows (the enriched ping columns) under ``ym=yyyymm`` folders."""
-    salt = f"pmod(xxhash64(gps_id), {int(files_per_month)})"
+def write(pings: DataFrame, root: str, files_per_month: int | None = None,
+          max_records_per_file: int = 5_000_000, mode: str = "append") -> None:
+    """Append warehouse rows (the enriched ping columns) under ``ym=yyyymm`` folders.
+
+    Rows are hash-partitioned on (ym, salt) with the salt in
+    ``[0, files_per_month)``; by default that range is
+    ``spark.sql.shuffle.partitions``, which cluster runs size from the input
+    (``roadlens.session.size_for_input``), so a month of a 100 TB table is
+    written by as many tasks as the shuffle has partitions, not by a fixed
+    few. ``maxRecordsPerFile`` caps file size.
+    """
+    if files_per_month is None:
+        files_per_month = int(pings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = f"pmod(xxhash64(gps_id, recorded_at), {int(files_per_month)})"
     (pings.selectExpr(*WAREHOUSE_COLS, f"{ym_sql('recorded_at')} AS ym")
           .repartition(F.col("ym"), F.expr(salt))
-          .write.mode(mode).partitionBy("ym").parquet(root))
+          .write.mode(mode)
+          .option("maxRecordsPerFile", max_records_per_file)
+          .partitionBy("ym").parquet(root))
 
 
 def read(spark: SparkSession, root: str) -> DataFrame:
