@@ -2,10 +2,10 @@
 
 Writing: rows carry an ``env`` (``prod`` / ``mock``) and the date of the
 partition (processing time by default, event time optionally); month and day
-are zero-padded text as in the lake layout. Writes repartition by the
-partition columns first so each task writes few, large files instead of the
-many small ones a record-count flush would produce; ``maxRecordsPerFile``
-caps file size.
+are zero-padded text as in the lake layout. Writes range-partition on the
+partition columns (plus device and time) first so each task writes one large
+file instead of the many small ones a record-count flush would produce;
+``maxRecordsPerFile`` caps file size.
 
 Reading: an explicit schema (never inference), partition values typed, and
 the file name plus the row position kept as the ``src_file`` / ``src_row``
@@ -64,23 +64,29 @@ def with_partitions(df: DataFrame, env: Column | str, at: Column | None = None)
                      F.date_format(t, "dd").alias("day"))
 
 
-def write(df: DataFrame, root: str, files_per_day: int = 64, max_records_per_file: int = 5_000_000,
-          mode: str = "append", spread_col: str = "gps_id") -> None:
+def write(df: DataFrame, root: str, partitions: int | None = None, max_records_per_file: int = 5_000_000,
+          mode: str = "append", spread_col: str = "gps_id", observe: tuple | None = None) -> None:
     """Append to the lake.
 
-    Rows are hash-partitioned on the partition columns plus a bounded salt
-    (``hash(gps_id) % files_per_day``): one day is written by up to
-    ``files_per_day`` tasks in parallel, never by a single task, and each task
-    writes one file per partition it holds (sorted within the task).
+    Rows are range-partitioned on the partition columns plus (``spread_col``,
+    ``timestamp``) into ``partitions`` slices (default
+    ``spark.sql.shuffle.partitions``, sized from the input on clusters) and
+    sorted inside each: every task writes one contiguous slice, so about one
+    file per task, a busy day is written by many tasks, and a device holding
+    a third of all rows is split by time. ``observe`` = (Observation,
+    expressions) attaches load metrics after the range exchange, so the range
+    partitioner's sampling pass does not count rows.
     """
-    salt = F.pmod(F.xxhash64(F.col(spread_col)), F.lit(int(files_per_day)))
-    (df.repartition(*PARTITIONS, salt)
-       .sortWithinPartitions(*PARTITIONS)
-       .write.mode(mode)
-       .option("maxRecordsPerFile", max_records_per_file)
-       .option("compression", "snappy")
-       .partitionBy(*PARTITIONS)
-       .parquet(root))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*PARTITIONS, spread_col, "timestamp"]
+    out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    if observe:
+        out = out.observe(observe[0], *observe[1])
+    (out.write.mode(mode)
+        .option("maxRecordsPerFile", max_records_per_file)
+        .option("compression", "snappy")
+        .partitionBy(*PARTITIONS)
+        .parquet(root))
 
 
 # Load metrics gathered by ``observe`` in the same pass as the write.
@@ -101,7 +107,7 @@ def write_observed(df: DataFrame, root: str, metrics: dict[str, str] | None = No
     from pyspark.sql import Observation
     obs = Observation("lake_write")
     m = metrics or WRITE_METRICS
-    write(df.observe(obs, *[F.expr(f"CAST({e} AS BIGINT) AS {n}") for n, e in m.items()]), root, **kw)
+    write(df, root, observe=(obs, [F.expr(f"CAST({e} AS BIGINT) AS {n}") for n, e in m.items()]), **kw)
     return dict(obs.get)
 
 

@@ -52,7 +52,7 @@ def test_lake_partition_pruning_in_plan(spark):
     from roadlens.sources import lake
     root = tempfile.mkdtemp(prefix="roadlens-lake-")
     raw = base.raw_pings(spark, SF_SMALL)
-    lake.write(lake.with_partitions(raw, "prod", F.to_timestamp("timestamp")), root, files_per_day=4)
+    lake.write(lake.with_partitions(raw, "prod", F.to_timestamp("timestamp")), root, partitions=4)
     df = lake.read(spark, root, env="prod").filter(F.col("day") == 9)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "day" in plan.split("PartitionFilters")[1][:200]
