@@ -37,11 +37,14 @@ def range_check(df: DataFrame, table: str, col: str, lo: float, hi: float) -> Da
         F.col("violations").cast("long"))
 
 
-def reference_check(df: DataFrame, table: str, col: str, dim: DataFrame, dim_col: str,
-                    dim_rows: int) -> DataFrame:
-    """Rows whose non-null ``col`` has no match in the (bounded, broadcast) ``dim``."""
+def reference_check(df: DataFrame, table: str, col: str, dim: DataFrame, dim_col: str) -> DataFrame:
+    """Rows whose non-null ``col`` has no match in ``dim``.
+
+    ``dim`` is broadcast only when its size is proven small (plan statistics,
+    else a bounded count); a large reference table gets a shuffle anti-join.
+    """
     from roadlens.operators.joins import small_side
-    d = small_side(dim.select(F.col(dim_col).alias(col)), known_rows=dim_rows)
+    d = small_side(dim.select(F.col(dim_col).alias(col)))
     bad = df.filter(F.col(col).isNotNull()).join(d, col, "left_anti")
     return bad.agg(F.count(F.lit(1)).alias("violations")).select(
         F.lit(table).alias("table_name"), F.lit(f"references:{col}").alias("check_name"),

@@ -96,7 +96,7 @@ from roadlens.functions.timeparts import seconds_of_day, ts_text  # noqa: E402
 from roadlens.operators import clean as clean_ops  # noqa: E402
 from roadlens.operators import enrich, load, quality, trajectory  # noqa: E402
 from roadlens.operators.schedule import lookup_red  # noqa: E402
-from roadlens.sources import decode, fixtures, lake, seeds  # noqa: E402
+from roadlens.sources import decode, fixtures, lake  # noqa: E402
 from roadlens.session import scratch_path  # noqa: E402
 
 RAW_COLS = ["gps_id", "timestamp", "latitude", "longitude", "speed_kmh", "traffic_light_id",
@@ -522,8 +522,7 @@ def constraint_report(spark, sf_dir):
         quality.null_counts(wh, "vehicle_gps", WH_NOT_NULL),
         quality.duplicate_keys(wh, "vehicle_gps", ["gps_id", "recorded_at"]),
         quality.reference_check(wh_all, "vehicle_gps_offered", "traffic_light_id",
-                                dimensions.traffic_lights(spark), "traffic_light_id",
-                                len(seeds.TRAFFIC_LIGHTS)),
+                                dimensions.traffic_lights(spark), "traffic_light_id"),
         quality.range_check(v, "congestion_analysis", "congestion_level", 0, 100),
         quality.duplicate_keys(v, "congestion_analysis", ["traffic_light_id", "analysis_time"]),
         quality.null_counts(v, "congestion_analysis", ["analysis_time"]),
