@@ -166,7 +166,7 @@ def _sched_query(spark, sf_dir, mode):
     p = base.warehouse_pings(spark, sf_dir).withColumn("tod_sec", seconds_of_day("recorded_at"))
     return lookup_red(p, dimensions.light_schedule(spark), "tod_sec", "day_type", mode).select(
         "gps_id", ts_text("recorded_at").alias("recorded_at"), "traffic_light_id", "day_type",
-        "tod_sec", "scheduled_red_duration")
+        F.col("tod_sec").cast("bigint").alias("tod_sec"), "scheduled_red_duration")
 
 
 @register("schedule_strict", _sched_sql("strict"))
