@@ -73,6 +73,21 @@ def rows_of_duck(con, sql):
     return cols, sorted(tuple(_norm(r[i]) for i in idx) for r in rel.fetchall())
 
 
+# DuckDB result types as Spark type names.
+DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+              "BOOLEAN": "boolean", "SMALLINT": "smallint", "TIMESTAMP": "timestamp", "DATE": "date",
+              "FLOAT": "float"}
+
+
+def type_diffs(spark, sf_dir, name):
+    """Columns whose Spark type differs from the oracle's DuckDB type: {col: (spark, duck)}."""
+    import __spark_entry__ as E
+    st = dict(E.queries()[name](spark, sf_dir).dtypes)
+    rel = duck(sf_dir).sql(E.oracle_sql()[name])
+    dt = {c: DUCK_TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    return {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
+
+
 def compare(spark, sf_dir, names=None, verbose=True):
     import __spark_entry__ as E
     qs, orc = E.queries(), E.oracle_sql()

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from harness import compare
+from harness import compare, type_diffs
 
 NAMES = sorted(E.queries())
 
@@ -20,6 +20,11 @@ def test_query_matches_oracle(spark, name):
     assert res["ok"], res
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_query_types_match_oracle(spark, name):
+    assert type_diffs(spark, SF_SMALL, name) == {}
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
