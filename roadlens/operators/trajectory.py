@@ -23,21 +23,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadlens.functions.congestion import round_dec
-from roadlens.functions.timeparts import ts_text, ts_text_sql
+from roadlens.functions.congestion import round_dec_sql
+from roadlens.functions.timeparts import ts_text_sql
 
 
 def downsample(pings: DataFrame, seconds: int = 5, vehicle_col: str = "gps_id") -> DataFrame:
     w = F.window("recorded_at", f"{int(seconds)} seconds")
-    first = F.min_by(F.struct("recorded_at", "latitude", "longitude", "speed_kmh"), F.col("recorded_at"))
-    return (pings.groupBy(vehicle_col, w.alias("__b"))
-                 .agg(first.alias("__p"))
-                 .select(vehicle_col,
-                         ts_text("__b.start").alias("bucket_start"),
-                         ts_text("__p.recorded_at").alias("recorded_at"),
-                         F.col("__p.latitude").alias("latitude"),
-                         F.col("__p.longitude").alias("longitude"),
-                         F.col("__p.speed_kmh").alias("speed_kmh")))
+    first = ("min_by(named_struct('recorded_at', recorded_at, 'latitude', latitude, "
+             "'longitude', longitude, 'speed_kmh', speed_kmh), recorded_at) AS __p")
+    return (pings.groupBy(F.col(vehicle_col), w.alias("__b"))
+                 .agg(F.expr(first))
+                 .selectExpr(f"`{vehicle_col}`",
+                             f"{ts_text_sql('__b.start')} AS bucket_start",
+                             f"{ts_text_sql('__p.recorded_at')} AS recorded_at",
+                             "__p.latitude AS latitude", "__p.longitude AS longitude",
+                             "__p.speed_kmh AS speed_kmh"))
 
 
 def sessions(pings: DataFrame, gap_seconds: int = 600, vehicle_col: str = "gps_id",
@@ -98,12 +98,12 @@ NA = "N/A"
 
 def marker_feed(pings: DataFrame, accuracy_col: str | None = None) -> DataFrame:
     """Position plus popup text per ping; speed with one decimal (HALF_UP)."""
-    acc = (F.coalesce(F.col(accuracy_col).cast("string"), F.lit(NA)) if accuracy_col
-           else F.lit(NA))
-    speed_txt = F.format_string("%.1f", round_dec("speed_kmh", 1))
-    return pings.select(
+    na = f"'{NA}'"
+    acc = f"coalesce(CAST(`{accuracy_col}` AS STRING), {na})" if accuracy_col else na
+    speed_txt = f"format_string('%.1f', {round_dec_sql('speed_kmh', 1)})"
+    popup = f"format_string('{POPUP_FMT}', gps_id, vehicle_id, {speed_txt}, {acc}, {ts_text_sql('recorded_at')})"
+    return pings.selectExpr(
         "gps_id", "vehicle_id",
-        ts_text("recorded_at").alias("recorded_at"),
+        f"{ts_text_sql('recorded_at')} AS recorded_at",
         "latitude", "longitude",
-        F.format_string(POPUP_FMT, F.col("gps_id"), F.col("vehicle_id"), speed_txt, acc,
-                        ts_text("recorded_at")).alias("popup"))
+        f"{popup} AS popup")
