@@ -37,3 +37,16 @@ def unknown_light_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, unknown = quarantine_unknown_lights(warehouse_all(spark, sf_dir),
                                            dimensions.traffic_lights(spark))
     return unknown
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(raw, warehouse incl. unknown lights, warehouse) built once as one chain.
+
+    Reports that check several stages derive them from the same DataFrames,
+    so the plan is built once and the shared exchanges are identical (AQE
+    reuses them instead of recomputing the pipeline per branch).
+    """
+    raw = raw_pings(spark, sf_dir)
+    wh_all = to_warehouse(valid(raw))
+    wh, _ = quarantine_unknown_lights(wh_all, dimensions.traffic_lights(spark))
+    return raw, wh_all, wh

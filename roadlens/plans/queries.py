@@ -513,10 +513,8 @@ RAW_NOT_NULL = ["gps_id", "timestamp", "latitude", "longitude"]
     extra=f"v AS ({_flagship_sql()})"))
 def constraint_report(spark, sf_dir):
     """NOT NULL / unique / CHECK / reference violations per table (0 = constraint holds)."""
-    raw = base.raw_pings(spark, sf_dir)
-    wh_all = base.warehouse_all(spark, sf_dir)
-    wh = base.warehouse_pings(spark, sf_dir)
-    v = _flagship(spark, sf_dir)
+    raw, wh_all, wh = base.pipeline(spark, sf_dir)
+    v = congestion.windowed(wh, dimensions.light_schedule(spark), "5 minutes", mode="strict")
     parts = [
         quality.null_counts(raw, "lake_raw", RAW_NOT_NULL),
         quality.null_counts(wh, "vehicle_gps", WH_NOT_NULL),
@@ -545,16 +543,17 @@ def constraint_report(spark, sf_dir):
     extra=f"v AS ({_flagship_sql()})"))
 def load_audit(spark, sf_dir):
     """Load metrics: offered, valid, rejected, loaded, no-light and unknown-light rows, results."""
-    raw = base.raw_pings(spark, sf_dir)
+    raw, wh_all, wh = base.pipeline(spark, sf_dir)
     reason = clean_ops.reject_reason(raw)
     m1 = load.metrics_table([("rows_offered", F.count(F.lit(1))),
                              ("rows_valid", F.count_if(reason.isNull())),
                              ("rows_rejected_rule", F.count_if(reason.isNotNull()))], raw)
-    flagged = enrich.flag_known_lights(base.warehouse_all(spark, sf_dir), dimensions.traffic_lights(spark))
+    flagged = enrich.flag_known_lights(wh_all, dimensions.traffic_lights(spark))
     m2 = load.metrics_table([("rows_loaded", F.count(F.lit(1))),
                              ("rows_without_light", F.count_if(F.col("traffic_light_id").isNull())),
                              ("rows_unknown_light", F.count_if(~F.col("light_known")))], flagged)
-    m3 = load.metrics_table([("results_written", F.count(F.lit(1)))], _flagship(spark, sf_dir))
+    v = congestion.windowed(wh, dimensions.light_schedule(spark), "5 minutes", mode="strict")
+    m3 = load.metrics_table([("results_written", F.count(F.lit(1)))], v)
     return m1.unionByName(m2).unionByName(m3)
 
 
