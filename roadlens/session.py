@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import os
+import math
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -41,27 +43,37 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    # getOrCreate on an existing session ignores builder settings for static
-    # confs but runtime SQL confs can still be applied.
-    for k, v in conf.items():
-        if k.startswith("spark.sql.") and k != "spark.sql.warehouse.dir":
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf on a live session
-                pass
+    # getOrCreate on an existing session ignores builder settings, so the
+    # run-time SQL settings are applied to it again; a failure is an error.
+    apply_sql_conf(spark, conf)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def apply_sql_conf(spark: SparkSession, conf: dict) -> None:
+    """Set every run-time SQL setting of ``conf``; static ones belong to the builder."""
+    for k, v in conf.items():
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
+
+
+def is_local(spark: SparkSession) -> bool:
+    """True where driver and executors are one process, so local folders are shared."""
+    return re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master) is not None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a fresh scratch folder is
-    created and registered; on a cluster the configured shared path is used
-    as is, never a machine-local one.
+    Only in a one-process ``local`` session may the setting be absent; a fresh
+    scratch folder is then created and registered. On a cluster a missing
+    setting is an error: a machine-local folder would be written by one
+    executor and read, silently empty, by another.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="roadlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc = spark.sparkContext
@@ -71,62 +83,69 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for job output."""
-    base = checkpoint_dir(spark)
-    if base.startswith("/") or base.startswith("file:"):
-        local = base.replace("file:", "")
-        os.makedirs(local, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=local)
-    import uuid
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh sub-folder name below the shared checkpoint folder.
+
+    Nothing is created here: Spark's writers create it through the file
+    system that the path (or the default file system) names.
+    """
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-# Shuffle sizing for cluster runs: target bytes of shuffle data per partition,
+# Shuffle sizing for cluster runs: target bytes of shuffle data per partition and
 # the ratio of shuffled bytes to compressed Parquet input (rows decompress and
-# widen; map-side partial aggregation removes copies first), and bounds.
+# widen; map-side partial aggregation removes copies first).
 TARGET_SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
 SHUFFLE_EXPANSION = 2.0
-MIN_SHUFFLE_PARTITIONS, MAX_SHUFFLE_PARTITIONS = 200, 100_000
+MIN_SHUFFLE_PARTITIONS = 200
 SPARK_DEFAULT_SHUFFLE_PARTITIONS = "200"
+# State stores per stateful operator of a stream. The number is baked into a
+# stream's checkpoint and every store costs each micro-batch, so it follows
+# the cluster's cores, never the size of a batch table.
+STATE_STORES_PER_CORE = 2
 
 
 def shuffle_partitions_for(input_bytes: int) -> int:
-    """Initial shuffle partitions for ``input_bytes`` of compressed input."""
-    n = int(input_bytes * SHUFFLE_EXPANSION // TARGET_SHUFFLE_PARTITION_BYTES)
-    return max(MIN_SHUFFLE_PARTITIONS, min(MAX_SHUFFLE_PARTITIONS, n))
+    """Initial shuffle partitions for ``input_bytes`` of compressed input (no upper bound)."""
+    return max(MIN_SHUFFLE_PARTITIONS, math.ceil(input_bytes * SHUFFLE_EXPANSION / TARGET_SHUFFLE_PARTITION_BYTES))
 
 
-def input_bytes(df) -> int | None:
+def input_bytes(df) -> int:
     """Size of a file-based DataFrame's input from the file listing (no job)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def size_for_input(spark: SparkSession, input_path: str) -> None:
-    """Cluster settings sized from the input, applied only where left at Spark's defaults.
+    """Batch shuffle settings from the input's size, only where left at Spark's defaults.
 
-    * ``spark.sql.shuffle.partitions`` from the input size (so a 100 TB run
-      does not funnel every shuffle through 200 partitions); AQE then
-      coalesces small partitions and splits skewed ones at run time, with
-      ``advisoryPartitionSizeInBytes`` at the same target.
-    * Streaming state in RocksDB (off-heap, changelog checkpoints) instead of
-      the in-memory provider, for window state that grows with the key count.
-
-    On a ``local`` master the session is left alone (tests and the bench set
-    their own partition counts).
+    ``spark.sql.shuffle.partitions`` follows the input, so a 100 TB run does not
+    funnel every shuffle through 200 partitions; AQE coalesces small partitions
+    and splits skewed ones from there, with its advisory size at the same
+    target. The rule is one and the same on every master: it never lowers
+    Spark's default and never touches a value that was set.
     """
-    if spark.sparkContext.master.startswith("local"):
-        return
     conf = spark.conf
     if conf.get("spark.sql.shuffle.partitions") == SPARK_DEFAULT_SHUFFLE_PARTITIONS:
-        n = input_bytes(spark.read.parquet(input_path))
-        if n:
-            conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions_for(n)))
+        n = shuffle_partitions_for(input_bytes(spark.read.parquet(input_path)))
+        if n > MIN_SHUFFLE_PARTITIONS:
+            conf.set("spark.sql.shuffle.partitions", str(n))
             conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TARGET_SHUFFLE_PARTITION_BYTES))
-    if not conf.get("spark.sql.streaming.stateStore.providerClass", None) or conf.get(
-            "spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider"):
-        conf.set("spark.sql.streaming.stateStore.providerClass",
-                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-        conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A sibling session for streaming queries with its own state settings.
+
+    Its ``spark.sql.shuffle.partitions`` (the number of state stores) is
+    ``state_partitions`` or two per core, independent of the batch session's;
+    state lives in RocksDB (off-heap, changelog checkpoints), so it is bounded
+    by disk, not by executor heap.
+    """
+    s = spark.newSession()
+    apply_sql_conf(s, BASE_CONF)
+    n = state_partitions or max(8, STATE_STORES_PER_CORE * spark.sparkContext.defaultParallelism)
+    s.conf.set("spark.sql.shuffle.partitions", str(n))
+    s.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    s.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    return s

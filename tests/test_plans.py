@@ -12,12 +12,13 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from roadlens.plans.queries import QUERIES
 
 # queries that write and read files (or run a stream) while being built
 RUN_AT_BUILD = {"stream_ingest", "stream_dead_letters", "stream_verdicts", "stream_dedupe",
                 "stream_sessions", "stream_keep_first", "lake_roundtrip", "env_union",
                 "lake_incremental", "lake_write_metrics", "verdict_from_store"}
-NAMES = sorted(set(E.queries()) - RUN_AT_BUILD)
+NAMES = sorted(set(QUERIES) - RUN_AT_BUILD)
 FIXTURE_COLS = {"event_id", "ts", "user_id", "value"}
 
 
