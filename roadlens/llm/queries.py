@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, sharding
+from . import bpe, exact_dedup, sharding
 from .common import table
 
 
@@ -24,9 +24,21 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids and of the text that they decode to."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_sharding": op6_sharding,
+    "op7_bpe": op7_bpe,
 }
 
 ORACLE = {
