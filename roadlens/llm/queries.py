@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, sharding
+from . import bpe, exact_dedup, sharding, topk
 from .common import table
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest integer inner products of every hundredth vector with all others."""
+    return topk.search(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, k=10)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays of its group of equal texts."""
     marked, c = exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
@@ -36,12 +41,26 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_topk": op3_topk,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_sharding": op6_sharding,
     "op7_bpe": op7_bpe,
 }
 
 ORACLE = {
+    "op3_topk": """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM p)
+SELECT * FROM r WHERE rank <= 10
+""",
     "op5_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
