@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, sharding, topk
+from . import bpe, exact_dedup, mixing, sharding, topk
 from .common import table
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix of all sources takes."""
+    rows = table(spark, sf_dir, "documents").select(
+        F.monotonically_increasing_id().alias("row"), F.col("doc_id").alias("id"), "source", mixing.word_count().alias("size"))
+    return mixing.decide(rows).select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "copies",
+                                      (F.col("size") * F.col("copies")).alias("taken"))
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 highest integer inner products of every hundredth vector with all others."""
     return topk.search(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, k=10)
@@ -41,6 +49,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_mixing": op2_mixing,
     "op3_topk": op3_topk,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_sharding": op6_sharding,
