@@ -5,10 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, sharding, topk
+from . import bpe, exact_dedup, mixing, quality, sharding, topk
 from .common import table
 
 
+def held_out(doc_id, parts: int):
+    """Rows whose crc32 of the id as text leaves the remainder 1; never learned from."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == 1, F.lit(False))
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
+    """The quality model, fitted on labelled rows that are not held out."""
+    return quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), lambda i: ~held_out(i, 3))
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    scored = table(spark, sf_dir, "documents").select(
+        "doc_id", held_out(F.col("doc_id"), 3).alias("held_out"), quality.score(quality_model(spark, sf_dir)).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix of all sources takes."""
     rows = table(spark, sf_dir, "documents").select(
@@ -49,6 +66,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
     "op3_topk": op3_topk,
     "op5_exact_dedup": op5_exact_dedup,
