@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing, quality, sharding, topk
+from . import bpe, exact_dedup, lattice_lm, mixing, quality, sharding, topk
 from .common import table
 
 
@@ -65,6 +65,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability under the lattice model and under plain word counts."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out(F.col("doc_id"), 5).alias("held_out"))
+    return lattice_lm.score(docs, ~F.col("held_out"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -72,6 +80,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_sharding": op6_sharding,
     "op7_bpe": op7_bpe,
+    "op9_lattice_lm": op9_lattice_lm,
 }
 
 ORACLE = {
