@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, lattice_lm, mixing, quality, sharding, topk
+from . import bpe, exact_dedup, lattice_lm, mixing, pii, quality, sharding, topk
 from .common import table
 
 
@@ -65,6 +65,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with surrogates for personal data and secrets."""
+    changed, c = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return changed.select("doc_id", "text", F.col(c["n_entities"]).alias("n_entities"), F.col(c["kinds"]).alias("kinds"))
+
+
 def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's log10 probability under the lattice model and under plain word counts."""
     import public_tokenizers
@@ -80,6 +86,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_sharding": op6_sharding,
     "op7_bpe": op7_bpe,
+    "op8_pii": op8_pii,
     "op9_lattice_lm": op9_lattice_lm,
 }
 
