@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, lattice_lm, mixing, pii, quality, sharding, topk
+from . import bpe, exact_dedup, lattice_lm, mixing, ngram_join, pii, quality, sharding, topk
 from .common import table
 
 
@@ -79,6 +79,12 @@ def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score(docs, ~F.col("held_out"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of 3-word shingle sets with a Jaccard similarity of 0.9 or more."""
+    joined = ngram_join.join(table(spark, sf_dir, "documents"), size=3, t=90)
+    return joined.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -88,6 +94,7 @@ QUERIES = {
     "op7_bpe": op7_bpe,
     "op8_pii": op8_pii,
     "op9_lattice_lm": op9_lattice_lm,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLE = {
