@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, text_or_empty
+from .common import fresh, staged, text_or_empty
 from .components import components
 from .shingles import Shingler, blocks, mix
 
@@ -268,6 +268,11 @@ def join(docs: DataFrame, size: int = 5, t: int = 80, text: str = "text", id_col
 
 
 def keep_one(docs: DataFrame, size: int = 5, t: int = 80, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row of each group of linked rows: that with the smallest id; rows without an id or without words all stay."""
-    gone = join(docs, size, t, text, id_col).filter("id != component_id").select(F.col("id").alias("the removed id"))
-    return docs.join(gone, docs[id_col] == F.col("the removed id"), "left_anti").select(*docs.columns)
+    """One row of each group of linked rows: that with the smallest id (null last), then the first; rows without words all stay."""
+    row, name = fresh(docs, "row", "the row")
+    kept = staged(docs.withColumn(row, F.monotonically_increasing_id()), "join-docs")
+    groups = join(kept, size, t, text, row).select(F.col("id").alias(name), "component_id")
+    best = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(row)).alias("s")).alias("best")
+    stay = (kept.select(id_col, row).join(groups, F.col(row) == F.col(name)).groupBy("component_id").agg(best)
+            .select(F.col(f"best.{row}").alias(name)))
+    return kept.join(stay, F.col(row) == F.col(name), "left_semi").select(*docs.columns)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, lattice_lm, mixing, ngram_join, pii, quality, sharding, topk
+from . import bpe, exact_dedup, lattice_lm, mixing, ngram_join, pii, quality, sharding, suffix_dedup, topk
 from .common import table
 
 
@@ -39,6 +39,15 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0, k=10)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps when passages of 400 bytes that repeat are removed."""
+    cut, whole = suffix_dedup.cut_repeats(table(spark, sf_dir, "documents"))
+    none = F.lit(0).cast("bigint")
+    return (cut.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+            .unionByName(whole.select(F.col("id").alias("doc_id"), "n_bytes", none.alias("n_removed"), none.alias("n_spans"),
+                                      F.col("sha256").alias("kept_sha256"))))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays of its group of equal texts."""
     marked, c = exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
@@ -89,6 +98,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
     "op3_topk": op3_topk,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_sharding": op6_sharding,
     "op7_bpe": op7_bpe,
