@@ -192,7 +192,7 @@ class _Join:
             F.min("id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
             .withColumn("cid", F.monotonically_increasing_id()), "join-classes")
         # the smallest set that can link with an unequal one: it lacks one token of the other
-        self.least = next(n for n in range(1, 102) if 100 * n >= t * (n + 1))
+        self.least = next((n for n in range(1, 101) if 100 * n >= t * (n + 1)), 1 << 62)
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` of classes that link, compared on their whole sets."""
