@@ -48,3 +48,19 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def most_frequent(counts: DataFrame, value: str, count: str, limit: int) -> DataFrame:
+    """The rows with the highest counts, at most ``limit`` of them, ties in or out together.
+
+    A histogram of the counts' logarithms (at most some 1,000 steps) gives the
+    lowest step that fits; no task sends more than its own share of the rows.
+    """
+    step = F.floor(F.log2(count) * 16).cast("int")
+    below, total = None, 0
+    for r in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect():
+        total += r["n"]
+        if total > limit:
+            break
+        below = r["step"]
+    return counts.filter(step >= below if below is not None else F.lit(False)).select(value, count)

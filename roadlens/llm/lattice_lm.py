@@ -28,7 +28,6 @@ alone is the model; rows with repeated ids are scored each.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .bpe import Vocabulary
-from .common import WORD, staged, text_or_empty
+from .common import WORD, most_frequent, staged, text_or_empty
 
 ROUNDS = 3
 PRIOR = 1000.0
@@ -50,7 +49,7 @@ CHUNK = 20_000  # words that go through the lattice together
 CACHE_WORDS = 300_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SCORED = "n_tokens bigint, known bigint, base double, model double, words array<string>, times array<bigint>, spelt array<double>"
-TO_LOWER = str.maketrans(UPPER, LOWER)
+TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
 class Lattice:
@@ -78,9 +77,9 @@ class Lattice:
                     yield i, j + 1, rows[whole], entry[whole]
 
     @staticmethod
-    def groups(words: list[str]):
+    def groups(words: list[bytes]):
         """Places and byte matrix of words of equal length, in chunks."""
-        raw = [b" " + w.encode("utf-8", "replace") for w in words]
+        raw = [b" " + w for w in words]
         by_length: dict[int, list[int]] = {}
         for k, w in enumerate(raw):
             by_length.setdefault(len(w), []).append(k)
@@ -100,14 +99,14 @@ class Lattice:
             arcs.append((i, j, rows, entry))
         return alpha, arcs
 
-    def marginals(self, words: list[str], weight: np.ndarray) -> np.ndarray:
+    def marginals(self, words: list[bytes], weight: np.ndarray) -> np.ndarray:
         """The natural log of each word's probability."""
         out = np.zeros(len(words))
         for places, text in self.groups(words):
             out[places] = self.forward(text, weight)[0][:, -1]
         return out
 
-    def expected(self, words: list[str], weight: np.ndarray) -> np.ndarray:
+    def expected(self, words: list[bytes], weight: np.ndarray) -> np.ndarray:
         """Expected uses of each entry over all segmentations of the words."""
         total = np.zeros(self.size)
         for _, text in self.groups(words):
@@ -148,7 +147,7 @@ def fit(words: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, prior: f
         def expect(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             total = np.zeros(shared.value.size)
             for b in batches:
-                total += shared.value.expected(b.column(0).to_pylist(), now.value)
+                total += shared.value.expected(b.column(0).cast(pa.binary()).to_pylist(), now.value)
             used = np.flatnonzero(total)
             yield pa.RecordBatch.from_pydict({"entry": pa.array(used, pa.int32()), "uses": pa.array(total[used])})
 
@@ -165,16 +164,16 @@ def _score_texts(lattice, weight, head, free: float, ends: tuple[float, float, i
 
     ``head`` has a word's base score and whole-word arc; ``free`` is the log weight of the subword paths.
     """
-    find = re.compile(WORD).findall
     log10 = np.log(10.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat, w, known = lattice.value, weight.value, head.value
-        paths: dict[str, float] = {}  # natural log of the sum over a word's subword paths
+        paths: dict[bytes, float] = {}  # natural log of the sum over a word's subword paths
         for b in batches:
             for s in range(0, len(b), 2000):
                 part = b.slice(s, 2000)
-                bags = [Counter(find((t or "").translate(TO_LOWER))) for t in part.column(1).to_pylist()]
+                # bytes.split() cuts at space and the control characters 9 to 13, and at nothing else
+                bags = [Counter(t.encode("utf-8", "replace").translate(TO_LOWER).split()) for t in part.column(1).to_pylist()]
                 wanted = set().union(*bags)
                 if len(paths) > CACHE_WORDS:
                     paths = {x: paths[x] for x in wanted if x in paths}
@@ -189,7 +188,7 @@ def _score_texts(lattice, weight, head, free: float, ends: tuple[float, float, i
                     base.append(sum(n * known[x][0] for x, n in inside) + ends[0])
                     model.append(sum(n * whole[x] for x, n in inside) + ends[1])
                     sure.append(sum(n for _, n in inside) + ends[2])
-                    words.append([x for x, _ in rest])
+                    words.append([x.decode() for x, _ in rest])
                     times.append([n for _, n in rest])
                     spelt.append([paths[x] for x, _ in rest])
                 yield pa.RecordBatch.from_arrays(
@@ -223,8 +222,8 @@ def score(docs: DataFrame, is_training, vocabulary_path: str, text: str = "text"
     unit = float(np.log((1 - end) / words)) if words else 0.0
     free = float(np.log(DISCOUNT * kinds) + unit) if words else float(np.log(1 - end))
     # a fixed number of words of bounded length
-    top = counts.filter(F.octet_length("word") <= HEAD_BYTES).orderBy(F.desc("c"), "word").limit(head_words).collect()
-    head = {r["word"]: (float(np.log10((r["c"] + 0.5) / denominator)), float(np.log(r["c"] - DISCOUNT)) + unit) for r in top}
+    top = most_frequent(counts.filter(F.octet_length("word") <= HEAD_BYTES), "word", "c", head_words).collect()
+    head = {r["word"].encode(): (float(np.log10((r["c"] + 0.5) / denominator)), float(np.log(r["c"] - DISCOUNT)) + unit) for r in top}
     cast = spark.sparkContext.broadcast
     run = _score_texts(cast(Lattice(vocabulary)), cast(weight), cast(head), free,
                        (float(np.log10((texts + 0.5) / denominator)), float(np.log10(end)), int(texts > 0)))

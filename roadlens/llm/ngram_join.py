@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, staged, text_or_empty
+from .common import fresh, most_frequent, staged, text_or_empty
 from .components import components
 from .shingles import Shingler, blocks, mix
 
@@ -184,8 +184,8 @@ class _Join:
             _describe(size, t), "id bigint, n bigint, high bigint, low bigint, sketch array<bigint>, token bigint, uses bigint"), "join-sets")
         self.rows = described.filter("n is not null").select("id", "n", "high", "low")
         # of a fixed number of entries
-        top = (described.filter("token is not null").groupBy("token").agg(F.sum("uses").alias("uses"))
-               .orderBy(F.desc("uses"), "token").limit(COMMON_TOKENS).select("token").collect())
+        top = most_frequent(staged(described.filter("token is not null").groupBy("token").agg(F.sum("uses").alias("uses")), "join-common"),
+                            "token", "uses", COMMON_TOKENS).collect()
         hot = np.sort(np.array([r["token"] for r in top], np.int64).view(np.uint64))
         self.common = self.spark.sparkContext.broadcast(hot)
         self.classes = staged(described.filter("n > 0").groupBy("high", "low").agg(
