@@ -2,7 +2,7 @@
 
 Rules, in the order the warehouse loader applies them:
 required fields present (gps_id, timestamp, latitude, longitude; NaN counts as
-missing), latitude in [-90, 90], longitude in [-180, 180], speed in [0, 200],
+missing), a timestamp that parses, latitude in [-90, 90], longitude in [-180, 180], speed in [0, 200],
 not at the null island (|lat| < 0.001 and |lon| < 0.001), then keep the first
 row per (gps_id, timestamp text) in lake order (``src_file``, ``src_row``).
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadlens.functions.timeparts import parse_ts_sql
 from roadlens.operators.joins import keep_first
 
 REQUIRED = ("gps_id", "timestamp", "latitude", "longitude")
@@ -32,6 +33,7 @@ def _missing_any(df: DataFrame) -> str:
 def reject_reason_sql(df: DataFrame) -> str:
     """First failing rule of a ping, NULL when it passes all."""
     return (f"CASE WHEN {_missing_any(df)} THEN 'missing_field' "
+            f"WHEN {parse_ts_sql('timestamp')} IS NULL THEN 'bad_timestamp' "
             "WHEN NOT latitude BETWEEN -90 AND 90 THEN 'latitude_range' "
             "WHEN NOT longitude BETWEEN -180 AND 180 THEN 'longitude_range' "
             "WHEN NOT coalesce(speed_kmh BETWEEN 0 AND 200, false) THEN 'speed_range' "
@@ -47,7 +49,7 @@ def passes_sql(df: DataFrame) -> str:
 
     Equivalent to ``reject_reason(df) IS NULL``.
     """
-    return (f"NOT ({_missing_any(df)}) AND latitude BETWEEN -90 AND 90 "
+    return (f"NOT ({_missing_any(df)}) AND {parse_ts_sql('timestamp')} IS NOT NULL AND latitude BETWEEN -90 AND 90 "
             "AND longitude BETWEEN -180 AND 180 AND speed_kmh BETWEEN 0 AND 200 "
             "AND NOT (abs(latitude) < 0.001D AND abs(longitude) < 0.001D)")
 

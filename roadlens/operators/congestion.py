@@ -13,7 +13,7 @@ Two time frames share one code path:
   hopping), each evaluated as if ``as_of`` were the window end. This is the
   batch back-fill and the Structured Streaming form.
 
-Scale: ``avg`` + ``count_distinct`` is planned by Catalyst as a two-level
+Scale: sums + ``count_distinct`` are planned by Catalyst as a two-level
 aggregation (group keys + vehicle, then group keys), both levels with
 map-side partial aggregation, so a light carrying a third of all pings is
 pre-reduced in every task. Dimensions are broadcast with a static bound.
@@ -37,12 +37,40 @@ VERDICT_COLS = ["traffic_light_id", "analysis_time", "time_id", "time_window", "
 GROUP = ["traffic_light_id", "time_window", "day_type"]
 
 
+# Speeds are summed as DECIMAL: the sum, and so the mean that is held against
+# the thresholds, does not depend on the order in which tasks are merged.
+SPEED_DEC = "CAST(speed_kmh AS DECIMAL(18,6))"
+
+
+def _mean(total: str, n: str) -> str:
+    return f"CAST({total} AS DOUBLE) / {n}"
+
+
 def group_stats(pings: DataFrame, extra_keys=(), vehicle_col: str = "gps_id") -> DataFrame:
-    """AVG(speed) and COUNT(DISTINCT vehicle) per light/time_window/day_type."""
+    """Mean speed and COUNT(DISTINCT vehicle) per light/time_window/day_type."""
     return (pings.filter("traffic_light_id IS NOT NULL")
                  .groupBy(*extra_keys, *GROUP)
-                 .agg(F.expr("avg(speed_kmh) AS avg_speed"),
-                      F.expr(f"count(DISTINCT `{vehicle_col}`) AS veh_count")))
+                 .agg(F.expr(f"sum({SPEED_DEC}) AS __sum"), F.expr("count(speed_kmh) AS __n"),
+                      F.expr(f"count(DISTINCT `{vehicle_col}`) AS veh_count"))
+                 .withColumn("avg_speed", F.expr(_mean("__sum", "__n"))).drop("__sum", "__n"))
+
+
+def pane_stats(pings: DataFrame, minutes: int, slide: int, vehicle_col: str = "gps_id") -> DataFrame:
+    """:func:`group_stats` of sliding windows, keyed by the window end ``analysis_ts``.
+
+    Pings are first reduced to one row per vehicle and pane of ``slide``
+    minutes (sum and count); only panes are copied to the windows that
+    cover them, never pings.
+    """
+    step = f"INTERVAL {slide} MINUTES"
+    panes = (pings.filter("traffic_light_id IS NOT NULL")
+             .groupBy(F.window("recorded_at", f"{slide} minutes").alias("__p"), *GROUP, vehicle_col)
+             .agg(F.expr(f"sum({SPEED_DEC}) AS __sum"), F.expr("count(speed_kmh) AS __n")))
+    ends = panes.selectExpr(*GROUP, f"`{vehicle_col}`", "__sum", "__n",
+                            f"explode(sequence(__p.end, __p.end + INTERVAL {minutes - slide} MINUTES, {step})) AS analysis_ts")
+    return (ends.groupBy("analysis_ts", *GROUP)
+            .agg(F.expr("sum(__sum) AS __sum"), F.expr("sum(__n) AS __n"), F.expr(f"count(DISTINCT `{vehicle_col}`) AS veh_count"))
+            .withColumn("avg_speed", F.expr(_mean("__sum", "__n"))).drop("__sum", "__n"))
 
 
 def verdicts(stats: DataFrame, schedule: DataFrame, as_of_col: str = "analysis_ts",
@@ -85,11 +113,13 @@ def snapshot(pings: DataFrame, schedule: DataFrame, as_of: str, minutes: int = 5
     return verdicts(stats, schedule, "analysis_ts", mode, collapse=collapse, **kw)
 
 
-def windowed(pings: DataFrame, schedule: DataFrame, window: str = "5 minutes",
-             slide: str | None = None, mode: str = "strict", collapse: bool = True,
+def windowed(pings: DataFrame, schedule: DataFrame, minutes: int = 5,
+             slide: int | None = None, mode: str = "strict", collapse: bool = True,
              **kw) -> DataFrame:
-    """Verdicts per event-time window, analysis time = window end."""
-    w = F.window("recorded_at", window, slide) if slide else F.window("recorded_at", window)
+    """Verdicts per event-time window of ``minutes`` (every ``slide`` minutes), analysis time = window end."""
+    if slide:
+        return verdicts(pane_stats(pings, minutes, slide), schedule, "analysis_ts", mode, collapse=collapse, **kw)
+    w = F.window("recorded_at", f"{minutes} minutes")
     stats = (group_stats(pings.withColumn("__w", w), extra_keys=["__w"])
              .selectExpr("*", "__w.end AS analysis_ts").drop("__w"))
     return verdicts(stats, schedule, "analysis_ts", mode, collapse=collapse, **kw)

@@ -47,8 +47,8 @@ def to_warehouse(clean_pings: DataFrame, assume_tz: str = "UTC") -> DataFrame:
     """Enriched pings, first copy per (gps_id, recorded_at instant).
 
     Two timestamp texts of one instant collapse here, as the warehouse key
-    does; rows whose timestamp text does not parse are left out (they are
-    reported by :func:`bad_timestamps`). Applied to *validated* (not yet
+    does. Rows whose timestamp does not parse never get here: validation rejects
+    them with a reason of their own. Applied to *validated* (not yet
     de-duplicated) pings this one keep-first equals the text-key dedupe
     followed by the instant-key one: equal texts are equal instants, and the
     first row of an instant group is also first in its text group. That saves
@@ -58,10 +58,6 @@ def to_warehouse(clean_pings: DataFrame, assume_tz: str = "UTC") -> DataFrame:
     return keep_first(e, ["gps_id", "recorded_at"], ["src_file", "src_row"]).select(*WAREHOUSE_COLS)
 
 
-def bad_timestamps(clean_pings: DataFrame, assume_tz: str = "UTC") -> DataFrame:
-    return clean_pings.filter(f"{parse_ts_sql('timestamp', assume_tz)} IS NULL")
-
-
 def flag_known_lights(pings: DataFrame, lights: DataFrame) -> DataFrame:
     """Add ``light_known``: NULL light or a light of the dimension.
 

@@ -7,38 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadlens.sources.dimensions import BROADCAST_ROW_BOUND
-
 
 # Same bound as Spark's autoBroadcastJoinThreshold default: file-based estimates are
 # compressed sizes, so the bound stays conservative.
 BROADCAST_MAX_BYTES = 10 * 1024 * 1024
 
 
-def plan_size_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of ``df`` (exact for inline tables and ranges)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
+def plan_size_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (exact for inline tables and ranges, the file size for scans)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def small_side(df: DataFrame, known_rows: int | None = None,
-               max_rows: int = BROADCAST_ROW_BOUND, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast ``df`` only when its size is proven to be small.
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when the plan proves that it is at most ``max_bytes``.
 
-    Proof, in order: a caller-given static row count; the optimizer's size
-    estimate (exact for inline ``VALUES`` tables and ``range``; no job); else
-    counting at most ``max_rows + 1`` rows. Beyond the bound the DataFrame is
-    returned as is and Spark plans a shuffle join.
+    Beyond the bound the DataFrame is returned as is and Spark plans a shuffle
+    join (AQE may still broadcast it once its true size is known). No job is
+    started to find out.
     """
-    if known_rows is not None:
-        return F.broadcast(df) if known_rows <= max_rows else df
-    est = plan_size_bytes(df)
-    if est is not None and est <= max_bytes:
-        return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if plan_size_bytes(df) <= max_bytes else df
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], nulls_last: bool = True) -> DataFrame:

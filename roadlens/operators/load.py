@@ -16,11 +16,9 @@ from pyspark.sql import functions as F
 from roadlens.operators.joins import keep_first
 
 
-def insert_or_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str],
-                     order: Sequence | None = None) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``target`` (first copy per key)."""
-    b = keep_first(batch, list(keys), list(order)) if order else batch.dropDuplicates(list(keys))
-    return b.join(target.select(*keys), list(keys), "left_anti")
+def insert_or_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows of ``batch`` whose key is not in ``target``: the first copy per key by ``order``."""
+    return keep_first(batch, list(keys), list(order)).join(target.select(*keys), list(keys), "left_anti")
 
 
 def retain(df: DataFrame, as_of: Column, days: int = 7, ts_col: str = "recorded_at") -> DataFrame:

@@ -40,9 +40,8 @@ def downsample(pings: DataFrame, seconds: int = 5, vehicle_col: str = "gps_id")
                              "__p.speed_kmh AS speed_kmh"))
 
 
-def sessions(pings: DataFrame, gap_seconds: int = 600, vehicle_col: str = "gps_id",
-             bucket_seconds: int = 3600) -> DataFrame:
-    """One row per run: start/end instants, points, start and current position.
+def _runs(pings: DataFrame, gap_seconds: int, vehicle_col: str, bucket_seconds: int | None) -> DataFrame:
+    """One row per run: instants ``f`` and ``l``, points ``n``, positions ``sp`` and ``cp``.
 
     Two levels, so no vehicle's whole timeline is ever one group:
 
@@ -63,34 +62,57 @@ def sessions(pings: DataFrame, gap_seconds: int = 600, vehicle_col: str = "gps_i
     window's partitioning. A ping at most ``gap`` after the previous one
     continues the run, as ``session_window`` does.
     """
-    g, bs = int(gap_seconds), int(bucket_seconds)
+    g = int(gap_seconds) * 1_000_000
+    bs = int(bucket_seconds or max(60, 2 * gap_seconds)) * 1_000_000  # all in microseconds: gaps are compared as instants
     v = f"`{vehicle_col}`"
-    lvl1 = (pings.groupBy(F.col(vehicle_col), F.expr(f"floor(unix_timestamp(recorded_at) / {bs}) AS __b"),
-                          F.session_window("recorded_at", f"{g} seconds").alias("__s"))
+    lvl1 = (pings.groupBy(F.col(vehicle_col), F.expr(f"unix_micros(recorded_at) div {bs} AS __b"),
+                          F.session_window("recorded_at", f"{int(gap_seconds)} seconds").alias("__s"))
                  .agg(F.expr("count(1) AS n"), F.expr("min(recorded_at) AS f"), F.expr("max(recorded_at) AS l"),
                       F.expr("min_by(named_struct('latitude', latitude, 'longitude', longitude), recorded_at) AS sp"),
                       F.expr("max_by(named_struct('latitude', latitude, 'longitude', longitude), recorded_at) AS cp")))
-    edge = (f"unix_timestamp(f) - {g} < __b * {bs} OR unix_timestamp(l) + {g} >= (__b + 1) * {bs}")
+    edge = f"unix_micros(f) - {g} < __b * {bs} OR unix_micros(l) + {g} >= (__b + 1) * {bs}"
     x = lvl1.selectExpr(v, "n", "f", "l", "sp", "cp", f"{edge} AS __edge",
                         f"CASE WHEN {edge} THEN NULL ELSE __b END AS __part")
     w = Window.partitionBy(vehicle_col, "__edge", "__part").orderBy("f")
     islands = (x.withColumn("__prev", F.lag("l").over(w))
                 .withColumn("__new", F.expr(f"CASE WHEN __prev IS NULL OR "
-                                            f"unix_timestamp(f) - unix_timestamp(__prev) > {g} THEN 1 ELSE 0 END"))
+                                            f"unix_micros(f) - unix_micros(__prev) > {g} THEN 1 ELSE 0 END"))
                 .withColumn("__isl", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    runs = (islands.groupBy(vehicle_col, "__edge", "__part", "__isl")
+    return (islands.groupBy(vehicle_col, "__edge", "__part", "__isl")
             .agg(F.expr("sum(n) AS n"), F.expr("min(f) AS f"), F.expr("max(l) AS l"),
                  F.expr("min_by(sp, f) AS sp"), F.expr("max_by(cp, l) AS cp")))
-    return runs.selectExpr(
-        v,
+
+
+def sessions(pings: DataFrame, gap_seconds: int = 30, vehicle_col: str = "gps_id",
+             bucket_seconds: int | None = None) -> DataFrame:
+    """One row per run: start/end instants, points, start and current position (see :func:`_runs`)."""
+    return _runs(pings, gap_seconds, vehicle_col, bucket_seconds).selectExpr(
+        f"`{vehicle_col}`",
         f"{ts_text_sql('f')} AS session_start",
         f"{ts_text_sql('l')} AS last_ping",
         "CAST(n AS INT) AS n_points",
-        "CAST(unix_timestamp(l) - unix_timestamp(f) AS INT) AS duration_s",
+        "CAST((unix_micros(l) - unix_micros(f)) div 1000000 AS INT) AS duration_s",
         "sp.latitude AS start_latitude", "sp.longitude AS start_longitude",
         "cp.latitude AS current_latitude", "cp.longitude AS current_longitude")
 
 
+def route_points(pings: DataFrame, gap_seconds: int = 30, vehicle_col: str = "gps_id",
+                 bucket_seconds: int | None = None) -> DataFrame:
+    """The points of every run, one row each: the run's first instant and the point's, in whose order they form the route.
+
+    A point finds its run by an equi-join on (vehicle, time bucket): a run is
+    listed under every bucket that it touches, so a busy vehicle's points
+    spread over its buckets.
+    """
+    bs = int(bucket_seconds or max(60, 2 * gap_seconds)) * 1_000_000
+    runs = _runs(pings, gap_seconds, vehicle_col, bucket_seconds).selectExpr(
+        f"`{vehicle_col}` AS __v", "f", "l", f"explode(sequence(unix_micros(f) div {bs}, unix_micros(l) div {bs})) AS __b")
+    points = pings.withColumn("__b", F.expr(f"unix_micros(recorded_at) div {bs}"))
+    return (points.join(runs, (points[vehicle_col] == runs["__v"]) & (points["__b"] == runs["__b"])
+                        & F.col("recorded_at").between(F.col("f"), F.col("l")))
+            .selectExpr(f"`{vehicle_col}`", "f AS run_start", "recorded_at", "latitude", "longitude", "speed_kmh"))
+
+
 # FIXED VALUES: popup labels of the marker feed.
 POPUP_FMT = "GPS ID: %s | Xe: %s | Tốc độ: %s km/h | Độ chính xác: %s m | Thời gian: %s"
 NA = "N/A"

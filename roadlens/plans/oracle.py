@@ -31,7 +31,13 @@ def dec_round(expr: str, scale: int) -> str:
     return f"CAST(ROUND(CAST({expr} AS DECIMAL(28,12)), {scale}) AS DOUBLE)"
 
 
-VALID_PRED = """gps_id IS NOT NULL AND timestamp IS NOT NULL
+def instant(text: str) -> str:
+    """Text to UTC instant; the one offset that occurs is taken off by hand, so no session zone plays a part."""
+    return (f"CASE WHEN {text} LIKE '%+07:00' THEN try_cast(replace({text}, '+07:00', '') AS TIMESTAMP) - INTERVAL 7 HOURS "
+            f"ELSE try_cast({text} AS TIMESTAMP) END")
+
+
+VALID_PRED = """gps_id IS NOT NULL AND timestamp IS NOT NULL AND try_cast(timestamp AS TIMESTAMP) IS NOT NULL
         AND latitude IS NOT NULL AND NOT isnan(latitude)
         AND longitude IS NOT NULL AND NOT isnan(longitude)
         AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180
@@ -52,7 +58,7 @@ clean AS (
         SELECT *, row_number() OVER (PARTITION BY gps_id, timestamp ORDER BY src_file, src_row) AS rn
         FROM valid) WHERE rn = 1),
 enr AS (
-    SELECT gps_id, gps_id AS vehicle_id, try_cast(timestamp AS TIMESTAMP) AS recorded_at,
+    SELECT gps_id, gps_id AS vehicle_id, {instant('timestamp')} AS recorded_at,
            latitude, longitude, speed_kmh, CAST(NULL AS DOUBLE) AS heading,
            NULLIF(traffic_light_id, 'unknown') AS traffic_light_id,
            day_type AS p_day_type, time_window AS p_time_window, src_file, src_row
@@ -81,59 +87,63 @@ def sched_match(tod_expr: str, mode: str) -> str:
             f" ELSE {tod_expr} >= s.start_sec OR {tod_expr} < s.end_sec END)")
 
 
-def verdict_select(stats: str, as_of: str, mode: str, collapse: bool = True) -> str:
-    """Indicators over ``stats`` (cols: traffic_light_id, time_window, day_type,
-    avg_speed, veh_count, ``as_of`` column) joined to the schedule, then D3."""
-    c, sl = seeds.SPEED_CONGESTED_KMH, seeds.SPEED_SLOW_KMH
-    body = f"""
-    SELECT r.traffic_light_id, r.{as_of} AS __as_of, {time_id('r.' + as_of)} AS time_id,
-           r.time_window, r.day_type,
-           {dec_round('r.avg_speed', 2)} AS avg_speed_kmh,
-           CAST(r.veh_count AS INTEGER) AS vehicle_count,
-           {dec_round(f'''GREATEST(0.0, LEAST(100.0, CASE WHEN r.avg_speed <= 0 THEN 100.0
-                WHEN r.avg_speed >= 50 THEN 0.0 ELSE (1.0 - r.avg_speed / 50.0) * 100.0 END))''', 1)}
-               AS congestion_level,
-           CASE WHEN r.avg_speed < {c} THEN '{seeds.LABEL_CONGESTED}'
-                WHEN r.avg_speed < {sl} THEN '{seeds.LABEL_SLOW}' ELSE '{seeds.LABEL_FREE}' END
-               AS congestion_label,
-           CAST(CASE WHEN r.avg_speed < 1 THEN 120 WHEN r.avg_speed < {c} THEN 60
-                WHEN r.avg_speed < {sl} THEN 20 ELSE 5 END AS DOUBLE) AS avg_waiting_time,
-           {dec_round(f'GREATEST(0.0, ({c} - r.avg_speed) / NULLIF(CAST({c} AS DOUBLE), 0.0) * r.veh_count)', 6)}
-               AS queue_length,
-           CAST(s.red_duration AS INTEGER) AS scheduled_red_duration,
-           COALESCE(r.veh_count >= 3 AND r.avg_speed < 5.0, FALSE) AS is_inefficient
-    FROM ({stats}) r
-    LEFT JOIN sched s ON s.traffic_light_id = r.traffic_light_id AND s.applicable_days = r.day_type
-        AND {sched_match(tod('r.' + as_of), mode)}"""
-    if collapse:
-        body = f"""
-    SELECT * EXCLUDE (rn) FROM (
-        SELECT *, row_number() OVER (PARTITION BY traffic_light_id, __as_of
-            ORDER BY vehicle_count DESC, time_window NULLS LAST, day_type NULLS LAST,
-                     scheduled_red_duration NULLS LAST) AS rn
-        FROM ({body}) v) WHERE rn = 1"""
-    cols = ", ".join(f"{ts_text('__as_of')} AS analysis_time" if x == "analysis_time" else x
-                     for x in ["traffic_light_id", "analysis_time", "time_id", "time_window", "day_type",
-                               "avg_speed_kmh", "vehicle_count", "congestion_level", "congestion_label",
-                               "avg_waiting_time", "queue_length", "scheduled_red_duration",
-                               "is_inefficient"])
-    return f"SELECT {cols} FROM ({body}) z"
+# Mean of DECIMAL speeds: exact sums, so no threshold depends on the order of addition.
+MEAN = "CAST(SUM(CAST(speed_kmh AS DECIMAL(18,6))) AS DOUBLE) / COUNT(speed_kmh)"
+
+
+def _bands() -> str:
+    """Speed bands with their label and waiting time, as a table."""
+    edges = [(-1e9, 1, seeds.LABEL_CONGESTED, 120), (1, seeds.SPEED_CONGESTED_KMH, seeds.LABEL_CONGESTED, 60),
+             (seeds.SPEED_CONGESTED_KMH, seeds.SPEED_SLOW_KMH, seeds.LABEL_SLOW, 20), (seeds.SPEED_SLOW_KMH, 1e9, seeds.LABEL_FREE, 5)]
+    rows = ", ".join(f"(CAST({lo} AS DOUBLE), CAST({hi} AS DOUBLE), '{label}', CAST({wait} AS DOUBLE))" for lo, hi, label, wait in edges)
+    return f"(VALUES {rows}) band(from_kmh, below_kmh, label, wait_s)"
+
+
+VERDICT_OUT = {
+    "traffic_light_id": "traffic_light_id", "analysis_time": ts_text("moment"), "time_id": time_id("moment"), "time_window": "time_window",
+    "day_type": "day_type", "avg_speed_kmh": dec_round("mean_kmh", 2), "vehicle_count": "CAST(vehicles AS INTEGER)",
+    "congestion_level": dec_round("least(greatest((1.0 - mean_kmh / 50.0) * 100.0, 0.0), 100.0)", 1),
+    "congestion_label": "label", "avg_waiting_time": "wait_s",
+    "queue_length": dec_round(f"greatest(({seeds.SPEED_CONGESTED_KMH} - mean_kmh) / CAST({seeds.SPEED_CONGESTED_KMH} AS DOUBLE) * vehicles, 0.0)", 6),
+    "scheduled_red_duration": "red_s", "is_inefficient": "vehicles >= 3 AND mean_kmh < 5.0",
+}
+
+
+def verdict_select(stats: str, mode: str, collapse: bool = True) -> str:
+    """Verdicts of ``stats`` (traffic_light_id, time_window, day_type, moment, mean_kmh, vehicles).
+
+    Label and waiting time are looked up in the table of speed bands, the red
+    phase in the schedule at the time of day of ``moment``.
+    """
+    columns = ", ".join(f"{e} AS {c}" for c, e in VERDICT_OUT.items())
+    one = ("QUALIFY row_number() OVER (PARTITION BY g.traffic_light_id, moment ORDER BY vehicles DESC, time_window NULLS LAST, "
+           "day_type NULLS LAST, red_s NULLS LAST) = 1") if collapse else ""
+    return f"""
+    SELECT {columns} FROM (
+        SELECT g.*, band.label, band.wait_s, CAST(s.red_duration AS INTEGER) AS red_s
+        FROM ({stats}) g
+        JOIN {_bands()} ON g.mean_kmh >= band.from_kmh AND g.mean_kmh < band.below_kmh
+        LEFT JOIN sched s ON s.applicable_days = g.day_type AND s.traffic_light_id = g.traffic_light_id
+            AND {sched_match(tod('g.moment'), mode)}
+        {one})"""
+
+
+def _per_group(source: str, at: str) -> str:
+    return f"""
+        SELECT traffic_light_id, time_window, day_type, {at} AS moment, {MEAN} AS mean_kmh, COUNT(DISTINCT gps_id) AS vehicles
+        FROM {source} WHERE traffic_light_id IS NOT NULL GROUP BY ALL"""
 
 
 def window_stats(minutes: int = 5, slide: int | None = None) -> str:
-    """Per (window end, light, time_window, day_type) stats; hopping windows
-    join each ping to every window start that covers it."""
+    """Statistics by window end; sliding windows list each ping under every window that covers it."""
     if slide is None:
-        return f"""
-        SELECT traffic_light_id, time_window, day_type,
-               time_bucket(INTERVAL {minutes} MINUTES, recorded_at) + INTERVAL {minutes} MINUTES AS w_end,
-               AVG(speed_kmh) AS avg_speed, COUNT(DISTINCT gps_id) AS veh_count
-        FROM wh WHERE traffic_light_id IS NOT NULL
-        GROUP BY ALL"""
-    k = minutes // slide
-    return f"""
-        SELECT traffic_light_id, time_window, day_type,
-               time_bucket(INTERVAL {slide} MINUTES, o.recorded_at) + to_minutes(CAST(o.i * {slide} + {slide} AS BIGINT)) AS w_end,
-               AVG(speed_kmh) AS avg_speed, COUNT(DISTINCT gps_id) AS veh_count
-        FROM (SELECT *, unnest(range({k})) AS i FROM wh WHERE traffic_light_id IS NOT NULL) o
-        GROUP BY ALL"""
+        return _per_group("wh", f"time_bucket(INTERVAL {minutes} MINUTES, recorded_at) + INTERVAL {minutes} MINUTES")
+    listed = f"(SELECT *, unnest(range({minutes // slide})) AS i FROM wh)"
+    return _per_group(listed, f"time_bucket(INTERVAL {slide} MINUTES, recorded_at) + to_minutes(CAST(i * {slide} + {slide} AS BIGINT))")
+
+
+def snapshot_stats(as_of: str, bounded: bool, minutes: int = 5) -> str:
+    """Statistics of the pings of the last minutes before ``as_of`` (and later ones, unless bounded)."""
+    ages = f"(SELECT *, TIMESTAMP '{as_of}' - recorded_at AS age FROM wh)"
+    frame = f"(SELECT * FROM {ages} WHERE age < INTERVAL {minutes} MINUTES{' AND age >= INTERVAL 0 SECONDS' if bounded else ''})"
+    return _per_group(frame, f"TIMESTAMP '{as_of}'")

@@ -31,41 +31,30 @@ def register(name: str, sql: str | None):
 # ------------------------------------------------------------------ verdicts
 
 @register("congestion_by_window", oracle.with_ctes(
-    oracle.verdict_select(oracle.window_stats(5), "w_end", "strict")))
+    oracle.verdict_select(oracle.window_stats(5), "strict")))
 def congestion_by_window(spark, sf_dir):
     """Flagship: tumbling 5-minute verdicts per light, strict schedule."""
     return congestion.windowed(base.warehouse_pings(spark, sf_dir),
-                               dimensions.light_schedule(spark), "5 minutes", mode="strict")
+                               dimensions.light_schedule(spark), 5, mode="strict")
 
 
 @register("congestion_by_window_wrap", oracle.with_ctes(
-    oracle.verdict_select(oracle.window_stats(5), "w_end", "wrap")))
+    oracle.verdict_select(oracle.window_stats(5), "wrap")))
 def congestion_by_window_wrap(spark, sf_dir):
     return congestion.windowed(base.warehouse_pings(spark, sf_dir),
-                               dimensions.light_schedule(spark), "5 minutes", mode="wrap")
+                               dimensions.light_schedule(spark), 5, mode="wrap")
 
 
 @register("congestion_hopping", oracle.with_ctes(
-    oracle.verdict_select(oracle.window_stats(5, 1), "w_end", "strict")))
+    oracle.verdict_select(oracle.window_stats(5, 1), "strict")))
 def congestion_hopping(spark, sf_dir):
     """Sliding 5-minute windows every minute (the 60 s verdict cadence)."""
     return congestion.windowed(base.warehouse_pings(spark, sf_dir),
-                               dimensions.light_schedule(spark), "5 minutes", "1 minute", mode="strict")
-
-
-def _snapshot_stats(bounded: bool) -> str:
-    upper = f" AND recorded_at <= TIMESTAMP '{base.AS_OF}'" if bounded else ""
-    return f"""
-        SELECT traffic_light_id, time_window, day_type, TIMESTAMP '{base.AS_OF}' AS as_of_ts,
-               AVG(speed_kmh) AS avg_speed, COUNT(DISTINCT gps_id) AS veh_count
-        FROM wh
-        WHERE recorded_at > TIMESTAMP '{base.AS_OF}' - INTERVAL 5 MINUTES{upper}
-          AND traffic_light_id IS NOT NULL
-        GROUP BY ALL"""
+                               dimensions.light_schedule(spark), 5, 1, mode="strict")
 
 
 @register("verdict_snapshot", oracle.with_ctes(
-    oracle.verdict_select(_snapshot_stats(True), "as_of_ts", "strict")))
+    oracle.verdict_select(oracle.snapshot_stats(base.AS_OF, True), "strict")))
 def verdict_snapshot(spark, sf_dir):
     """Verdicts at one analysis instant, pings in (as_of - 5 min, as_of]."""
     return congestion.snapshot(base.warehouse_pings(spark, sf_dir), dimensions.light_schedule(spark),
@@ -73,7 +62,7 @@ def verdict_snapshot(spark, sf_dir):
 
 
 @register("verdict_snapshot_unbounded", oracle.with_ctes(
-    oracle.verdict_select(_snapshot_stats(False), "as_of_ts", "strict", collapse=False)))
+    oracle.verdict_select(oracle.snapshot_stats(base.AS_OF, False), "strict", collapse=False)))
 def verdict_snapshot_unbounded(spark, sf_dir):
     """As the warehouse job: no upper bound, every group before the per-light collapse."""
     return congestion.snapshot(base.warehouse_pings(spark, sf_dir), dimensions.light_schedule(spark),
@@ -81,7 +70,7 @@ def verdict_snapshot_unbounded(spark, sf_dir):
 
 
 @register("verdict_snapshot_collapsed", oracle.with_ctes(
-    oracle.verdict_select(_snapshot_stats(False), "as_of_ts", "strict")))
+    oracle.verdict_select(oracle.snapshot_stats(base.AS_OF, False), "strict")))
 def verdict_snapshot_collapsed(spark, sf_dir):
     """As the warehouse job, one stored verdict per light (insert-or-ignore on the key)."""
     return congestion.snapshot(base.warehouse_pings(spark, sf_dir), dimensions.light_schedule(spark),
@@ -91,13 +80,14 @@ def verdict_snapshot_collapsed(spark, sf_dir):
 # ------------------------------------------------------------------ cleaning and enrichment
 
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 
 from roadlens.functions.timeparts import seconds_of_day, ts_text  # noqa: E402
 from roadlens.operators import clean as clean_ops  # noqa: E402
 from roadlens.operators import enrich, load, quality, trajectory  # noqa: E402
 from roadlens.operators.schedule import lookup_red  # noqa: E402
-from roadlens.sources import decode, fixtures, lake  # noqa: E402
-from roadlens.session import scratch_path  # noqa: E402
+from roadlens.sources import decode, fixtures, lake, verdict_store, warehouse  # noqa: E402
+from roadlens.session import scratch_path, stream_session  # noqa: E402
 
 RAW_COLS = ["gps_id", "timestamp", "latitude", "longitude", "speed_kmh", "traffic_light_id",
             "day_type", "time_window", "received_at", "src_file", "src_row"]
@@ -112,6 +102,7 @@ def clean_pings(spark, sf_dir):
 _REASON_SQL = """CASE
     WHEN gps_id IS NULL OR timestamp IS NULL OR latitude IS NULL OR isnan(latitude)
          OR longitude IS NULL OR isnan(longitude) THEN 'missing_field'
+    WHEN try_cast(timestamp AS TIMESTAMP) IS NULL THEN 'bad_timestamp'
     WHEN NOT latitude BETWEEN -90 AND 90 THEN 'latitude_range'
     WHEN NOT longitude BETWEEN -180 AND 180 THEN 'longitude_range'
     WHEN NOT COALESCE(speed_kmh BETWEEN 0 AND 200, FALSE) THEN 'speed_range'
@@ -131,15 +122,17 @@ def clean_rejects(spark, sf_dir):
 
 ENRICHED_OUT = ["gps_id", "vehicle_id", "recorded_at", "latitude", "longitude", "speed_kmh", "heading",
                 "traffic_light_id", "day_type", "time_window", "time_id"]
+POINT = ["geom.lon AS geom_lon", "geom.lat AS geom_lat", "geom.srid AS geom_srid"]
 
 
 def _enriched_out(df):
-    return df.select(*[ts_text(c).alias(c) if c == "recorded_at" else F.col(c) for c in ENRICHED_OUT])
+    return df.selectExpr("*", *POINT).select(
+        *[ts_text(c).alias(c) if c == "recorded_at" else F.col(c) for c in ENRICHED_OUT], "geom_lon", "geom_lat", "geom_srid")
 
 
 @register("enriched_pings", oracle.with_ctes(
-    f"SELECT * EXCLUDE (recorded_at, src_file, src_row), {oracle.ts_text('recorded_at')} AS recorded_at "
-    "FROM wh_all"))
+    f"SELECT * EXCLUDE (recorded_at, src_file, src_row), {oracle.ts_text('recorded_at')} AS recorded_at, "
+    "longitude AS geom_lon, latitude AS geom_lat, 4326 AS geom_srid FROM wh_all"))
 def enriched_pings(spark, sf_dir):
     """Warehouse rows: instant key, sentinel → NULL, derived day type, time window, time id."""
     return _enriched_out(base.warehouse_all(spark, sf_dir))
@@ -256,6 +249,32 @@ def gateway_rejects(spark, sf_dir):
         "event_id", "value", "reject_reason")
 
 
+@register("queue_roundtrip", oracle.with_ctes(f"""
+    SELECT gps_id AS key, gps_id, vehicle_id, timestamp, latitude, longitude, speed_kmh,
+           COALESCE(light_t, 'unknown') AS traffic_light_id, COALESCE(day_t, 'weekday') AS day_type,
+           COALESCE(tw_t, 'off_peak') AS time_window, '{RECEIVED_AT}' AS received_at
+    FROM dec WHERE reject_reason IS NULL""", extra=_DECODE_SQL))
+def queue_roundtrip(spark, sf_dir):
+    """Accepted requests encoded as keyed queue records and decoded again as messages: nothing changes on the way."""
+    sent = decode.encode_message(decode.accepted(_decoded(spark, sf_dir)))
+    back = decode.decode_requests(sent, speed_unit="km/h", speed_key="speed_kmh")
+    return back.filter("reject_reason IS NULL").select("key", *decode.MESSAGE_COLS)
+
+
+@register("phone_decode", oracle.with_ctes(f"""
+    SELECT src_row AS event_id, 'G' || CAST(src_row AS VARCHAR) AS gps_id, gps_id AS vehicle_id, received_at AS recorded_at,
+           {oracle.dec_round('latitude', 6)} AS latitude, {oracle.dec_round('longitude', 6)} AS longitude,
+           {oracle.dec_round(f"GREATEST(0.0, LEAST({oracle.dec_round('speed_kmh', 4)}, 200.0))", 2)} AS speed_kmh,
+           CAST(src_row % 17 AS DOUBLE) / 2.0 AS accuracy_m, COALESCE(day_type, 'weekday') AS day_type
+    FROM raw WHERE src_file = 0 AND latitude BETWEEN -90 AND 90 AND longitude IS NOT NULL"""))
+def phone_decode(spark, sf_dir):
+    """Phone payloads: speed already in km/h, accuracy kept, the zoned timestamp as a UTC instant."""
+    out = decode.decode_requests(fixtures.phone_requests(spark, sf_dir), received_at=f"'{RECEIVED_AT}'", speed_unit="km/h")
+    return out.filter("reject_reason IS NULL").selectExpr(
+        "event_id", "gps_id", "vehicle_id", "date_format(try_cast(timestamp AS TIMESTAMP), 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS recorded_at",
+        "latitude", "longitude", "speed_kmh", "accuracy_m", "day_type")
+
+
 @register("speed_normalize", f"""
     SELECT event_id, CASE WHEN isnan(value) THEN 0.0 ELSE
         {oracle.dec_round('GREATEST(0.0, LEAST(value * CAST(3.6 AS DOUBLE), 200.0))', 2)} END AS speed_kmh
@@ -269,18 +288,25 @@ def speed_normalize(spark, sf_dir):
 # ------------------------------------------------------------------ read queries over verdicts
 
 def _flagship_sql() -> str:
-    return oracle.verdict_select(oracle.window_stats(5), "w_end", "strict")
+    return oracle.verdict_select(oracle.window_stats(5), "strict")
 
 
-def _flagship(spark, sf_dir):
-    return congestion_by_window(spark, sf_dir)
+def _verdict_root(spark, sf_dir):
+    """A verdict store loaded with the verdicts of all windows."""
+    root = scratch_path(spark, "verdicts")
+    verdict_store.load(congestion_by_window(spark, sf_dir), root)
+    return root
+
+
+def _stored(spark, sf_dir):
+    return verdict_store.read(spark, _verdict_root(spark, sf_dir)).select(*congestion.VERDICT_COLS)
 
 
 @register("latest_verdicts", oracle.with_ctes(
     "SELECT * FROM v ORDER BY analysis_time DESC, traffic_light_id LIMIT 10", extra=f"v AS ({_flagship_sql()})"))
 def latest_verdicts(spark, sf_dir):
-    """Top-10 most recent verdicts (the limit is the feature; TakeOrdered, no full sort)."""
-    return _flagship(spark, sf_dir).orderBy(F.col("analysis_time").desc(), "traffic_light_id").limit(10)
+    """Top-10 most recent stored verdicts (the limit is the feature): only the newest days of the store are read."""
+    return verdict_store.latest(spark, _verdict_root(spark, sf_dir), 10)
 
 
 @register("latest_per_light", oracle.with_ctes(
@@ -288,7 +314,7 @@ def latest_verdicts(spark, sf_dir):
     "ORDER BY analysis_time DESC) AS rn FROM v) WHERE rn = 1", extra=f"v AS ({_flagship_sql()})"))
 def latest_per_light(spark, sf_dir):
     """Most recent verdict per light (max_by, partially aggregated)."""
-    v = _flagship(spark, sf_dir)
+    v = _stored(spark, sf_dir)
     rest = [c for c in v.columns if c != "traffic_light_id"]
     return (v.groupBy("traffic_light_id")
              .agg(F.max_by(F.struct(*rest), F.col("analysis_time")).alias("__v"))
@@ -299,7 +325,7 @@ def latest_per_light(spark, sf_dir):
     "SELECT * FROM v WHERE is_inefficient", extra=f"v AS ({_flagship_sql()})"))
 def inefficient_lights(spark, sf_dir):
     """Verdicts flagged inefficient (>= 3 vehicles below 5 km/h)."""
-    return _flagship(spark, sf_dir).filter("is_inefficient")
+    return _stored(spark, sf_dir).filter("is_inefficient")
 
 
 @register("by_time_window", oracle.with_ctes(
@@ -307,8 +333,8 @@ def inefficient_lights(spark, sf_dir):
     extra=f"v AS ({_flagship_sql()})"))
 def by_time_window(spark, sf_dir):
     """Verdicts of weekday peak hours."""
-    return _flagship(spark, sf_dir).filter((F.col("time_window") == "peak_hour")
-                                           & (F.col("day_type") == "weekday"))
+    return _stored(spark, sf_dir).filter((F.col("time_window") == "peak_hour")
+                                         & (F.col("day_type") == "weekday"))
 
 
 # ------------------------------------------------------------------ read queries over pings
@@ -361,7 +387,7 @@ def ping_count(spark, sf_dir):
 
 
 @register("legacy_projection", oracle.with_ctes(f"""
-    SELECT sha256(vehicle_id || '|' || {oracle.ts_text('recorded_at')}) AS legacy_id, vehicle_id,
+    SELECT sha256(vehicle_id || '|' || strftime(recorded_at, '%Y-%m-%d %H:%M:%S.%f')) AS legacy_id, vehicle_id,
            {oracle.ts_text('recorded_at')} AS timestamp, CAST(NULL AS DOUBLE) AS speed_kmh,
            CAST(NULL AS DOUBLE) AS heading, longitude, latitude
     FROM wh"""))
@@ -369,14 +395,15 @@ def legacy_projection(spark, sf_dir):
     """Legacy ping table view: stable generated id, speed and heading NULL, point columns."""
     p = base.warehouse_pings(spark, sf_dir)
     t = ts_text("recorded_at")
-    return p.select(F.sha2(F.concat_ws("|", "vehicle_id", t), 256).alias("legacy_id"), "vehicle_id",
+    instant = F.date_format("recorded_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return p.select(F.sha2(F.concat_ws("|", "vehicle_id", instant), 256).alias("legacy_id"), "vehicle_id",
                     t.alias("timestamp"), F.lit(None).cast("double").alias("speed_kmh"),
                     F.lit(None).cast("double").alias("heading"), "longitude", "latitude")
 
 
 # ------------------------------------------------------------------ trajectories
 
-SESSION_GAP_S = 600
+SESSION_GAP_S = 30
 
 
 @register("downsample_5s", oracle.with_ctes(f"""
@@ -392,7 +419,7 @@ def downsample_5s(spark, sf_dir):
 
 _SESS_SQL = f"""
 sess AS (
-    SELECT *, sum(CASE WHEN prev IS NULL OR epoch(recorded_at) - epoch(prev) > {SESSION_GAP_S}
+    SELECT *, sum(CASE WHEN prev IS NULL OR epoch_us(recorded_at) - epoch_us(prev) > {SESSION_GAP_S} * 1000000
                        THEN 1 ELSE 0 END)
               OVER (PARTITION BY gps_id ORDER BY recorded_at ROWS UNBOUNDED PRECEDING) AS sid
     FROM (SELECT *, lag(recorded_at) OVER (PARTITION BY gps_id ORDER BY recorded_at) AS prev FROM wh)),
@@ -408,7 +435,7 @@ runs AS (
            slat AS start_latitude, slon AS start_longitude, clat AS current_latitude, clon AS current_longitude
     FROM runs""", extra=_SESS_SQL))
 def route_sessions(spark, sf_dir):
-    """Per run (600 s gap sessions): start marker and current marker positions."""
+    """Per run (30 s gap sessions): start marker and current marker positions."""
     return trajectory.sessions(base.warehouse_pings(spark, sf_dir), SESSION_GAP_S).select(
         "gps_id", "session_start", "last_ping", "start_latitude", "start_longitude",
         "current_latitude", "current_longitude")
@@ -416,7 +443,7 @@ def route_sessions(spark, sf_dir):
 
 @register("run_summary", oracle.with_ctes(f"""
     SELECT gps_id, {oracle.ts_text('f')} AS session_start, {oracle.ts_text('l')} AS last_ping,
-           CAST(n AS INTEGER) AS n_points, CAST(epoch(l) - epoch(f) AS INTEGER) AS duration_s
+           CAST(n AS INTEGER) AS n_points, CAST((epoch_us(l) - epoch_us(f)) // 1000000 AS INTEGER) AS duration_s
     FROM runs""", extra=_SESS_SQL))
 def run_summary(spark, sf_dir):
     """Per run: point count, first and last ping, duration in seconds."""
@@ -424,6 +451,17 @@ def run_summary(spark, sf_dir):
         "gps_id", "session_start", "last_ping", "n_points", "duration_s")
 
 
+@register("route_points", oracle.with_ctes(f"""
+    SELECT gps_id, strftime(min(recorded_at) OVER (PARTITION BY gps_id, sid), '%Y-%m-%d %H:%M:%S.%f') AS run_start,
+           strftime(recorded_at, '%Y-%m-%d %H:%M:%S.%f') AS recorded_at, latitude, longitude, speed_kmh
+    FROM sess""", extra=_SESS_SQL))
+def route_points(spark, sf_dir):
+    """The points of every run, one row per point with its run; in order of time they are the route."""
+    micros = "date_format({0}, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS {0}"
+    return trajectory.route_points(base.warehouse_pings(spark, sf_dir), SESSION_GAP_S).selectExpr(
+        "gps_id", micros.format("run_start"), micros.format("recorded_at"), "latitude", "longitude", "speed_kmh")
+
+
 @register("marker_feed", oracle.with_ctes(f"""
     SELECT gps_id, vehicle_id, {oracle.ts_text('recorded_at')} AS recorded_at, latitude, longitude,
            printf('{trajectory.POPUP_FMT.replace("%s", "%s")}', gps_id, vehicle_id,
@@ -440,35 +478,68 @@ def marker_feed(spark, sf_dir):
 FIRST_LOAD_BEFORE = "2026-01-10 00:00:00"
 
 
+WH_ORDER = ["speed_kmh", "latitude", "longitude"]  # offered rows are unique per key here; any total order will do
+
+
 @register("load_idempotent", oracle.with_ctes(f"""
     SELECT gps_id, {oracle.ts_text('recorded_at')} AS recorded_at, speed_kmh,
            CASE WHEN recorded_at < TIMESTAMP '{FIRST_LOAD_BEFORE}' THEN 1 ELSE 2 END AS load_batch
     FROM wh"""))
 def load_idempotent(spark, sf_dir):
-    """Two overlapping loads (Friday, then everything) with insert-or-ignore on the key.
-
-    The second load re-offers every Friday row; the result holds each key once.
-    """
+    """Two overlapping loads (the first days, then everything) with insert-or-ignore on the key."""
     pings = base.warehouse_pings(spark, sf_dir)
     first = pings.filter(F.col("recorded_at") < F.to_timestamp(F.lit(FIRST_LOAD_BEFORE)))
-    added = load.insert_or_ignore(first, pings, ["gps_id", "recorded_at"])
+    added = load.insert_or_ignore(first, pings, ["gps_id", "recorded_at"], WH_ORDER)
     stored = first.withColumn("load_batch", F.lit(1)).unionByName(added.withColumn("load_batch", F.lit(2)))
     return stored.select("gps_id", ts_text("recorded_at").alias("recorded_at"), "speed_kmh", "load_batch")
 
 
-@register("verdict_load_idempotent", oracle.with_ctes(
-    f"SELECT *, CASE WHEN analysis_time <= '{FIRST_LOAD_BEFORE}' THEN 1 ELSE 2 END AS load_batch FROM v",
-    extra=f"v AS ({_flagship_sql()})"))
+@register("warehouse_load", oracle.with_ctes(
+    f"SELECT gps_id, {oracle.ts_text('recorded_at')} AS recorded_at, speed_kmh FROM wh_all"))
+def warehouse_load(spark, sf_dir):
+    """Loads into a stored table: the first days, then everything, then everything again; each key is stored once.
+
+    The offered rows are validated pings with their copies; the first copy in lake order is the one stored.
+    """
+    root = scratch_path(spark, "warehouse-load")
+    offered = enrich.enrich(clean_ops.valid(base.raw_pings(spark, sf_dir)))
+    for batch in (offered.filter(f"recorded_at < TIMESTAMP '{FIRST_LOAD_BEFORE}'"), offered, offered):
+        warehouse.load(batch, root, ["src_file", "src_row"])
+    return warehouse.read(spark, root).select("gps_id", ts_text("recorded_at").alias("recorded_at"), "speed_kmh")
+
+
+# Pings that reach the warehouse only after the first verdict run (a late device).
+LATE = "gps_id LIKE '%7'"
+
+
+@register("verdict_load_idempotent", oracle.with_ctes("""
+    SELECT *, 1 AS load_batch FROM early
+    UNION ALL
+    SELECT *, 2 AS load_batch FROM complete c
+    WHERE NOT EXISTS (SELECT 1 FROM early e WHERE e.traffic_light_id = c.traffic_light_id AND e.analysis_time = c.analysis_time)""",
+    extra=f"""
+    complete AS ({oracle.verdict_select(oracle.window_stats(5), "strict")}),
+    early AS ({oracle.verdict_select(oracle.window_stats(5).replace("FROM wh ", f"FROM (SELECT * FROM wh WHERE NOT {LATE}) "), "strict")})"""))
 def verdict_load_idempotent(spark, sf_dir):
-    """Result load, insert-or-ignore on (light, analysis_time): a run over Friday's pings, then a rerun
-    over everything; keys already stored keep their first verdict, each key is stored once."""
+    """Result store: a run without the late device's pings, then one with them. The rerun computes other verdicts for
+    keys that are stored, and the first ones stay; only new keys are added."""
+    root = scratch_path(spark, "verdicts")
     pings = base.warehouse_pings(spark, sf_dir)
     sched = dimensions.light_schedule(spark)
-    run1 = congestion.windowed(pings.filter(f"recorded_at < TIMESTAMP '{FIRST_LOAD_BEFORE}'"), sched)
-    run2 = congestion.windowed(pings, sched)
-    added = load.insert_or_ignore(run1, run2, ["traffic_light_id", "analysis_time"])
-    return (run1.selectExpr("*", "1 AS load_batch")
-            .unionByName(added.selectExpr("*", "2 AS load_batch")))
+    verdict_store.load(congestion.windowed(pings.filter(f"NOT {LATE}"), sched), root)
+    first = verdict_store.read(spark, root).drop("day")
+    keys = first.select(*verdict_store.KEY, F.lit(1).alias("first_run"))
+    keys = spark.read.schema(keys.schema).parquet(_written(keys, root + "-keys"))
+    complete = congestion.windowed(pings, sched)
+    verdict_store.load(complete, root)
+    verdict_store.load(complete, root)
+    stored = verdict_store.read(spark, root).drop("day").join(keys, verdict_store.KEY, "left")
+    return stored.select(*congestion.VERDICT_COLS, F.when(F.col("first_run") == 1, 1).otherwise(2).alias("load_batch"))
+
+
+def _written(df, path):
+    df.write.parquet(path)
+    return path
 
 
 RETENTION_AS_OF = "2026-01-17 06:00:00"
@@ -486,6 +557,21 @@ def retention_7d(spark, sf_dir):
                         (F.col("recorded_at") >= as_of - F.expr("INTERVAL 7 DAYS")).alias("retained"))
 
 
+@register("retention_store", oracle.with_ctes(f"""
+    SELECT env, gps_id, {oracle.ts_text('recorded_at')} AS recorded_at FROM wh, (VALUES ('mock'), ('prod')) e(env)
+    WHERE env = 'prod' OR recorded_at >= TIMESTAMP '{RETENTION_AS_OF}' - INTERVAL 7 DAYS"""))
+def retention_store(spark, sf_dir):
+    """The stored pings after retention: expired days are gone from the mock store, production keeps all."""
+    root = scratch_path(spark, "retention")
+    warehouse.write(base.warehouse_pings(spark, sf_dir), root)
+    out = None
+    for env in ("mock", "prod"):
+        warehouse.retain(spark, root, f"{root}-{env}", RETENTION_AS_OF, env=env)
+        part = warehouse.read(spark, f"{root}-{env}").select(F.lit(env).alias("env"), "gps_id", ts_text("recorded_at").alias("recorded_at"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _null_sql(table: str, src: str, cols) -> str:
     return " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, 'not_null:{c}' AS check_name, "
@@ -514,7 +600,7 @@ RAW_NOT_NULL = ["gps_id", "timestamp", "latitude", "longitude"]
 def constraint_report(spark, sf_dir):
     """NOT NULL / unique / CHECK / reference violations per table (0 = constraint holds)."""
     raw, wh_all, wh = base.pipeline(spark, sf_dir)
-    v = congestion.windowed(wh, dimensions.light_schedule(spark), "5 minutes", mode="strict")
+    v = congestion.windowed(wh, dimensions.light_schedule(spark), 5, mode="strict")
     parts = [
         quality.null_counts(raw, "lake_raw", RAW_NOT_NULL),
         quality.null_counts(wh, "vehicle_gps", WH_NOT_NULL),
@@ -535,6 +621,9 @@ def constraint_report(spark, sf_dir):
     SELECT 'rows_offered' AS metric, CAST(count(*) AS BIGINT) AS value FROM raw
     UNION ALL SELECT 'rows_valid', CAST(count(*) AS BIGINT) FROM valid
     UNION ALL SELECT 'rows_rejected_rule', CAST(count(*) AS BIGINT) FROM raw WHERE NOT ({oracle.VALID_PRED})
+    UNION ALL SELECT 'rows_bad_timestamp', CAST(count(*) FILTER (WHERE try_cast(timestamp AS TIMESTAMP) IS NULL AND timestamp IS NOT NULL) AS BIGINT) FROM raw
+    UNION ALL SELECT 'files_offered', CAST(count(DISTINCT src_file) AS BIGINT) FROM raw
+    UNION ALL SELECT 'rows_duplicate', (SELECT count(*) FROM valid) - (SELECT count(*) FROM wh_all)
     UNION ALL SELECT 'rows_loaded', CAST(count(*) AS BIGINT) FROM wh_all
     UNION ALL SELECT 'rows_without_light', CAST(count(*) FILTER (WHERE traffic_light_id IS NULL) AS BIGINT) FROM wh_all
     UNION ALL SELECT 'rows_unknown_light', CAST(count(*) FILTER (WHERE traffic_light_id IS NOT NULL
@@ -547,24 +636,32 @@ def load_audit(spark, sf_dir):
     reason = clean_ops.reject_reason(raw)
     m1 = load.metrics_table([("rows_offered", F.count(F.lit(1))),
                              ("rows_valid", F.count_if(reason.isNull())),
-                             ("rows_rejected_rule", F.count_if(reason.isNotNull()))], raw)
+                             ("rows_rejected_rule", F.count_if(reason.isNotNull())),
+                             ("rows_bad_timestamp", F.count_if(F.col("timestamp").isNotNull() & F.expr("try_cast(timestamp AS TIMESTAMP) IS NULL"))),
+                             ("files_offered", F.count_distinct("src_file"))], raw)
+    # copies: one row less than there are offered, for every key
+    keys = enrich.enrich(clean_ops.valid(raw)).groupBy("gps_id", "recorded_at").agg(F.count(F.lit(1)).alias("n"))
+    m1 = m1.unionByName(load.metrics_table([("rows_duplicate", F.coalesce(F.sum(F.col("n") - 1), F.lit(0)))], keys))
     flagged = enrich.flag_known_lights(wh_all, dimensions.traffic_lights(spark))
     m2 = load.metrics_table([("rows_loaded", F.count(F.lit(1))),
                              ("rows_without_light", F.count_if(F.col("traffic_light_id").isNull())),
                              ("rows_unknown_light", F.count_if(~F.col("light_known")))], flagged)
-    v = congestion.windowed(wh, dimensions.light_schedule(spark), "5 minutes", mode="strict")
+    v = congestion.windowed(wh, dimensions.light_schedule(spark), 5, mode="strict")
     m3 = load.metrics_table([("results_written", F.count(F.lit(1)))], v)
     return m1.unionByName(m2).unionByName(m3)
 
 
 # ------------------------------------------------------------------ lake
 
+# Lake partitions are by the day of reception: a ping's own timestamp may not parse.
+RECEIVED = "try_to_timestamp(received_at)"
+
+
 def _lake_from_raw(spark, sf_dir, env_col):
-    """Write the raw pings to a fresh lake folder (event-time date partitions) and read it back."""
+    """Write the raw pings to a fresh lake folder (partitions by day of reception) and read it back."""
     root = scratch_path(spark, "lake")
     raw = base.raw_pings(spark, sf_dir)
-    at = F.to_timestamp("timestamp")
-    lake.write(lake.with_partitions(raw, env_col, at), root)
+    lake.write(lake.with_partitions(raw, env_col, F.expr(RECEIVED)), root)
     return lake.read(spark, root)
 
 
@@ -574,9 +671,9 @@ _LAKE_SQL_COLS = ("gps_id, timestamp, latitude, longitude, speed_kmh, traffic_li
 
 
 @register("lake_roundtrip", oracle.with_ctes(f"""
-    SELECT {_LAKE_SQL_COLS}, 'prod' AS env, CAST(year(CAST(timestamp AS TIMESTAMP)) AS INTEGER) AS year,
-           CAST(month(CAST(timestamp AS TIMESTAMP)) AS INTEGER) AS month,
-           CAST(day(CAST(timestamp AS TIMESTAMP)) AS INTEGER) AS day
+    SELECT {_LAKE_SQL_COLS}, 'prod' AS env, CAST(year(CAST(received_at AS TIMESTAMP)) AS INTEGER) AS year,
+           CAST(month(CAST(received_at AS TIMESTAMP)) AS INTEGER) AS month,
+           CAST(day(CAST(received_at AS TIMESTAMP)) AS INTEGER) AS day
     FROM raw"""))
 def lake_roundtrip(spark, sf_dir):
     """Raw pings written to the partitioned Parquet lake and read back with the fixed schema."""
@@ -602,24 +699,18 @@ SECOND_LOAD_FROM = "2026-01-10"
 
 
 @register("lake_incremental", oracle.with_ctes(f"""
-    SELECT {_LAKE_SQL_COLS} FROM raw WHERE timestamp IS NULL OR NOT (timestamp < '{SECOND_LOAD_FROM}')"""))
+    SELECT {_LAKE_SQL_COLS} FROM raw WHERE NOT (received_at < '{SECOND_LOAD_FROM}')"""))
 def lake_incremental(spark, sf_dir):
-    """Two lake loads; the ETL run after the first one discovers only the files written since.
-
-    As the warehouse loader: a run reads the files modified after the start
-    of the previous run (the first run looks back one hour).
-    """
-    import datetime as dt
+    """Two lake loads; the ETL run after the second one reads only the files that the first run did not read."""
     root = scratch_path(spark, "lake-incr")
     raw = base.raw_pings(spark, sf_dir)
-    first = F.col("timestamp") < F.lit(SECOND_LOAD_FROM)
-    at = F.to_timestamp("timestamp")
-    lake.write(lake.with_partitions(raw.filter(first), F.lit("prod"), at), root)
-    run1_start = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    run1 = lake.new_files_since(spark, root, run1_start - dt.timedelta(hours=1))
-    run1.write.format("noop").mode("overwrite").save()
-    lake.write(lake.with_partitions(raw.filter(first.isNull() | ~first), F.lit("prod"), at), root)
-    return lake.new_files_since(spark, root, run1_start, with_order=False).select(*LAKE_COLS)
+    first = F.col("received_at") < F.lit(SECOND_LOAD_FROM)
+    for part in (first, ~first):
+        lake.write(lake.with_partitions(raw.filter(part), F.lit("prod"), F.expr(RECEIVED)), root)
+        if part is first:
+            seen = lake.new_files(spark, root, None).select("src_file").distinct()
+            seen = spark.read.schema(seen.schema).parquet(_written(seen, root + "-seen"))
+    return lake.new_files(spark, root, seen).select(*LAKE_COLS)
 
 
 @register("lake_write_metrics", oracle.with_ctes(" UNION ALL ".join(
@@ -627,21 +718,19 @@ def lake_incremental(spark, sf_dir):
 def lake_write_metrics(spark, sf_dir):
     """Load metrics observed while writing the raw pings to the lake (no second pass)."""
     raw = base.raw_pings(spark, sf_dir)
-    m = lake.write_observed(lake.with_partitions(raw, F.lit("prod"), F.to_timestamp("timestamp")),
+    m = lake.write_observed(lake.with_partitions(raw, F.lit("prod"), F.expr(RECEIVED)),
                             scratch_path(spark, "lake-obs"))
     return spark.createDataFrame([(k, int(m[k])) for k in lake.WRITE_METRICS], "metric string, value bigint")
 
 
 @register("verdict_from_store", oracle.with_ctes(
-    oracle.verdict_select(_snapshot_stats(False), "as_of_ts", "strict")))
+    oracle.verdict_select(oracle.snapshot_stats(base.AS_OF, False), "strict")))
 def verdict_from_store(spark, sf_dir):
-    """The warehouse job's snapshot read from the month-partitioned store.
+    """The warehouse job's snapshot read from the day-partitioned store.
 
-    The pings are stored under ``ym`` partitions; the trailing 5-minute frame
-    is read with the month predicate added, so only the months that can hold
-    recent rows are listed and read.
+    The trailing 5-minute frame is read with the day predicate added, so
+    only files of the days that can hold recent rows are opened.
     """
-    from roadlens.sources import warehouse
     root = scratch_path(spark, "warehouse")
     warehouse.write(base.warehouse_pings(spark, sf_dir), root)
     recent = warehouse.read_since(spark, root, f"TIMESTAMP '{base.AS_OF}' - INTERVAL 5 MINUTES")
@@ -657,10 +746,8 @@ from roadlens.streaming import pipelines  # noqa: E402
 def _ingest_run(spark, sf_dir):
     d = scratch_path(spark, "ingest")
     fixtures.gps_requests(spark, sf_dir).select("value").write.text(d + "/requests")
-    q1, q2 = pipelines.ingest(pipelines.read_text_stream(spark, d + "/requests"), d + "/lake",
-                              d + "/dead", d + "/ckpt", received_at=f"'{RECEIVED_AT}'")
-    q1.awaitTermination()
-    q2.awaitTermination()
+    requests = pipelines.read_text_stream(stream_session(spark), d + "/requests")
+    pipelines.ingest(requests, d + "/lake", d + "/dead", d + "/ckpt", received_at=f"'{RECEIVED_AT}'").awaitTermination()
     return d
 
 
@@ -683,70 +770,117 @@ def stream_dead_letters(spark, sf_dir):
     return spark.read.parquet(d + "/dead").select("value", "reject_reason")
 
 
-def _as_stream(spark, df, name):
-    """Materialise ``df`` as Parquet files and open them as a file stream."""
+BATCHES = 4
+
+
+def _stream_over(spark, df, name, start, late=None):
+    """Let ``df`` arrive in ``BATCHES`` slices of time and run a stream over it: ``start(stream, folder)`` resumes the
+    query, which is drained after each slice. Rows that satisfy ``late`` (SQL text) come in one more slice at the end.
+
+    Returns the folder; the slices are cut by the clock, so each is written by as many tasks as it has partitions.
+    """
     d = scratch_path(spark, name)
-    df.write.parquet(d + "/in")
-    return d, spark.readStream.schema(df.schema).parquet(d + "/in")
+    ends = df.selectExpr("unix_micros(min(recorded_at)) AS a", "unix_micros(max(recorded_at)) AS b").first()
+    low, span = ends["a"] or 0, (ends["b"] or 0) - (ends["a"] or 0) + 1
+    part = f"CAST((unix_micros(recorded_at) - {low}) * {BATCHES} div {span} AS INT)"
+    part = f"CASE WHEN {late} THEN {BATCHES} ELSE {part} END" if late else part
+    df.withColumn("__part", F.expr(part)).write.partitionBy("__part").parquet(d + "/all")
+    session = stream_session(spark)
+    every = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__part", T.IntegerType())])).parquet(d + "/all") if ends["a"] is not None else df.withColumn("__part", F.lit(0))
+    for k in range(BATCHES + bool(late)):
+        every.filter(f"__part = {k}").drop("__part").write.mode("append").parquet(d + "/in")
+        start(session.readStream.schema(df.schema).parquet(d + "/in"), d).awaitTermination()
+    return d
 
 
-_WM_SQL = "(SELECT max(recorded_at) FROM wh_all) - INTERVAL 10 MINUTES"
+def _append(transform):
+    """``start`` of a query that appends Parquet files."""
+    def start(stream, d):
+        return (transform(stream).writeStream.outputMode("append").format("parquet").option("path", d + "/out")
+                .option("checkpointLocation", d + "/ckpt").trigger(availableNow=True).start())
+    return start
 
 
-@register("stream_verdicts", oracle.with_ctes(
-    f"SELECT * FROM v WHERE CAST(analysis_time AS TIMESTAMP) <= {_WM_SQL}",
-    extra=f"v AS ({_flagship_sql()})"))
+def _emitted(spark, d, like):
+    return spark.read.schema(like.schema).parquet(d + "/out") if warehouse.exists(spark, d + "/out") else like.limit(0)
+
+
+def _stream_verdicts(spark, sf_dir, name, slide=None):
+    def start(stream, d):
+        session = stream.sparkSession
+        # stream-static broadcast join against the bounded light dimension (quarantine)
+        flagged = enrich.flag_known_lights(stream, dimensions.traffic_lights(session)).filter("light_known")
+        return pipelines.verdicts(flagged, dimensions.light_schedule(session), d + "/out", d + "/ckpt", slide=slide)
+
+    d = _stream_over(spark, base.warehouse_all(spark, sf_dir).drop("geom"), name, start)
+    complete = congestion.windowed(base.warehouse_pings(spark, sf_dir), dimensions.light_schedule(spark), 5, slide)
+    return pipelines.catch_up(_emitted(spark, d, complete).select(*congestion.VERDICT_COLS), complete, verdict_store.KEY)
+
+
+@register("stream_verdicts", oracle.with_ctes("SELECT * FROM v", extra=f"v AS ({_flagship_sql()})"))
 def stream_verdicts(spark, sf_dir):
-    """Streaming 5-minute verdicts (watermark 10 min, append, foreachBatch sink): closed windows."""
-    d, stream = _as_stream(spark, base.warehouse_all(spark, sf_dir).drop("geom"), "stream-verdicts")
-    # stream-static broadcast join against the bounded light dimension (quarantine)
-    flagged = enrich.flag_known_lights(stream, dimensions.traffic_lights(spark)).filter("light_known")
-    q = pipelines.verdicts(flagged, dimensions.light_schedule(spark), d + "/out", d + "/ckpt")
-    q.awaitTermination()
-    return spark.read.parquet(d + "/out").drop("batch_id")
+    """Streaming 5-minute verdicts over several micro-batches (watermark, append, foreachBatch sink), then the batch catch-up."""
+    return _stream_verdicts(spark, sf_dir, "stream-verdicts")
+
+
+@register("stream_verdicts_sliding", oracle.with_ctes(oracle.verdict_select(oracle.window_stats(5, 1), "strict")))
+def stream_verdicts_sliding(spark, sf_dir):
+    """The job's own cadence as a stream: 5-minute windows every minute."""
+    return _stream_verdicts(spark, sf_dir, "stream-sliding", slide=1)
+
+
+def _valid_stream_rows(spark, sf_dir):
+    return enrich.enrich(clean_ops.valid(base.raw_pings(spark, sf_dir))).drop("geom")
+
+
+@register("stream_load", oracle.with_ctes(
+    f"SELECT gps_id, {oracle.ts_text('recorded_at')} AS recorded_at, speed_kmh FROM wh_all"))
+def stream_load(spark, sf_dir):
+    """Streaming warehouse load: insert-or-ignore per micro-batch. Copies and pings that come late are held to the end,
+    so the stored copy is the first one and no late ping is lost; all rows are then replayed and add nothing."""
+    point = "named_struct('lon', longitude, 'lat', latitude, 'srid', 4326) AS geom"
+    rows = _valid_stream_rows(spark, sf_dir)
+
+    def start(stream, d):
+        return (stream.selectExpr("*", point).writeStream.foreachBatch(warehouse.load_batches(d + "/store", ["src_file", "src_row"]))
+                .option("checkpointLocation", d + "/ckpt").trigger(availableNow=True).start())
+
+    d = _stream_over(spark, rows, "stream-load", start, late="src_file = 1 OR gps_id LIKE '%3'")
+    replayed = spark.read.schema(rows.schema).parquet(d + "/in").selectExpr("*", point)
+    warehouse.load_batches(d + "/store", ["src_file", "src_row"])(replayed, BATCHES)
+    return warehouse.read(spark, d + "/store").select("gps_id", ts_text("recorded_at").alias("recorded_at"), "speed_kmh")
 
 
 @register("stream_dedupe", oracle.with_ctes(
     f"SELECT gps_id, {oracle.ts_text('recorded_at')} AS recorded_at FROM wh_all"))
 def stream_dedupe(spark, sf_dir):
-    """Streaming dedupe on (gps_id, recorded_at) within the watermark; keys equal the batch load."""
-    valid = enrich.enrich(clean_ops.valid(base.raw_pings(spark, sf_dir))).filter(
-        F.col("recorded_at").isNotNull()).drop("geom")
-    d, stream = _as_stream(spark, valid, "stream-dedupe")
-    q = (pipelines.dedupe(stream).writeStream.format("parquet").option("path", d + "/out")
-         .option("checkpointLocation", d + "/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(d + "/out").select("gps_id", ts_text("recorded_at").alias("recorded_at"))
+    """Streaming dedupe on (gps_id, recorded_at) within the watermark, first arrival at once; then the batch catch-up."""
+    rows = _valid_stream_rows(spark, sf_dir)
+    d = _stream_over(spark, rows, "stream-dedupe", _append(pipelines.dedupe))
+    keys = ["gps_id", "recorded_at"]
+    out = pipelines.catch_up(_emitted(spark, d, rows).select(*keys), rows.select(*keys).distinct(), keys)
+    return out.select("gps_id", ts_text("recorded_at").alias("recorded_at"))
 
 
 @register("stream_keep_first", oracle.with_ctes(
-    f"SELECT gps_id, {oracle.ts_text('recorded_at')} AS recorded_at, speed_kmh FROM wh_all "
-    f"WHERE recorded_at <= {_WM_SQL}"))
+    f"SELECT gps_id, {oracle.ts_text('recorded_at')} AS recorded_at, speed_kmh FROM wh_all"))
 def stream_keep_first(spark, sf_dir):
-    """Skew-safe streaming keep-first (append aggregation): keys closed by the watermark, first copy kept."""
-    valid = enrich.enrich(clean_ops.valid(base.raw_pings(spark, sf_dir))).filter(
-        F.col("recorded_at").isNotNull()).drop("geom")
-    d, stream = _as_stream(spark, valid, "stream-keep-first")
-    q = (pipelines.keep_first_stream(stream).writeStream.outputMode("append").format("parquet")
-         .option("path", d + "/out").option("checkpointLocation", d + "/ckpt")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(d + "/out").select(
-        "gps_id", ts_text("recorded_at").alias("recorded_at"), "speed_kmh")
+    """Skew-safe streaming keep-first (append aggregation, first copy by lake order), then the batch catch-up."""
+    rows = _valid_stream_rows(spark, sf_dir)
+    d = _stream_over(spark, rows, "stream-keep-first", _append(pipelines.keep_first_stream))
+    complete = base.warehouse_all(spark, sf_dir).select("gps_id", "recorded_at", "speed_kmh")
+    out = pipelines.catch_up(_emitted(spark, d, complete), complete, ["gps_id", "recorded_at"])
+    return out.select("gps_id", ts_text("recorded_at").alias("recorded_at"), "speed_kmh")
 
 
 @register("stream_sessions", oracle.with_ctes(f"""
     SELECT gps_id, {oracle.ts_text('f')} AS session_start, {oracle.ts_text('l')} AS last_ping,
            CAST(n AS BIGINT) AS n_points
-    FROM runs WHERE l + INTERVAL {SESSION_GAP_S} SECONDS <= {_WM_SQL.replace('wh_all', 'wh')}""",
-    extra=_SESS_SQL))
+    FROM runs""", extra=_SESS_SQL))
 def stream_sessions(spark, sf_dir):
-    """Streaming 600 s gap sessions per vehicle; sessions closed by the watermark."""
-    d, stream = _as_stream(spark, base.warehouse_pings(spark, sf_dir).drop("geom"), "stream-sessions")
-    q = (pipelines.sessions(stream, SESSION_GAP_S).writeStream.outputMode("append").format("parquet")
-         .option("path", d + "/out").option("checkpointLocation", d + "/ckpt")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(d + "/out").select(
-        "gps_id", ts_text("first_ping").alias("session_start"), ts_text("last_ping").alias("last_ping"),
-        "n_points")
+    """Streaming 30 s gap sessions per vehicle, closed by the watermark, then the batch catch-up for the open ones."""
+    pings = base.warehouse_pings(spark, sf_dir).drop("geom")
+    d = _stream_over(spark, pings, "stream-sessions", _append(lambda s: pipelines.sessions(s, SESSION_GAP_S)))
+    complete = trajectory._runs(pings, SESSION_GAP_S, "gps_id", None).selectExpr("gps_id", "f AS first_ping", "l AS last_ping", "n AS n_points")
+    out = pipelines.catch_up(_emitted(spark, d, complete), complete, ["gps_id", "first_ping"])
+    return out.select("gps_id", ts_text("first_ping").alias("session_start"), ts_text("last_ping").alias("last_ping"), "n_points")

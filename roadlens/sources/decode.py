@@ -14,8 +14,16 @@ number → ``not_a_number``; outside [-90, 90] / [-180, 180] (NaN included) →
 (``speed_unit``) and is stored as km/h clamped to [0, 200], NaN → 0, rounded
 to 2 places HALF_UP. Missing optional keys get defaults.
 
-Numbers are read as text (``"21.08"`` is accepted like ``21.08``), then cast
-with ``try_cast``; a bare ``NaN`` token comes back quoted and is unquoted first.
+The body must be one JSON object and nothing else: single quotes, or text
+after the object, make it ``malformed``. Numbers are read as text (``"21.08"``
+is accepted like ``21.08``), must look like decimal numbers or NaN/Infinity
+(``"21.0d"`` does not), then are cast with ``try_cast``; a bare ``NaN`` token
+comes back quoted and is unquoted first.
+
+The key that holds the speed and the unit it is in are separate parameters:
+the gateway sends ``speed`` in m/s, the phone ``speed`` in km/h, a queue
+message ``speed_kmh`` in km/h. The vehicle is read from ``vehicle_id`` (queue
+message) or ``device_id`` (requests).
 """
 
 from __future__ import annotations
@@ -37,8 +45,9 @@ MAX_SPEED_KMH = 200.0
 
 def _num_sql(text: str) -> str:
     """Numeric text → DOUBLE (NULL if not a number); a quoted token is unquoted first."""
-    return (f"try_cast(CASE WHEN {text} LIKE '\"%\"' THEN substring({text}, 2, length({text}) - 2) "
-            f"ELSE {text} END AS DOUBLE)")
+    plain = f"trim(CASE WHEN {text} LIKE '\"%\"' THEN substring({text}, 2, length({text}) - 2) ELSE {text} END)"
+    return (f"CASE WHEN {plain} RLIKE '^[+-]?([0-9]+\\\\.?[0-9]*|\\\\.[0-9]+)([eE][+-]?[0-9]+)?$' "
+            f"OR lower({plain}) RLIKE '^[+-]?(nan|inf|infinity)$' THEN try_cast({plain} AS DOUBLE) END")
 
 
 def speed_to_kmh_sql(v: str, unit: str = "m/s") -> str:
@@ -60,39 +69,47 @@ def _lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def decode_requests(df: DataFrame, received_at: str | None = None,
-                    speed_unit: str = "m/s", value_col: str = "value") -> DataFrame:
+def decode_requests(df: DataFrame, received_at: str | None = None, speed_unit: str = "m/s",
+                    value_col: str = "value", speed_key: str = "speed") -> DataFrame:
     """Typed message columns plus ``reject_reason`` (NULL when accepted).
 
-    ``received_at`` is SQL expression text (default: now, UTC ISO text).
-    One lenient parse per row (bare NaN allowed, like the gateway's JSON
-    reader): NULL for anything that is not a JSON object, values kept as text.
-    The parse is written inline in one projection so that subexpression
-    elimination evaluates it once per row.
+    ``received_at`` is SQL expression text (default: now, UTC ISO text). The
+    body is parsed inside a generator (``explode`` of a one-element array):
+    the optimizer neither copies a generator's input into later expressions nor
+    pushes filters on its output below it, so each row is parsed once
+    however many columns and filters use the result. The parse wraps the body
+    in an array inside an object, so that text after the body breaks the whole.
     """
-    j = f"from_json(`{value_col}`, 'map<string,string>')"
-    lat, lon = _num_sql(f"{j}['latitude']"), _num_sql(f"{j}['longitude']")
-    spd_t = f"{j}['speed']" if speed_unit == "m/s" else f"{j}['speed_kmh']"
-    spd = _num_sql(spd_t)
+    wrapped = f"concat('{{\"v\": [', `{value_col}`, ']}}')"
+    parse = f"from_json({wrapped}, 'v array<map<string,string>>', map('allowSingleQuotes', 'false')).v"
+    parsed = df.selectExpr("*", f"explode(array({parse})) AS __parsed")
+    j = "__j"
+    lat, lon = "__lat", "__lon"
+    body = parsed.selectExpr(*[f"`{c}`" for c in df.columns],
+                             "explode(array(CASE WHEN size(__parsed) = 1 THEN __parsed[0] END)) AS __j")
+    fields = body.selectExpr("*", f"{_num_sql(j + '[' + _lit('latitude') + ']')} AS __lat",
+                             f"{_num_sql(j + '[' + _lit('longitude') + ']')} AS __lon",
+                             f"{_num_sql(j + '[' + _lit(speed_key) + ']')} AS __spd")
     missing = " OR ".join(f"{j}['{k}'] IS NULL" for k in ("gps_id", "timestamp", "latitude", "longitude"))
     reason = (f"CASE WHEN {j} IS NULL THEN 'malformed' WHEN size({j}) = 0 THEN 'empty' "
               f"WHEN {missing} THEN 'missing_field' "
               f"WHEN {lat} IS NULL OR {lon} IS NULL THEN 'not_a_number' "
               f"WHEN NOT ({lat} BETWEEN -90 AND 90 AND {lon} BETWEEN -180 AND 180) THEN 'coordinates' "
-              f"WHEN {spd_t} IS NOT NULL AND {spd} IS NULL THEN 'not_a_number' END")
+              f"WHEN {j}[{_lit(speed_key)}] IS NOT NULL AND __spd IS NULL THEN 'not_a_number' END")
     rec = received_at or "date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX\")"
-    return df.selectExpr(
-        "*",
+    return fields.selectExpr(
+        *[f"`{c}`" for c in df.columns],
         f"{j}['gps_id'] AS gps_id",
-        f"{j}['device_id'] AS vehicle_id",
+        f"coalesce({j}['vehicle_id'], {j}['device_id']) AS vehicle_id",
         f"{j}['timestamp'] AS timestamp",
         f"{lat} AS latitude",
         f"{lon} AS longitude",
-        f"coalesce({speed_to_kmh_sql(spd, speed_unit)}, 0.0D) AS speed_kmh",
+        f"coalesce({speed_to_kmh_sql('__spd', speed_unit)}, 0.0D) AS speed_kmh",
         f"coalesce({j}['traffic_light_id'], {_lit(DEFAULT_LIGHT)}) AS traffic_light_id",
         f"coalesce({j}['day_type'], {_lit(DEFAULT_DAY_TYPE)}) AS day_type",
         f"coalesce({j}['time_window'], {_lit(DEFAULT_TIME_WINDOW)}) AS time_window",
         f"coalesce({j}['received_at'], {rec}) AS received_at",
+        f"{_num_sql(j + '[' + _lit('accuracy_m') + ']')} AS accuracy_m",
         f"{reason} AS reject_reason",
     )
 

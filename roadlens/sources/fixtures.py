@@ -1,12 +1,15 @@
 """Raw lake pings derived from the ``events`` table.
 
-``events`` covers January 2024 (outside the time dimension) and is too thin
-for 5-minute windows, so it is folded onto Friday 2026-01-09 (odd days) and
-Saturday 2026-01-10 (even days), keeping each event's time of day. The rule is
-deterministic and row-local (no shuffle), and the same rule is written once in
-Spark and once in SQL for the oracle. Every ``event_id % 50 = 0`` row appears a
-second time as a later copy (``src_file`` 1) with speed + 1, which the
-keep-first dedupe must drop.
+``events`` covers January 2024, outside the time dimension, so instants are
+shifted by 735 days: 105 whole weeks, which keeps weekdays and times of day.
+Each event becomes one collection run of its user's device: seven pings, one
+every five seconds, with the event's microseconds kept. The keys grow with the
+table (no two events are folded onto one key); only the injected copies are
+duplicates. The rule is deterministic and row-local (no shuffle), and is
+written once in Spark and once in SQL for the oracle. Every 50th ping appears
+a second time as a later copy (``src_file`` 1) with speed + 1, which the
+keep-first dedupe must drop; other pings carry broken values, among them
+timestamps that do not parse and timestamps with an offset.
 
 Output is the lake ping layout (timestamp as text) plus the two ordering
 columns ``src_file`` and ``src_row`` that define "first" for dedupe.
@@ -19,10 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from roadlens.sources import seeds
 
 # FIXED VALUES of the fixture rule (also spelled out in FIXTURES.md §3)
-GPS_ID_BASE = 1763886879
-N_VEHICLES = 50
+SHIFT_DAYS = 735
+RUN_POINTS, STEP_SECONDS = 7, 5
 LAT_MULT, LON_MULT, JITTER_MOD, JITTER_HALF = 7919, 104729, 4001, 2000
-FRIDAY, SATURDAY = "2026-01-09", "2026-01-10"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,38 +40,40 @@ def _light_attr_sql(idx: int) -> str:
 def gps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lake pings, one scan of ``events``.
 
-    The later copies of every ``event_id % 50 = 0`` row come from a generator
-    on the same scan (``explode`` of ``[0, 1]`` instead of ``[0]``), so the
-    table is read once however many copies there are. All rules are SQL
-    expression text: one JVM call for the whole projection.
+    The points of a run and the later copies come from generators on the same
+    scan, so the table is read once. All rules are SQL expression text: one
+    JVM call for the whole projection.
     """
     peak = ", ".join(str(h) for h in seeds.PEAK_HOURS)
-    is_peak = f"hour(ts) IN ({peak})"
-    odd_day = "dayofmonth(ts) % 2 = 1"
-    stamp = f"concat(CASE WHEN {odd_day} THEN '{FRIDAY}' ELSE '{SATURDAY}' END, ' ', date_format(ts, 'HH:mm:ss'))"
-    jitter_lat = f"((event_id * {LAT_MULT}) % {JITTER_MOD} - {JITTER_HALF}) / 1000000.0D"
-    jitter_lon = f"((event_id * {LON_MULT}) % {JITTER_MOD} - {JITTER_HALF}) / 1000000.0D"
-    speed = (f"CASE WHEN event_id % 107 = 3 THEN -1.0D WHEN {is_peak} THEN value * 0.125D "
-             "ELSE value * 0.5D END")
+    is_peak = f"hour(at) IN ({peak})"
+    weekday = "dayofweek(at) NOT IN (1, 7)"
+    plain = "date_format(at, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
+    offset = "concat(date_format(at + INTERVAL 7 HOURS, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+07:00')"
+    jitter_lat = f"((event_id * {LAT_MULT}) % {JITTER_MOD} - {JITTER_HALF} + k * 20) / 1000000.0D"
+    jitter_lon = f"((event_id * {LON_MULT}) % {JITTER_MOD} - {JITTER_HALF} + k * 20) / 1000000.0D"
+    speed = (f"CASE WHEN src_row % 107 = 3 THEN -1.0D WHEN {is_peak} THEN value * 0.125D + k * 0.25D "
+             "ELSE value * 0.5D + k * 0.25D END")
     return (events(spark, sf_dir)
-            .selectExpr("event_id", "ts", "user_id", "value",
-                        "explode(CASE WHEN event_id % 50 = 0 THEN array(0, 1) ELSE array(0) END) AS src_file")
+            .selectExpr("event_id", "ts", "user_id", "value", f"explode(sequence(0, {RUN_POINTS - 1})) AS k")
+            .selectExpr("event_id", "user_id", "value", "k", f"event_id * {RUN_POINTS} + k AS src_row",
+                        f"CAST(ts AS TIMESTAMP) + make_interval(0, 0, 0, {SHIFT_DAYS}, 0, 0, k * {STEP_SECONDS}) AS at")
+            .selectExpr("*", "explode(CASE WHEN src_row % 50 = 0 THEN array(0, 1) ELSE array(0) END) AS src_file")
             .selectExpr(
-                f"concat('GPS_', CAST({GPS_ID_BASE} + user_id % {N_VEHICLES} AS STRING)) AS gps_id",
-                f"{stamp} AS timestamp",
-                "CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS DOUBLE) WHEN event_id % 101 = 1 THEN 91.0D "
-                f"WHEN event_id % 103 = 2 THEN 0.0D ELSE {_light_attr_sql(3)} + {jitter_lat} END AS latitude",
-                f"CASE WHEN event_id % 103 = 2 THEN 0.0D ELSE {_light_attr_sql(4)} + {jitter_lon} END AS longitude",
+                "concat('GPS_', CAST(user_id AS STRING)) AS gps_id",
+                f"CASE WHEN src_row % 109 = 7 THEN 'junk' WHEN src_row % 13 = 4 THEN {offset} ELSE {plain} END AS timestamp",
+                "CASE WHEN src_row % 97 = 0 THEN CAST(NULL AS DOUBLE) WHEN src_row % 101 = 1 THEN 91.0D "
+                f"WHEN src_row % 103 = 2 THEN 0.0D ELSE {_light_attr_sql(3)} + {jitter_lat} END AS latitude",
+                f"CASE WHEN src_row % 103 = 2 THEN 0.0D ELSE {_light_attr_sql(4)} + {jitter_lon} END AS longitude",
                 f"CASE WHEN src_file = 1 THEN ({speed}) + 1.0D ELSE {speed} END AS speed_kmh",
                 "CASE WHEN event_id % 23 = 0 THEN 'unknown' WHEN event_id % 211 = 5 THEN 'TL999' "
                 "ELSE concat('TL00', CAST(event_id % 5 + 1 AS STRING)) END AS traffic_light_id",
-                f"CASE WHEN event_id % 3 = 0 THEN CAST(NULL AS STRING) WHEN {odd_day} THEN 'weekday' "
+                f"CASE WHEN event_id % 3 = 0 THEN CAST(NULL AS STRING) WHEN {weekday} THEN 'weekday' "
                 "ELSE 'weekend' END AS day_type",
                 f"CASE WHEN event_id % 4 = 0 THEN CAST(NULL AS STRING) WHEN {is_peak} THEN 'peak_hour' "
                 "ELSE 'off_peak' END AS time_window",
-                f"{stamp} AS received_at",
+                f"{plain} AS received_at",
                 "src_file",
-                "event_id AS src_row",
+                "src_row",
             ))
 
 
@@ -81,33 +85,35 @@ def _sql_light_case(idx: int) -> str:
 
 def sql_gps_raw() -> str:
     peak = ", ".join(str(x) for x in seeds.PEAK_HOURS)
-    jlat = f"CAST((event_id * {LAT_MULT}) % {JITTER_MOD} - {JITTER_HALF} AS DOUBLE) / CAST(1000000 AS DOUBLE)"
-    jlon = f"CAST((event_id * {LON_MULT}) % {JITTER_MOD} - {JITTER_HALF} AS DOUBLE) / CAST(1000000 AS DOUBLE)"
-    stamp = (f"(CASE WHEN day(ts) % 2 = 1 THEN '{FRIDAY}' ELSE '{SATURDAY}' END)"
-             " || ' ' || strftime(ts, '%H:%M:%S')")
+    jlat = f"CAST((event_id * {LAT_MULT}) % {JITTER_MOD} - {JITTER_HALF} + k * 20 AS DOUBLE) / CAST(1000000 AS DOUBLE)"
+    jlon = f"CAST((event_id * {LON_MULT}) % {JITTER_MOD} - {JITTER_HALF} + k * 20 AS DOUBLE) / CAST(1000000 AS DOUBLE)"
     base = f"""
-    SELECT 'GPS_' || CAST({GPS_ID_BASE} + user_id % {N_VEHICLES} AS VARCHAR) AS gps_id,
-           {stamp} AS timestamp,
-           CASE WHEN event_id % 97 = 0 THEN CAST(NULL AS DOUBLE)
-                WHEN event_id % 101 = 1 THEN CAST(91.0 AS DOUBLE)
-                WHEN event_id % 103 = 2 THEN CAST(0.0 AS DOUBLE)
+    SELECT 'GPS_' || CAST(user_id AS VARCHAR) AS gps_id,
+           CASE WHEN src_row % 109 = 7 THEN 'junk'
+                WHEN src_row % 13 = 4 THEN strftime(pt + INTERVAL 7 HOURS, '%Y-%m-%dT%H:%M:%S.%f') || '+07:00'
+                ELSE strftime(pt, '%Y-%m-%d %H:%M:%S.%f') END AS timestamp,
+           CASE WHEN src_row % 97 = 0 THEN CAST(NULL AS DOUBLE)
+                WHEN src_row % 101 = 1 THEN CAST(91.0 AS DOUBLE)
+                WHEN src_row % 103 = 2 THEN CAST(0.0 AS DOUBLE)
                 ELSE {_sql_light_case(3)} + {jlat} END AS latitude,
-           CASE WHEN event_id % 103 = 2 THEN CAST(0.0 AS DOUBLE)
+           CASE WHEN src_row % 103 = 2 THEN CAST(0.0 AS DOUBLE)
                 ELSE {_sql_light_case(4)} + {jlon} END AS longitude,
-           CASE WHEN event_id % 107 = 3 THEN CAST(-1.0 AS DOUBLE)
-                WHEN hour(ts) IN ({peak}) THEN value * CAST(0.125 AS DOUBLE)
-                ELSE value * CAST(0.5 AS DOUBLE) END AS speed_kmh,
+           CASE WHEN src_row % 107 = 3 THEN CAST(-1.0 AS DOUBLE)
+                WHEN hour(pt) IN ({peak}) THEN value * CAST(0.125 AS DOUBLE) + k * CAST(0.25 AS DOUBLE)
+                ELSE value * CAST(0.5 AS DOUBLE) + k * CAST(0.25 AS DOUBLE) END AS speed_kmh,
            CASE WHEN event_id % 23 = 0 THEN 'unknown'
                 WHEN event_id % 211 = 5 THEN 'TL999'
                 ELSE 'TL00' || CAST(1 + event_id % 5 AS VARCHAR) END AS traffic_light_id,
            CASE WHEN event_id % 3 = 0 THEN NULL
-                WHEN day(ts) % 2 = 1 THEN 'weekday' ELSE 'weekend' END AS day_type,
+                WHEN dayofweek(pt) NOT IN (0, 6) THEN 'weekday' ELSE 'weekend' END AS day_type,
            CASE WHEN event_id % 4 = 0 THEN NULL
-                WHEN hour(ts) IN ({peak}) THEN 'peak_hour' ELSE 'off_peak' END AS time_window,
-           {stamp} AS received_at,
+                WHEN hour(pt) IN ({peak}) THEN 'peak_hour' ELSE 'off_peak' END AS time_window,
+           strftime(pt, '%Y-%m-%d %H:%M:%S.%f') AS received_at,
            0 AS src_file,
-           event_id AS src_row
-    FROM events"""
+           src_row
+    FROM (SELECT event_id, user_id, value, k, event_id * {RUN_POINTS} + k AS src_row,
+                 CAST(ts AS TIMESTAMP) + INTERVAL {SHIFT_DAYS} DAYS + to_seconds(k * {STEP_SECONDS}) AS pt
+          FROM (SELECT *, unnest(range({RUN_POINTS})) AS k FROM events) e) p"""
     return f"""
     SELECT * FROM ({base}) b
     UNION ALL
@@ -118,12 +124,13 @@ def sql_gps_raw() -> str:
 
 # ---------------------------------------------------------------- JSON requests
 #
-# Gateway request bodies built from the same pings, one per event (the first
-# copy). ``case = event_id % 37`` injects the decode cases: 0 not JSON, 1 a
+# Gateway request bodies built from the same pings, one per ping (the first
+# copy). ``case = src_row % 37`` injects the decode cases: 0 not JSON, 1 a
 # JSON array, 2 an empty object, 3 longitude absent, 4 gps_id null, 5
 # latitude as a numeric string, 6 latitude "abc", 7 latitude 90.5, 8 speed
 # "abc", 9 speed absent, 10 speed null, 11 an extra accuracy_m key, 12 speed
-# 60 m/s, 13 speed -3 m/s; otherwise a regular body. Numbers are written as
+# 60 m/s, 13 speed -3 m/s, 14 single quotes, 15 text after the object, 16
+# latitude "21.0d"; otherwise a regular body. Numbers are written as
 # fixed-scale DECIMAL text after a HALF_UP round so both engines print the same
 # text. Keys with NULL payload values are left out (absent → default).
 REQUEST_CASES = 37
@@ -151,7 +158,7 @@ def gps_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     case = f"(src_row % {REQUEST_CASES})"
     lat_v = (f"CASE WHEN {case} = 5 THEN {_q(_fmt_sql('latitude', 6))} WHEN {case} = 6 THEN '\"abc\"' "
-             f"WHEN {case} = 7 THEN '90.5' ELSE {_fmt_sql('latitude', 6)} END")
+             f"WHEN {case} = 7 THEN '90.5' WHEN {case} = 16 THEN '\"21.0d\"' ELSE {_fmt_sql('latitude', 6)} END")
     speed_v = (f"CASE WHEN {case} = 8 THEN '\"abc\"' WHEN {case} = 9 THEN CAST(NULL AS STRING) "
                f"WHEN {case} = 10 THEN 'null' WHEN {case} = 12 THEN '60' WHEN {case} = 13 THEN '-3' "
                f"ELSE {_fmt_sql('speed_kmh / 3.6D', 4)} END")
@@ -169,6 +176,7 @@ def gps_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     body = f"concat('{{', concat_ws(', ', {', '.join(parts)}), '}}')"
     value = (f"CASE WHEN {case} = 0 THEN '{{bad' WHEN {case} = 1 THEN '[1]' WHEN {case} = 2 THEN '{{}}' "
+             f"WHEN {case} = 14 THEN replace({body}, '\"', chr(39)) WHEN {case} = 15 THEN concat({body}, ' trailing') "
              f"ELSE {body} END")
     return (gps_raw(spark, sf_dir).filter("src_file = 0")
             .selectExpr("src_row AS event_id", f"{value} AS value"))
@@ -181,7 +189,7 @@ def sql_gps_requests() -> str:
 
     case = f"(src_row % {REQUEST_CASES})"
     lat_v = (f"CASE WHEN {case} = 5 THEN '\"' || {fmt('latitude', 6)} || '\"' "
-             f"WHEN {case} = 6 THEN '\"abc\"' WHEN {case} = 7 THEN '90.5' ELSE {fmt('latitude', 6)} END")
+             f"WHEN {case} = 6 THEN '\"abc\"' WHEN {case} = 7 THEN '90.5' WHEN {case} = 16 THEN '\"21.0d\"' ELSE {fmt('latitude', 6)} END")
     speed_v = (f"CASE WHEN {case} = 8 THEN '\"abc\"' WHEN {case} = 9 THEN NULL "
                f"WHEN {case} = 10 THEN 'null' WHEN {case} = 12 THEN '60' WHEN {case} = 13 THEN '-3' "
                f"ELSE {fmt('speed_kmh / CAST(3.6 AS DOUBLE)', 4)} END")
@@ -201,5 +209,18 @@ def sql_gps_requests() -> str:
     return f"""
     SELECT src_row AS event_id,
            CASE WHEN {case} = 0 THEN '{{bad' WHEN {case} = 1 THEN '[1]' WHEN {case} = 2 THEN '{{}}'
+                WHEN {case} = 14 THEN replace({body}, '"', chr(39)) WHEN {case} = 15 THEN {body} || ' trailing'
                 ELSE {body} END AS value
     FROM ({sql_gps_raw()}) r WHERE src_file = 0"""
+
+
+# ---------------------------------------------------------------- phone payloads
+
+def phone_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(event_id, value)`` with the body the phone sends: speed in km/h under ``speed``, ``accuracy_m``, a zoned timestamp."""
+    zoned = "concat(date_format(to_timestamp(received_at) + INTERVAL 7 HOURS, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+07:00')"
+    parts = [_kv("gps_id", _q("concat('G', CAST(src_row AS STRING))")), _kv("device_id", _q("gps_id")), _kv("timestamp", _q(zoned)),
+             _kv("latitude", _fmt_sql("latitude", 6)), _kv("longitude", _fmt_sql("longitude", 6)),
+             _kv("speed", _fmt_sql("speed_kmh", 4)), _kv("accuracy_m", _fmt_sql("src_row % 17 / 2.0D", 1)), _kv("day_type", _q("day_type"))]
+    return (gps_raw(spark, sf_dir).filter("src_file = 0")
+            .selectExpr("src_row AS event_id", f"concat('{{', concat_ws(', ', {', '.join(parts)}), '}}') AS value"))

@@ -1,11 +1,12 @@
 """Parquet ping lake: ``<root>/env=<env>/year=YYYY/month=MM/day=DD/*.parquet``.
 
 Writing: rows carry an ``env`` (``prod`` / ``mock``) and the date of the
-partition (processing time by default, event time optionally); month and day
-are zero-padded text as in the lake layout. Writes range-partition on the
-partition columns (plus device and time) first so each task writes one large
-file instead of the many small ones a record-count flush would produce;
-``maxRecordsPerFile`` caps file size.
+partition (processing time by default, another instant optionally); month and
+day are zero-padded text as in the lake layout. A value that cannot be cast to
+its column's type becomes NULL, which validation reports; it does not end the
+job. Writes rebalance on the partition columns first: AQE then makes one task
+of many small partitions and several of a large day, so files have the advisory
+size; ``maxRecordsPerFile`` caps them.
 
 Reading: an explicit schema (never inference), partition values typed, and
 the file name plus the row position kept as the ``src_file`` / ``src_row``
@@ -41,7 +42,7 @@ READ_SCHEMA = T.StructType(LAKE_SCHEMA.fields + [
 
 def _aligned(columns) -> list[Column]:
     cols = set(columns)
-    return [(F.col(f.name) if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
+    return [(F.col(f.name) if f.name in cols else F.lit(None)).try_cast(f.dataType).alias(f.name)
             for f in LAKE_SCHEMA.fields]
 
 
@@ -64,22 +65,16 @@ def with_partitions(df: DataFrame, env: Column | str, at: Column | None = None)
                      F.date_format(t, "dd").alias("day"))
 
 
-def write(df: DataFrame, root: str, partitions: int | None = None, max_records_per_file: int = 5_000_000,
-          mode: str = "append", spread_col: str = "gps_id", observe: tuple | None = None) -> None:
+def write(df: DataFrame, root: str, max_records_per_file: int = 5_000_000,
+          mode: str = "append", observe: tuple | None = None) -> None:
     """Append to the lake.
 
-    Rows are range-partitioned on the partition columns plus (``spread_col``,
-    ``timestamp``) into ``partitions`` slices (default
-    ``spark.sql.shuffle.partitions``, sized from the input on clusters) and
-    sorted inside each: every task writes one contiguous slice, so about one
-    file per task, a busy day is written by many tasks, and a device holding
-    a third of all rows is split by time. ``observe`` = (Observation,
-    expressions) attaches load metrics after the range exchange, so the range
-    partitioner's sampling pass does not count rows.
+    The ``rebalance`` hint deals rows by the partition columns; AQE sizes the
+    tasks by their bytes (small days together, a large day split), without a
+    sampling pass over the input. ``observe`` = (Observation, expressions)
+    attaches load metrics after that exchange, so they count each row once.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*PARTITIONS, spread_col, "timestamp"]
-    out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    out = df.hint("rebalance", *PARTITIONS).sortWithinPartitions(*PARTITIONS, "timestamp", "gps_id")
     if observe:
         out = out.observe(observe[0], *observe[1])
     (out.write.mode(mode)
@@ -111,16 +106,16 @@ def write_observed(df: DataFrame, root: str, metrics: dict[str, str] | None = No
     return dict(obs.get)
 
 
-def new_files_since(spark: SparkSession, root: str, since, env: str | None = None,
-                    with_order: bool = True) -> DataFrame:
-    """Incremental discovery: rows of the lake files modified strictly after ``since``.
+def new_files(spark: SparkSession, root: str, seen: DataFrame | None, since=None, env: str | None = None) -> DataFrame:
+    """Rows of the lake files that no earlier run has read, with their file's path in ``src_file``.
 
-    ``since`` is a UTC ``datetime``; the file listing is filtered by
-    modification time before any file is opened (``modifiedAfter``), as an
-    ETL run that remembers the start of the previous run.
+    ``seen`` has the paths that earlier runs read (column ``src_file``); the
+    anti-join makes discovery exact, however late a file was committed. ``since`` (a UTC ``datetime``) only
+    narrows the listing: the files modified after it, chosen early enough to
+    cover the longest write.
     """
-    return read(spark, root, env=env, with_order=with_order,
-                modified_after=since.strftime("%Y-%m-%dT%H:%M:%S.%f"))
+    rows = read(spark, root, env=env, modified_after=since.strftime("%Y-%m-%dT%H:%M:%S.%f") if since else None)
+    return rows if seen is None else rows.join(seen.select("src_file").distinct(), "src_file", "left_anti")
 
 
 def read(spark: SparkSession, root: str, env: str | None = None,

@@ -1,23 +1,26 @@
-"""Month-partitioned warehouse store of enriched pings (``vehicle_gps``).
-
-The warehouse table is range-partitioned by month; here that is a Parquet
-table partitioned by ``ym`` (``yyyymm`` as INT) derived from ``recorded_at``.
-A filter on ``recorded_at`` alone does not prune a derived partition column,
-so :func:`read_since` adds the matching ``ym`` predicate itself: only the
-months that can hold rows after ``since`` are listed and read
-(``PartitionFilters`` in the plan), then the exact instant filter runs on
-those files (and reaches the Parquet reader as a pushed filter).
-
-Writes range-partition each month over many tasks (as many as the shuffle has
-partitions by default), one contiguous, sorted slice per task.
+"""Day-partitioned warehouse store of enriched pings (``vehicle_gps``) and its loads.
+
+The table is a Parquet folder partitioned by ``ymd`` (``yyyymmdd`` as INT)
+derived from ``recorded_at``, rows in order of time inside each file. A filter on
+``recorded_at`` alone does not prune a derived partition column, so
+:func:`read_since` adds the matching ``ymd`` predicate: the folder's partitions
+are listed, files of other days are not opened (``PartitionFilters`` in the
+plan), and row groups of other hours are skipped by their time range.
+
+:func:`load` is insert-or-ignore against the stored keys. Parquet has no
+transactions, so a table has one writer at a time; a load that is repeated adds nothing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from roadlens.operators.enrich import WAREHOUSE_COLS
+from roadlens.operators.joins import keep_first
+from roadlens.operators.load import insert_or_ignore
 
 POINT = T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType()),
                       T.StructField("srid", T.IntegerType(), False)])
@@ -34,42 +37,37 @@ SCHEMA = T.StructType([
     T.StructField("day_type", T.StringType()),
     T.StructField("time_window", T.StringType()),
     T.StructField("time_id", T.IntegerType()),
-    T.StructField("ym", T.IntegerType()),
+    T.StructField("ymd", T.IntegerType()),
 ])
 
 
-def ym_sql(ts: str) -> str:
-    """Month partition value ``yyyymm`` of an instant."""
-    return f"(year({ts}) * 100 + month({ts}))"
+KEY = ["gps_id", "recorded_at"]
 
 
-def write(pings: DataFrame, root: str, partitions: int | None = None,
-          max_records_per_file: int = 5_000_000, mode: str = "append") -> None:
-    """Append warehouse rows (the enriched ping columns) under ``ym=yyyymm`` folders.
+def ymd_sql(ts: str) -> str:
+    """Day partition value ``yyyymmdd`` of an instant."""
+    return f"(year({ts}) * 10000 + month({ts}) * 100 + day({ts}))"
 
-    Rows are range-partitioned on (ym, gps_id, recorded_at) into
-    ``partitions`` slices (default ``spark.sql.shuffle.partitions``, which
-    cluster runs size from the input, see ``roadlens.session.size_for_input``)
-    and sorted inside each slice:
 
-    * each task writes one contiguous slice, so about one file per task (two
-      at a month boundary), balanced by the range partitioner's sample, instead
-      of one file per (task, month) as a hash layout gives;
-    * a vehicle holding a third of all rows is split across slices by time,
-      never written by one task;
-    * row groups are clustered by vehicle and time, so their min/max
-      statistics prune reads by ``gps_id`` or ``recorded_at``.
+def write(pings: DataFrame, root: str, max_records_per_file: int = 5_000_000, mode: str = "append") -> None:
+    """Write warehouse rows under ``ymd=yyyymmdd`` folders.
 
-    The sample reads the upstream's last shuffle output once more, not the
-    whole pipeline. ``maxRecordsPerFile`` caps file size.
+    Rows are rebalanced by day (AQE makes tasks, and so files, of the advisory
+    size: a busy day is split over tasks, quiet days share one) and sorted by
+    time, so a read of a few minutes touches few row groups.
     """
-    n = partitions or int(pings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (pings.selectExpr(*WAREHOUSE_COLS, f"{ym_sql('recorded_at')} AS ym")
-          .repartitionByRange(n, "ym", "gps_id", "recorded_at")
-          .sortWithinPartitions("ym", "gps_id", "recorded_at")
+    (pings.selectExpr(*WAREHOUSE_COLS, f"{ymd_sql('recorded_at')} AS ymd")
+          .hint("rebalance", "ymd")
+          .sortWithinPartitions("ymd", "recorded_at", "gps_id")
           .write.mode(mode)
           .option("maxRecordsPerFile", max_records_per_file)
-          .partitionBy("ym").parquet(root))
+          .partitionBy("ymd").parquet(root))
+
+
+def exists(spark: SparkSession, root: str) -> bool:
+    """Whether the store's folder is there, on whatever file system it names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def read(spark: SparkSession, root: str) -> DataFrame:
@@ -77,10 +75,47 @@ def read(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_since(spark: SparkSession, root: str, since: str) -> DataFrame:
-    """Rows with ``recorded_at > since`` (SQL timestamp expression text), months pruned.
+    """Rows with ``recorded_at > since`` (SQL timestamp expression text), days pruned.
 
     ``since`` is evaluated once (a constant such as
-    ``TIMESTAMP '2026-01-09 08:30:00' - INTERVAL 5 MINUTES``), so the ``ym``
+    ``TIMESTAMP '2026-01-09 08:30:00' - INTERVAL 5 MINUTES``), so the ``ymd``
     bound is a literal partition predicate.
     """
-    return read(spark, root).filter(f"ym >= {ym_sql(f'({since})')} AND recorded_at > ({since})")
+    return read(spark, root).filter(f"ymd >= {ymd_sql(f'({since})')} AND recorded_at > ({since})")
+
+
+def load(offered: DataFrame, root: str, order: Sequence[str]) -> None:
+    """Append the offered pings whose key is not stored yet: the first copy of each key by ``order``.
+
+    Only the days between the batch's first and last ping are read of the store.
+    """
+    spark = offered.sparkSession
+    if exists(spark, root):
+        days = offered.selectExpr(f"min({ymd_sql('recorded_at')}) AS a", f"max({ymd_sql('recorded_at')}) AS b").first()
+        if days["a"] is None:
+            return
+        stored = read(spark, root).filter(f"ymd BETWEEN {days['a']} AND {days['b']}")
+        offered = insert_or_ignore(stored, offered, KEY, order)
+    else:
+        offered = keep_first(offered, KEY, list(order))
+    write(offered, root)
+
+
+def load_batches(root: str, order: Sequence[str]):
+    """``foreachBatch`` body of a streaming load.
+
+    There is no watermark: a ping that comes late is stored like any other, and a replayed batch adds nothing.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        load(batch, root, order)
+    return run
+
+
+def retain(spark: SparkSession, root: str, kept_root: str, as_of: str, days: int = 7, env: str = "mock") -> None:
+    """Write what retention keeps of the store to ``kept_root``: in the mock environment, pings older than
+    ``days`` days before ``as_of`` go; production keeps all. The caller then points readers at the new folder."""
+    rows = read(spark, root)
+    if env == "mock":
+        since = f"TIMESTAMP '{as_of}' - INTERVAL {int(days)} DAYS"
+        rows = rows.filter(f"ymd >= {ymd_sql(f'({since})')} AND recorded_at >= {since}")
+    write(rows, kept_root, mode="overwrite")

@@ -13,10 +13,14 @@ only stream-specific pieces live here:
   collapse (batch operators on each micro-batch), written idempotently per
   batch id.
 
-Exact distinct vehicles: ``count_distinct`` is not supported on streams;
-``size(collect_set(vehicle))`` is exact with state proportional to the
-distinct vehicles of an open window × light group. ``exact=False`` switches to
-``approx_count_distinct`` (fixed-size sketch state) for very hot lights.
+Exact distinct vehicles: two chained aggregations. The first keeps a sum and a
+count per window, group and vehicle, the second counts those rows, so state is
+one short row per vehicle of an open window, spread by vehicle, and a busy
+light is never one growing set.
+
+A stream in append mode emits what its watermark has closed, and drops what
+comes later than that. :func:`catch_up` completes the stored result from the
+stored pings, insert-or-ignore, once a stream has been drained.
 
 Window edge: the warehouse job's frame is ``(as_of - 5 min, ∞)``; event-time
 windows are ``[start, end)``. For exact parity at one instant use
@@ -61,33 +65,41 @@ def write_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str):
 
 def ingest(requests: DataFrame, lake_root: str, dead_letter: str, checkpoint: str, env: str = "prod",
            received_at=None, available_now: bool = True, processing_time: str | None = None):
-    """Start the two sink queries (lake, dead letters); returns both handles."""
+    """Start the ingest query: accepted rows to the lake, rejected ones to the dead letters, in one pass.
+
+    Each micro-batch is decoded once and persisted while both sinks are written; the lake write
+    rebalances, so a trigger leaves files by size and not one per task. Both sinks write a folder per
+    batch id, overwritten if the batch is replayed.
+    """
     decoded = decode.decode_requests(requests, received_at=received_at)
-    ok = lake.with_partitions(decode.accepted(decoded), env)
-    bad = decode.rejected(decoded)
-
-    def trig(w):
-        if processing_time:
-            return w.trigger(processingTime=processing_time)
-        return w.trigger(availableNow=True) if available_now else w
-
-    q1 = trig(ok.writeStream.format("parquet").partitionBy(*lake.PARTITIONS)
-              .option("path", lake_root).option("checkpointLocation", checkpoint + "/lake")).start()
-    q2 = trig(bad.writeStream.format("parquet").option("path", dead_letter)
-              .option("checkpointLocation", checkpoint + "/dead")).start()
-    return q1, q2
-
-
-def window_stats(pings: DataFrame, window: str = "5 minutes", slide: str | None = None,
-                 watermark: str = WATERMARK, exact: bool = True, vehicle_col: str = "gps_id") -> DataFrame:
-    """Per (window, light, time_window, day_type): mean speed and distinct vehicles."""
-    w = F.window("recorded_at", window, slide) if slide else F.window("recorded_at", window)
-    distinct = (F.size(F.collect_set(vehicle_col)) if exact
-                else F.approx_count_distinct(vehicle_col))
-    return (pings.withWatermark("recorded_at", watermark)
-                 .filter(F.col("traffic_light_id").isNotNull())
-                 .groupBy(w.alias("__w"), *congestion.GROUP)
-                 .agg(F.avg("speed_kmh").alias("avg_speed"), distinct.cast("long").alias("veh_count")))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        lake.write(lake.with_partitions(decode.accepted(batch), env), f"{lake_root}/batch_id={batch_id}", mode="overwrite")
+        decode.rejected(batch).write.mode("overwrite").parquet(f"{dead_letter}/batch_id={batch_id}")
+        batch.unpersist()
+
+    w = decoded.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if processing_time:
+        w = w.trigger(processingTime=processing_time)
+    elif available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()
+
+
+def window_stats(pings: DataFrame, minutes: int = 5, slide: int | None = None,
+                 watermark: str = WATERMARK, vehicle_col: str = "gps_id") -> DataFrame:
+    """Per (window end, light, time_window, day_type): mean speed and distinct vehicles."""
+    w = F.window("recorded_at", f"{minutes} minutes", f"{slide} minutes" if slide else None)
+    per_vehicle = (pings.withWatermark("recorded_at", watermark)
+                   .filter(F.col("traffic_light_id").isNotNull())
+                   .groupBy(w.alias("__w"), *congestion.GROUP, vehicle_col)
+                   .agg(F.expr(f"sum({congestion.SPEED_DEC}) AS __sum"), F.expr("count(speed_kmh) AS __n")))
+    # windows that end at one instant are one group: the step that holds the last microsecond before it
+    end = F.window(F.window_time("__w"), f"{slide or minutes} minutes")
+    return (per_vehicle.groupBy(end.alias("__e"), *congestion.GROUP)
+            .agg(F.sum("__sum").alias("__sum"), F.sum("__n").alias("__n"), F.count(F.lit(1)).alias("veh_count"))
+            .selectExpr(*congestion.GROUP, "__e.end AS analysis_ts", "CAST(__sum AS DOUBLE) / __n AS avg_speed", "veh_count"))
 
 
 def verdict_batch_writer(schedule: DataFrame, out_path: str, mode: str = "strict"):
@@ -99,18 +111,17 @@ def verdict_batch_writer(schedule: DataFrame, out_path: str, mode: str = "strict
     which makes the sink idempotent.
     """
     def run(stats: DataFrame, batch_id: int) -> None:
-        s = stats.withColumn("analysis_ts", F.col("__w.end")).drop("__w")
-        v = congestion.verdicts(s, schedule, "analysis_ts", mode)
+        v = congestion.verdicts(stats, schedule, "analysis_ts", mode)
         v.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
     return run
 
 
 def verdicts(pings: DataFrame, schedule: DataFrame, out_path: str, checkpoint: str,
-             window: str = "5 minutes", slide: str | None = None, watermark: str = WATERMARK,
-             mode: str = "strict", exact: bool = True, available_now: bool = True,
+             minutes: int = 5, slide: int | None = None, watermark: str = WATERMARK,
+             mode: str = "strict", available_now: bool = True,
              processing_time: str | None = "60 seconds"):
     """Start the streaming verdict query (append mode, idempotent per batch)."""
-    stats = window_stats(pings, window, slide, watermark, exact)
+    stats = window_stats(pings, minutes, slide, watermark)
     w = (stats.writeStream.outputMode("append")
          .foreachBatch(verdict_batch_writer(schedule, out_path, mode))
          .option("checkpointLocation", checkpoint))
@@ -118,6 +129,11 @@ def verdicts(pings: DataFrame, schedule: DataFrame, out_path: str, checkpoint: s
     return w.start()
 
 
+def catch_up(stored: DataFrame, complete: DataFrame, keys: list[str]) -> DataFrame:
+    """The stored rows plus those of ``complete`` (the batch result) whose key is not stored."""
+    return stored.unionByName(complete.join(stored.select(*keys), keys, "left_anti").select(*stored.columns))
+
+
 def dedupe(pings: DataFrame, watermark: str = WATERMARK, keys=("gps_id", "recorded_at")) -> DataFrame:
     """Drop repeated keys within the watermark (state bounded by the watermark)."""
     return pings.withWatermark("recorded_at", watermark).dropDuplicatesWithinWatermark(list(keys))
@@ -140,7 +156,7 @@ def keep_first_stream(pings: DataFrame, order=("src_file", "src_row"), watermark
     return keep_first(pings.withWatermark("recorded_at", watermark), list(keys), list(order))
 
 
-def sessions(pings: DataFrame, gap_seconds: int = 600, watermark: str = WATERMARK,
+def sessions(pings: DataFrame, gap_seconds: int = 30, watermark: str = WATERMARK,
              vehicle_col: str = "gps_id") -> DataFrame:
     """Closed gap sessions per vehicle (emitted once the watermark passes the session end)."""
     sw = F.session_window("recorded_at", f"{int(gap_seconds)} seconds")

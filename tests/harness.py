@@ -119,7 +119,7 @@ def compare(spark, sf_dir, names=None, verbose=True):
 if __name__ == "__main__":
     from roadlens.session import get_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = get_session("local[8]", 8)
+    spark = get_session("local[8]", 8, extra={"spark.driver.memory": "6g"})
     res = compare(spark, sf, sys.argv[2:] or None)
     bad = [k for k, v in res.items() if v.get("ok") is False or "error" in v]
     print("FAILED:", bad if bad else "none", f"({len(res)} queries)")
