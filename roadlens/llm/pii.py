@@ -132,7 +132,7 @@ def _names() -> str:
 def candidates(entities: DataFrame, key: str = KEY) -> DataFrame:
     """``entities`` (kind, canon, traits, draw) with the surrogate of that draw, in canonical form."""
     source = "concat(canon, wide)"
-    stream = (f"array_join(transform(sequence(0, cast((char_length(canon) + draw) / 16 AS int) + 1), "
+    stream = (f"array_join(transform(sequence(0, cast((char_length(canon) + draw) / 16 AS int) + 2), "
               f"b -> sha2(concat_ws('|', {_lit(key)}, kind, traits, canon, draw, b), 256)), '')")
     octets = ", ".join(f"{_value(str(k))} % 254 + 1" for k in range(1, 5))
     card = "concat(substr(canon, 1, 1), substr(masked, 2, char_length(masked) - 2))"  # all but the check digit
