@@ -35,8 +35,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE_WORDS = 400_000
-BATCH_CHARS = 4_000_000  # characters handled at a time
+CACHE_WORDS = 200_000
+BATCH_CHARS = 1_000_000  # characters handled at a time
 SHORT = 64  # bytes up to which failing words of one length are merged together
 
 # The word pattern of byte-level BPE, and the byte alphabet's printable bytes.
