@@ -7,35 +7,45 @@ import numpy as np
 PACKED = 7  # characters in the first sort key, nine bits each
 
 
-def _order(values: np.ndarray, owner: np.ndarray, to_end: np.ndarray, depth: int) -> np.ndarray:
+def _order(values: np.ndarray, to_end: np.ndarray, depth: int) -> np.ndarray:
     """The suffixes in order of their first ``depth`` characters or more (prefix doubling).
 
-    ``values`` has 0 for an end mark, ``owner`` the string of each place and
-    ``to_end`` the distance to its end mark; end marks of different strings differ.
+    ``values`` has 0 for an end mark, ``to_end`` the distance of each place to its
+    end mark; end marks of different strings differ.
     """
     n = len(values)
     padded = np.concatenate((values.astype(np.int64), np.zeros(PACKED, np.int64)))
     key = np.zeros(n, np.int64)
     for j in range(PACKED):
         key = (key << 9) | np.where(to_end >= j, padded[j:n + j], 0)
-    mark = np.where(to_end < PACKED, owner + 1, 0)
-    order = np.lexsort((mark, key))
+    # a key that reaches an end mark differs from all others: stable sorting leaves such suffixes in order of their strings
+    order = np.argsort(key, kind="stable")
+    sorted_key = key[order]
     new = np.ones(n, bool)
-    new[1:] = (key[order][1:] != key[order][:-1]) | (mark[order][1:] != mark[order][:-1])
+    new[1:] = (sorted_key[1:] != sorted_key[:-1]) | (to_end < PACKED)[order][1:]
     rank = np.empty(n, np.int64)
     rank[order] = np.cumsum(new) - 1
     h = PACKED
     while h < depth and rank[order[-1]] < n - 1:
         key = rank * (n + 1)
         key[:n - h] += rank[h:] + 1
-        order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
+        order, sorted_key = _sorted(key, n)
         new[1:] = sorted_key[1:] != sorted_key[:-1]
         rank[order] = np.cumsum(new) - 1
         h *= 2
     return order
 
 
+def _sorted(key: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in order of their keys (below (n + 1) squared), and the keys; both fit one word for blocks of the usual size."""
+    bits = n.bit_length()
+    if 3 * bits > 63:
+        order = np.argsort(key)
+        return order, key[order]
+    both = np.sort((key << bits) | np.arange(n))
+    return both & ((1 << bits) - 1), both >> bits
+
+
 def _expand(low: np.ndarray, high: np.ndarray, before: np.ndarray, to_front: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Intervals of all strings that have one character more in front."""
     width = high - low
@@ -46,10 +56,10 @@ def _expand(low: np.ndarray, high: np.ndarray, before: np.ndarray, to_front: np.
     place = np.repeat(low - np.cumsum(width) + width, width) + np.arange(int(width.sum()))
     of = np.repeat(np.arange(len(low)), width)
     inside = before[place] > 0  # end marks extend nothing
-    place, of = place[inside], of[inside]
-    key = of * 512 + before[place]
-    order = np.argsort(key, kind="stable")
-    key, place = key[order], place[order]
+    place = place[inside]
+    # interval, character and place in one word: one sort groups them, places in order
+    key = np.sort((of[inside] << 40) | (before[place].astype(np.int64) << 31) | place)
+    place, key = key & ((1 << 31) - 1), key >> 31
     start = np.ones(len(key), bool)
     start[1:] = key[1:] != key[:-1]
     stop = np.ones(len(key), bool)
@@ -74,7 +84,7 @@ def repeats(strings: list[bytes], length: int) -> list[np.ndarray]:
     values = np.zeros(n, np.int16)
     values[np.setdiff1d(np.arange(n), ends, assume_unique=True)] = np.frombuffer(b"".join(strings), np.uint8).astype(np.int16) + 1
     owner = np.repeat(np.arange(len(strings)), sizes)
-    order = _order(values, owner, ends[owner] - np.arange(n), length)
+    order = _order(values, ends[owner] - np.arange(n), length)
     before = values[order - 1]  # the place before the first one is the last end mark
     to_front = np.empty(n, np.int64)
     to_front[np.argsort(before, kind="stable")] = np.arange(n)
