@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +54,14 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+def pack_last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For ``mapInArrow``: replace the last column, a text without nulls, by its bytes, compressed."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        packed = pa.array([pack(t.encode("utf-8", "replace")) for t in batch.column(batch.num_columns - 1).to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], packed], names=[*batch.schema.names[:-1], "packed"])
+
+
 def most_frequent(counts: DataFrame, value: str, count: str, limit: int) -> DataFrame:
     """The rows with the highest counts, at most ``limit`` of them, ties in or out together.
 

@@ -7,16 +7,16 @@ of the hashes). Two sets link when 100 * |A and B| >= t * |A or B|.
 2. Partition similar sets into groups. Sets that share a band of min-hashes and
    whose min-hash sketches agree are compared exactly with the first and the
    last set of the band; what links is one family, so a family of any size
-   takes two comparisons a set. A family is cut into groups of about
-   ``GROUP_SETS`` sets of like size; any other set is a group of its own.
+   takes two comparisons a set and band. Sets of one band and like size, linked or
+   not, form groups of about ``GROUP_SETS``.
 3. The matrix holds each group's token union, restricted to prefixes: of its n
    tokens, in one order for all (widely used tokens last), a set shows the
    first n - ceil(t n) + 1. Linked sets share a token of their prefixes, and a
    set's overlap with any member of a group is at most the number of its
    prefix tokens in the group's union plus what lies beyond the prefixes.
-   Groups of its own family are passed over, as nothing can be added there.
-4. Groups whose bound reaches the overlap that a link needs are opened, and
-   their members compared exactly.
+   Groups of its own family alone are passed over, as nothing can be added there.
+4. Groups whose bound reaches the overlap that a link needs are opened. Their
+   members are held to the same bound one by one, and what is left is compared exactly.
 
 The bound is one-sided, so no link between families is lost: the sketches and
 the list of widely used tokens decide how much is compared, never what links.
@@ -37,10 +37,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, most_frequent, staged, text_or_empty
+from .common import fresh, most_frequent, pack_last, staged, text_or_empty
 from .components import components
 from .shingles import Shingler, blocks, mix
 
@@ -50,7 +51,7 @@ ALIKE = 9  # equal min-hashes of 16 from which two sets of a band are compared
 GROUP_SETS = 64
 COMMON_TOKENS = 1 << 17  # entries of the list of widely used tokens
 COMMON_LOCAL = 4  # sets of a run that a token must be in to be counted for it
-RUN_TOKENS = 4_000_000  # tokens of a run
+RUN_TOKENS = 2_000_000  # tokens of a run
 
 
 def least_overlap(n: np.ndarray, t: int) -> np.ndarray:
@@ -73,11 +74,11 @@ def _describe(size: int, t: int):
             k = int(on.sum())
             empty = lambda kind: pa.nulls(k, kind)
             return pa.RecordBatch.from_arrays(
-                [empty(pa.int64()), empty(pa.int64()), empty(pa.int64()), empty(pa.int64()), empty(pa.list_(pa.int64())),
-                 pa.array(tokens[on].view(np.int64)), pa.array(uses[on])], names=["id", "n", "high", "low", "sketch", "token", "uses"])
+                [*(empty(pa.int64()) for _ in range(6)), empty(pa.list_(pa.int64())),
+                 pa.array(tokens[on].view(np.int64)), pa.array(uses[on])], names=["id", "k1", "k2", "n", "high", "low", "sketch", "token", "uses"])
 
         for batch in batches:
-            texts, ids = batch.column(1).to_pylist(), batch.column(0)
+            texts, ids = batch.column(3).to_pylist(), batch.columns[:3]
             for start, end in blocks(texts):
                 offsets, tokens = shingler.sets(texts[start:end])
                 n = np.diff(offsets)
@@ -91,10 +92,10 @@ def _describe(size: int, t: int):
                     if len(full):
                         sketch[full, k] = np.minimum.reduceat(mix(tokens, seed), offsets[:-1][full]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(start, end - start), pa.array(n), pa.array(halves[:, 0]), pa.array(halves[:, 1]),
+                    [*(c.slice(start, end - start) for c in ids), pa.array(n), pa.array(halves[:, 0]), pa.array(halves[:, 1]),
                      pa.ListArray.from_arrays(pa.array(np.arange(0, SKETCH * len(n) + 1, SKETCH, dtype=np.int32)), pa.array(sketch.ravel())),
                      pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64())],
-                    names=["id", "n", "high", "low", "sketch", "token", "uses"])
+                    names=["id", "k1", "k2", "n", "high", "low", "sketch", "token", "uses"])
                 for d, a, b in zip(digests, cut, cut[1:], strict=False):
                     if b > a and d not in pending:
                         pending[d] = tokens[a:b].copy()
@@ -145,8 +146,9 @@ def _prefixes(size: int, t: int, common, least: int):
 def _full_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            texts = batch.column(0).to_pylist()
+            texts = [unpack(x).decode() for x in batch.column(0).to_pylist()]
             for start, end in blocks(texts):
                 offsets, tokens = shingler.sets(texts[start:end])
                 raw, cut = tokens.view(np.uint8), offsets.tolist()
@@ -178,10 +180,11 @@ def _compare(t: int):
 class _Join:
     def __init__(self, docs: DataFrame, size: int, t: int, text: str, id_col: str):
         self.size, self.t = size, t
-        self.texts = docs.select(text_or_empty(text).alias("text"))
+        value = text_or_empty(text)
+        self.texts = docs.select(F.xxhash64(value).alias("k1"), F.xxhash64(F.lit("second"), value).alias("k2"), value.alias("text"))
         self.spark = docs.sparkSession
-        described = staged(docs.select(F.col(id_col).cast("bigint").alias("id"), text_or_empty(text).alias("text")).mapInArrow(
-            _describe(size, t), "id bigint, n bigint, high bigint, low bigint, sketch array<bigint>, token bigint, uses bigint"), "join-sets")
+        described = staged(docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(value).alias("k1"), F.xxhash64(F.lit("second"), value).alias("k2"), value.alias("text")).mapInArrow(
+            _describe(size, t), "id bigint, k1 bigint, k2 bigint, n bigint, high bigint, low bigint, sketch array<bigint>, token bigint, uses bigint"), "join-sets")
         self.rows = described.filter("n is not null").select("id", "n", "high", "low")
         # of a fixed number of entries
         top = most_frequent(staged(described.filter("token is not null").groupBy("token").agg(F.sum("uses").alias("uses")), "join-common"),
@@ -189,7 +192,7 @@ class _Join:
         hot = np.sort(np.array([r["token"] for r in top], np.int64).view(np.uint64))
         self.common = self.spark.sparkContext.broadcast(hot)
         self.classes = staged(described.filter("n > 0").groupBy("high", "low").agg(
-            F.min("id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+            F.min("id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("k1", "k2")).alias("text"))
             .withColumn("cid", F.monotonically_increasing_id()), "join-classes")
         # the smallest set that can link with an unequal one: it lacks one token of the other
         self.least = next((n for n in range(1, 101) if 100 * n >= t * (n + 1)), 1 << 62)
@@ -198,10 +201,12 @@ class _Join:
         """The pairs ``(a, b)`` of classes that link, compared on their whole sets."""
         pairs = staged(pairs, "join-pairs")
         wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-        wanted = self.classes.join(wanted, "cid", "left_semi").select("cid", "high", "low")
-        # sets are made again from the texts; one of each wanted class is kept
-        found = self.texts.mapInArrow(_full_sets(self.size), "high bigint, low bigint, tokens binary")
-        sets = staged(found.join(wanted, ["high", "low"]).dropDuplicates(["cid"]).select("cid", "tokens"), "join-tokens")
+        wanted = self.classes.join(wanted, "cid", "left_semi").select("cid", "high", "low", "text.k1", "text.k2")
+        # sets are made again, from one text of each wanted class; texts travel compressed, copies are dropped before
+        packed = self.texts.mapInArrow(pack_last, "k1 bigint, k2 bigint, packed binary").groupBy("k1", "k2").agg(F.first("packed").alias("packed"))
+        found = packed.join(wanted.select("k1", "k2"), ["k1", "k2"], "left_semi").select("packed").mapInArrow(
+            _full_sets(self.size), "high bigint, low bigint, tokens binary")
+        sets = staged(found.join(wanted, ["high", "low"]).select("cid", "tokens"), "join-tokens")
         a, b = sets.toDF("a", "x"), sets.toDF("b", "y")
         return staged(pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(_compare(self.t), "a bigint, b bigint"), "join-links")
 
@@ -225,32 +230,38 @@ class _Join:
     def opened(self, families: DataFrame) -> DataFrame:
         """Pairs of classes of different families that the matrix does not rule out."""
         t = self.t
-        made = self.texts.mapInArrow(_prefixes(self.size, t, self.common, self.least), "high bigint, low bigint, n bigint, prefix array<bigint>")
+        made = self.texts.select("text").mapInArrow(_prefixes(self.size, t, self.common, self.least), "high bigint, low bigint, n bigint, prefix array<bigint>")
         made = made.groupBy("high", "low").agg(F.first("prefix").alias("prefix"))
-        sets = (made.join(self.classes.select("high", "low", "cid", "n"), ["high", "low"])
+        band = F.xxhash64(F.slice("sketch", 1, BAND)).alias("band")
+        sets = (made.join(self.classes.select("high", "low", "cid", "n", band), ["high", "low"])
                 .join(families.withColumnRenamed("node", "cid").withColumnRenamed("component", "family"), "cid", "left")
                 .withColumn("family", F.coalesce("family", "cid"))
                 .withColumn("rest", F.col("n") - F.size("prefix")))
-        # groups: the sets of a family whose sizes differ by a twentieth at most, about GROUP_SETS of them
+        # groups: sets of one band whose sizes differ by a twentieth at most, about GROUP_SETS of them
         sets = staged(sets.withColumn("step", F.floor(F.log("n") / float(np.log(1.05)))).drop("high", "low"), "join-prefixes")
-        parts = sets.groupBy("family", "step").agg(F.ceil(F.count(F.lit(1)) / GROUP_SETS).alias("parts")).filter("parts > 1")
-        grouped = staged(sets.join(parts, ["family", "step"], "left").withColumn(
-            "gid", F.xxhash64("family", "step", F.pmod(F.xxhash64("cid"), F.coalesce("parts", F.lit(1))))), "join-groups")
-        bounds = grouped.groupBy("gid").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max("rest").alias("rest_max"), F.min("family").alias("g_family"))
+        parts = sets.groupBy("band", "step").agg(F.ceil(F.count(F.lit(1)) / GROUP_SETS).alias("parts")).filter("parts > 1")
+        grouped = staged(sets.join(parts, ["band", "step"], "left").withColumn(
+            "gid", F.xxhash64("band", "step", F.pmod(F.xxhash64("cid"), F.coalesce("parts", F.lit(1))))).drop("band", "step", "parts"), "join-groups")
+        bounds = grouped.groupBy("gid").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max("rest").alias("rest_max"),
+                                            F.min("family").alias("f_min"), F.max("family").alias("f_max"))
         matrix = grouped.select("gid", F.explode("prefix").alias("token")).distinct()
-        asked = grouped.select("cid", F.col("n").alias("n"), "rest", "family", F.explode("prefix").alias("token"))
+        asked = grouped.select("cid", "n", "rest", "family", F.explode("prefix").alias("token"))
         # only tokens of several families tell groups apart
         several = asked.groupBy("token").agg(F.min("family").alias("f0"), F.max("family").alias("f1")).filter("f0 != f1").select("token")
         matrix = matrix.join(several, "token", "left_semi").join(bounds, "gid")
         met = (asked.join(several, "token", "left_semi").join(matrix, "token")
-               .filter(f"family != g_family and 100 * n_max >= {t} * n and 100 * n >= {t} * n_min")
+               .filter(f"NOT (family = f_min AND family = f_max) AND 100 * n_max >= {t} * n AND 100 * n >= {t} * n_min")
                .groupBy("cid", "gid").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"), F.first("rest").alias("rest"),
                                           F.first("n_min").alias("n_min"), F.first("rest_max").alias("rest_max")))
         # |A and B| >= t (|A| + |B|) / (100 + t), with the smallest |B| that can link
         needed = F.ceil(F.lit(t) * (F.col("n") + F.greatest(F.col("n_min"), F.ceil(F.col("n") * t / 100))) / (100 + t))
-        open_groups = met.filter(F.col("shared") + F.greatest("rest", "rest_max") >= needed).select("cid", "gid", F.col("n").alias("n_a"))
-        members = grouped.select("gid", F.col("cid").alias("other"), F.col("n").alias("n_b"))
-        return (open_groups.join(members, "gid").filter(f"100 * least(n_a, n_b) >= {t} * greatest(n_a, n_b)")
+        open_groups = staged(met.filter(F.col("shared") + F.greatest("rest", "rest_max") >= needed).select("cid", "gid"), "join-open")
+        # the same bound for each member, from the prefixes that the two share
+        asking = open_groups.join(grouped.select("cid", "n", "rest", "family", "prefix"), "cid")
+        members = grouped.select("gid", F.col("cid").alias("other"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b"),
+                                 F.col("family").alias("family_b"), F.col("prefix").alias("prefix_b"))
+        reach = f"size(array_intersect(prefix, prefix_b)) + greatest(rest, rest_b) >= ceil({t} * (n + n_b) / {100 + t})"
+        return (asking.join(members, "gid").filter(f"family != family_b AND 100 * least(n, n_b) >= {t} * greatest(n, n_b) AND {reach}")
                 .select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct())
 
 
