@@ -38,11 +38,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and whether they decode to its text."""
+    """Token ids of every document, and whether they decode to its text; columns of these names are replaced."""
     import public_tokenizers
 
     coded = bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"))
-    rest = [c for c in docs.columns if c != "text"]
+    rest = [c for c in docs.columns if c.lower() not in ("text", "ids", "n_tokens", "decodes")]
     return coded.select(*rest, "ids", F.size("ids").cast("bigint").alias("n_tokens"),
                         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("decodes"))
 
