@@ -582,35 +582,63 @@ WH_NOT_NULL = ["gps_id", "recorded_at", "latitude", "longitude", "speed_kmh"]
 RAW_NOT_NULL = ["gps_id", "timestamp", "latitude", "longitude"]
 
 
-@register("constraint_report", oracle.with_ctes(f"""
-    {_null_sql('lake_raw', 'raw', RAW_NOT_NULL)}
-    UNION ALL {_null_sql('vehicle_gps', 'wh', WH_NOT_NULL)}
-    UNION ALL SELECT 'vehicle_gps', 'unique:gps_id,recorded_at', CAST(count(*) AS BIGINT)
-        FROM (SELECT gps_id, recorded_at FROM wh GROUP BY ALL HAVING count(*) > 1)
-    UNION ALL SELECT 'vehicle_gps_offered', 'references:traffic_light_id', CAST(count(*) AS BIGINT)
-        FROM wh_all WHERE traffic_light_id IS NOT NULL
-        AND traffic_light_id NOT IN (SELECT traffic_light_id FROM lights)
-    UNION ALL SELECT 'congestion_analysis', 'check:congestion_level in [0,100]',
-        CAST(count(*) FILTER (WHERE congestion_level IS NOT NULL AND NOT congestion_level BETWEEN 0 AND 100)
-             AS BIGINT) FROM v
-    UNION ALL SELECT 'congestion_analysis', 'unique:traffic_light_id,analysis_time', CAST(count(*) AS BIGINT)
-        FROM (SELECT traffic_light_id, analysis_time FROM v GROUP BY ALL HAVING count(*) > 1)
-    UNION ALL {_null_sql('congestion_analysis', 'v', ['analysis_time'])}""",
-    extra=f"v AS ({_flagship_sql()})"))
+V_NOT_NULL = ["traffic_light_id", "analysis_time"]
+LIGHT_NOT_NULL = ["traffic_light_id", "latitude", "longitude"]
+SCHED_NOT_NULL = ["traffic_light_id", "start_sec", "end_sec", "red_duration", "applicable_days"]
+INTER_NOT_NULL = ["intersection_id", "intersection_name"]
+SCHED_KEY = ["traffic_light_id", "start_sec", "applicable_days"]
+# (table, its SQL name, column, referenced SQL name) of every declared reference
+REFERENCES = [
+    ("vehicle_gps_offered", "wh_all", "traffic_light_id", "lights"), ("vehicle_gps_offered", "wh_all", "time_id", "td"),
+    ("traffic_lights", "lights", "intersection_id", "inters"), ("light_schedule", "sched", "traffic_light_id", "lights"),
+    ("congestion_analysis", "v", "traffic_light_id", "lights"), ("congestion_analysis", "v", "time_id", "td"),
+]
+UNIQUE = [
+    ("vehicle_gps_offered", "enr", ["gps_id", "recorded_at"]), ("vehicle_gps", "wh", ["gps_id", "recorded_at"]),
+    ("congestion_analysis", "v", ["traffic_light_id", "analysis_time"]), ("traffic_lights", "lights", ["traffic_light_id"]),
+    ("light_schedule", "sched", SCHED_KEY), ("intersections", "inters", ["intersection_id"]),
+]
+NOT_NULL = [
+    ("lake_raw", "raw", RAW_NOT_NULL), ("vehicle_gps", "wh", WH_NOT_NULL), ("congestion_analysis", "v", V_NOT_NULL),
+    ("traffic_lights", "lights", LIGHT_NOT_NULL), ("light_schedule", "sched", SCHED_NOT_NULL), ("intersections", "inters", INTER_NOT_NULL),
+]
+# before the value is clamped, and after
+LEVELS = [("congestion_offered", "lvl", "raw_level"), ("congestion_analysis", "v", "congestion_level")]
+
+
+def _constraint_sql() -> str:
+    parts = [_null_sql(t, src, cols) for t, src, cols in NOT_NULL]
+    parts += [f"SELECT '{t}' AS table_name, 'unique:{','.join(k)}' AS check_name, CAST(count(*) AS BIGINT) AS violations "
+              f"FROM (SELECT {', '.join(k)} FROM {src} GROUP BY ALL HAVING count(*) > 1)" for t, src, k in UNIQUE]
+    parts += [f"SELECT '{t}', 'references:{c}', CAST(count(*) AS BIGINT) FROM {src} x WHERE {c} IS NOT NULL "
+              f"AND NOT EXISTS (SELECT 1 FROM {ref} r WHERE r.{c} = x.{c})" for t, src, c, ref in REFERENCES]
+    parts += [f"SELECT '{t}', 'check:{c} in [0,100]', CAST(count(*) FILTER (WHERE {c} IS NOT NULL AND NOT {c} BETWEEN 0 AND 100) AS BIGINT) "
+              f"FROM {src}" for t, src, c in LEVELS]
+    return oracle.with_ctes(" UNION ALL ".join(parts), extra=f"""
+    v AS ({_flagship_sql()}), td AS ({dimensions.sql_time_dimension()}),
+    lvl AS (SELECT (1.0 - mean_kmh / 50.0) * 100.0 AS raw_level FROM ({oracle.window_stats(5)}))""").replace(
+        "FROM enr GROUP BY ALL", "FROM offered GROUP BY ALL").replace(
+        "enr AS (", f"offered AS (SELECT gps_id, {oracle.instant('timestamp')} AS recorded_at FROM valid),\nenr AS (", 1)
+
+
+@register("constraint_report", _constraint_sql())
 def constraint_report(spark, sf_dir):
-    """NOT NULL / unique / CHECK / reference violations per table (0 = constraint holds)."""
+    """NOT NULL / unique / CHECK / reference violations per table (0 = constraint holds).
+
+    Uniqueness is measured on the rows that are offered as well as on those stored, the level before it is clamped as
+    well as after, so a violation in the input shows.
+    """
     raw, wh_all, wh = base.pipeline(spark, sf_dir)
-    v = congestion.windowed(wh, dimensions.light_schedule(spark), 5, mode="strict")
-    parts = [
-        quality.null_counts(raw, "lake_raw", RAW_NOT_NULL),
-        quality.null_counts(wh, "vehicle_gps", WH_NOT_NULL),
-        quality.duplicate_keys(wh, "vehicle_gps", ["gps_id", "recorded_at"]),
-        quality.reference_check(wh_all, "vehicle_gps_offered", "traffic_light_id",
-                                dimensions.traffic_lights(spark), "traffic_light_id"),
-        quality.range_check(v, "congestion_analysis", "congestion_level", 0, 100),
-        quality.duplicate_keys(v, "congestion_analysis", ["traffic_light_id", "analysis_time"]),
-        quality.null_counts(v, "congestion_analysis", ["analysis_time"]),
-    ]
+    sched = dimensions.light_schedule(spark)
+    stats = congestion.group_stats(wh.withColumn("__w", F.window("recorded_at", "5 minutes")), ["__w"])
+    tables = {"raw": raw, "wh": wh, "wh_all": wh_all, "enr": enrich.enrich(clean_ops.valid(raw)),
+              "v": congestion.windowed(wh, sched, 5, mode="strict"), "lights": dimensions.traffic_lights(spark), "sched": sched,
+              "inters": dimensions.intersections(spark), "td": dimensions.time_dimension(spark),
+              "lvl": stats.withColumn("raw_level", F.expr("(1.0D - avg_speed / 50.0D) * 100.0D"))}
+    parts = [quality.null_counts(tables[src], t, cols) for t, src, cols in NOT_NULL]
+    parts += [quality.duplicate_keys(tables[src], t, key) for t, src, key in UNIQUE]
+    parts += [quality.reference_check(tables[src], t, c, tables[ref], c) for t, src, c, ref in REFERENCES]
+    parts += [quality.range_check(tables[src], t, c, 0, 100) for t, src, c in LEVELS]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
