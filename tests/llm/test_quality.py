@@ -58,3 +58,21 @@ def test_sample_is_bounded(spark):
     labels = spark.range(300).selectExpr("id AS doc_id", "cast(id % 3 = 0 AS int) AS quality")
     sample = quality.training_sample(docs, labels, lambda i: i >= 0, rows=40).collect()
     assert len(sample) == 40 and sum(r["label"] for r in sample) == 20
+
+
+def test_cap_of_the_sample_leaves_the_cut(spark):
+    """The cut is at the share of label 0 among all training rows, however few of them the weights are fitted on."""
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat(repeat('word and more, ', 5 + id % 7), repeat('AB!? ', hash(id) % 5), id) AS text")
+    labels = spark.range(400).selectExpr("id AS doc_id", "cast(id % 5 > 0 AS int) AS quality")
+    for rows in (40, 20_000):
+        model = quality.train(docs, labels, lambda i: i >= 0, rows=rows)
+        scores = [r["s"] for r in docs.select(quality.score(model).alias("s")).collect()]
+        ties = sum(abs(s - 0.5) < 1e-9 for s in scores)
+        assert sum(s < 0.5 - 1e-9 for s in scores) <= 80 <= sum(s < 0.5 - 1e-9 for s in scores) + ties
+
+
+def test_quantile_cut(spark):
+    values = [3.5, -2.0, 1e-300, 1e-300, 7.0, 8.0, 1e9, 0.0, 3.5, 3.5]
+    frame = spark.createDataFrame([(v,) for v in values], "strength double")
+    ordered = sorted(values)
+    assert [quality.quantile_cut(frame, k) for k in range(1, 10)] == [(ordered[k - 1] + ordered[k]) / 2 for k in range(1, 10)]
