@@ -81,7 +81,7 @@ def features(text: str) -> np.ndarray:
     peaks = [(np.add.reduceat((kinds == k).astype(np.int32), cuts) / lengths).max() for k in PEAKS]
     windows = [words[k:k + WINDOW] for k in range(0, len(words), WINDOW)]
     if len(windows) > 1 and len(windows[-1]) < WINDOW // 2:
-        windows = windows[:-1]
+        windows[-2:] = [windows[-2] + windows[-1]]  # here too
     distinct = [len(set(w)) / len(w) for w in windows]
     twice = [sum(map(str.__eq__, w, w[1:])) / len(w) for w in windows]
     lines = [line for line in text.split("\n") if line.strip()]

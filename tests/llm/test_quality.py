@@ -76,3 +76,12 @@ def test_quantile_cut(spark):
     frame = spark.createDataFrame([(v,) for v in values], "strength double")
     ordered = sorted(values)
     assert [quality.quantile_cut(frame, k) for k in range(1, 10)] == [(ordered[k - 1] + ordered[k]) / 2 for k in range(1, 10)]
+
+
+def test_short_rest_joins_the_last_window():
+    """Repeated words in the last few words of a text show in the features of repeated words."""
+    rest = quality.features(" ".join([f"w{k}" for k in range(64)] + ["spam"] * 20))
+    plain = quality.features(" ".join(f"w{k}" for k in range(84)))
+    at = len(quality.NAMES) + len(quality.PEAKS)
+    assert np.allclose(plain[at:at + 4], [1, 1, 0, 0])
+    assert np.allclose(rest[at:at + 4], [65 / 84, 65 / 84, 19 / 84, 19 / 84])
