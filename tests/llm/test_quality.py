@@ -78,6 +78,15 @@ def test_quantile_cut(spark):
     assert [quality.quantile_cut(frame, k) for k in range(1, 10)] == [(ordered[k - 1] + ordered[k]) / 2 for k in range(1, 10)]
 
 
+def test_sample_orders_short_rows_only(spark):
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('word ', id) AS text")
+    labels = spark.range(300).selectExpr("id AS doc_id", "cast(id % 3 = 0 AS int) AS quality")
+    sample = quality.training_sample(docs, labels, lambda i: i >= 0, rows=40)
+    assert sorted(sample.columns) == ["id", "label", "x"]
+    ordered = [line for line in sample._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Sort [" in line]
+    assert len(ordered) == 2 and not [line for line in ordered if "text" in line]
+
+
 def test_short_rest_joins_the_last_window():
     """Repeated words in the last few words of a text show in the features of repeated words."""
     rest = quality.features(" ".join([f"w{k}" for k in range(64)] + ["spam"] * 20))
