@@ -8,6 +8,8 @@ surrogate made from a keyed hash of it:
   every other digit, lower-case and upper-case letter becomes one of its kind;
 * a card number passes the check-digit rule, as the original does (numbers that
   don't pass it are not taken for cards);
+* keywords before secrets and titles before names count in any case (but "miss" and "ms"), and an occurrence in capitals gets
+  its surrogate in capitals; a hexadecimal secret is the same in small letters and in capitals;
 * a name after a title gets a given name of the title's gender and a family
   name in the same script (Latin or Cyrillic); the title stays.
 
@@ -52,9 +54,9 @@ GIVEN = {
 ONSETS = {"latin": "b br d dr f g gr h k kl l m n p pr r s st t tr v w".split(), "cyrillic": "б бр в г гр д др ж з к кл л м н п пр р с ст т".split()}
 VOWELS = {"latin": "a e i o u".split(), "cyrillic": "а е и о у".split()}
 
-TITLES = "|".join([*MALE.values(), *FEMALE.values(), EITHER])
+TITLES = r"(?!miss\b|ms\b)(?iu:" + "|".join([*MALE.values(), *FEMALE.values(), EITHER]) + ")"  # in small letters, a verb and milliseconds
 WORDS_BEFORE = "password|passwd|pwd|secret|token|api_key|apikey"
-ASSIGNED = rf"""(?:{WORDS_BEFORE}) {{0,3}}[=:] {{0,3}}["']?"""
+ASSIGNED = rf"""(?i:{WORDS_BEFORE}) {{0,3}}[=:] {{0,3}}["']?"""
 PATTERNS = {
     "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}",
     "key": r"(?:AKIA|ASIA)[A-Z0-9]{16}\b|gh[pousr]_[A-Za-z0-9]{36,}\b|sk-[A-Za-z0-9]{20,}\b",
@@ -64,13 +66,13 @@ PATTERNS = {
     "card": r"(?<![\w.-])[2-6]\d{3}([ -]?)\d{4}\1\d{4}\1\d{1,7}(?![\w-])",
     "social": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "phone": r"(?<![\w+.])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\w.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
-    "name": rf"(?:{TITLES})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?",
+    "name": rf"{TITLES}\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?",
 }
 # Entities start where no letter or digit stands before them.
 PATTERN = r"(?<![\p{L}\p{N}_])(?:" + "|".join(PATTERNS.values()) + ")"
 # What tells a found entity's type, first match first.
 KINDS = [("secret", "^" + ASSIGNED), ("email", "@"), ("key", r"^(?:AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_|^sk-"), ("ip", r"^\d{1,3}(?:\.\d{1,3}){3}$"),
-         ("name", rf"^(?:{TITLES})\.? \p{{Lu}}"), ("social", r"^\d{3}-\d{2}-\d{4}$"), ("card", r"^[2-6](?:[ -]?\d){12,18}$"),
+         ("name", rf"^{TITLES}\.? \p{{Lu}}"), ("social", r"^\d{3}-\d{2}-\d{4}$"), ("card", r"^[2-6](?:[ -]?\d){12,18}$"),
          ("iban", r"^[A-Z]{2}\d{2}[A-Z0-9 ]+$"), ("phone", r"^[+(\d][\d ().-]+$")]
 
 
@@ -83,17 +85,26 @@ def _kind(found: str) -> str:
 
 
 def _canonical(kind: str, found: str) -> str:
-    title = _lit(rf"^(?:{TITLES})\.? ")
+    title = _lit(rf"^{TITLES}\.? ")
     return (f"CASE {kind} WHEN 'email' THEN lower({found}) WHEN 'card' THEN regexp_replace({found}, '[ -]', '') "
             f"WHEN 'phone' THEN regexp_replace({found}, '[^0-9+]', '') WHEN 'social' THEN replace({found}, '-', '') "
             f"WHEN 'iban' THEN replace({found}, ' ', '') WHEN 'name' THEN lower(regexp_replace({found}, {title}, '')) "
-            f"WHEN 'secret' THEN regexp_replace({found}, {_lit('^' + ASSIGNED)}, '') ELSE {found} END")
+            f"WHEN 'secret' THEN {_caseless(_secret(found))} ELSE {found} END")
+
+
+def _secret(found: str) -> str:
+    return f"regexp_replace({found}, {_lit('^' + ASSIGNED)}, '')"
+
+
+def _caseless(secret: str) -> str:
+    """Hexadecimal text of one case in lower case, other secrets as they are."""
+    return f"if({secret} RLIKE '^[0-9A-F]+$', lower({secret}), {secret})"
 
 
 def _traits(found: str) -> str:
     """For names, script and gender; else empty. Part of an entity's identity."""
     script = f"if({found} RLIKE '[\\\\p{{IsCyrillic}}]', 'cyrillic', 'latin')"
-    any_of = lambda titles: _lit("^(?:" + "|".join(titles.values()) + r")\.? ")
+    any_of = lambda titles: _lit("^(?iu:" + "|".join(titles.values()) + r")\.? ")
     return f"concat({script}, '/', CASE WHEN {found} RLIKE {any_of(MALE)} THEN 'm' WHEN {found} RLIKE {any_of(FEMALE)} THEN 'f' ELSE 'e' END)"
 
 
@@ -167,7 +178,8 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
     number = 0
     while True:
         # Who claims a value first (fewest draws, then smallest) keeps it, unless the texts have it as an entity.
-        value = F.when(F.col("kind") == "name", F.lower("surrogate")).otherwise(F.col("surrogate"))
+        value = (F.when(F.col("kind") == "name", F.lower("surrogate")).when(F.col("kind") == "secret", F.expr(_caseless("surrogate")))
+                 .otherwise(F.col("surrogate")))
         claims = taken.withColumn("value", value)
         first = claims.groupBy("kind", "value").agg(F.min(F.struct("draw", "canon", "traits")).alias("first"))
         first = first.join(real.select("kind", F.col("canon").alias("value"), F.lit(True).alias("occurs")).distinct(), ["kind", "value"], "left")
@@ -186,10 +198,12 @@ def _formatted(kind: str, found: str, surrogate: str) -> str:
     digits = (f"aggregate(split({found}, ''), struct('' AS out, 1 AS i), (s, c) -> if(c RLIKE '[0-9A-Z]', "
               f"struct(concat(s.out, substr(plain, s.i, 1)) AS out, s.i + 1 AS i), struct(concat(s.out, c) AS out, s.i AS i)), "
               f"s -> concat(s.out, substr(plain, s.i)))").replace("plain", f"replace({surrogate}, '+', '')")
-    title = _lit(rf"^((?:{TITLES})\.? ).*$")
+    upper = lambda part: f"if({part} = upper({part}), upper({surrogate}), {surrogate})"
+    alone = _lit(rf"^{TITLES}\.? ")
+    title = _lit(rf"^({TITLES}\.? ).*$")
     return (f"CASE WHEN {kind} IN ('phone', 'card', 'social', 'iban') THEN {digits} "
-            f"WHEN {kind} = 'name' THEN concat(regexp_extract({found}, {title}, 1), {surrogate}) "
-            f"WHEN {kind} = 'secret' THEN concat(regexp_extract({found}, {_lit('^(' + ASSIGNED + ')')}, 1), {surrogate}) "
+            f"WHEN {kind} = 'name' THEN concat(regexp_extract({found}, {title}, 1), {upper(f"regexp_replace({found}, {alone}, '')")}) "
+            f"WHEN {kind} = 'secret' THEN concat(regexp_extract({found}, {_lit('^(' + ASSIGNED + ')')}, 1), {upper(_secret(found))}) "
             f"WHEN {kind} = 'email' AND {found} = upper({found}) THEN upper({surrogate}) ELSE {surrogate} END")
 
 

@@ -96,3 +96,21 @@ def test_odd_rows(spark):
     rows = out.collect()
     assert sorted(r[c["n_entities"]] for r in rows) == [0, 1, 5000]
     assert not [r for r in rows if "a@b.org" in (r["text"] or "")]
+
+
+def test_copies_in_capitals(spark):
+    """Keywords and titles count in any case; a hexadecimal secret or a name is one entity in small letters and capitals."""
+    small = 'token = "9233a8ec77b0412f" password: e3b3ed3cc8548923 api_key=Zz9-alpha_beta Dear Mr. John Smith, Señora Ana Ruiz, Г-н Иван Петров.'
+    title = 'Token = "9233a8ec77b0412f" Password: e3b3ed3cc8548923 Api_Key=Zz9-alpha_beta dear mr. John Smith, señora Ana Ruiz, г-н Иван Петров.'
+    texts = {1: small, 2: small.upper(), 3: title, 4: "We miss Paris for 5 ms. Then secretary: nobody knows her."}
+    out, c = pii.pseudonymise(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"))
+    done = {r["doc_id"]: r for r in out.collect()}
+    assert [done[k][c["n_entities"]] for k in sorted(done)] == [6, 6, 6, 0] and done[4]["text"] == texts[4]
+    assert all(done[k][c["kinds"]] == ["secret"] * 3 + ["name"] * 3 for k in (1, 2, 3))
+    shape = r'token = "([0-9a-f]{16})" password: ([0-9a-f]{16}) api_key=(\w\w\w-\w{5}_\w{4}) dear mr\. (\w+ \w+), señora (\w+ \w+), г-н (\w+ \w+)\.'
+    found = {k: re.fullmatch(shape, done[k]["text"], re.IGNORECASE).groups() for k in (1, 2, 3)}
+    assert found[1] == found[3]
+    assert [x.upper() for x in found[1][:2] + found[1][3:]] == list(found[2][:2] + found[2][3:])
+    assert done[2]["text"] == done[2]["text"].upper()
+    assert found[1][3].split()[0] in pii.GIVEN["latin", "m"] and found[1][4].split()[0] in pii.GIVEN["latin", "f"]
+    assert not [g for r in done.values() for g in ("9233a8ec", "e3b3ed3c", "zz9-", "smith", "ruiz", "петров") if g in r["text"].lower()]
