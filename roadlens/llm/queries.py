@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, lattice_lm, mixing, ngram_join, pii, quality, sharding, suffix_dedup, topk
+from . import bpe, exact_dedup, fim, lattice_lm, mixing, ngram_join, pii, piece_bpe, quality, sharding, suffix_dedup, topk
 from .common import table
 
 
@@ -94,6 +94,26 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.withColumnRenamed("id", "doc_id")
 
 
+def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's SentencePiece ids and of the text that they decode to."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = piece_bpe.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"), F.col("differing").alias("n_differing"))
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its middle moved to the end, and the text restored from that."""
+    done, c = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    output, form = F.col(c["output"]), F.col(c["form"])
+    return done.select("doc_id", F.col(c["units"]).alias("n"), form.alias("form"), F.col(c["prefix_chars"]).alias("prefix_chars"),
+                       F.col(c["middle_chars"]).alias("middle_chars"), F.sha2(output, 256).alias("output_sha256"),
+                       F.sha2(fim.restore(output, form), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -105,6 +125,8 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_lattice_lm": op9_lattice_lm,
     "op10_ngram_join": op10_ngram_join,
+    "op12_piece_bpe": op12_piece_bpe,
+    "op13_fim": op13_fim,
 }
 
 ORACLE = {
