@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fim, lattice_lm, mixing, ngram_join, pii, piece_bpe, quality, sharding, suffix_dedup, topk
+from . import bpe, exact_dedup, fim, hard_negatives, lattice_lm, mixing, ngram_join, pii, piece_bpe, quality, sharding, suffix_dedup, topk
 from .common import table
 
 
@@ -94,6 +94,13 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.withColumnRenamed("id", "doc_id")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every hundredth vector's five best positives; every seventh row's label is moved on first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives.mine(rows, lambda i: i % 100 == 0)
+
+
 def op12_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's SentencePiece ids and of the text that they decode to."""
     import public_tokenizers
@@ -125,6 +132,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_lattice_lm": op9_lattice_lm,
     "op10_ngram_join": op10_ngram_join,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_piece_bpe": op12_piece_bpe,
     "op13_fim": op13_fim,
 }
@@ -152,5 +160,24 @@ SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION B
        row_number() OVER w = 1 AS kept, text_sha256
 FROM d
 WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)
+""",
+    "op11_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same, CAST(list_dot_product(a.e, c.e) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+positive AS (
+  SELECT anchor_id, other_id, score FROM p WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+r AS (
+  SELECT a.anchor_id, a.other_id AS positive_id, n.other_id AS negative_id, a.score AS positive_score, n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY a.anchor_id, a.other_id ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank
+  FROM positive a JOIN p n ON n.anchor_id = a.anchor_id AND NOT n.same AND 80 * a.score <= 100 * n.score AND 100 * n.score <= 100 * a.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 5
 """,
 }

@@ -12,7 +12,7 @@ from roadlens.llm.queries import ORACLE, QUERIES
 
 def test_names():
     numbers = [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES]
-    assert sorted(numbers) == [*range(1, 11), 12, 13]
+    assert sorted(numbers) == list(range(1, 14))
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
