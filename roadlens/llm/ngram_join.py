@@ -4,18 +4,19 @@ Texts are sets of word shingles (64-bit hashes, so sizes and overlaps are those
 of the hashes). Two sets link when 100 * |A and B| >= t * |A or B|.
 
 1. Texts with equal sets are one class from the start.
-2. Partition similar sets into groups. Sets that share a band of min-hashes and
-   whose min-hash sketches agree are compared exactly with the first and the
-   last set of the band; what links is one family, so a family of any size
-   takes two comparisons a set and band. Sets of one band and like size, linked or
+2. Partition similar sets into groups. Of the first sets of its bands of min-hashes, a
+   set is compared exactly with the one that it shares most bands with, if their sketches
+   agree; what links is one family, so a family of any size takes one comparison a set. Sets of one band and like size, linked or
    not, form groups of about ``GROUP_SETS``.
-3. The matrix holds each group's token union, restricted to prefixes: of its n
-   tokens, in one order for all (widely used tokens last), a set shows the
-   first n - ceil(t n) + 1. Linked sets share a token of their prefixes, and a
-   set's overlap with any member of a group is at most the number of its
+3. Of its n tokens, in one order for all (widely used tokens last), a set shows the
+   first n - ceil(t n) + l(n), the longer prefix. Linked sets of sizes n and m share at least the
+   smaller of l(n) and l(m) tokens of these. So a set has no link outside its family
+   unless that many of its longer prefix are shown by sets of other families as well; only such sets go on.
+4. The matrix holds each group's token union, restricted to the first n - ceil(t n) + 1
+   tokens (l = 1). A set's overlap with any member of a group is at most the number of its
    prefix tokens in the group's union plus what lies beyond the prefixes.
    Groups of its own family alone are passed over, as nothing can be added there.
-4. Groups whose bound reaches the overlap that a link needs are opened. Their
+5. Groups whose bound reaches the overlap that a link needs are opened. Their
    members are held to the same bound one by one, and what is left is compared exactly.
 
 The bound is one-sided, so no link between families is lost: the sketches and
@@ -52,6 +53,7 @@ GROUP_SETS = 64
 COMMON_TOKENS = 1 << 17  # entries of the list of widely used tokens
 COMMON_LOCAL = 4  # sets of a run that a token must be in to be counted for it
 RUN_TOKENS = 2_000_000  # tokens of a run
+BITMAP_WORDS = 1 << 20  # words of 64 bits of the broadcast bitmap
 
 
 def least_overlap(n: np.ndarray, t: int) -> np.ndarray:
@@ -59,6 +61,12 @@ def least_overlap(n: np.ndarray, t: int) -> np.ndarray:
     return -(-t * n // 100)
 
 
+def more_shared(n: np.ndarray, t: int) -> np.ndarray:
+    """``l(n)``: the tokens of the longer prefixes that two linked sets of ``n`` tokens share, at least; it grows with ``n``."""
+    o = least_overlap(n, t)
+    return np.minimum(n - o + 1, o)
+
+
 def _describe(size: int, t: int):
     """Per text: set size, digest and sketch; and the tokens that many sets of a run have."""
     seeds = [int(x) for x in np.random.default_rng(31).integers(1, 2 ** 63, SKETCH)]
@@ -110,7 +118,7 @@ def _describe(size: int, t: int):
 
 
 def _prefixes(size: int, t: int, common, least: int):
-    """Per text with at least ``least`` tokens: digest, size and prefix."""
+    """Per text with at least ``least`` tokens: digest, size, longer prefix, and how many of it a link needs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
@@ -123,7 +131,7 @@ def _prefixes(size: int, t: int, common, least: int):
                 where = np.minimum(np.searchsorted(hot, tokens), max(len(hot) - 1, 0))
                 late = hot[where] == tokens if len(hot) else np.zeros(len(tokens), bool)
                 out, lengths, digests, sizes = [], [], [], []
-                take = n - least_overlap(n, t) + 1
+                take = n - least_overlap(n, t) + more_shared(n, t)
                 raw, cut = tokens.view(np.uint8), offsets.tolist()
                 for k in np.flatnonzero(n >= least).tolist():
                     a, b = cut[k], cut[k + 1]
@@ -137,8 +145,9 @@ def _prefixes(size: int, t: int, common, least: int):
                 flat = np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(np.array(sizes, np.int64)),
-                     pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)), pa.array(flat))],
-                    names=["high", "low", "n", "prefix"])
+                     pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)), pa.array(flat)),
+                     pa.array(more_shared(least_overlap(np.array(sizes, np.int64), t), t))],
+                    names=["high", "low", "n", "prefix", "needed"])
 
     return run
 
@@ -177,6 +186,17 @@ def _compare(t: int):
     return run
 
 
+def _kept(rows: DataFrame, several: DataFrame) -> DataFrame:
+    """``rows`` whose token is one of ``several``.
+
+    A bitmap of the tokens' hashes, of ``BITMAP_WORDS`` words at most, drops most other rows before the shuffle; it lets through too many, never too few.
+    """
+    word, bit = F.expr(f"pmod(xxhash64(token), {BITMAP_WORDS})").alias("word"), "cast(pmod(xxhash64(token, 1), 64) as int)"
+    bitmap = several.groupBy(word).agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("bits"))
+    return (rows.select("*", word).join(F.broadcast(bitmap), "word").filter(f"shiftright(bits, {bit}) & 1L = 1L").drop("word", "bits")
+            .join(several, "token", "left_semi"))
+
+
 class _Join:
     def __init__(self, docs: DataFrame, size: int, t: int, text: str, id_col: str):
         self.size, self.t = size, t
@@ -211,34 +231,38 @@ class _Join:
         return staged(pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(_compare(self.t), "a bigint, b bigint"), "join-links")
 
     def near(self) -> DataFrame:
-        """Pairs of a class with the first and last one of each of its bands whose sketch is like its own."""
-        bands = self.classes.filter(F.col("n") >= self.least).select(
-            "cid", "n", "sketch", F.explode(F.sequence(F.lit(0), F.lit(SKETCH // BAND - 1))).alias("band")).withColumn(
-            "key", F.xxhash64("band", F.slice("sketch", F.col("band") * BAND + 1, F.lit(BAND))))
-        one = F.struct("cid", "n", "sketch")
-        ends = bands.groupBy("band", "key").agg(F.min(one).alias("low"), F.max(one).alias("high")).filter("low.cid != high.cid")
-        met = bands.join(ends, ["band", "key"])
-        pairs = None
-        for end in ("low", "high"):
-            alike = F.size(F.filter(F.arrays_zip(F.col("sketch").alias("p"), F.col(f"{end}.sketch").alias("q")), lambda z: z["p"] == z["q"]))
-            part = (met.filter((F.col("cid") != F.col(f"{end}.cid")) & (alike >= ALIKE)
-                               & (100 * F.least("n", f"{end}.n") >= self.t * F.greatest("n", f"{end}.n")))
-                    .select(F.least("cid", f"{end}.cid").alias("a"), F.greatest("cid", f"{end}.cid").alias("b")))
-            pairs = part if pairs is None else pairs.unionByName(part)
-        return pairs.distinct()
+        """Pairs of a class with that first class of its bands that it shares most bands with, if their sketches agree."""
+        bands = self.classes.filter(F.col("n") >= self.least).select("cid", "n", F.explode(F.transform(
+            F.sequence(F.lit(0), F.lit(SKETCH // BAND - 1)), lambda k: F.xxhash64(k, F.slice("sketch", k * BAND + 1, F.lit(BAND))))).alias("key"))
+        first = bands.groupBy("key").agg(F.min(F.struct("cid", "n")).alias("first"))
+        met = (bands.join(first, "key").filter(f"cid != first.cid AND 100 * least(n, first.n) >= {self.t} * greatest(n, first.n)")
+               .groupBy("cid", F.col("first.cid").alias("a")).agg(F.count(F.lit(1)).alias("bands")))
+        # the first class of a band is its smallest, so a < cid; of those that share most bands, the smallest
+        one = met.groupBy("cid").agg(F.min(F.struct(-F.col("bands"), F.col("a"))).alias("m")).select("cid", "m.a")
+        sketch = self.classes.select("cid", "sketch")
+        both = one.join(sketch, "cid").join(sketch.select(F.col("cid").alias("a"), F.col("sketch").alias("other")), "a")
+        alike = F.size(F.filter(F.arrays_zip("sketch", "other"), lambda z: z["sketch"] == z["other"]))
+        return both.filter(alike >= ALIKE).select("a", F.col("cid").alias("b"))
 
     def opened(self, families: DataFrame) -> DataFrame:
         """Pairs of classes of different families that the matrix does not rule out."""
         t = self.t
-        made = self.texts.select("text").mapInArrow(_prefixes(self.size, t, self.common, self.least), "high bigint, low bigint, n bigint, prefix array<bigint>")
-        made = made.groupBy("high", "low").agg(F.first("prefix").alias("prefix"))
+        made = self.texts.select("text").mapInArrow(
+            _prefixes(self.size, t, self.common, self.least), "high bigint, low bigint, n bigint, prefix array<bigint>, needed bigint")
+        made = made.groupBy("high", "low").agg(F.first("prefix").alias("prefix"), F.first("needed").alias("needed"))
         band = F.xxhash64(F.slice("sketch", 1, BAND)).alias("band")
-        sets = (made.join(self.classes.select("high", "low", "cid", "n", band), ["high", "low"])
-                .join(families.withColumnRenamed("node", "cid").withColumnRenamed("component", "family"), "cid", "left")
-                .withColumn("family", F.coalesce("family", "cid"))
-                .withColumn("rest", F.col("n") - F.size("prefix")))
+        shown = staged(made.join(self.classes.select("high", "low", "cid", "n", band), ["high", "low"])
+                       .join(families.withColumnRenamed("node", "cid").withColumnRenamed("component", "family"), "cid", "left")
+                       .withColumn("family", F.coalesce("family", "cid")).drop("high", "low"), "join-shown")
+        # only tokens of several families tell sets of different families apart
+        tokens = shown.select("cid", "family", F.explode("prefix").alias("token"))
+        several = staged(tokens.groupBy("token").agg(F.min("family").alias("f0"), F.max("family").alias("f1")).filter("f0 != f1").select("token"),
+                         "join-several")
+        shared = _kept(tokens.select("cid", "token"), several).groupBy("cid").agg(F.count(F.lit(1)).alias("shared"))
+        sets = (shown.join(shared, "cid").filter("shared >= needed").withColumn("prefix", F.expr(f"slice(prefix, 1, cast(n - ({t} * n + 99) div 100 + 1 as int))"))
+                .withColumn("rest", F.col("n") - F.size("prefix")).drop("shared", "needed"))
         # groups: sets of one band whose sizes differ by a twentieth at most, about GROUP_SETS of them
-        sets = staged(sets.withColumn("step", F.floor(F.log("n") / float(np.log(1.05)))).drop("high", "low"), "join-prefixes")
+        sets = staged(sets.withColumn("step", F.floor(F.log("n") / float(np.log(1.05)))), "join-prefixes")
         parts = sets.groupBy("band", "step").agg(F.ceil(F.count(F.lit(1)) / GROUP_SETS).alias("parts")).filter("parts > 1")
         grouped = staged(sets.join(parts, ["band", "step"], "left").withColumn(
             "gid", F.xxhash64("band", "step", F.pmod(F.xxhash64("cid"), F.coalesce("parts", F.lit(1))))).drop("band", "step", "parts"), "join-groups")
@@ -246,8 +270,6 @@ class _Join:
                                             F.min("family").alias("f_min"), F.max("family").alias("f_max"))
         matrix = grouped.select("gid", F.explode("prefix").alias("token")).distinct()
         asked = grouped.select("cid", "n", "rest", "family", F.explode("prefix").alias("token"))
-        # only tokens of several families tell groups apart
-        several = asked.groupBy("token").agg(F.min("family").alias("f0"), F.max("family").alias("f1")).filter("f0 != f1").select("token")
         matrix = matrix.join(several, "token", "left_semi").join(bounds, "gid")
         met = (asked.join(several, "token", "left_semi").join(matrix, "token")
                .filter(f"NOT (family = f_min AND family = f_max) AND 100 * n_max >= {t} * n AND 100 * n >= {t} * n_min")

@@ -83,6 +83,25 @@ def test_matrix_alone_loses_nothing(spark, monkeypatch):
     assert found(ngram_join.join(docs, 3, 80)) == brute(rows, 3, 80)
 
 
+@pytest.mark.parametrize("t", [60, 75, 80, 90])
+def test_longer_prefixes_share_enough(t):
+    """Linked sets share at least as many tokens of their longer prefixes as either of them asks for."""
+    rng = random.Random(t)
+    seen = 0
+    for _ in range(3000):
+        n = rng.randint(2, 60)
+        a = set(rng.sample(range(200), n))
+        b = set(a) - set(rng.sample(sorted(a), rng.randint(0, max(1, n // 5)))) | set(rng.sample(range(200), rng.randint(0, n // 8 + 1)))
+        if not b or a == b or 100 * len(a & b) < t * len(a | b):
+            continue
+        seen += 1
+        size = np.array([len(a), len(b)])
+        take = size - ngram_join.least_overlap(size, t) + ngram_join.more_shared(size, t)
+        asked = ngram_join.more_shared(ngram_join.least_overlap(size, t), t)
+        assert len(set(sorted(a)[:take[0]]) & set(sorted(b)[:take[1]])) >= asked.max() >= 1
+    assert seen > 50
+
+
 def test_odd_rows(spark):
     rows = [(r[0], r[1]) for r in odd_rows()]
     assert found(ngram_join.join(odd_docs(spark), 3, 90)) == brute(rows, 3, 90)
