@@ -39,8 +39,8 @@ def season_sql(ts: str) -> str:
 
 
 def seconds_of_day_sql(ts: str) -> str:
-    """Time of day of an instant as whole seconds since midnight."""
-    return f"(hour({ts}) * 3600 + minute({ts}) * 60 + CAST(second({ts}) AS INT))"
+    """Time of day of an instant in seconds since midnight, with its microseconds."""
+    return f"(CAST(pmod(unix_micros({ts}), 86400000000) AS DOUBLE) / 1000000)"
 
 
 def ts_text_sql(ts: str) -> str:

@@ -18,7 +18,7 @@ def ts_text(expr: str) -> str:
 
 
 def tod(expr: str) -> str:
-    return f"(hour({expr}) * 3600 + minute({expr}) * 60 + CAST(floor(second({expr})) AS INTEGER))"
+    return f"(CAST(microsecond({expr}) + 1000000 * (60 * minute({expr}) + 3600 * hour({expr})) AS DOUBLE) / 1000000)"
 
 
 def time_id(expr: str) -> str:

@@ -150,7 +150,7 @@ def unknown_lights(spark, sf_dir):
 def _sched_sql(mode: str) -> str:
     return oracle.with_ctes(f"""
     SELECT p.gps_id, {oracle.ts_text('p.recorded_at')} AS recorded_at, p.traffic_light_id, p.day_type,
-           {oracle.tod('p.recorded_at')} AS tod_sec, CAST(s.red_duration AS INTEGER) AS scheduled_red_duration
+           CAST(floor({oracle.tod('p.recorded_at')}) AS BIGINT) AS tod_sec, CAST(s.red_duration AS INTEGER) AS scheduled_red_duration
     FROM wh p LEFT JOIN sched s ON s.traffic_light_id = p.traffic_light_id
         AND s.applicable_days = p.day_type AND {oracle.sched_match(oracle.tod('p.recorded_at'), mode)}""")
 
@@ -207,7 +207,8 @@ fld AS (
            CASE WHEN is_obj THEN json_extract_string(value, '$.gps_id') END AS gps_id,
            CASE WHEN is_obj THEN json_extract_string(value, '$.device_id') END AS vehicle_id,
            CASE WHEN is_obj THEN json_extract_string(value, '$.timestamp') END AS timestamp,
-           CASE WHEN is_obj THEN json_extract_string(value, '$.latitude') END AS lat_t,
+           (SELECT list_last(list(j.value ->> '$' ORDER BY j.id)) FROM json_each(CASE WHEN is_obj THEN rq.value ELSE '{{}}' END) j
+            WHERE j.key = 'latitude') AS lat_t,
            CASE WHEN is_obj THEN json_extract_string(value, '$.longitude') END AS lon_t,
            CASE WHEN is_obj THEN json_extract_string(value, '$.speed') END AS spd_t,
            CASE WHEN is_obj THEN json_extract_string(value, '$.traffic_light_id') END AS light_t,

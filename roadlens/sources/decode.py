@@ -15,7 +15,7 @@ number → ``not_a_number``; outside [-90, 90] / [-180, 180] (NaN included) →
 to 2 places HALF_UP. Missing optional keys get defaults.
 
 The body must be one JSON object and nothing else: single quotes, or text
-after the object, make it ``malformed``. Numbers are read as text (``"21.08"``
+after the object (brackets that close the parser's own wrapping included), make it ``malformed``. Numbers are read as text (``"21.08"``
 is accepted like ``21.08``), must look like decimal numbers or NaN/Infinity
 (``"21.0d"`` does not), then are cast with ``try_cast``; a bare ``NaN`` token
 comes back quoted and is unquoted first.
@@ -77,16 +77,24 @@ def decode_requests(df: DataFrame, received_at: str | None = None, speed_unit: s
     body is parsed inside a generator (``explode`` of a one-element array):
     the optimizer neither copies a generator's input into later expressions nor
     pushes filters on its output below it, so each row is parsed once
-    however many columns and filters use the result. The parse wraps the body
-    in an array inside an object, so that text after the body breaks the whole.
+    however many columns and filters use the result. The parse puts the body
+    into an array, before an object with the body's digest: whatever the body closes or
+    opens early, the array then lacks that object as its second and last element.
+    Of a repeated key the last value counts, as in the reference's parser.
     """
-    wrapped = f"concat('{{\"v\": [', `{value_col}`, ']}}')"
-    parse = f"from_json({wrapped}, 'v array<map<string,string>>', map('allowSingleQuotes', 'false')).v"
+    digest = f"sha2(`{value_col}`, 256)"
+    wrapped = f"concat('[', `{value_col}`, ', {{\"end\": \"', {digest}, '\"}}]')"
+    parse = f"from_json({wrapped}, 'array<map<string,string>>', map('allowSingleQuotes', 'false'))"
     parsed = df.selectExpr("*", f"explode(array({parse})) AS __parsed")
+    whole = f"size(__parsed) = 2 AND __parsed[1]['end'] = {digest}"
+    # entries that no later one of the same key follows
+    last = ("map_from_entries(filter(map_entries(__parsed[0]), (e, i) -> "
+            "i = size(__parsed[0]) - array_position(reverse(map_keys(__parsed[0])), e.key)))")
+    single = "size(array_distinct(map_keys(__parsed[0]))) = size(__parsed[0])"
     j = "__j"
     lat, lon = "__lat", "__lon"
     body = parsed.selectExpr(*[f"`{c}`" for c in df.columns],
-                             "explode(array(CASE WHEN size(__parsed) = 1 THEN __parsed[0] END)) AS __j")
+                             f"explode(array(CASE WHEN {whole} THEN CASE WHEN {single} THEN __parsed[0] ELSE {last} END END)) AS __j")
     fields = body.selectExpr("*", f"{_num_sql(j + '[' + _lit('latitude') + ']')} AS __lat",
                              f"{_num_sql(j + '[' + _lit('longitude') + ']')} AS __lon",
                              f"{_num_sql(j + '[' + _lit(speed_key) + ']')} AS __spd")

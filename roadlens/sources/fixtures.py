@@ -9,7 +9,8 @@ duplicates. The rule is deterministic and row-local (no shuffle), and is
 written once in Spark and once in SQL for the oracle. Every 50th ping appears
 a second time as a later copy (``src_file`` 1) with speed + 1, which the
 keep-first dedupe must drop; other pings carry broken values, among them
-timestamps that do not parse and timestamps with an offset.
+timestamps that do not parse and timestamps with an offset. Every 61st event is a
+jam: two more vehicles stand in it, and all three are slow.
 
 Output is the lake ping layout (timestamp as text) plus the two ordering
 columns ``src_file`` and ``src_row`` that define "first" for dedupe.
@@ -24,6 +25,7 @@ from roadlens.sources import seeds
 # FIXED VALUES of the fixture rule (also spelled out in FIXTURES.md §3)
 SHIFT_DAYS = 735
 RUN_POINTS, STEP_SECONDS = 7, 5
+JAM = "event_id % 61 = 9"
 LAT_MULT, LON_MULT, JITTER_MOD, JITTER_HALF = 7919, 104729, 4001, 2000
 
 
@@ -51,15 +53,16 @@ def gps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     offset = "concat(date_format(at + INTERVAL 7 HOURS, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+07:00')"
     jitter_lat = f"((event_id * {LAT_MULT}) % {JITTER_MOD} - {JITTER_HALF} + k * 20) / 1000000.0D"
     jitter_lon = f"((event_id * {LON_MULT}) % {JITTER_MOD} - {JITTER_HALF} + k * 20) / 1000000.0D"
-    speed = (f"CASE WHEN src_row % 107 = 3 THEN -1.0D WHEN {is_peak} THEN value * 0.125D + k * 0.25D "
+    speed = (f"CASE WHEN src_row % 107 = 3 THEN -1.0D WHEN {JAM} THEN (member + k) * 0.5D WHEN {is_peak} THEN value * 0.125D + k * 0.25D "
              "ELSE value * 0.5D + k * 0.25D END")
     return (events(spark, sf_dir)
             .selectExpr("event_id", "ts", "user_id", "value", f"explode(sequence(0, {RUN_POINTS - 1})) AS k")
-            .selectExpr("event_id", "user_id", "value", "k", f"event_id * {RUN_POINTS} + k AS src_row",
+            .selectExpr("*", f"explode(CASE WHEN {JAM} THEN array(0, 1, 2) ELSE array(0) END) AS member")
+            .selectExpr("event_id", "user_id", "value", "k", "member", f"event_id * {RUN_POINTS} + k AS src_row",
                         f"CAST(ts AS TIMESTAMP) + make_interval(0, 0, 0, {SHIFT_DAYS}, 0, 0, k * {STEP_SECONDS}) AS at")
             .selectExpr("*", "explode(CASE WHEN src_row % 50 = 0 THEN array(0, 1) ELSE array(0) END) AS src_file")
             .selectExpr(
-                "concat('GPS_', CAST(user_id AS STRING)) AS gps_id",
+                "concat('GPS_', CAST(user_id AS STRING), CASE WHEN member > 0 THEN concat('_', CAST(member AS STRING)) ELSE '' END) AS gps_id",
                 f"CASE WHEN src_row % 109 = 7 THEN 'junk' WHEN src_row % 13 = 4 THEN {offset} ELSE {plain} END AS timestamp",
                 "CASE WHEN src_row % 97 = 0 THEN CAST(NULL AS DOUBLE) WHEN src_row % 101 = 1 THEN 91.0D "
                 f"WHEN src_row % 103 = 2 THEN 0.0D ELSE {_light_attr_sql(3)} + {jitter_lat} END AS latitude",
@@ -88,7 +91,7 @@ def sql_gps_raw() -> str:
     jlat = f"CAST((event_id * {LAT_MULT}) % {JITTER_MOD} - {JITTER_HALF} + k * 20 AS DOUBLE) / CAST(1000000 AS DOUBLE)"
     jlon = f"CAST((event_id * {LON_MULT}) % {JITTER_MOD} - {JITTER_HALF} + k * 20 AS DOUBLE) / CAST(1000000 AS DOUBLE)"
     base = f"""
-    SELECT 'GPS_' || CAST(user_id AS VARCHAR) AS gps_id,
+    SELECT 'GPS_' || CAST(user_id AS VARCHAR) || CASE WHEN member > 0 THEN '_' || CAST(member AS VARCHAR) ELSE '' END AS gps_id,
            CASE WHEN src_row % 109 = 7 THEN 'junk'
                 WHEN src_row % 13 = 4 THEN strftime(pt + INTERVAL 7 HOURS, '%Y-%m-%dT%H:%M:%S.%f') || '+07:00'
                 ELSE strftime(pt, '%Y-%m-%d %H:%M:%S.%f') END AS timestamp,
@@ -99,6 +102,7 @@ def sql_gps_raw() -> str:
            CASE WHEN src_row % 103 = 2 THEN CAST(0.0 AS DOUBLE)
                 ELSE {_sql_light_case(4)} + {jlon} END AS longitude,
            CASE WHEN src_row % 107 = 3 THEN CAST(-1.0 AS DOUBLE)
+                WHEN {JAM} THEN (member + k) * CAST(0.5 AS DOUBLE)
                 WHEN hour(pt) IN ({peak}) THEN value * CAST(0.125 AS DOUBLE) + k * CAST(0.25 AS DOUBLE)
                 ELSE value * CAST(0.5 AS DOUBLE) + k * CAST(0.25 AS DOUBLE) END AS speed_kmh,
            CASE WHEN event_id % 23 = 0 THEN 'unknown'
@@ -111,9 +115,10 @@ def sql_gps_raw() -> str:
            strftime(pt, '%Y-%m-%d %H:%M:%S.%f') AS received_at,
            0 AS src_file,
            src_row
-    FROM (SELECT event_id, user_id, value, k, event_id * {RUN_POINTS} + k AS src_row,
+    FROM (SELECT event_id, user_id, value, k, member, event_id * {RUN_POINTS} + k AS src_row,
                  CAST(ts AS TIMESTAMP) + INTERVAL {SHIFT_DAYS} DAYS + to_seconds(k * {STEP_SECONDS}) AS pt
-          FROM (SELECT *, unnest(range({RUN_POINTS})) AS k FROM events) e) p"""
+          FROM (SELECT *, unnest(CASE WHEN {JAM} THEN [0, 1, 2] ELSE [0] END) AS member
+                FROM (SELECT *, unnest(range({RUN_POINTS})) AS k FROM events)) e) p"""
     return f"""
     SELECT * FROM ({base}) b
     UNION ALL
@@ -130,7 +135,8 @@ def sql_gps_raw() -> str:
 # latitude as a numeric string, 6 latitude "abc", 7 latitude 90.5, 8 speed
 # "abc", 9 speed absent, 10 speed null, 11 an extra accuracy_m key, 12 speed
 # 60 m/s, 13 speed -3 m/s, 14 single quotes, 15 text after the object, 16
-# latitude "21.0d"; otherwise a regular body. Numbers are written as
+# latitude "21.0d", 17 brackets and text after the object, 18 latitude repeated
+# (the last one counts); otherwise a regular body. Numbers are written as
 # fixed-scale DECIMAL text after a HALF_UP round so both engines print the same
 # text. Keys with NULL payload values are left out (absent → default).
 REQUEST_CASES = 37
@@ -177,6 +183,7 @@ def gps_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = f"concat('{{', concat_ws(', ', {', '.join(parts)}), '}}')"
     value = (f"CASE WHEN {case} = 0 THEN '{{bad' WHEN {case} = 1 THEN '[1]' WHEN {case} = 2 THEN '{{}}' "
              f"WHEN {case} = 14 THEN replace({body}, '\"', chr(39)) WHEN {case} = 15 THEN concat({body}, ' trailing') "
+             f"WHEN {case} = 17 THEN concat({body}, ']}} more') WHEN {case} = 18 THEN concat('{{\"latitude\": 1.5, ', substring({body}, 2)) "
              f"ELSE {body} END")
     return (gps_raw(spark, sf_dir).filter("src_file = 0")
             .selectExpr("src_row AS event_id", f"{value} AS value"))
@@ -210,6 +217,7 @@ def sql_gps_requests() -> str:
     SELECT src_row AS event_id,
            CASE WHEN {case} = 0 THEN '{{bad' WHEN {case} = 1 THEN '[1]' WHEN {case} = 2 THEN '{{}}'
                 WHEN {case} = 14 THEN replace({body}, '"', chr(39)) WHEN {case} = 15 THEN {body} || ' trailing'
+                WHEN {case} = 17 THEN {body} || ']}} more' WHEN {case} = 18 THEN '{{"latitude": 1.5, ' || substring({body}, 2)
                 ELSE {body} END AS value
     FROM ({sql_gps_raw()}) r WHERE src_file = 0"""
 

@@ -25,6 +25,13 @@ CASES = {
     "{" + BASE + "} trailing": "malformed",
     "{" + BASE + "}, {" + BASE + "}": "malformed",
     "{" + BASE + "}], [{}": "malformed",
+    "{" + BASE + "}]} anything": "malformed",
+    "{" + BASE + "}]": "malformed",
+    "{" + BASE + '}],"w":[1]': "malformed",
+    "{" + BASE + '}, {"end": "x"}] , [': "malformed",
+    "{" + BASE + "}]}]}": "malformed",
+    '{"latitude": "abc", ' + BASE + "}": None,
+    "{" + BASE + ', "latitude": 91, "latitude": "abc"}': "not_a_number",
     '{"gps_id": "G1", "timestamp": "t", "latitude": "21.0d", "longitude": 1}': "not_a_number",
     '{"gps_id": "G1", "timestamp": "t", "latitude": " -2.5e1 ", "longitude": ".5"}': None,
 }
@@ -62,6 +69,12 @@ def test_latitude_string_value(spark):
     assert decode_requests(df).select("latitude").first()[0] == 21.08
 
 
+def test_last_of_repeated_keys_counts(spark):
+    body = "{" + BASE + ', "latitude": 1.5, "speed": 1, "speed": 2, "latitude": 7.25, "gps_id": "G9"}'
+    row = decode_requests(spark.createDataFrame([(body,)], "value string")).first()
+    assert (row.gps_id, row.latitude, row.speed_kmh, row.longitude, row.reject_reason) == ("G9", 7.25, 7.2, 105.0, None)
+
+
 def test_timestamp_forms(spark):
     from roadlens.functions.timeparts import parse_ts
     df = spark.createDataFrame([("2026-03-04 00:08:09",), ("2026-03-04T00:08:09",),

@@ -48,6 +48,15 @@ CASES = [  # (time of day, day type, light, strict reds, wrap reds)
 ]
 
 
+def test_fractions_of_a_second_count(spark):
+    """Half a second after nine only the second row is active."""
+    from roadlens.functions.timeparts import seconds_of_day_sql
+    at = spark.sql(f"SELECT *, {seconds_of_day_sql('at')} AS tod FROM VALUES (TIMESTAMP '2026-01-09 09:00:00.5', 'weekday', 'TL001'), "
+                   "(TIMESTAMP '2026-01-09 20:00:00.000001', 'weekday', 'TL001') AS t(at, day_type, traffic_light_id)")
+    out = lookup_red(at, dimensions.light_schedule(spark), "tod", "day_type", "strict").collect()
+    assert sorted((r.at.hour, r.scheduled_red_duration) for r in out) == [(9, 45), (20, None)]
+
+
 def test_schedule_lookup(spark):
     rows = [(i, int(t[:2]) * 3600 + int(t[3:5]) * 60 + int(t[6:]), d, l)
             for i, (t, d, l, _, _) in enumerate(CASES)]
@@ -70,6 +79,6 @@ def test_seeding_twice_equals_once(spark):
              (dimensions.light_schedule, ["traffic_light_id", "start_sec", "applicable_days"])]
     for build, key in cases:
         seed = build(spark)
-        first = insert_or_ignore(seed.limit(0), seed, key)
-        stored = first.unionByName(insert_or_ignore(first, seed, key))
+        first = insert_or_ignore(seed.limit(0), seed, key, seed.columns[:1])
+        stored = first.unionByName(insert_or_ignore(first, seed, key, seed.columns[:1]))
         assert stored.count() == seed.count() == first.count()
