@@ -21,15 +21,6 @@ def insert_or_ignore(target: DataFrame, batch: DataFrame, keys: Sequence[str], o
     return keep_first(batch, list(keys), list(order)).join(target.select(*keys), list(keys), "left_anti")
 
 
-def retain(df: DataFrame, as_of: Column, days: int = 7, ts_col: str = "recorded_at") -> DataFrame:
-    """Rows kept by the retention rule: strictly older than ``as_of - days`` is dropped."""
-    return df.filter(F.col(ts_col) >= as_of - F.expr(f"INTERVAL {int(days)} DAYS"))
-
-
-def expired(df: DataFrame, as_of: Column, days: int = 7, ts_col: str = "recorded_at") -> DataFrame:
-    return df.filter(F.col(ts_col) < as_of - F.expr(f"INTERVAL {int(days)} DAYS"))
-
-
 def metrics_table(pairs: Sequence[tuple[str, Column]], source: DataFrame) -> DataFrame:
     """One aggregate pass over ``source`` producing ``(metric, value)`` rows."""
     agg = source.agg(*[c.alias(f"m{i}") for i, (_, c) in enumerate(pairs)])

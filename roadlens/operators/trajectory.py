@@ -113,6 +113,19 @@ def route_points(pings: DataFrame, gap_seconds: int = 30, vehicle_col: str = "gp
             .selectExpr(f"`{vehicle_col}`", "f AS run_start", "recorded_at", "latitude", "longitude", "speed_kmh"))
 
 
+def run_samples(pings: DataFrame, gap_seconds: int = 30, seconds: int = 5, at_most: int = 6, vehicle_col: str = "gps_id") -> DataFrame:
+    """What a phone sends of each run: the ping at its start, then one every ``seconds`` seconds, ``at_most`` in all.
+
+    Steps are counted from the run's first instant; a sample is the first ping of its step, and steps without a ping have none.
+    """
+    step = f"(unix_micros(recorded_at) - unix_micros(run_start)) div {int(seconds) * 1_000_000}"
+    points = route_points(pings, gap_seconds, vehicle_col).withColumn("__k", F.expr(step)).filter(F.col("__k") < at_most)
+    first = ("min_by(named_struct('recorded_at', recorded_at, 'latitude', latitude, 'longitude', longitude, "
+             "'speed_kmh', speed_kmh), recorded_at) AS __p")
+    return (points.groupBy(vehicle_col, "run_start", "__k").agg(F.expr(first))
+            .selectExpr(f"`{vehicle_col}`", "run_start", "CAST(__k + 1 AS INT) AS sample", "__p.*"))
+
+
 # FIXED VALUES: popup labels of the marker feed.
 POPUP_FMT = "GPS ID: %s | Xe: %s | Tốc độ: %s km/h | Độ chính xác: %s m | Thời gian: %s"
 NA = "N/A"

@@ -86,8 +86,8 @@ from roadlens.functions.timeparts import seconds_of_day, ts_text  # noqa: E402
 from roadlens.operators import clean as clean_ops  # noqa: E402
 from roadlens.operators import enrich, load, quality, trajectory  # noqa: E402
 from roadlens.operators.schedule import lookup_red  # noqa: E402
-from roadlens.sources import decode, fixtures, lake, verdict_store, warehouse  # noqa: E402
-from roadlens.session import scratch_path, stream_session  # noqa: E402
+from roadlens.sources import decode, fixtures, lake, ping_table, verdict_store, warehouse  # noqa: E402
+from roadlens.session import exists, scratch_path, stream_session  # noqa: E402
 
 RAW_COLS = ["gps_id", "timestamp", "latitude", "longitude", "speed_kmh", "traffic_light_id",
             "day_type", "time_window", "received_at", "src_file", "src_row"]
@@ -286,6 +286,31 @@ def speed_normalize(spark, sf_dir):
     return ev.select("event_id", decode.speed_to_kmh("value").alias("speed_kmh"))
 
 
+# ------------------------------------------------------------------ verdicts of a job's runs
+
+RUN_EVERY = 1
+
+
+@register("verdicts_as_run", oracle.with_ctes(oracle.verdict_select(f"""
+        SELECT traffic_light_id, time_window, day_type, run AS moment, {oracle.MEAN} AS mean_kmh, COUNT(DISTINCT gps_id) AS vehicles
+        FROM (SELECT *, unnest(CASE WHEN a <= b THEN generate_series(a, b, INTERVAL {RUN_EVERY} MINUTE) END) AS run
+              FROM (SELECT *, time_bucket(INTERVAL {RUN_EVERY} MINUTE, got + INTERVAL {RUN_EVERY} MINUTE - INTERVAL 1 MICROSECOND) AS a,
+                           least(time_bucket(INTERVAL {RUN_EVERY} MINUTE, recorded_at + INTERVAL 5 MINUTE - INTERVAL 1 MICROSECOND), final) AS b
+                    FROM got, (SELECT time_bucket(INTERVAL {RUN_EVERY} MINUTE, max(got) + INTERVAL 5 MINUTE) AS final FROM got)))
+        WHERE traffic_light_id IS NOT NULL GROUP BY ALL""", "strict"), extra=f"""
+    got AS (SELECT *, recorded_at + to_seconds({fixtures.DELAY_SQL.format(second='CAST(floor(epoch(recorded_at)) AS BIGINT)')}) AS got FROM wh)"""))
+def verdicts_as_run(spark, sf_dir):
+    """The verdicts of every minute's run as the job saw the data then: late pings are missing, pings stamped in the future count."""
+    delay = fixtures.DELAY_SQL.format(second="unix_seconds(recorded_at)")
+    pings = base.warehouse_pings(spark, sf_dir).withColumn("received_at", F.expr(f"recorded_at + make_dt_interval(0, 0, 0, {delay})"))
+    last = pings.selectExpr("date_trunc('MINUTE', max(received_at) + INTERVAL 5 MINUTES) AS t").first()["t"]
+    if last is None:
+        last_run = "TIMESTAMP '1970-01-01 00:00:00'"
+    else:
+        last_run = f"TIMESTAMP '{last:%Y-%m-%d %H:%M:%S}'"
+    return congestion.as_run(pings, dimensions.light_schedule(spark), last_run, 5, RUN_EVERY)
+
+
 # ------------------------------------------------------------------ read queries over verdicts
 
 def _flagship_sql() -> str:
@@ -314,12 +339,8 @@ def latest_verdicts(spark, sf_dir):
     "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY traffic_light_id "
     "ORDER BY analysis_time DESC) AS rn FROM v) WHERE rn = 1", extra=f"v AS ({_flagship_sql()})"))
 def latest_per_light(spark, sf_dir):
-    """Most recent verdict per light (max_by, partially aggregated)."""
-    v = _stored(spark, sf_dir)
-    rest = [c for c in v.columns if c != "traffic_light_id"]
-    return (v.groupBy("traffic_light_id")
-             .agg(F.max_by(F.struct(*rest), F.col("analysis_time")).alias("__v"))
-             .select("traffic_light_id", *[F.col(f"__v.{c}").alias(c) for c in rest]))
+    """Most recent verdict per light (max_by, partially aggregated), from the newest days that have one."""
+    return verdict_store.latest_per_light(spark, _verdict_root(spark, sf_dir), dimensions.traffic_lights(spark))
 
 
 @register("inefficient_lights", oracle.with_ctes(
@@ -355,6 +376,34 @@ def pings_per_vehicle(spark, sf_dir):
                     ts_text("l").alias("last_ping"), round_dec("a", 6).alias("avg_speed_kmh")))
 
 
+ONE_VEHICLE, ONE_LIGHT = "GPS_7", "TL003"
+LIGHT_FROM, LIGHT_UNTIL = "2026-01-09 06:00:00", "2026-01-12 09:30:00"
+
+
+def _ping_store(spark, sf_dir):
+    root = scratch_path(spark, "point-reads")
+    warehouse.write(base.warehouse_pings(spark, sf_dir), root)
+    return root
+
+
+@register("vehicle_pings", oracle.with_ctes(f"""
+    SELECT gps_id, {oracle.ts_text('recorded_at')} AS recorded_at, latitude, longitude, speed_kmh, traffic_light_id
+    FROM wh WHERE gps_id = '{ONE_VEHICLE}'"""))
+def vehicle_pings(spark, sf_dir):
+    """The pings of one vehicle over time, from the store (Bloom filters skip row groups without it)."""
+    rows = warehouse.vehicle_pings(spark, _ping_store(spark, sf_dir), ONE_VEHICLE)
+    return rows.orderBy("recorded_at").select("gps_id", ts_text("recorded_at").alias("recorded_at"), "latitude", "longitude", "speed_kmh", "traffic_light_id")
+
+
+@register("light_pings", oracle.with_ctes(f"""
+    SELECT traffic_light_id, {oracle.ts_text('recorded_at')} AS recorded_at, gps_id, speed_kmh
+    FROM wh WHERE traffic_light_id = '{ONE_LIGHT}' AND recorded_at >= TIMESTAMP '{LIGHT_FROM}' AND recorded_at < TIMESTAMP '{LIGHT_UNTIL}'"""))
+def light_pings(spark, sf_dir):
+    """The pings at one light between two instants, from the store (days pruned by folder, hours by row group)."""
+    rows = warehouse.light_pings(spark, _ping_store(spark, sf_dir), ONE_LIGHT, LIGHT_FROM, LIGHT_UNTIL)
+    return rows.orderBy("recorded_at").select("traffic_light_id", ts_text("recorded_at").alias("recorded_at"), "gps_id", "speed_kmh")
+
+
 @register("pings_per_light", oracle.with_ctes(f"""
     SELECT traffic_light_id, {oracle.ts_text("date_trunc('hour', recorded_at)")} AS hour_start,
            CAST(count(*) AS BIGINT) AS n_pings, CAST(count(DISTINCT gps_id) AS BIGINT) AS n_vehicles
@@ -452,6 +501,19 @@ def run_summary(spark, sf_dir):
         "gps_id", "session_start", "last_ping", "n_points", "duration_s")
 
 
+@register("run_samples", oracle.with_ctes("""
+    SELECT gps_id, strftime(run_start, '%Y-%m-%d %H:%M:%S.%f') AS run_start, CAST(k + 1 AS INTEGER) AS sample,
+           strftime(recorded_at, '%Y-%m-%d %H:%M:%S.%f') AS recorded_at, latitude, longitude, speed_kmh
+    FROM (SELECT *, (epoch_us(recorded_at) - epoch_us(run_start)) // 5000000 AS k
+          FROM (SELECT *, min(recorded_at) OVER (PARTITION BY gps_id, sid) AS run_start FROM sess))
+    WHERE k < 6 QUALIFY row_number() OVER (PARTITION BY gps_id, sid, k ORDER BY recorded_at) = 1""", extra=_SESS_SQL))
+def run_samples(spark, sf_dir):
+    """What a phone sends of each run: a ping at its start and every 5 s from there, six at most."""
+    micros = "date_format({0}, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS {0}"
+    return trajectory.run_samples(base.warehouse_pings(spark, sf_dir), SESSION_GAP_S).selectExpr(
+        "gps_id", micros.format("run_start"), "sample", micros.format("recorded_at"), "latitude", "longitude", "speed_kmh")
+
+
 @register("route_points", oracle.with_ctes(f"""
     SELECT gps_id, strftime(min(recorded_at) OVER (PARTITION BY gps_id, sid), '%Y-%m-%d %H:%M:%S.%f') AS run_start,
            strftime(recorded_at, '%Y-%m-%d %H:%M:%S.%f') AS recorded_at, latitude, longitude, speed_kmh
@@ -474,6 +536,19 @@ def marker_feed(spark, sf_dir):
     return trajectory.marker_feed(base.warehouse_pings(spark, sf_dir))
 
 
+@register("phone_marker_feed", oracle.with_ctes(f"""
+    SELECT 'G' || CAST(src_row AS VARCHAR) AS gps_id, gps_id AS vehicle_id, strftime(CAST(received_at AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS recorded_at,
+           {oracle.dec_round('latitude', 6)} AS latitude, {oracle.dec_round('longitude', 6)} AS longitude,
+           printf('{trajectory.POPUP_FMT}', 'G' || CAST(src_row AS VARCHAR), gps_id,
+                  printf('%.1f', {oracle.dec_round(oracle.dec_round(f"GREATEST(0.0, LEAST({oracle.dec_round('speed_kmh', 4)}, 200.0))", 2), 1)}),
+                  printf('%.1f', CAST(src_row % 17 AS DOUBLE) / 2.0), strftime(CAST(received_at AS TIMESTAMP), '%Y-%m-%d %H:%M:%S')) AS popup
+    FROM raw WHERE src_file = 0 AND latitude BETWEEN -90 AND 90 AND longitude IS NOT NULL"""))
+def phone_marker_feed(spark, sf_dir):
+    """Map markers of the phones' pings, whose popups show their accuracy."""
+    out = decode.decode_requests(fixtures.phone_requests(spark, sf_dir), received_at=f"'{RECEIVED_AT}'", speed_unit="km/h")
+    return trajectory.marker_feed(out.filter("reject_reason IS NULL").withColumn("recorded_at", F.expr("try_cast(timestamp AS TIMESTAMP)")), "accuracy_m")
+
+
 # ------------------------------------------------------------------ loading, retention, quality
 
 FIRST_LOAD_BEFORE = "2026-01-10 00:00:00"
@@ -509,6 +584,19 @@ def warehouse_load(spark, sf_dir):
     return warehouse.read(spark, root).select("gps_id", ts_text("recorded_at").alias("recorded_at"), "speed_kmh")
 
 
+@register("table_load", oracle.with_ctes(
+    f"SELECT gps_id, {oracle.ts_text('recorded_at')} AS recorded_at, speed_kmh FROM wh_all"))
+def table_load(spark, sf_dir):
+    """The same loads into a table in buckets of the key, whose stored rows are never shuffled."""
+    path = scratch_path(spark, "ping-table")
+    table = "pings_" + path.rsplit("-", 1)[1]
+    offered = enrich.enrich(clean_ops.valid(base.raw_pings(spark, sf_dir)))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for batch in (offered.filter(f"recorded_at < TIMESTAMP '{FIRST_LOAD_BEFORE}'"), offered, offered):
+        ping_table.load(batch, table, path, ["src_file", "src_row"], buckets)
+    return spark.table(table).select("gps_id", ts_text("recorded_at").alias("recorded_at"), "speed_kmh")
+
+
 # Pings that reach the warehouse only after the first verdict run (a late device).
 LATE = "gps_id LIKE '%7'"
 
@@ -564,10 +652,10 @@ def retention_7d(spark, sf_dir):
 def retention_store(spark, sf_dir):
     """The stored pings after retention: expired days are gone from the mock store, production keeps all."""
     root = scratch_path(spark, "retention")
-    warehouse.write(base.warehouse_pings(spark, sf_dir), root)
     out = None
     for env in ("mock", "prod"):
-        warehouse.retain(spark, root, f"{root}-{env}", RETENTION_AS_OF, env=env)
+        warehouse.write(base.warehouse_pings(spark, sf_dir), f"{root}-{env}")
+        warehouse.retain(spark, f"{root}-{env}", RETENTION_AS_OF, env=env)
         part = warehouse.read(spark, f"{root}-{env}").select(F.lit(env).alias("env"), "gps_id", ts_text("recorded_at").alias("recorded_at"))
         out = part if out is None else out.unionByName(part)
     return out
@@ -730,16 +818,14 @@ SECOND_LOAD_FROM = "2026-01-10"
 @register("lake_incremental", oracle.with_ctes(f"""
     SELECT {_LAKE_SQL_COLS} FROM raw WHERE NOT (received_at < '{SECOND_LOAD_FROM}')"""))
 def lake_incremental(spark, sf_dir):
-    """Two lake loads; the ETL run after the second one reads only the files that the first run did not read."""
+    """Two lake loads; the ETL run after the second one opens only the files that the first run's manifest lacks."""
     root = scratch_path(spark, "lake-incr")
     raw = base.raw_pings(spark, sf_dir)
     first = F.col("received_at") < F.lit(SECOND_LOAD_FROM)
-    for part in (first, ~first):
+    for run, part in enumerate((first, ~first)):
         lake.write(lake.with_partitions(raw.filter(part), F.lit("prod"), F.expr(RECEIVED)), root)
-        if part is first:
-            seen = lake.new_files(spark, root, None).select("src_file").distinct()
-            seen = spark.read.schema(seen.schema).parquet(_written(seen, root + "-seen"))
-    return lake.new_files(spark, root, seen).select(*LAKE_COLS)
+        found = lake.record(lake.discover(spark, root, root + "-seen", env="prod"), root + "-seen", str(run))
+    return lake.read_files(spark, root, found).select(*LAKE_COLS)
 
 
 @register("lake_write_metrics", oracle.with_ctes(" UNION ALL ".join(
@@ -772,11 +858,23 @@ from roadlens.streaming import pipelines  # noqa: E402
 
 
 
-def _ingest_run(spark, sf_dir):
+INGEST_BATCHES = 4
+
+
+def _ingest_run(spark, sf_dir, audit=False):
+    """One ``availableNow`` run over the requests' files, a quarter of them a micro-batch."""
     d = scratch_path(spark, "ingest")
-    fixtures.gps_requests(spark, sf_dir).select("value").write.text(d + "/requests")
-    requests = pipelines.read_text_stream(stream_session(spark), d + "/requests")
+    files = max(2 * INGEST_BATCHES, spark.sparkContext.defaultParallelism)
+    fixtures.gps_requests(spark, sf_dir).select("value").repartition(files).write.text(d + "/requests")
+    session = stream_session(spark)
+    requests = pipelines.read_stream(session, "text", {"path": d + "/requests"}, max_files=-(-files // INGEST_BATCHES))
+    listener = pipelines.StreamAudit(spark, d + "/audit") if audit else None
+    if listener:
+        session.streams.addListener(listener)
     pipelines.ingest(requests, d + "/lake", d + "/dead", d + "/ckpt", received_at=f"'{RECEIVED_AT}'").awaitTermination()
+    if listener:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        session.streams.removeListener(listener)
     return d
 
 
@@ -791,6 +889,18 @@ def stream_ingest(spark, sf_dir):
     return lake.read(spark, d + "/lake", with_order=False).select(*LAKE_COLS)
 
 
+@register("stream_audit", oracle.with_ctes("""
+    SELECT 'rows_in' AS metric, CAST(count(*) AS BIGINT) AS value FROM dec
+    UNION ALL SELECT 'rows_accepted', CAST(count(*) FILTER (WHERE reject_reason IS NULL) AS BIGINT) FROM dec
+    UNION ALL SELECT 'rows_malformed', CAST(count(*) FILTER (WHERE reject_reason IN ('malformed', 'empty')) AS BIGINT) FROM dec
+    UNION ALL SELECT 'rows_invalid', CAST(count(*) FILTER (WHERE reject_reason NOT IN ('malformed', 'empty')) AS BIGINT) FROM dec""",
+    extra=_DECODE_SQL))
+def stream_audit(spark, sf_dir):
+    """The audit table of the ingest stream: metrics observed in each micro-batch, summed over the run."""
+    d = _ingest_run(spark, sf_dir, audit=True)
+    return spark.read.schema(pipelines.AUDIT).parquet(d + "/audit/*/*").groupBy("metric").agg(F.sum("value").alias("value"))
+
+
 @register("stream_dead_letters", oracle.with_ctes(
     "SELECT value, reject_reason FROM dec WHERE reject_reason IS NOT NULL", extra=_DECODE_SQL))
 def stream_dead_letters(spark, sf_dir):
@@ -831,7 +941,7 @@ def _append(transform):
 
 
 def _emitted(spark, d, like):
-    return spark.read.schema(like.schema).parquet(d + "/out") if warehouse.exists(spark, d + "/out") else like.limit(0)
+    return spark.read.schema(like.schema).parquet(d + "/out") if exists(spark, d + "/out") else like.limit(0)
 
 
 def _stream_verdicts(spark, sf_dir, name, slide=None):

@@ -91,6 +91,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system and path object of ``path``, wherever it lies."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, on whatever file system it names."""
+    fs, p = file_system(spark, path)
+    return fs.exists(p)
+
+
+def partition_values(spark: SparkSession, root: str, column: str) -> list[str]:
+    """Values of the first-level partition folders ``column=value``, from one listing; no file is opened, no job runs."""
+    fs, p = file_system(spark, root)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(column + "="))
+
+
 # Shuffle sizing for cluster runs: target bytes of shuffle data per partition and
 # the ratio of shuffled bytes to compressed Parquet input (rows decompress and
 # widen; map-side partial aggregation removes copies first).

@@ -1,7 +1,7 @@
 """Dimension tables: intersections, traffic lights, light schedule, time.
 
 All four have a size fixed by their definition (5, 5, 22 and 26 280 rows), so
-they are safe broadcast sides; ``BROADCAST_ROW_BOUND`` is the checked bound.
+they are safe broadcast sides.
 Each builder has a SQL twin used by the oracle.
 """
 
@@ -14,7 +14,6 @@ from roadlens.functions.timeparts import day_type_sql, dow0_sql, season_sql, tim
 from roadlens.sources import seeds
 
 # Largest dimension we ever broadcast (the hourly time dimension).
-BROADCAST_ROW_BOUND = seeds.TIME_DIM_HOURS
 
 INTERSECTION_COLS = ["intersection_id", "intersection_name", "latitude", "longitude", "description"]
 LIGHT_COLS = ["traffic_light_id", "intersection_id", "intersection_name", "latitude", "longitude",

@@ -29,6 +29,11 @@ JAM = "event_id % 61 = 9"
 LAT_MULT, LON_MULT, JITTER_MOD, JITTER_HALF = 7919, 104729, 4001, 2000
 
 
+# Seconds from a ping's stamp to its reception, by the second of the stamp: a moment as a rule, some come late
+# (beyond the window, too), and some devices stamp the future. SQL text for both engines.
+DELAY_SQL = "CASE {second} % 11 WHEN 3 THEN 130 WHEN 5 THEN -400 WHEN 7 THEN 700 WHEN 8 THEN -45 ELSE 2 END"
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadlens.session import exists
+
 LAKE_SCHEMA = T.StructType([
     T.StructField("gps_id", T.StringType()),
     T.StructField("timestamp", T.StringType()),
@@ -106,16 +108,47 @@ def write_observed(df: DataFrame, root: str, metrics: dict[str, str] | None = No
     return dict(obs.get)
 
 
-def new_files(spark: SparkSession, root: str, seen: DataFrame | None, since=None, env: str | None = None) -> DataFrame:
-    """Rows of the lake files that no earlier run has read, with their file's path in ``src_file``.
+FILES = "path string, size bigint, modified timestamp"
+
+
+def files(spark: SparkSession, root: str, env: str | None = None, since=None) -> DataFrame:
+    """``(path, size, modified)`` of the lake's files, from the listing; none is opened.
+
+    ``since`` (a UTC ``datetime``) narrows the listing to files modified after it, chosen early enough to cover the longest write.
+    """
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    if since:
+        r = r.option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S.%f"))
+    listed = r.load(root).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    return listed.filter(F.col("path").contains(f"/env={env}/")) if env else listed
+
+
+def discover(spark: SparkSession, root: str, manifests: str, env: str | None = None, since=None) -> DataFrame:
+    """The files that no run has recorded below ``manifests``: exact, however late a file was committed."""
+    listed = files(spark, root, env, since)
+    if not exists(spark, manifests):
+        return listed
+    return listed.join(spark.read.schema(FILES).parquet(manifests).select("path"), "path", "left_anti")
+
+
+def record(found: DataFrame, manifests: str, run: str) -> DataFrame:
+    """Write a run's files to its own manifest, and read that back: what the run covers is fixed from here on.
 
-    ``seen`` has the paths that earlier runs read (column ``src_file``); the
-    anti-join makes discovery exact, however late a file was committed. ``since`` (a UTC ``datetime``) only
-    narrows the listing: the files modified after it, chosen early enough to
-    cover the longest write.
+    A repeated run overwrites its manifest. Write it to a folder that :func:`discover` does not look at,
+    and record it there once the rows are stored, if a failed run's files shall be found again.
     """
-    rows = read(spark, root, env=env, modified_after=since.strftime("%Y-%m-%dT%H:%M:%S.%f") if since else None)
-    return rows if seen is None else rows.join(seen.select("src_file").distinct(), "src_file", "left_anti")
+    path = f"{manifests}/run={run}"
+    found.select("path", "size", "modified").write.mode("overwrite").parquet(path)
+    return found.sparkSession.read.schema(FILES).parquet(path)
+
+
+def read_files(spark: SparkSession, root: str, found: DataFrame) -> DataFrame:
+    """The rows of the ``found`` files alone; their paths pass through the driver, as those of any scan do."""
+    paths = sorted(r["path"] for r in found.select("path").collect())
+    if not paths:
+        return spark.createDataFrame([], READ_SCHEMA).selectExpr("*", "'' AS src_file", "0L AS src_row")
+    df = spark.read.schema(READ_SCHEMA).option("basePath", root).parquet(*paths)
+    return df.select("*", F.col("_metadata.file_path").alias("src_file"), F.col("_metadata.row_index").alias("src_row"))
 
 
 def read(spark: SparkSession, root: str, env: str | None = None,

@@ -16,11 +16,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadlens.operators.enrich import WAREHOUSE_COLS
 from roadlens.operators.joins import keep_first
-from roadlens.operators.load import insert_or_ignore
+from roadlens.session import exists, file_system, partition_values, scratch_path
 
 POINT = T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType()),
                       T.StructField("srid", T.IntegerType(), False)])
@@ -49,27 +50,26 @@ def ymd_sql(ts: str) -> str:
     return f"(year({ts}) * 10000 + month({ts}) * 100 + day({ts}))"
 
 
-def write(pings: DataFrame, root: str, max_records_per_file: int = 5_000_000, mode: str = "append") -> None:
+# Point reads of one vehicle or light skip row groups by their Bloom filters.
+BLOOM = {"parquet.bloom.filter.enabled#gps_id": "true", "parquet.bloom.filter.enabled#traffic_light_id": "true"}
+
+
+def write(pings: DataFrame, root: str, max_records_per_file: int = 5_000_000, mode: str = "append", only_own_days: bool = False) -> None:
     """Write warehouse rows under ``ymd=yyyymmdd`` folders.
 
     Rows are rebalanced by day (AQE makes tasks, and so files, of the advisory
     size: a busy day is split over tasks, quiet days share one) and sorted by
-    time, so a read of a few minutes touches few row groups.
+    time, so a read of a few minutes touches few row groups. With ``only_own_days``
+    an overwrite replaces the days that ``pings`` has and no others.
     """
     (pings.selectExpr(*WAREHOUSE_COLS, f"{ymd_sql('recorded_at')} AS ymd")
           .hint("rebalance", "ymd")
           .sortWithinPartitions("ymd", "recorded_at", "gps_id")
-          .write.mode(mode)
-          .option("maxRecordsPerFile", max_records_per_file)
+          .write.mode(mode).option("partitionOverwriteMode", "dynamic" if only_own_days else "static")
+          .options(**BLOOM).option("maxRecordsPerFile", max_records_per_file)
           .partitionBy("ymd").parquet(root))
 
 
-def exists(spark: SparkSession, root: str) -> bool:
-    """Whether the store's folder is there, on whatever file system it names."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
 def read(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(root)
 
@@ -87,18 +87,22 @@ def read_since(spark: SparkSession, root: str, since: str) -> DataFrame:
 def load(offered: DataFrame, root: str, order: Sequence[str]) -> None:
     """Append the offered pings whose key is not stored yet: the first copy of each key by ``order``.
 
-    Only the days between the batch's first and last ping are read of the store.
+    The batch is reduced and staged once, in the shared folder. Of the store exactly
+    the days that it touches are read, so one stray clock does not open the history between.
     """
     spark = offered.sparkSession
+    first = keep_first(offered.filter("recorded_at IS NOT NULL"), KEY, list(order))
     if exists(spark, root):
-        days = offered.selectExpr(f"min({ymd_sql('recorded_at')}) AS a", f"max({ymd_sql('recorded_at')}) AS b").first()
-        if days["a"] is None:
+        path = scratch_path(spark, "load-batch")
+        first.withColumn("ymd", F.expr(ymd_sql("recorded_at"))).write.partitionBy("ymd").parquet(path)
+        touched = set(partition_values(spark, path, "ymd"))
+        if not touched:
             return
-        stored = read(spark, root).filter(f"ymd BETWEEN {days['a']} AND {days['b']}")
-        offered = insert_or_ignore(stored, offered, KEY, order)
-    else:
-        offered = keep_first(offered, KEY, list(order))
-    write(offered, root)
+        staged = spark.read.schema(T.StructType([*first.schema.fields, T.StructField("ymd", T.IntegerType())])).parquet(path)
+        held = sorted(touched.intersection(partition_values(spark, root, "ymd")))
+        stored = read(spark, root).filter(F.col("ymd").isin([int(d) for d in held]))
+        first = staged.drop("ymd").join(stored.select(*KEY), KEY, "left_anti")
+    write(first, root)
 
 
 def load_batches(root: str, order: Sequence[str]):
@@ -111,11 +115,38 @@ def load_batches(root: str, order: Sequence[str]):
     return run
 
 
-def retain(spark: SparkSession, root: str, kept_root: str, as_of: str, days: int = 7, env: str = "mock") -> None:
-    """Write what retention keeps of the store to ``kept_root``: in the mock environment, pings older than
-    ``days`` days before ``as_of`` go; production keeps all. The caller then points readers at the new folder."""
-    rows = read(spark, root)
-    if env == "mock":
-        since = f"TIMESTAMP '{as_of}' - INTERVAL {int(days)} DAYS"
-        rows = rows.filter(f"ymd >= {ymd_sql(f'({since})')} AND recorded_at >= {since}")
-    write(rows, kept_root, mode="overwrite")
+def vehicle_pings(spark: SparkSession, root: str, gps_id: str) -> DataFrame:
+    """The stored pings of one vehicle; row groups without it are skipped by their Bloom filters."""
+    return read(spark, root).filter(F.col("gps_id") == gps_id)
+
+
+def light_pings(spark: SparkSession, root: str, light: str, since: str, until: str) -> DataFrame:
+    """The stored pings at one light with ``since <= recorded_at < until`` (text, UTC): days by their folders, hours by the files' order of time."""
+    a, b = f"TIMESTAMP '{since}'", f"TIMESTAMP '{until}'"
+    return read(spark, root).filter(f"ymd BETWEEN {ymd_sql(a)} AND {ymd_sql(b)} AND recorded_at >= {a} AND recorded_at < {b}").filter(
+        F.col("traffic_light_id") == light)
+
+
+def retain(spark: SparkSession, root: str, as_of: str, days: int = 7, env: str = "mock") -> None:
+    """Remove pings older than ``days`` days before ``as_of`` from the store of the mock environment; production keeps all.
+
+    Whole expired days go with their folders; only the day that the boundary cuts is
+    written anew, and the files of later days stay as they are. A run that is ended in between can be repeated.
+    """
+    if env != "mock":
+        return
+    since = f"TIMESTAMP '{as_of}' - INTERVAL {int(days)} DAYS"
+    edge = spark.sql(f"SELECT {ymd_sql(f'({since})')} AS ymd").first()["ymd"]
+    stored = [int(d) for d in partition_values(spark, root, "ymd")]
+    if edge in stored:
+        path = scratch_path(spark, "retain-edge")
+        read(spark, root).filter(f"ymd = {edge} AND recorded_at >= {since}").write.parquet(path)
+        kept = spark.read.schema(SCHEMA).parquet(path)
+        if kept.isEmpty():
+            edge += 1  # nothing of that day is left: its folder goes, too
+        else:
+            write(kept, root, mode="overwrite", only_own_days=True)
+    for day in sorted(set(stored)):
+        if day < edge:
+            fs, p = file_system(spark, f"{root}/ymd={day}")
+            fs.delete(p, True)

@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from roadlens.operators import congestion
 from roadlens.operators.joins import keep_first
@@ -39,21 +40,29 @@ from roadlens.sources import decode, lake
 WATERMARK = "10 minutes"
 
 
+def read_stream(spark: SparkSession, source: str, options: dict, max_files: int | None = None, max_bytes: str | None = None,
+                max_offsets: int | None = None) -> DataFrame:
+    """Request bodies (column ``value``) of any streaming source: ``source`` is its format, ``options`` are its own.
+
+    The limits bound a micro-batch: files or bytes of a file source, offsets of a queue. They hold within an
+    ``availableNow`` run as well, which then takes several batches.
+    """
+    r = spark.readStream.format(source).options(**options)
+    for name, limit in (("maxFilesPerTrigger", max_files), ("maxBytesPerTrigger", max_bytes), ("maxOffsetsPerTrigger", max_offsets)):
+        if limit:
+            r = r.option(name, limit)
+    return r.load().select(F.col("value").cast("string").alias("value"))
+
+
 def read_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.format("text")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(path)
+    return read_stream(spark, "text", {"path": path}, max_files=max_files_per_trigger)
 
 
 def read_kafka_stream(spark: SparkSession, servers: str, topic: str,
                       max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Queue source (needs the Kafka connector on the classpath)."""
-    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-         .option("subscribe", topic).option("startingOffsets", "earliest"))
-    if max_offsets_per_trigger:
-        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    return r.load().select(F.col("value").cast("string").alias("value"))
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"}
+    return read_stream(spark, "kafka", options, max_offsets=max_offsets_per_trigger)
 
 
 def write_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str):
@@ -63,6 +72,41 @@ def write_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str):
             .option("checkpointLocation", checkpoint).start())
 
 
+# Counted in the same pass as a micro-batch is written.
+INGEST_METRICS = {
+    "rows_in": "count(1)",
+    "rows_accepted": "count_if(reject_reason IS NULL)",
+    "rows_malformed": "count_if(reject_reason IN ('malformed', 'empty'))",
+    "rows_invalid": "count_if(reject_reason NOT IN ('malformed', 'empty'))",
+}
+AUDIT = "run string, batch_id bigint, metric string, value bigint"
+
+
+class StreamAudit(StreamingQueryListener):
+    """Appends the observed metrics of every micro-batch to an audit table below ``path``, one folder per run and batch.
+
+    A batch that is replayed after a failure overwrites its folder, so it counts once.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event):  # noqa: N802
+        pass
+
+    def onQueryIdle(self, event):  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event):  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event):  # noqa: N802
+        p = event.progress
+        rows = [(str(p.id), p.batchId, name, int(row[name])) for row in p.observedMetrics.values() for name in row.asDict()]
+        if rows:
+            self.spark.createDataFrame(rows, AUDIT).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/query={p.id}/batch={p.batchId}")
+
+
 def ingest(requests: DataFrame, lake_root: str, dead_letter: str, checkpoint: str, env: str = "prod",
            received_at=None, available_now: bool = True, processing_time: str | None = None):
     """Start the ingest query: accepted rows to the lake, rejected ones to the dead letters, in one pass.
@@ -71,7 +115,8 @@ def ingest(requests: DataFrame, lake_root: str, dead_letter: str, checkpoint: st
     rebalances, so a trigger leaves files by size and not one per task. Both sinks write a folder per
     batch id, overwritten if the batch is replayed.
     """
-    decoded = decode.decode_requests(requests, received_at=received_at)
+    decoded = decode.decode_requests(requests, received_at=received_at).observe(
+        "ingest", *[F.expr(f"{e} AS {n}") for n, e in INGEST_METRICS.items()])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
