@@ -674,6 +674,7 @@ RAW_NOT_NULL = ["gps_id", "timestamp", "latitude", "longitude"]
 V_NOT_NULL = ["traffic_light_id", "analysis_time"]
 LIGHT_NOT_NULL = ["traffic_light_id", "latitude", "longitude"]
 SCHED_NOT_NULL = ["traffic_light_id", "start_sec", "end_sec", "red_duration", "applicable_days"]
+TIME_NOT_NULL = ["time_id", "full_timestamp", "year", "month", "day", "hour", "day_of_week", "is_weekend", "day_type", "time_window", "season"]
 INTER_NOT_NULL = ["intersection_id", "intersection_name"]
 SCHED_KEY = ["traffic_light_id", "start_sec", "applicable_days"]
 # (table, its SQL name, column, referenced SQL name) of every declared reference
@@ -686,10 +687,12 @@ UNIQUE = [
     ("vehicle_gps_offered", "enr", ["gps_id", "recorded_at"]), ("vehicle_gps", "wh", ["gps_id", "recorded_at"]),
     ("congestion_analysis", "v", ["traffic_light_id", "analysis_time"]), ("traffic_lights", "lights", ["traffic_light_id"]),
     ("light_schedule", "sched", SCHED_KEY), ("intersections", "inters", ["intersection_id"]),
+    ("time_dimension", "td", ["time_id"]), ("time_dimension", "td", ["full_timestamp"]),
 ]
 NOT_NULL = [
     ("lake_raw", "raw", RAW_NOT_NULL), ("vehicle_gps", "wh", WH_NOT_NULL), ("congestion_analysis", "v", V_NOT_NULL),
     ("traffic_lights", "lights", LIGHT_NOT_NULL), ("light_schedule", "sched", SCHED_NOT_NULL), ("intersections", "inters", INTER_NOT_NULL),
+    ("time_dimension", "td", TIME_NOT_NULL),
 ]
 # before the value is clamped, and after
 LEVELS = [("congestion_offered", "lvl", "raw_level"), ("congestion_analysis", "v", "congestion_level")]
@@ -724,16 +727,51 @@ def constraint_report(spark, sf_dir):
               "v": congestion.windowed(wh, sched, 5, mode="strict"), "lights": dimensions.traffic_lights(spark), "sched": sched,
               "inters": dimensions.intersections(spark), "td": dimensions.time_dimension(spark),
               "lvl": stats.withColumn("raw_level", F.expr("(1.0D - avg_speed / 50.0D) * 100.0D"))}
-    parts = [quality.null_counts(tables[src], t, cols) for t, src, cols in NOT_NULL]
-    parts += [quality.duplicate_keys(tables[src], t, key) for t, src, key in UNIQUE]
-    parts += [quality.reference_check(tables[src], t, c, tables[ref], c) for t, src, c, ref in REFERENCES]
-    parts += [quality.range_check(tables[src], t, c, 0, 100) for t, src, c in LEVELS]
+    parts = []
+    for t, src in dict.fromkeys([(t, src) for t, src, *_ in (*NOT_NULL, *UNIQUE, *REFERENCES, *LEVELS)]):
+        mine = lambda rules: [r[2:] for r in rules if r[:2] == (t, src)]  # noqa: B023, E731
+        keys = mine(UNIQUE) or [([],)]
+        refs = [(c, tables[ref], c) for c, ref in mine(REFERENCES)]
+        parts.append(quality.report(tables[src], t, quality.Rules([c for cols, in mine(NOT_NULL) for c in cols], keys[0][0],
+                                                                  [(c, 0, 100) for c, in mine(LEVELS)], refs)))
+        parts += [quality.report(tables[src], t, quality.Rules(unique=k)) for k, in keys[1:]]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+LAKE_RANGES = [("latitude", -90, 90), ("longitude", -180, 180), ("speed_kmh", 0, 200)]
+
+
+def _violations_sql() -> str:
+    text = lambda rules: "[x FOR x IN [" + ", ".join(f"CASE WHEN {e} THEN '{n}' END" for n, e in rules) + "] IF x IS NOT NULL]"
+    lake_rules = [(f"not_null:{c}", f"{c} IS NULL") for c in RAW_NOT_NULL]
+    lake_rules += [(f"check:{c} in [{lo},{hi}]", f"{c} IS NOT NULL AND ({c} < {lo} OR {c} > {hi})") for c, lo, hi in LAKE_RANGES]
+    offered = [("references:traffic_light_id", "traffic_light_id IS NOT NULL AND traffic_light_id NOT IN (SELECT traffic_light_id FROM lights)"),
+               ("unique:gps_id,recorded_at", "count(*) OVER (PARTITION BY gps_id, recorded_at) > 1")]
+    at = oracle.instant("timestamp")
+    return oracle.with_ctes(f"""
+    SELECT table_name, row_key, array_to_string(r, '; ') AS rules FROM (
+        SELECT 'lake_raw' AS table_name, src_file || ':' || gps_id || ':' || src_row AS row_key, {text(lake_rules)} AS r FROM raw
+        UNION ALL
+        SELECT 'vehicle_gps_offered', src_file || ':' || gps_id || ':' || src_row, {text(offered)}
+        FROM (SELECT src_file, src_row, gps_id, NULLIF(traffic_light_id, 'unknown') AS traffic_light_id, {at} AS recorded_at FROM valid))
+    WHERE len(r) > 0""")
+
+
+@register("constraint_violations", _violations_sql())
+def constraint_violations(spark, sf_dir):
+    """The rows that break a constraint, each with all rules that it breaks: raw pings, and those offered to the warehouse."""
+    raw = base.raw_pings(spark, sf_dir)
+    key = "concat_ws(':', src_file, gps_id, src_row)"
+    lake_rules = quality.Rules(RAW_NOT_NULL, (), LAKE_RANGES)
+    offered = quality.Rules(unique=["gps_id", "recorded_at"], references=[("traffic_light_id", dimensions.traffic_lights(spark), "traffic_light_id")])
+    out = quality.violations(raw, "lake_raw", key, lake_rules).unionByName(
+        quality.violations(enrich.enrich(clean_ops.valid(raw)), "vehicle_gps_offered", key, offered))
+    return out.select("table_name", "row_key", F.array_join("rules", "; ").alias("rules"))
+
+
 @register("load_audit", oracle.with_ctes(f"""
     SELECT 'rows_offered' AS metric, CAST(count(*) AS BIGINT) AS value FROM raw
     UNION ALL SELECT 'rows_valid', CAST(count(*) AS BIGINT) FROM valid

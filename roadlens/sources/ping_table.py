@@ -3,8 +3,7 @@
 The table is partitioned by day and bucketed and sorted by (gps_id, recorded_at), the
 key of insert-or-ignore. A load's anti-join then reads the stored side bucket by bucket as it lies:
 only the offered rows are shuffled. Both key columns are in the bucket hash, so a vehicle with a large
-share of all pings is spread over all buckets. Each load adds one file per bucket and day that it touches;
-:func:`compact` merges them.
+share of all pings is spread over all buckets. Each load adds one file per bucket and day that it touches.
 """
 
 from __future__ import annotations
@@ -43,8 +42,3 @@ def load(offered: DataFrame, table: str, path: str, order: Sequence[str], bucket
         days = [r["ymd"] for r in first.selectExpr(f"{ymd_sql('recorded_at')} AS ymd").distinct().collect()]  # calendar days
         first = fresh(first, table, days)
     _append(first, table, path, buckets)
-
-
-def compact(spark: SparkSession, table: str, to_table: str, path: str, buckets: int) -> None:
-    """The table's rows in a new table with one file per bucket and day."""
-    _append(spark.table(table), to_table, path, buckets)

@@ -1,5 +1,6 @@
 """Time dimension and schedule lookup (FIXTURES.md §4)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from roadlens.operators.schedule import lookup_red
@@ -57,6 +58,29 @@ def test_fractions_of_a_second_count(spark):
     assert sorted((r.at.hour, r.scheduled_red_duration) for r in out) == [(9, 45), (20, None)]
 
 
+@pytest.mark.parametrize("mode", ["strict", "wrap"])
+def test_binned_schedule_equals_broadcast(spark, mode):
+    """A schedule beyond the broadcast bound: same rows, and a light with most pings is in no single task."""
+    from collections import Counter
+    df = spark.range(20_000).selectExpr(
+        "id", "CAST(CASE WHEN id % 10 = 0 THEN id * 900 % 86400 ELSE id * 7919 % 86400 + 0.5 END AS DOUBLE) AS tod",
+        "CASE WHEN id % 7 = 0 THEN NULL WHEN id % 3 = 0 THEN 'weekend' ELSE 'weekday' END AS day_type",
+        "CASE WHEN id % 5 > 0 THEN 'TL005' WHEN id % 25 = 0 THEN NULL ELSE 'TL00' || (1 + id % 4) END AS traffic_light_id")
+    sched = dimensions.light_schedule(spark)
+    small = lookup_red(df, sched, "tod", mode=mode)
+    large = lookup_red(df, sched, "tod", mode=mode, max_bytes=0)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert Counter(map(tuple, large.collect())) == Counter(map(tuple, small.collect()))
+        tasks = large.filter("traffic_light_id = 'TL005' AND tod BETWEEN 43200 AND 44099").groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) > 3 and max(r["count"] for r in tasks) < 0.6 * sum(r["count"] for r in tasks)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_schedule_lookup(spark):
     rows = [(i, int(t[:2]) * 3600 + int(t[3:5]) * 60 + int(t[6:]), d, l)
             for i, (t, d, l, _, _) in enumerate(CASES)]
