@@ -8,13 +8,14 @@ text's score is its marginal probability, not that of one best segmentation.
 Entries never reach over a word's end, so the recursion over a text is the sum
 over its words, plus the probability of the end.
 
-The vocabulary's own scores are its order: entry ``r`` starts at a weight of
-1 / (r + 1). ``ROUNDS`` rounds of expectation-maximisation over the distinct
-words of the training texts re-estimate these weights; the starting ones stay
-as a prior of ``PRIOR`` uses, so no entry has weight 0 and every byte string
-has a score. A word met in training has one arc more, over the whole word: its
-count less ``DISCOUNT``, over all words; what the discounts free is the weight
-of the subword paths. So the probabilities of all words sum to at most 1.
+The vocabulary's scores are its order: entry ``r`` has a weight in proportion to
+1 / (r + 1), so no entry has weight 0 and every byte string has a score. A word met in
+training has one arc more, over the whole word: its count less ``DISCOUNT``, over all
+words; what the discounts free is the weight of the subword paths. So the
+probabilities of all words sum to at most 1. Without these arcs (``whole_words=False``)
+the vocabulary's scores alone are the model.
+
+The sum over the segmentations of each distinct word of the corpus is computed once, next to its count.
 
 For comparison, texts also get the score of plain smoothed word counts. The
 counts of the ``HEAD_WORDS`` most frequent words (of at most ``HEAD_BYTES``
@@ -40,15 +41,12 @@ from pyspark.sql.types import StructType
 from .bpe import Vocabulary
 from .common import WORD, most_frequent, staged, text_or_empty
 
-ROUNDS = 3
-PRIOR = 1000.0
 DISCOUNT = 0.75
 HEAD_WORDS = 1 << 16
 HEAD_BYTES = 64
 CHUNK = 20_000  # words that go through the lattice together
-CACHE_WORDS = 300_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SCORED = "n_tokens bigint, known bigint, base double, model double, words array<string>, times array<bigint>, spelt array<double>"
+SCORED = "n_tokens bigint, known bigint, base double, model double, words array<string>, times array<bigint>"
 TO_LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
@@ -89,159 +87,115 @@ class Lattice:
                 part = places[s:s + step]
                 yield np.array(part), np.frombuffer(b"".join(raw[k] for k in part), np.uint8).reshape(-1, n).astype(np.int64)
 
-    def forward(self, text: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, list]:
-        """Log sums over all paths to each place, and the arcs."""
-        alpha = np.full((len(text), text.shape[1] + 1), -np.inf)
-        alpha[:, 0] = 0
-        arcs = []
-        for i, j, rows, entry in self.arcs(text):
-            alpha[rows, j] = np.logaddexp(alpha[rows, j], alpha[rows, i] + weight[entry])
-            arcs.append((i, j, rows, entry))
-        return alpha, arcs
-
     def marginals(self, words: list[bytes], weight: np.ndarray) -> np.ndarray:
-        """The natural log of each word's probability."""
+        """The natural log of each word's probability: log sums over all paths to each place, the last one's."""
         out = np.zeros(len(words))
         for places, text in self.groups(words):
-            out[places] = self.forward(text, weight)[0][:, -1]
+            alpha = np.full((len(text), text.shape[1] + 1), -np.inf)
+            alpha[:, 0] = 0
+            for i, j, rows, entry in self.arcs(text):
+                alpha[rows, j] = np.logaddexp(alpha[rows, j], alpha[rows, i] + weight[entry])
+            out[places] = alpha[:, -1]
         return out
 
-    def expected(self, words: list[bytes], weight: np.ndarray) -> np.ndarray:
-        """Expected uses of each entry over all segmentations of the words."""
-        total = np.zeros(self.size)
-        for _, text in self.groups(words):
-            alpha, arcs = self.forward(text, weight)
-            beta = np.full_like(alpha, -np.inf)
-            beta[:, -1] = 0
-            for i, j, rows, entry in reversed(arcs):
-                ahead = weight[entry] + beta[rows, j]
-                beta[rows, i] = np.logaddexp(beta[rows, i], ahead)
-                total += np.bincount(entry, np.exp(alpha[rows, i] + ahead - alpha[rows, -1]), self.size)
-        return total
-
 
 def _lower(col: str):
     return F.translate(text_or_empty(col), UPPER, LOWER)
 
 
-def _prior(size: int) -> np.ndarray:
+def scores(size: int) -> np.ndarray:
+    """Natural log weights of a vocabulary's entries, from their order."""
     p = 1.0 / (np.arange(size) + 1.0)
-    return p / p.sum()
-
+    return np.log(p / p.sum())
 
-def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(word, c)`` over all words of the texts."""
-    return staged(docs.select(F.explode(F.regexp_extract_all(_lower(text), F.lit(WORD), F.lit(0))).alias("word"))
-                  .groupBy("word").agg(F.count(F.lit(1)).alias("c")), "lm-words")
 
+def word_table(docs: DataFrame, is_training, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
+    """``(word, c, spelt)`` over all words of the texts: uses in training texts, and the natural log of the sum over its segmentations."""
+    learned = F.when(is_training, 1).otherwise(0).alias("learned")
+    counts = (docs.select(learned, F.explode(F.regexp_extract_all(_lower(text), F.lit(WORD), F.lit(0))).alias("word"))
+              .groupBy("word").agg(F.sum("learned").alias("c")))
+    shared = docs.sparkSession.sparkContext.broadcast((Lattice(vocabulary), scores(vocabulary.size)))
 
-def fit(words: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, prior: float = PRIOR) -> np.ndarray:
-    """Natural log weights of the vocabulary's entries, from the distinct words in column ``word``."""
-    spark = words.sparkSession
-    start = _prior(vocabulary.size)
-    weight = np.log(start)
-    shared = spark.sparkContext.broadcast(Lattice(vocabulary))
-    for _ in range(rounds):
-        now = spark.sparkContext.broadcast(weight)
-
-        def expect(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(shared.value.size)
-            for b in batches:
-                total += shared.value.expected(b.column(0).cast(pa.binary()).to_pylist(), now.value)
-            used = np.flatnonzero(total)
-            yield pa.RecordBatch.from_pydict({"entry": pa.array(used, pa.int32()), "uses": pa.array(total[used])})
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice, weight = shared.value
+        for b in batches:
+            spelt = lattice.marginals(b.column(0).cast(pa.binary()).to_pylist(), weight)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(spelt)], names=["word", "c", "spelt"])
 
-        uses = prior * start
-        # one row per entry of the vocabulary at most
-        for r in words.select("word").mapInArrow(expect, "entry int, uses double").groupBy("entry").agg(F.sum("uses").alias("uses")).collect():
-            uses[r["entry"]] += r["uses"]
-        weight = np.log(uses / uses.sum())
-    return weight
+    return staged(counts.mapInArrow(spell, "word string, c bigint, spelt double"), "lm-words")
 
 
-def _score_texts(lattice, weight, head, free: float, ends: tuple[float, float, int]):
-    """Per text: tokens, known head tokens, base and model score of the head and the end, and the other words.
+def _score_texts(head, ends: tuple[float, float, int]):
+    """Per text: tokens, known head tokens, base and model score of the head's words and the end, and the other words.
 
-    ``head`` has a word's base score and whole-word arc; ``free`` is the log weight of the subword paths.
+    ``head`` has the base and the model score of its words.
     """
-    log10 = np.log(10.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lat, w, known = lattice.value, weight.value, head.value
-        paths: dict[bytes, float] = {}  # natural log of the sum over a word's subword paths
+        known = head.value
         for b in batches:
             for s in range(0, len(b), 2000):
                 part = b.slice(s, 2000)
-                # bytes.split() cuts at space and the control characters 9 to 13, and at nothing else
-                bags = [Counter(t.encode("utf-8", "replace").translate(TO_LOWER).split()) for t in part.column(1).to_pylist()]
-                wanted = set().union(*bags)
-                if len(paths) > CACHE_WORDS:
-                    paths = {x: paths[x] for x in wanted if x in paths}
-                new = sorted(wanted.difference(paths))
-                paths.update(zip(new, (lat.marginals(new, w) + free).tolist(), strict=True))
-                whole = {x: float(np.logaddexp(known[x][1], paths[x])) / log10 for x in wanted if x in known}
-                tokens, sure, base, model, words, times, spelt = [], [], [], [], [], [], []
-                for bag in bags:
+                tokens, sure, base, model, words, times = [], [], [], [], [], []
+                for t in part.column(1).to_pylist():
+                    # bytes.split() cuts at space and the control characters 9 to 13, and at nothing else
+                    bag = Counter(t.encode("utf-8", "replace").translate(TO_LOWER).split())
+                    inside = [(known[x], n) for x, n in bag.items() if x in known]
+                    rest = [(x, n) for x, n in bag.items() if x not in known]
                     tokens.append(sum(bag.values()) + 1)
-                    inside = [(x, n) for x, n in bag.items() if x in whole]
-                    rest = [(x, n) for x, n in bag.items() if x not in whole]
-                    base.append(sum(n * known[x][0] for x, n in inside) + ends[0])
-                    model.append(sum(n * whole[x] for x, n in inside) + ends[1])
+                    base.append(sum(n * x[0] for x, n in inside) + ends[0])
+                    model.append(sum(n * x[1] for x, n in inside) + ends[1])
                     sure.append(sum(n for _, n in inside) + ends[2])
                     words.append([x.decode() for x, _ in rest])
                     times.append([n for _, n in rest])
-                    spelt.append([paths[x] for x, _ in rest])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array(tokens, pa.int64()), pa.array(sure, pa.int64()), pa.array(base, pa.float64()), pa.array(model, pa.float64()),
-                     pa.array(words, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64())), pa.array(spelt, pa.list_(pa.float64()))],
-                    names=["row", "kept", "n_tokens", "known", "base", "model", "words", "times", "spelt"])
+                    [part.column(0), part.column(2), pa.array(tokens, pa.int64()), pa.array(sure, pa.int64()), pa.array(base, pa.float64()),
+                     pa.array(model, pa.float64()), pa.array(words, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int64()))],
+                    names=["row", "kept", "n_tokens", "known", "base", "model", "words", "times"])
 
     return run
 
 
-def score(docs: DataFrame, is_training, vocabulary_path: str, text: str = "text", rounds: int = ROUNDS,
-          head_words: int = HEAD_WORDS) -> DataFrame:
+def score(docs: DataFrame, is_training, vocabulary_path: str, text: str = "text", head_words: int = HEAD_WORDS,
+          whole_words: bool = True) -> DataFrame:
     """``docs`` without the text, with n_tokens, n_known, train_tokens, base_score and score.
 
-    ``is_training`` is a column that marks the rows to learn from.
+    ``is_training`` is a column that marks the rows to learn from; ``whole_words`` whether their words are arcs of their own.
     """
     spark = docs.sparkSession
     rest = [c for c in docs.columns if c != text and c.lower() not in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]
-    learned = docs.filter(is_training)
-    counts = word_counts(learned, text)
-    texts = learned.count()
-    sums = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
+    table = word_table(docs, is_training, Vocabulary(vocabulary_path), text)
+    texts = docs.filter(is_training).count()
+    sums = table.agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
     words, kinds = sums["n"] or 0, sums["v"]
     n, v = words + texts, kinds + (texts > 0)
-    vocabulary = Vocabulary(vocabulary_path)
-    weight = fit(counts, vocabulary, rounds)
 
     denominator = n + 0.5 * (v + 1)
     end = (texts + 0.5) / (n + 1)
     # natural log of the weight of one count, and of all subword paths together
-    unit = float(np.log((1 - end) / words)) if words else 0.0
-    free = float(np.log(DISCOUNT * kinds) + unit) if words else float(np.log(1 - end))
+    arcs = whole_words and words > 0
+    unit = float(np.log((1 - end) / words)) if arcs else 0.0
+    free = float(np.log(DISCOUNT * kinds) + unit) if arcs else float(np.log(1 - end))
+    spelt = F.col("spelt") + free
+    arc = F.when(F.lit(arcs) & (F.col("c") > 0), F.log(F.col("c") - DISCOUNT) + unit)
+    # log(exp(a) + exp(b)) from the larger one
+    high, low = F.greatest(arc, spelt), F.least(arc, spelt)
+    both = F.when(arc.isNull(), spelt).otherwise(high + F.log1p(F.exp(low - high))) / float(np.log(10.0))
+    table = table.select("word", "c", F.log10((F.col("c") + 0.5) / F.lit(denominator)).alias("base"), both.alias("model"))
     # a fixed number of words of bounded length
-    top = most_frequent(counts.filter(F.octet_length("word") <= HEAD_BYTES), "word", "c", head_words).collect()
-    head = {r["word"].encode(): (float(np.log10((r["c"] + 0.5) / denominator)), float(np.log(r["c"] - DISCOUNT)) + unit) for r in top}
-    cast = spark.sparkContext.broadcast
-    run = _score_texts(cast(Lattice(vocabulary)), cast(weight), cast(head), free,
-                       (float(np.log10((texts + 0.5) / denominator)), float(np.log10(end)), int(texts > 0)))
+    top = most_frequent(table.filter((F.octet_length("word") <= HEAD_BYTES) & (F.col("c") > 0)), "word", "c", head_words).select("word")
+    top = table.join(F.broadcast(top), "word").collect()
+    head = spark.sparkContext.broadcast({r["word"].encode(): (r["base"], r["model"]) for r in top})
+    run = _score_texts(head, (float(np.log10((texts + 0.5) / denominator)), float(np.log10(end)), int(texts > 0)))
     keyed = docs.select(F.monotonically_increasing_id().alias("row"), text_or_empty(text).alias("text"), F.struct(*rest).alias("kept"))
     schema = StructType([*keyed.drop("text").schema.fields, *StructType.fromDDL(SCORED).fields])
     first = staged(keyed.mapInArrow(run, schema), "lm-texts")
-    others = (first.select("row", F.explode(F.arrays_zip("words", "times", "spelt")).alias("x"))
-              .select("row", F.col("x.words").alias("word"), F.col("x.times").alias("times"), F.col("x.spelt").alias("spelt")))
-    found = others.join(counts, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    arc = F.when(F.col("c") > 0, F.log(F.col("c") - DISCOUNT) + unit)
-    # log(exp(a) + exp(b)) from the larger one
-    high, low = F.greatest(arc, "spelt"), F.least(arc, "spelt")
-    both = F.when(arc.isNull(), F.col("spelt")).otherwise(high + F.log1p(F.exp(low - high)))
-    looked_up = found.groupBy("row").agg(
+    others = (first.select("row", F.explode(F.arrays_zip("words", "times")).alias("x"))
+              .select("row", F.col("x.words").alias("word"), F.col("x.times").alias("times")))
+    looked_up = others.join(table, "word").groupBy("row").agg(
         F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("times") * F.log10((F.col("c") + 0.5) / F.lit(denominator))).alias("more_base"),
-        F.sum(F.col("times") * both / float(np.log(10.0))).alias("more_model"))
-    scored = first.drop("words", "times", "spelt").join(looked_up, "row", "left")
+        F.sum(F.col("times") * F.col("base")).alias("more_base"), F.sum(F.col("times") * F.col("model")).alias("more_model"))
+    scored = first.drop("words", "times").join(looked_up, "row", "left")
     return scored.select("kept.*", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("bigint").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),

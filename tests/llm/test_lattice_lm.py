@@ -37,24 +37,12 @@ def paths(raw, entries):
 
 def test_marginal_is_the_sum_over_all_segmentations(vocabulary):
     lattice = lattice_lm.Lattice(vocabulary)
-    weight = np.log(lattice_lm._prior(vocabulary.size))
+    weight = lattice_lm.scores(vocabulary.size)
     words = ["the", "thething", "é", "a", "ingtion", "x1!"]
     want = [math.log(sum(math.exp(sum(weight[e] for e in p)) for p in paths(b" " + w.encode(), vocabulary.by_bytes))) for w in words]
     assert lattice.marginals([w.encode() for w in words], weight).tolist() == pytest.approx(want)
 
 
-def test_expected_uses(vocabulary):
-    lattice = lattice_lm.Lattice(vocabulary)
-    weight = np.log(lattice_lm._prior(vocabulary.size))
-    total = np.zeros(vocabulary.size)
-    for w in ("the", "ander", "ander"):
-        found = [(p, math.exp(sum(weight[e] for e in p))) for p in paths(b" " + w.encode(), vocabulary.by_bytes)]
-        for p, x in found:
-            for e in p:
-                total[e] += x / sum(y for _, y in found)
-    assert np.allclose(lattice.expected([b"the", b"ander", b"ander"], weight), total)
-
-
 def plain(rows):
     """Per row: tokens, known tokens, base score, and all training tokens."""
     split = [(i, held, re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER))) for i, t, held in rows]
@@ -75,7 +63,7 @@ def same(got, want):
 @pytest.mark.parametrize("head", [0, 3, 1 << 16])
 def test_odd_rows(spark, head):
     docs = odd_docs(spark).withColumn("held", F.coalesce(F.col("doc_id") % 3 == 1, F.lit(False)))
-    out = lattice_lm.score(docs.select("doc_id", "text", "held", "n_tokens"), ~F.col("held"), PATH, rounds=1, head_words=head).collect()
+    out = lattice_lm.score(docs.select("doc_id", "text", "held", "n_tokens"), ~F.col("held"), PATH, head_words=head).collect()
     same([(r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in out],
          plain([(r[0], r[1], r[0] is not None and r[0] % 3 == 1) for r in odd_rows()]))
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in out)
@@ -95,6 +83,17 @@ def test_probabilities_of_words_sum_to_one_at_most(spark):
     assert sum(out[k] / end for k in range(10, 16)) + end < 1
 
 
+def test_vocabulary_scores_alone(spark, vocabulary):
+    """Without arcs for whole words a text's score is the sum of its words' marginals, and the end."""
+    docs = spark.createDataFrame([(1, "the thing the", False), (2, "x1! the", True), (3, "", True)], "doc_id bigint, text string, held boolean")
+    lattice, weight = lattice_lm.Lattice(vocabulary), lattice_lm.scores(vocabulary.size)
+    end = 1.5 / 5
+    word = lambda w: (lattice.marginals([w], weight)[0] + math.log(1 - end)) / math.log(10)
+    want = {1: 2 * word(b"the") + word(b"thing"), 2: word(b"x1!") + word(b"the"), 3: 0.0}
+    out = {r["doc_id"]: r["score"] for r in lattice_lm.score(docs, ~F.col("held"), PATH, whole_words=False).collect()}
+    assert out == pytest.approx({k: x + math.log10(end) for k, x in want.items()})
+
+
 def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id bigint, text string")
     rows = lattice_lm.score(docs, F.lit(False), PATH).collect()
