@@ -17,7 +17,9 @@ of the hashes). Two sets link when 100 * |A and B| >= t * |A or B|.
    prefix tokens in the group's union plus what lies beyond the prefixes.
    Groups of its own family alone are passed over, as nothing can be added there.
 5. Groups whose bound reaches the overlap that a link needs are opened. Their
-   members are held to the same bound one by one, and what is left is compared exactly.
+   members are held to the same bound one by one, and to another: every set has ``PARITY`` words of
+   bits, and each of its tokens flips one; where two sets' bits differ, so do the sets, so these
+   are at most as many as the tokens that one of the two lacks. What is left is compared exactly.
 
 The bound is one-sided, so no link between families is lost: the sketches and
 the list of widely used tokens decide how much is compared, never what links.
@@ -53,6 +55,7 @@ GROUP_SETS = 64
 COMMON_TOKENS = 1 << 17  # entries of the list of widely used tokens
 COMMON_LOCAL = 4  # sets of a run that a token must be in to be counted for it
 RUN_TOKENS = 2_000_000  # tokens of a run
+PARITY = 16  # words of 64 bits that tell how many tokens two sets differ in, at least
 BITMAP_WORDS = 1 << 20  # words of 64 bits of the broadcast bitmap
 
 
@@ -130,7 +133,8 @@ def _prefixes(size: int, t: int, common, least: int):
                 n = np.diff(offsets)
                 where = np.minimum(np.searchsorted(hot, tokens), max(len(hot) - 1, 0))
                 late = hot[where] == tokens if len(hot) else np.zeros(len(tokens), bool)
-                out, lengths, digests, sizes = [], [], [], []
+                out, lengths, digests, sizes, parity = [], [], [], [], []
+                bit = (mix(tokens, 4099) % np.uint64(64 * PARITY)).astype(np.int64)
                 take = n - least_overlap(n, t) + more_shared(n, t)
                 raw, cut = tokens.view(np.uint8), offsets.tolist()
                 for k in np.flatnonzero(n >= least).tolist():
@@ -141,13 +145,16 @@ def _prefixes(size: int, t: int, common, least: int):
                     lengths.append(len(part))
                     sizes.append(b - a)
                     digests.append(xxhash.xxh3_128_digest(raw[8 * a:8 * b]))
+                    parity.append(np.packbits(np.bincount(bit[a:b], minlength=64 * PARITY).astype(np.uint8) & 1).tobytes())
                 halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 flat = np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(np.array(sizes, np.int64)),
                      pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)), pa.array(flat)),
-                     pa.array(more_shared(least_overlap(np.array(sizes, np.int64), t), t))],
-                    names=["high", "low", "n", "prefix", "needed"])
+                     pa.array(more_shared(least_overlap(np.array(sizes, np.int64), t), t)),
+                     pa.ListArray.from_arrays(pa.array(np.arange(0, PARITY * len(sizes) + 1, PARITY, dtype=np.int32)),
+                                              pa.array(np.frombuffer(b"".join(parity), np.int64)))],
+                    names=["high", "low", "n", "prefix", "needed", "parity"])
 
     return run
 
@@ -248,8 +255,8 @@ class _Join:
         """Pairs of classes of different families that the matrix does not rule out."""
         t = self.t
         made = self.texts.select("text").mapInArrow(
-            _prefixes(self.size, t, self.common, self.least), "high bigint, low bigint, n bigint, prefix array<bigint>, needed bigint")
-        made = made.groupBy("high", "low").agg(F.first("prefix").alias("prefix"), F.first("needed").alias("needed"))
+            _prefixes(self.size, t, self.common, self.least), "high bigint, low bigint, n bigint, prefix array<bigint>, needed bigint, parity array<bigint>")
+        made = made.groupBy("high", "low").agg(F.first("prefix").alias("prefix"), F.first("needed").alias("needed"), F.first("parity").alias("parity"))
         band = F.xxhash64(F.slice("sketch", 1, BAND)).alias("band")
         shown = staged(made.join(self.classes.select("high", "low", "cid", "n", band), ["high", "low"])
                        .join(families.withColumnRenamed("node", "cid").withColumnRenamed("component", "family"), "cid", "left")
@@ -279,11 +286,13 @@ class _Join:
         needed = F.ceil(F.lit(t) * (F.col("n") + F.greatest(F.col("n_min"), F.ceil(F.col("n") * t / 100))) / (100 + t))
         open_groups = staged(met.filter(F.col("shared") + F.greatest("rest", "rest_max") >= needed).select("cid", "gid"), "join-open")
         # the same bound for each member, from the prefixes that the two share
-        asking = open_groups.join(grouped.select("cid", "n", "rest", "family", "prefix"), "cid")
+        asking = open_groups.join(grouped.select("cid", "n", "rest", "family", "prefix", "parity"), "cid")
         members = grouped.select("gid", F.col("cid").alias("other"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b"),
-                                 F.col("family").alias("family_b"), F.col("prefix").alias("prefix_b"))
+                                 F.col("family").alias("family_b"), F.col("prefix").alias("prefix_b"), F.col("parity").alias("parity_b"))
         reach = f"size(array_intersect(prefix, prefix_b)) + greatest(rest, rest_b) >= ceil({t} * (n + n_b) / {100 + t})"
-        return (asking.join(members, "gid").filter(f"family != family_b AND 100 * least(n, n_b) >= {t} * greatest(n, n_b) AND {reach}")
+        differ = " + ".join(f"bit_count(parity[{k}] ^ parity_b[{k}])" for k in range(PARITY))
+        near = f"({differ}) <= (n + n_b) * {100 - t} div {100 + t}"
+        return (asking.join(members, "gid").filter(f"family != family_b AND 100 * least(n, n_b) >= {t} * greatest(n, n_b) AND {near} AND {reach}")
                 .select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct())
 
 
