@@ -19,7 +19,7 @@ RUN_AT_BUILD = {"stream_ingest", "stream_dead_letters", "stream_verdicts", "stre
                 "stream_sessions", "stream_keep_first", "lake_roundtrip", "env_union",
                 "lake_incremental", "lake_write_metrics", "verdict_from_store", "warehouse_load",
                 "verdict_load_idempotent", "retention_store", "stream_load", "stream_verdicts_sliding",
-                "vehicle_pings", "light_pings", "latest_verdicts", "latest_per_light", "inefficient_lights", "by_time_window"}
+                "vehicle_pings", "light_pings", "stream_audit", "table_load", "latest_verdicts", "latest_per_light", "inefficient_lights", "by_time_window"}
 NAMES = sorted(set(QUERIES) - RUN_AT_BUILD)
 FIXTURE_COLS = {"event_id", "ts", "user_id", "value"}
 
