@@ -193,15 +193,19 @@ def _compare(t: int):
     return run
 
 
-def _kept(rows: DataFrame, several: DataFrame) -> DataFrame:
-    """``rows`` whose token is one of ``several``.
+def _sieved(rows: DataFrame, several: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose token is none of ``several``.
 
-    A bitmap of the tokens' hashes, of ``BITMAP_WORDS`` words at most, drops most other rows before the shuffle; it lets through too many, never too few.
+    A bitmap of the tokens' hashes, of ``BITMAP_WORDS`` words at most, drops them before any shuffle; it lets through too many, never too few.
     """
     word, bit = F.expr(f"pmod(xxhash64(token), {BITMAP_WORDS})").alias("word"), "cast(pmod(xxhash64(token, 1), 64) as int)"
     bitmap = several.groupBy(word).agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("bits"))
-    return (rows.select("*", word).join(F.broadcast(bitmap), "word").filter(f"shiftright(bits, {bit}) & 1L = 1L").drop("word", "bits")
-            .join(several, "token", "left_semi"))
+    return rows.select("*", word).join(F.broadcast(bitmap), "word").filter(f"shiftright(bits, {bit}) & 1L = 1L").drop("word", "bits")
+
+
+def _kept(rows: DataFrame, several: DataFrame) -> DataFrame:
+    """``rows`` whose token is one of ``several``."""
+    return _sieved(rows, several).join(several, "token", "left_semi")
 
 
 class _Join:
@@ -228,9 +232,10 @@ class _Join:
         """The pairs ``(a, b)`` of classes that link, compared on their whole sets."""
         pairs = staged(pairs, "join-pairs")
         wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-        wanted = self.classes.join(wanted, "cid", "left_semi").select("cid", "high", "low", "text.k1", "text.k2")
+        wanted = staged(self.classes.join(wanted, "cid", "left_semi").select("cid", "high", "low", "text.k1", "text.k2"), "join-wanted")
         # sets are made again, from one text of each wanted class; texts travel compressed, copies are dropped before
-        packed = self.texts.mapInArrow(pack_last, "k1 bigint, k2 bigint, packed binary").groupBy("k1", "k2").agg(F.first("packed").alias("packed"))
+        texts = _sieved(self.texts.select(F.col("k1").alias("token"), "k1", "k2", "text"), wanted.select(F.col("k1").alias("token")))
+        packed = texts.select("k1", "k2", "text").mapInArrow(pack_last, "k1 bigint, k2 bigint, packed binary").groupBy("k1", "k2").agg(F.first("packed").alias("packed"))
         found = packed.join(wanted.select("k1", "k2"), ["k1", "k2"], "left_semi").select("packed").mapInArrow(
             _full_sets(self.size), "high bigint, low bigint, tokens binary")
         sets = staged(found.join(wanted, ["high", "low"]).select("cid", "tokens"), "join-tokens")
