@@ -14,8 +14,9 @@ one residual row; residuals of ``FAN_IN`` cells meet in the next round, until
 each source has one left, which is rounded by its own draw.
 
 Draws are hashes of the seed, the row and the round, cells depend on the rows
-alone, and each cell is put in order first (long rows first, so that short ones
-are left at the end): reruns agree, whatever the partitioning.
+alone, and each cell is put in order first: reruns agree, whatever the
+partitioning. The row that is left at the end may be a long one, so a source with few or
+very uneven rows can stop up to its longest row from its target.
 
 Targets: sources in the order of their code points, null last, get the weights
 ``WEIGHTS`` in turn and share ``SHARE`` times all words; no target exceeds
