@@ -15,6 +15,9 @@ from roadlens.session import scratch_path
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Spark's setting to remove a query's shuffle files at its end, not when the driver's garbage collector meets them.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
@@ -26,11 +29,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
     The lineage ends there: what follows a lost executor is recomputed from
     the written files, and values that depend on the partitioning of a scan
-    (row ids) are fixed once and for all.
+    (row ids) are fixed once and for all. The write's shuffle files, which
+    nothing reads any more, are removed when it is committed; the setting is
+    put back, as other queries of the session may be run twice.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
