@@ -47,6 +47,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _plain_parquet(df: DataFrame) -> bool:
+    """Whether ``df`` is a Parquet scan, at most with columns chosen or computed from one row: then a row's file and place name it."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.deterministic() and plan.nodeName() in ("Project", "SubqueryAlias"):
+        plan = plan.child()
+    if plan.nodeName() != "LogicalRelation" or plan.relation().getClass().getSimpleName() != "HadoopFsRelation":
+        return False
+    return plan.relation().fileFormat().toString() == "Parquet"
+
+
+def named(df: DataFrame, name: str, stage: str) -> DataFrame:
+    """``df`` with a 64-bit ``name`` of each row that is the same wherever ``df`` is read again.
+
+    Rows of Parquet files are named by a hash of their file and place, so nothing is
+    written; any other frame is written once, with its row ids.
+    """
+    if _plain_parquet(df):
+        at = df.metadataColumn("_metadata")
+        return df.withColumn(name, F.xxhash64(at.getField("file_path"), at.getField("row_index")))
+    return staged(df.withColumn(name, F.monotonically_increasing_id()), stage)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions, sized from the input."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

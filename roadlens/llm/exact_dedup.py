@@ -13,8 +13,8 @@ whose digests agree without their texts agreeing would not merge.
 
 Defined results: a null text equals an empty one; of equal texts the row with
 most code points in the original stays, then the smallest ``doc_id`` (null
-last), then the first repeated row, so exactly one row per text stays; an
-empty table gives an empty result; further columns pass through unchanged.
+last), then one of the repeated rows, the same in every run over the same files,
+so exactly one row per text stays; an empty table gives an empty result; further columns pass through unchanged.
 """
 
 from __future__ import annotations
@@ -22,12 +22,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, fresh, staged, text_or_empty
+from .common import SPACES, fresh, named, text_or_empty
 
 FAN_IN = 8
 
 
-def _with_digest(docs: DataFrame, text: str, id_col: str, names: dict) -> DataFrame:
+def _with_digest(docs: DataFrame, text: str, names: dict) -> DataFrame:
     norm = F.translate(text_or_empty(text), SPACES, "")
     return (docs
             .withColumn(names["norm"], norm)
@@ -36,7 +36,6 @@ def _with_digest(docs: DataFrame, text: str, id_col: str, names: dict) -> DataFr
             .withColumn(names["bytes"], F.octet_length(names["norm"]))
             .withColumn(names["points"], F.char_length(text_or_empty(text)))
             .withColumn(names["run"], F.spark_partition_id())
-            .withColumn(names["row"], F.monotonically_increasing_id())
             .drop(names["norm"]))
 
 
@@ -60,7 +59,8 @@ def mark_copies(docs: DataFrame, text: str = "text", id_col: str = "doc_id", fan
     """
     wanted = ["norm", "digest", "check", "bytes", "points", "run", "row"]
     names = dict(zip(wanted, fresh(docs, *wanted), strict=True))
-    rows = staged(_with_digest(docs, text, id_col, names), "digests")
+    # digests are made again for the join with the groups, so no text is written in between
+    rows = _with_digest(named(docs, names["row"], "dedup-docs"), text, names)
     runs = rows.select(
         F.col(names["run"]).alias("run"), F.col(names["digest"]).alias("digest"), F.col(names["check"]).alias("check"),
         F.col(names["bytes"]).alias("bytes"), F.lit(1).cast("bigint").alias("copies"),

@@ -44,7 +44,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, most_frequent, pack_last, staged, text_or_empty
+from .common import fresh, most_frequent, named, pack_last, staged, text_or_empty
 from .components import components
 from .shingles import Shingler, blocks, mix
 
@@ -315,9 +315,9 @@ def join(docs: DataFrame, size: int = 5, t: int = 80, text: str = "text", id_col
 
 
 def keep_one(docs: DataFrame, size: int = 5, t: int = 80, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row of each group of linked rows: that with the smallest id (null last), then the first; rows without words all stay."""
+    """One row of each group of linked rows: that with the smallest id (null last), then any one; rows without words all stay."""
     row, name = fresh(docs, "row", "the row")
-    kept = staged(docs.withColumn(row, F.monotonically_increasing_id()), "join-docs")
+    kept = named(docs, row, "join-docs")
     groups = join(kept, size, t, text, row).select(F.col("id").alias(name), "component_id")
     best = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col), F.col(row)).alias("s")).alias("best")
     stay = (kept.select(id_col, row).join(groups, F.col(row) == F.col(name)).groupBy("component_id").agg(best)
