@@ -10,6 +10,8 @@ column expressions, no Python.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,8 +56,18 @@ def to_warehouse(clean_pings: DataFrame, assume_tz: str = "UTC") -> DataFrame:
     first row of an instant group is also first in its text group. That saves
     a whole shuffle of the ping table.
     """
-    e = enrich(clean_pings, assume_tz).filter("recorded_at IS NOT NULL")
-    return keep_first(e, ["gps_id", "recorded_at"], ["src_file", "src_row"]).select(*WAREHOUSE_COLS)
+    return first_pings(enrich(clean_pings, assume_tz).filter("recorded_at IS NOT NULL"), ["src_file", "src_row"])
+
+
+def first_pings(enriched: DataFrame, order: Sequence[str], only: str = "true") -> DataFrame:
+    """The first of the enriched pings of each (gps_id, recorded_at) by ``order``, as warehouse rows, if it satisfies ``only``.
+
+    The point and the time id are functions of the columns beside them: they do
+    not cross the shuffle but are made again after it.
+    """
+    derived = {"geom": dimensions.point_sql("longitude", "latitude"), "time_id": dimensions.time_id_sql("recorded_at")}
+    kept = keep_first(enriched.drop(*derived), ["gps_id", "recorded_at"], list(order)).filter(only)
+    return kept.selectExpr(*[f"{derived[c]} AS {c}" if c in derived else c for c in WAREHOUSE_COLS])
 
 
 def flag_known_lights(pings: DataFrame, lights: DataFrame) -> DataFrame:

@@ -38,14 +38,20 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str], nulls_l
     would. ``order`` terms are column names or SQL expression text; use a
     negated term (``"-n"``) for descending order. With ``nulls_last`` each
     term is preceded by its null flag, giving SQL ``NULLS LAST``.
+
+    The struct is what crosses the shuffle, so nothing is in it twice: a column
+    that is an order term is not payload as well, and one that cannot be null has no flag.
     """
     payload = [c for c in df.columns if c not in keys]
-    fields = []
+    null = {f.name: f.nullable for f in df.schema.fields}
+    fields, place = [], {c: c for c in payload}
     for i, o in enumerate(order):
-        if nulls_last:
+        if nulls_last and null.get(o, True):
             fields.append(f"'__n{i}', ({o}) IS NULL")
         fields.append(f"'__o{i}', ({o})")
-    fields += [f"'{c}', `{c}`" for c in payload]
+        if place.get(o) == o:
+            place[o] = f"__o{i}"
+    fields += [f"'{c}', `{c}`" for c in payload if place[c] == c]
     return (df.groupBy(*keys)
               .agg(F.expr(f"min(named_struct({', '.join(fields)})) AS __first"))
-              .selectExpr(*[f"`{k}`" for k in keys], *[f"__first.`{c}` AS `{c}`" for c in payload]))
+              .selectExpr(*[f"`{k}`" for k in keys], *[f"__first.`{place[c]}` AS `{c}`" for c in payload]))

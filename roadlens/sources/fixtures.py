@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from roadlens.session import input_bytes
 from roadlens.sources import seeds
 
 # FIXED VALUES of the fixture rule (also spelled out in FIXTURES.md §3)
@@ -34,10 +35,26 @@ LAT_MULT, LON_MULT, JITTER_MOD, JITTER_HALF = 7919, 104729, 4001, 2000
 DELAY_SQL = "CASE {second} % 11 WHEN 3 THEN 130 WHEN 5 THEN -400 WHEN 7 THEN 700 WHEN 8 THEN -45 ELSE 2 END"
 
 
+# Bytes of compressed events per task: an event becomes some hundred times that many bytes of pings.
+EVENT_TASK_BYTES = 4 * 1024 * 1024
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' columns that pings are made of, dealt evenly over tasks.
+
+    A scan has as many tasks as the file has row groups, and each event becomes
+    seven pings and more: expanded as they lie, a few tasks would do all the
+    work and sort more pings than their memory holds. The narrow rows are dealt before that.
+    """
+    ev = events(spark, sf_dir).select("event_id", "ts", "user_id", "value")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(events(spark, sf_dir)) // EVENT_TASK_BYTES))
+    return ev.repartition(tasks, "event_id", "ts")
+
+
 def _light_attr_sql(idx: int) -> str:
     """Attribute ``idx`` of light number ``event_id % 5``: one lookup in a literal array."""
     arr = ", ".join(f"{float(row[idx])!r}D" for row in seeds.TRAFFIC_LIGHTS)
@@ -48,7 +65,8 @@ def gps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw lake pings, one scan of ``events``.
 
     The points of a run and the later copies come from generators on the same
-    scan, so the table is read once. All rules are SQL expression text: one
+    scan, so the table is read once, and its rows are dealt evenly over tasks
+    before they multiply (:func:`spread_events`). All rules are SQL expression text: one
     JVM call for the whole projection.
     """
     peak = ", ".join(str(h) for h in seeds.PEAK_HOURS)
@@ -60,7 +78,7 @@ def gps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     jitter_lon = f"((event_id * {LON_MULT}) % {JITTER_MOD} - {JITTER_HALF} + k * 20) / 1000000.0D"
     speed = (f"CASE WHEN src_row % 107 = 3 THEN -1.0D WHEN {JAM} THEN (member + k) * 0.5D WHEN {is_peak} THEN value * 0.125D + k * 0.25D "
              "ELSE value * 0.5D + k * 0.25D END")
-    return (events(spark, sf_dir)
+    return (spread_events(spark, sf_dir)
             .selectExpr("event_id", "ts", "user_id", "value", f"explode(sequence(0, {RUN_POINTS - 1})) AS k")
             .selectExpr("*", f"explode(CASE WHEN {JAM} THEN array(0, 1, 2) ELSE array(0) END) AS member")
             .selectExpr("event_id", "user_id", "value", "k", "member", f"event_id * {RUN_POINTS} + k AS src_row",
