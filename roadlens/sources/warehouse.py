@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadlens.operators.enrich import WAREHOUSE_COLS
-from roadlens.operators.joins import keep_first
+from roadlens.operators.enrich import WAREHOUSE_COLS, first_pings
 from roadlens.session import exists, file_system, partition_values, scratch_path
 
 POINT = T.StructType([T.StructField("lon", T.DoubleType()), T.StructField("lat", T.DoubleType()),
@@ -87,22 +86,26 @@ def read_since(spark: SparkSession, root: str, since: str) -> DataFrame:
 def load(offered: DataFrame, root: str, order: Sequence[str]) -> None:
     """Append the offered pings whose key is not stored yet: the first copy of each key by ``order``.
 
-    The batch is reduced and staged once, in the shared folder. Of the store exactly
-    the days that it touches are read, so one stray clock does not open the history between.
+    The days that the batch touches come first, as a folder with one small file for each. Of
+    the store exactly these are read, so one stray clock does not open the history between.
+    The stored keys then enter the batch's keep-first as its first copies: what is
+    stored or repeated goes in the one shuffle that the batch takes anyway.
     """
     spark = offered.sparkSession
-    first = keep_first(offered.filter("recorded_at IS NOT NULL"), KEY, list(order))
-    if exists(spark, root):
-        path = scratch_path(spark, "load-batch")
-        first.withColumn("ymd", F.expr(ymd_sql("recorded_at"))).write.partitionBy("ymd").parquet(path)
-        touched = set(partition_values(spark, path, "ymd"))
-        if not touched:
-            return
-        staged = spark.read.schema(T.StructType([*first.schema.fields, T.StructField("ymd", T.IntegerType())])).parquet(path)
-        held = sorted(touched.intersection(partition_values(spark, root, "ymd")))
-        stored = read(spark, root).filter(F.col("ymd").isin([int(d) for d in held]))
-        first = staged.drop("ymd").join(stored.select(*KEY), KEY, "left_anti")
-    write(first, root)
+    offered = offered.filter("recorded_at IS NOT NULL")
+    if not exists(spark, root):
+        write(first_pings(offered, order), root)
+        return
+    path = scratch_path(spark, "load-days")
+    offered.groupBy(F.expr(f"{ymd_sql('recorded_at')} AS ymd")).agg(F.expr("count(1) AS n")).coalesce(1).write.partitionBy("ymd").parquet(path)
+    touched = set(partition_values(spark, path, "ymd"))
+    if not touched:
+        return
+    held = sorted(touched.intersection(partition_values(spark, root, "ymd")))
+    # a key with a null matches no stored one
+    stored = read(spark, root).filter(F.col("ymd").isin([int(d) for d in held])).filter("gps_id IS NOT NULL").select(*KEY)
+    both = offered.withColumn("__new", F.lit(True)).unionByName(stored.withColumn("__new", F.lit(False)), allowMissingColumns=True)
+    write(first_pings(both, ["__new", *order], "__new"), root)
 
 
 def load_batches(root: str, order: Sequence[str]):
