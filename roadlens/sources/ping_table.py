@@ -13,9 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadlens.operators.enrich import WAREHOUSE_COLS
-from roadlens.operators.joins import keep_first
-from roadlens.session import scratch_path
+from roadlens.operators.enrich import WAREHOUSE_COLS, first_pings
 from roadlens.sources.warehouse import BLOOM, KEY, ymd_sql
 
 
@@ -33,12 +31,19 @@ def fresh(first: DataFrame, table: str, days: Sequence[int]) -> DataFrame:
 
 
 def load(offered: DataFrame, table: str, path: str, order: Sequence[str], buckets: int) -> None:
-    """Append the offered pings whose key is not stored: the first copy of each key by ``order``. One writer at a time."""
+    """Append the offered pings whose key is not stored: the first copy of each key by ``order``. One writer at a time.
+
+    The offered rows are shuffled once, into the table's buckets: keep-first, anti-join and write all work on them as they lie then.
+    """
     spark = offered.sparkSession
-    batch = scratch_path(spark, "table-batch")
-    keep_first(offered.filter("recorded_at IS NOT NULL"), KEY, list(order)).write.parquet(batch)
-    first = spark.read.parquet(batch)
-    if spark.catalog.tableExists(table):
-        days = [r["ymd"] for r in first.selectExpr(f"{ymd_sql('recorded_at')} AS ymd").distinct().collect()]  # calendar days
-        first = fresh(first, table, days)
-    _append(first, table, path, buckets)
+    offered = offered.filter("recorded_at IS NOT NULL")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(buckets))
+    try:
+        first = first_pings(offered, order)
+        if spark.catalog.tableExists(table):
+            days = [r["ymd"] for r in offered.selectExpr(f"{ymd_sql('recorded_at')} AS ymd").distinct().collect()]  # calendar days
+            first = fresh(first, table, days)
+        _append(first, table, path, buckets)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
