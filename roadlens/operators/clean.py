@@ -71,15 +71,20 @@ def clean(df: DataFrame, key=("gps_id", "timestamp"), order=ORDER) -> DataFrame:
 def rejects(df: DataFrame, key=("gps_id", "timestamp"), order=ORDER) -> DataFrame:
     """Every input row that ``clean`` drops, with the reason.
 
-    (key, order) identifies a raw row and a row failing a rule is never kept,
-    so "every row whose (key, order) is not among the kept ones" is exactly the
-    rule failures plus the later copies: one anti-join of the tagged input
-    against the kept keys, no union of separate passes. The join key is unique
-    per row, so it has no hot key (rows with a NULL key field still spread on
-    the order columns, and never match, as rejected rows must not).
+    A valid row is dropped if its key's first row is another one, which takes a
+    key with several rows. So only these keys are joined to the tagged input, with the
+    place of their first row: the first aggregate carries places, no payload, and few of its
+    rows reach the join, where AQE splits the input's side of a hot key. A row is
+    known by key and order; one with a null among these is no key's first row.
     """
     tagged = df.selectExpr("*", f"{reject_reason_sql(df)} AS __reason")
-    kept = clean(df, key, order).select(*key, *order)
+    first = ", ".join(f"'n{i}', `{o}` IS NULL, 'o{i}', `{o}`" for i, o in enumerate(order))
+    unplaced = " OR ".join(f"__first.n{i}" for i in range(len(order)))
+    several = (valid(df).groupBy(*key).agg(F.expr(f"min(named_struct({first})) AS __first"), F.expr("count(1) AS __n"))
+               .filter(f"__n > 1 OR {unplaced}").drop("__n"))
+    unnamed = " OR ".join(f"`{k}` IS NULL" for k in key)
+    is_first = " AND ".join(f"`{o}` = __first.o{i}" for i, o in enumerate(order))
     cols = [f"`{c}`" for c in df.columns]
-    return (tagged.join(kept, on=[*key, *order], how="left_anti")
+    return (tagged.join(several, list(key), "left")
+                  .filter(f"__reason IS NOT NULL OR {unnamed} OR (__first IS NOT NULL AND NOT coalesce({is_first}, false))")
                   .selectExpr(*cols, "coalesce(__reason, 'duplicate') AS reject_reason"))
