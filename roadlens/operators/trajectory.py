@@ -103,11 +103,15 @@ def route_points(pings: DataFrame, gap_seconds: int = 30, vehicle_col: str = "gp
     A point finds its run by an equi-join on (vehicle, time bucket): a run is
     listed under every bucket that it touches, so a busy vehicle's points
     spread over its buckets.
+
+    Both sides are the same rows, with the same filters, so the shuffle that made them is read twice and not run twice.
     """
+    pings = pings.filter(f"`{vehicle_col}` IS NOT NULL AND recorded_at IS NOT NULL")
     bs = int(bucket_seconds or max(60, 2 * gap_seconds)) * 1_000_000
     runs = _runs(pings, gap_seconds, vehicle_col, bucket_seconds).selectExpr(
         f"`{vehicle_col}` AS __v", "f", "l", f"explode(sequence(unix_micros(f) div {bs}, unix_micros(l) div {bs})) AS __b")
-    points = pings.withColumn("__b", F.expr(f"unix_micros(recorded_at) div {bs}"))
+    # coalesce: no filter on the bucket is inferred, which only this side would have
+    points = pings.withColumn("__b", F.expr(f"coalesce(unix_micros(recorded_at) div {bs}, 0L)"))
     return (points.join(runs, (points[vehicle_col] == runs["__v"]) & (points["__b"] == runs["__b"])
                         & F.col("recorded_at").between(F.col("f"), F.col("l")))
             .selectExpr(f"`{vehicle_col}`", "f AS run_start", "recorded_at", "latitude", "longitude", "speed_kmh"))
