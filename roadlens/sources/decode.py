@@ -82,10 +82,11 @@ def decode_requests(df: DataFrame, received_at: str | None = None, speed_unit: s
     opens early, the array then lacks that object as its second and last element.
     Of a repeated key the last value counts, as in the reference's parser.
     """
-    digest = f"sha2(`{value_col}`, 256)"
+    digest = "__digest"
+    digested = df.selectExpr("*", f"explode(array(sha2(`{value_col}`, 256))) AS {digest}")
     wrapped = f"concat('[', `{value_col}`, ', {{\"end\": \"', {digest}, '\"}}]')"
     parse = f"from_json({wrapped}, 'array<map<string,string>>', map('allowSingleQuotes', 'false'))"
-    parsed = df.selectExpr("*", f"explode(array({parse})) AS __parsed")
+    parsed = digested.selectExpr("*", f"explode(array({parse})) AS __parsed")
     whole = f"size(__parsed) = 2 AND __parsed[1]['end'] = {digest}"
     # entries that no later one of the same key follows
     last = ("map_from_entries(filter(map_entries(__parsed[0]), (e, i) -> "
