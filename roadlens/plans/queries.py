@@ -1046,10 +1046,10 @@ def stream_load(spark, sf_dir):
     f"SELECT gps_id, {oracle.ts_text('recorded_at')} AS recorded_at FROM wh_all"))
 def stream_dedupe(spark, sf_dir):
     """Streaming dedupe on (gps_id, recorded_at) within the watermark, first arrival at once; then the batch catch-up."""
-    rows = _valid_stream_rows(spark, sf_dir)
-    d = _stream_over(spark, rows, "stream-dedupe", _append(pipelines.dedupe))
     keys = ["gps_id", "recorded_at"]
-    out = pipelines.catch_up(_emitted(spark, d, rows).select(*keys), _arrived(spark, d, rows).select(*keys).distinct(), keys)
+    rows = _valid_stream_rows(spark, sf_dir).select(*keys)
+    d = _stream_over(spark, rows, "stream-dedupe", _append(pipelines.dedupe))
+    out = pipelines.catch_up(_emitted(spark, d, rows), _arrived(spark, d, rows).distinct(), keys)
     return out.select("gps_id", ts_text("recorded_at").alias("recorded_at"))
 
 

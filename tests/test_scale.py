@@ -8,7 +8,8 @@ from roadlens.operators.enrich import WAREHOUSE_COLS
 from roadlens.operators.joins import keep_first
 from roadlens.plans import base, queries
 from roadlens.session import scratch_path, stream_session
-from roadlens.sources import ping_table, warehouse
+from roadlens.sources import lake, ping_table, warehouse
+from roadlens.streaming import pipelines
 
 ORDER = ["src_row"]
 
@@ -101,3 +102,23 @@ def test_routes_run_the_pings_shuffle_once(spark, job):
         assert "ReusedExchange" in physical(job(base.warehouse_pings(spark, SF_SMALL)))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_the_dedupe_stream_carries_its_keys_only(spark, monkeypatch):
+    seen, over = [], queries._stream_over
+    monkeypatch.setattr(queries, "_stream_over", lambda s, df, *a: seen.append(df.columns) or over(s, df, *a))
+    out = queries.stream_dedupe(spark, SF_SMALL)
+    assert seen == [["gps_id", "recorded_at"]] and out.count() == base.warehouse_all(spark, SF_SMALL).count()
+
+
+def test_ingest_keeps_the_bodies_of_rejected_rows_only(spark, monkeypatch):
+    d, seen, rejected = scratch_path(spark, "scale-ingest"), [], pipelines.decode.rejected
+    good = '{"gps_id": "A", "timestamp": "2026-01-05 08:00:00", "latitude": 21.0, "longitude": 105.0}'
+    spark.createDataFrame([(good,), ("{bad",)], "value string").write.text(d + "/requests")
+    monkeypatch.setattr(pipelines.decode, "rejected", lambda batch: seen.extend((r.value, r.reject_reason) for r in batch.collect()) or rejected(batch))
+    session = stream_session(spark)
+    pipelines.ingest(pipelines.read_text_stream(session, d + "/requests"), d + "/lake", d + "/dead", d + "/ckpt").awaitTermination()
+    assert sorted(seen, key=str) == [("{bad", "malformed"), (None, None)]
+    assert [tuple(r) for r in spark.read.parquet(d + "/dead").select("value", "reject_reason").collect()] == [("{bad", "malformed")]
+    assert lake.read(spark, d + "/lake", with_order=False).select("gps_id").collect()[0][0] == "A"
+    assert int(session.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) == 16 << 20
