@@ -111,15 +111,15 @@ def ingest(requests: DataFrame, lake_root: str, dead_letter: str, checkpoint: st
            received_at=None, available_now: bool = True, processing_time: str | None = None):
     """Start the ingest query: accepted rows to the lake, rejected ones to the dead letters, in one pass.
 
-    Each micro-batch is decoded once and persisted while both sinks are written; the lake write
-    rebalances, so a trigger leaves files by size and not one per task. Both sinks write a folder per
+    Each micro-batch is decoded once and persisted, with the bodies of its rejected rows only, while both sinks are written; the
+    lake write rebalances, so a trigger leaves files by size and not one per task. Both sinks write a folder per
     batch id, overwritten if the batch is replayed.
     """
     decoded = decode.decode_requests(requests, received_at=received_at).observe(
         "ingest", *[F.expr(f"{e} AS {n}") for n, e in INGEST_METRICS.items()])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        batch = batch.selectExpr("CASE WHEN reject_reason IS NOT NULL THEN value END AS value", "reject_reason", *decode.MESSAGE_COLS).persist()
         lake.write(lake.with_partitions(decode.accepted(batch), env), f"{lake_root}/batch_id={batch_id}", mode="overwrite")
         decode.rejected(batch).write.mode("overwrite").parquet(f"{dead_letter}/batch_id={batch_id}")
         batch.unpersist()
