@@ -4,11 +4,13 @@ Texts are sets of word shingles (64-bit hashes, so sizes and overlaps are those
 of the hashes). Two sets link when 100 * |A and B| >= t * |A or B|.
 
 1. Texts with equal sets are one class from the start.
-2. Partition similar sets into groups. Of the first sets of its bands of min-hashes, a
-   set is compared exactly with the one that it shares most bands with, if their sketches
-   agree; what links is one family, so a family of any size takes one comparison a set. Sets of one band and like size, linked or
-   not, form groups of about ``GROUP_SETS``.
-3. Of its n tokens, in one order for all (widely used tokens last), a set shows the
+2. Partition similar sets into groups. Each band of min-hashes has a head: the set that meets
+   most sets in its own bands, as the least altered one of many near copies does. A set is compared
+   exactly with the head of its bands whose sketch agrees most; what links is one family, so a family of any
+   size takes one comparison a set. Further rounds, with other bands and heads, compare sets with heads of other families,
+   as long as they still add a share of the links. Sets of like size, of one family, else near one, else of one band,
+   form groups of about ``GROUP_SETS``.
+3. Of its n tokens, in one order for all (widely used tokens last, by their use), a set shows the
    first n - ceil(t n) + l(n), the longer prefix. Linked sets of sizes n and m share at least the
    smaller of l(n) and l(m) tokens of these. So a set has no link outside its family
    unless that many of its longer prefix are shown by sets of other families as well; only such sets go on.
@@ -51,6 +53,8 @@ from .shingles import Shingler, blocks, mix
 SKETCH = 16  # min-hashes of a set
 BAND = 2  # min-hashes of a band
 ALIKE = 9  # equal min-hashes of 16 from which two sets of a band are compared
+ROUNDS = 4  # of comparisons with the heads of bands, at most
+ADDED = 0.02  # of the links so far: where a round adds fewer, it is the last one
 GROUP_SETS = 64
 COMMON_TOKENS = 1 << 17  # entries of the list of widely used tokens
 COMMON_LOCAL = 4  # sets of a run that a token must be in to be counted for it
@@ -125,14 +129,14 @@ def _prefixes(size: int, t: int, common, least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(size)
-        hot = common.value
+        hot, use = common.value
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for start, end in blocks(texts):
                 offsets, tokens = shingler.sets(texts[start:end])
                 n = np.diff(offsets)
                 where = np.minimum(np.searchsorted(hot, tokens), max(len(hot) - 1, 0))
-                late = hot[where] == tokens if len(hot) else np.zeros(len(tokens), bool)
+                late = np.where(hot[where] == tokens, use[where], 0).astype(np.uint8) if len(hot) else np.zeros(len(tokens), np.uint8)
                 out, lengths, digests, sizes, parity = [], [], [], [], []
                 bit = (mix(tokens, 4099) % np.uint64(64 * PARITY)).astype(np.int64)
                 take = n - least_overlap(n, t) + more_shared(n, t)
@@ -140,7 +144,7 @@ def _prefixes(size: int, t: int, common, least: int):
                 for k in np.flatnonzero(n >= least).tolist():
                     a, b = cut[k], cut[k + 1]
                     own, last = tokens[a:b], late[a:b]
-                    part = np.concatenate((own[~last][:take[k]], own[last][:max(0, take[k] - int((~last).sum()))]))
+                    part = own[np.argsort(last, kind="stable")[:take[k]]]
                     out.append(part)
                     lengths.append(len(part))
                     sizes.append(b - a)
@@ -220,8 +224,11 @@ class _Join:
         # of a fixed number of entries
         top = most_frequent(staged(described.filter("token is not null").groupBy("token").agg(F.sum("uses").alias("uses")), "join-common"),
                             "token", "uses", COMMON_TOKENS).collect()
-        hot = np.sort(np.array([r["token"] for r in top], np.int64).view(np.uint64))
-        self.common = self.spark.sparkContext.broadcast(hot)
+        hot = np.array([r["token"] for r in top], np.int64).view(np.uint64)
+        # their places in the order: steps of the logarithm of their use, 1 and up
+        use = np.minimum(1 + np.floor(4 * np.log2(np.array([r["uses"] for r in top], np.float64))), 255).astype(np.uint8)
+        by_token = np.argsort(hot)
+        self.common = self.spark.sparkContext.broadcast((hot[by_token], use[by_token]))
         self.classes = staged(described.filter("n > 0").groupBy("high", "low").agg(
             F.min("id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min(F.struct("k1", "k2")).alias("text"))
             .withColumn("cid", F.monotonically_increasing_id()), "join-classes")
@@ -242,21 +249,48 @@ class _Join:
         a, b = sets.toDF("a", "x"), sets.toDF("b", "y")
         return staged(pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(_compare(self.t), "a bigint, b bigint"), "join-links")
 
-    def near(self) -> DataFrame:
-        """Pairs of a class with that first class of its bands that it shares most bands with, if their sketches agree."""
-        bands = self.classes.filter(F.col("n") >= self.least).select("cid", "n", F.explode(F.transform(
-            F.sequence(F.lit(0), F.lit(SKETCH // BAND - 1)), lambda k: F.xxhash64(k, F.slice("sketch", k * BAND + 1, F.lit(BAND))))).alias("key"))
-        first = bands.groupBy("key").agg(F.min(F.struct("cid", "n")).alias("first"))
-        met = (bands.join(first, "key").filter(f"cid != first.cid AND 100 * least(n, first.n) >= {self.t} * greatest(n, first.n)")
-               .groupBy("cid", F.col("first.cid").alias("a")).agg(F.count(F.lit(1)).alias("bands")))
-        # the first class of a band is its smallest, so a < cid; of those that share most bands, the smallest
-        one = met.groupBy("cid").agg(F.min(F.struct(-F.col("bands"), F.col("a"))).alias("m")).select("cid", "m.a")
-        sketch = self.classes.select("cid", "sketch")
-        both = one.join(sketch, "cid").join(sketch.select(F.col("cid").alias("a"), F.col("sketch").alias("other")), "a")
+    def near(self) -> tuple[DataFrame, DataFrame]:
+        """Links of classes with heads of their bands, by rounds, until one adds few; and the first round's pairs of class and head."""
+        keys = F.transform(F.sequence(F.lit(0), F.lit(SKETCH // BAND - 1)), lambda k: F.xxhash64(k, F.slice("sketch", k * BAND + 1, F.lit(BAND))))
+        bands = self.classes.filter(F.col("n") >= self.least).select("cid", F.explode(keys).alias("key"))
+        bands = bands.join(bands.groupBy("key").agg(F.count(F.lit(1)).alias("met")).filter("met > 1"), "key")
+        bands = staged(bands, "join-bands")
+        sets = staged(self.classes.select("cid", "n", "sketch").join(bands.groupBy("cid").agg(F.sum("met").alias("weight")), "cid"), "join-sketches")
+        # the set that meets most others, in later rounds any one
+        rows = bands.select("cid", "key").join(sets.select("cid", "n", F.col("weight").alias("rank"), F.col("cid").alias("family")), "cid")
+        nearest = staged(self.heads(rows, sets), "join-nearest")
+        links = self.verify(self.ordered(nearest))
+        rng, total = np.random.default_rng(43), links.count()
+        for number in range(1, ROUNDS):
+            # bands of more and more min-hashes, drawn anew
+            drawn = [sorted(int(k) for k in rng.choice(SKETCH, min(2 + 2 * number, SKETCH // 2), replace=False)) for _ in range(SKETCH // BAND)]
+            keys = F.array(*[F.xxhash64(F.lit(k), *[F.col("sketch")[i] for i in some]) for k, some in enumerate(drawn)])
+            families = components(links).select(F.col("node").alias("cid"), F.col("component").alias("family"))
+            rows = sets.join(families, "cid", "left").select("cid", "n", F.xxhash64("cid", F.lit(number)).alias("rank"), F.coalesce("family", "cid").alias("family"),
+                                                             F.explode(keys).alias("key"))
+            more = self.verify(self.ordered(self.heads(rows, sets)))
+            links, added = links.unionByName(more), more.count()
+            total += added
+            if added <= ADDED * total:
+                break
+        return links, nearest
+
+    @staticmethod
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct()
+
+    def heads(self, rows: DataFrame, sets: DataFrame) -> DataFrame:
+        """``(cid, a)``: each class and the head of its bands, of another family and a size that can link, whose sketch agrees most, if it does."""
+        head = rows.groupBy("key").agg(F.max(F.struct("rank", "cid", "n", "family")).alias("head"), F.min("family").alias("f0"), F.max("family").alias("f1"))
+        met = (rows.join(head.filter("f0 != f1").select("key", "head"), "key")
+               .filter(f"family != head.family AND 100 * least(n, head.n) >= {self.t} * greatest(n, head.n)")
+               .select("cid", F.col("head.cid").alias("a")).distinct())
+        both = met.join(sets.select("cid", "sketch"), "cid").join(sets.select(F.col("cid").alias("a"), F.col("sketch").alias("other")), "a")
         alike = F.size(F.filter(F.arrays_zip("sketch", "other"), lambda z: z["sketch"] == z["other"]))
-        return both.filter(alike >= ALIKE).select("a", F.col("cid").alias("b"))
+        best = both.select("cid", "a", alike.alias("alike")).filter(f"alike >= {ALIKE}").groupBy("cid").agg(F.max(F.struct("alike", "a")).alias("m"))
+        return best.select("cid", "m.a")
 
-    def opened(self, families: DataFrame) -> DataFrame:
+    def opened(self, families: DataFrame, nearest: DataFrame) -> DataFrame:
         """Pairs of classes of different families that the matrix does not rule out."""
         t = self.t
         made = self.texts.select("text").mapInArrow(
@@ -273,11 +307,15 @@ class _Join:
         shared = _kept(tokens.select("cid", "token"), several).groupBy("cid").agg(F.count(F.lit(1)).alias("shared"))
         sets = (shown.join(shared, "cid").filter("shared >= needed").withColumn("prefix", F.expr(f"slice(prefix, 1, cast(n - ({t} * n + 99) div 100 + 1 as int))"))
                 .withColumn("rest", F.col("n") - F.size("prefix")).drop("shared", "needed"))
-        # groups: sets of one band whose sizes differ by a twentieth at most, about GROUP_SETS of them
+        # groups: sets of one family, else of heads of one, else of one band, whose sizes differ by a twentieth at most, about GROUP_SETS of them
         sets = staged(sets.withColumn("step", F.floor(F.log("n") / float(np.log(1.05)))), "join-prefixes")
-        parts = sets.groupBy("band", "step").agg(F.ceil(F.count(F.lit(1)) / GROUP_SETS).alias("parts")).filter("parts > 1")
-        grouped = staged(sets.join(parts, ["band", "step"], "left").withColumn(
-            "gid", F.xxhash64("band", "step", F.pmod(F.xxhash64("cid"), F.coalesce("parts", F.lit(1))))).drop("band", "step", "parts"), "join-groups")
+        several_sets = sets.groupBy("family").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("family", F.lit(1).alias("home"))
+        beside = nearest.join(families.select(F.col("node").alias("a"), "component"), "a", "left").select("cid", F.coalesce("component", "a").alias("beside"))
+        sets = sets.join(several_sets, "family", "left").join(beside, "cid", "left").withColumn("home", F.when(
+            F.col("home") == 1, F.xxhash64(F.lit("family"), "family")).when(F.col("beside").isNotNull(), F.xxhash64(F.lit("beside"), "beside")).otherwise(F.col("band")))
+        parts = sets.groupBy("home", "step").agg(F.ceil(F.count(F.lit(1)) / GROUP_SETS).alias("parts")).filter("parts > 1")
+        grouped = staged(sets.join(parts, ["home", "step"], "left").withColumn(
+            "gid", F.xxhash64("home", "step", F.pmod(F.xxhash64("cid"), F.coalesce("parts", F.lit(1))))).drop("band", "home", "beside", "step", "parts"), "join-groups")
         bounds = grouped.groupBy("gid").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max("rest").alias("rest_max"),
                                             F.min("family").alias("f_min"), F.max("family").alias("f_max"))
         matrix = grouped.select("gid", F.explode("prefix").alias("token")).distinct()
@@ -304,8 +342,8 @@ class _Join:
 def join(docs: DataFrame, size: int = 5, t: int = 80, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``(id, n_shingles, component_id)`` for every row of ``docs``."""
     j = _Join(docs, size, t, text, id_col)
-    near = j.verify(j.near())
-    links = near.unionByName(j.verify(j.opened(components(near))))
+    near, nearest = j.near()
+    links = near.unionByName(j.verify(j.opened(components(near), nearest)))
     names = components(links).withColumnRenamed("node", "cid")
     whole = j.classes.select("cid", "high", "low", "least").join(names, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     smallest = whole.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -134,3 +134,38 @@ def test_components_of_chains_and_stars(spark):
     out = {r["node"]: r["component"] for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
     assert {out[k] for k in range(61)} == {0} and {out[100 + k] for k in range(50)} == {100}
     assert out[302] == out[301] == 300 and 200 not in out
+
+
+def test_near_copies_are_merged_before_groups_are_opened(spark, monkeypatch):
+    """A large group of near copies takes few comparisons between families, though much altered copies, which link with none, come first in its bands."""
+    rng = random.Random(5)
+    k, t, base, rows = 5, 80, words(120, 4).split(), []
+    for i in range(360):
+        w = list(base)
+        for at in rng.sample(range(len(w)), 8 if i < 60 else rng.choice([1, 2, 2, 3])):
+            w[at] = f"n{i}x{at}"
+        rows.append(" ".join(w))
+    rows = list(enumerate(rows))
+    pairs, staged = [], ngram_join.staged
+
+    def watched(df, name):
+        out = staged(df, name)
+        if name == "join-pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "staged", watched)
+    out = found(ngram_join.join(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), k, t))
+    assert out == brute(rows, k, t)
+    assert pairs[-1] <= 3 * len(rows), pairs
+
+
+def test_widely_used_tokens_come_last_by_their_use(spark):
+    texts = ["a b c d e f g h i j"]
+    _, tokens = Shingler(1).sets(texts)
+    hot = tokens[[1, 4, 7]]
+    common = type("B", (), {"value": (hot, np.array([9, 3, 5], np.uint8))})
+    import pyarrow as pa
+    got = next(ngram_join._prefixes(1, 10, common, 1)(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])))
+    prefix = np.array(got["prefix"][0].as_py(), np.int64).view(np.uint64)
+    assert prefix.tolist() == [*np.delete(tokens, [1, 4, 7]), *tokens[[4, 7, 1]]][:len(prefix)] and len(prefix) == 10
