@@ -31,3 +31,15 @@ def components(links: DataFrame) -> DataFrame:
         labels = after.select("node", "component")
         if after.filter("moved").isEmpty():
             return labels
+
+
+def extended(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels (node, component)`` after further ``links (a, b)``; only components that these join are walked again, by their names."""
+    ends = links.select("a", "b").join(labels.select(F.col("node").alias("a"), F.col("component").alias("x")), "a", "left")
+    ends = ends.join(labels.select(F.col("node").alias("b"), F.col("component").alias("y")), "b", "left")
+    ends = staged(ends.select("a", "b", F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y")), "cc-ends")
+    names = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))).toDF("component", "after")
+    nodes = labels.unionByName(ends.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("x").alias("component")),
+                                                             F.struct(F.col("b").alias("node"), F.col("y").alias("component")))).alias("s"))
+                               .select("s.node", "s.component")).distinct()
+    return staged(nodes.join(names, "component", "left").select("node", F.coalesce("after", "component").alias("component")), "cc-extended")

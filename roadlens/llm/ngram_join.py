@@ -14,6 +14,9 @@ of the hashes). Two sets link when 100 * |A and B| >= t * |A or B|.
    first n - ceil(t n) + l(n), the longer prefix. Linked sets of sizes n and m share at least the
    smaller of l(n) and l(m) tokens of these. So a set has no link outside its family
    unless that many of its longer prefix are shown by sets of other families as well; only such sets go on.
+   They are merged once more, by rounds: each token of a shorter prefix (l = 1) has a head, too, and a set is compared with
+   the one of these heads that it differs least from. So sets that link with many of a family, but not with its
+   head, take one comparison a round, not one for each link.
 4. The matrix holds each group's token union, restricted to the first n - ceil(t n) + 1
    tokens (l = 1). A set's overlap with any member of a group is at most the number of its
    prefix tokens in the group's union plus what lies beyond the prefixes.
@@ -47,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, most_frequent, named, pack_last, staged, text_or_empty
-from .components import components
+from .components import components, extended
 from .shingles import Shingler, blocks, mix
 
 SKETCH = 16  # min-hashes of a set
@@ -207,11 +210,6 @@ def _sieved(rows: DataFrame, several: DataFrame) -> DataFrame:
     return rows.select("*", word).join(F.broadcast(bitmap), "word").filter(f"shiftright(bits, {bit}) & 1L = 1L").drop("word", "bits")
 
 
-def _kept(rows: DataFrame, several: DataFrame) -> DataFrame:
-    """``rows`` whose token is one of ``several``."""
-    return _sieved(rows, several).join(several, "token", "left_semi")
-
-
 class _Join:
     def __init__(self, docs: DataFrame, size: int, t: int, text: str, id_col: str):
         self.size, self.t = size, t
@@ -250,7 +248,7 @@ class _Join:
         return staged(pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(_compare(self.t), "a bigint, b bigint"), "join-links")
 
     def near(self) -> tuple[DataFrame, DataFrame]:
-        """Links of classes with heads of their bands, by rounds, until one adds few; and the first round's pairs of class and head."""
+        """Families ``(node, component)`` by links of classes with heads of their bands, by rounds, until one adds few; and the first round's pairs of class and head."""
         keys = F.transform(F.sequence(F.lit(0), F.lit(SKETCH // BAND - 1)), lambda k: F.xxhash64(k, F.slice("sketch", k * BAND + 1, F.lit(BAND))))
         bands = self.classes.filter(F.col("n") >= self.least).select("cid", F.explode(keys).alias("key"))
         bands = bands.join(bands.groupBy("key").agg(F.count(F.lit(1)).alias("met")).filter("met > 1"), "key")
@@ -260,20 +258,24 @@ class _Join:
         rows = bands.select("cid", "key").join(sets.select("cid", "n", F.col("weight").alias("rank"), F.col("cid").alias("family")), "cid")
         nearest = staged(self.heads(rows, sets), "join-nearest")
         links = self.verify(self.ordered(nearest))
+        families = components(links)
         rng, total = np.random.default_rng(43), links.count()
         for number in range(1, ROUNDS):
             # bands of more and more min-hashes, drawn anew
             drawn = [sorted(int(k) for k in rng.choice(SKETCH, min(2 + 2 * number, SKETCH // 2), replace=False)) for _ in range(SKETCH // BAND)]
             keys = F.array(*[F.xxhash64(F.lit(k), *[F.col("sketch")[i] for i in some]) for k, some in enumerate(drawn)])
-            families = components(links).select(F.col("node").alias("cid"), F.col("component").alias("family"))
-            rows = sets.join(families, "cid", "left").select("cid", "n", F.xxhash64("cid", F.lit(number)).alias("rank"), F.coalesce("family", "cid").alias("family"),
-                                                             F.explode(keys).alias("key"))
+            rows = self.of_family(sets, families).select("cid", "n", F.xxhash64("cid", F.lit(number)).alias("rank"), "family", F.explode(keys).alias("key"))
             more = self.verify(self.ordered(self.heads(rows, sets)))
-            links, added = links.unionByName(more), more.count()
+            families, added = extended(families, more), more.count()
             total += added
             if added <= ADDED * total:
                 break
-        return links, nearest
+        return families, nearest
+
+    @staticmethod
+    def of_family(sets: DataFrame, families: DataFrame) -> DataFrame:
+        """``sets`` with the ``family`` of each, itself where it has no link."""
+        return sets.join(families.toDF("cid", "family"), "cid", "left").withColumn("family", F.coalesce("family", "cid"))
 
     @staticmethod
     def ordered(pairs: DataFrame) -> DataFrame:
@@ -290,32 +292,67 @@ class _Join:
         best = both.select("cid", "a", alike.alias("alike")).filter(f"alike >= {ALIKE}").groupBy("cid").agg(F.max(F.struct("alike", "a")).alias("m"))
         return best.select("cid", "m.a")
 
-    def opened(self, families: DataFrame, nearest: DataFrame) -> DataFrame:
-        """Pairs of classes of different families that the matrix does not rule out."""
+    def ruled(self, asking: DataFrame, others: DataFrame, on: str) -> DataFrame:
+        """Pairs ``(cid, other)`` of sets of different families that meet ``on`` and that no bound rules out, and how many tokens they ``differ`` in, at least."""
+        t = self.t
+        members = others.select(*([on] if on != "other" else []), F.col("cid").alias("other"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b"),
+                                F.col("family").alias("family_b"), F.col("prefix").alias("prefix_b"), F.col("parity").alias("parity_b"))
+        reach = f"size(array_intersect(prefix, prefix_b)) + greatest(rest, rest_b) >= ceil({t} * (n + n_b) / {100 + t})"
+        differ = " + ".join(f"bit_count(parity[{k}] ^ parity_b[{k}])" for k in range(PARITY))
+        near = f"({differ}) <= (n + n_b) * {100 - t} div {100 + t}"
+        return (asking.join(members, on).filter(f"family != family_b AND 100 * least(n, n_b) >= {t} * greatest(n, n_b) AND {near} AND {reach}")
+                .select("cid", "other", F.expr(differ).alias("differ")))
+
+    def merged(self, sets: DataFrame, families: DataFrame) -> DataFrame:
+        """``families`` after rounds of comparisons with heads of prefix tokens, until one adds few.
+
+        A token's first head is the set whose tokens are shown most, as the least altered one of near copies does; then it is any one.
+        """
+        total = 0
+        for number in range(ROUNDS):
+            named = self.of_family(sets, families)
+            shown = named.select("cid", "family", (F.xxhash64("cid", F.lit(number)) if number else F.col("weight")).alias("rank"), F.explode("prefix").alias("token"))
+            head = shown.groupBy("token").agg(F.max(F.struct("rank", "cid", "family")).alias("head"), F.min("family").alias("f0"), F.max("family").alias("f1"))
+            met = (shown.join(head.filter("f0 != f1").select("token", "head"), "token").filter("family != head.family")
+                   .select("cid", F.col("head.cid").alias("other")).distinct())
+            best = (self.ruled(met.join(named, "cid"), named, "other").groupBy("cid")
+                    .agg(F.min(F.struct("differ", "other")).alias("m")).select("cid", F.col("m.other").alias("a")))
+            more = self.verify(self.ordered(best))
+            added = more.count()
+            if added:
+                families = extended(families, more)
+            total += added
+            if added <= ADDED * total:
+                break
+        return families
+
+    def opened(self, families: DataFrame, nearest: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Families after further merging, and the pairs of classes of different ones that the matrix does not rule out."""
         t = self.t
         made = self.texts.select("text").mapInArrow(
             _prefixes(self.size, t, self.common, self.least), "high bigint, low bigint, n bigint, prefix array<bigint>, needed bigint, parity array<bigint>")
         made = made.groupBy("high", "low").agg(F.first("prefix").alias("prefix"), F.first("needed").alias("needed"), F.first("parity").alias("parity"))
         band = F.xxhash64(F.slice("sketch", 1, BAND)).alias("band")
-        shown = staged(made.join(self.classes.select("high", "low", "cid", "n", band), ["high", "low"])
-                       .join(families.withColumnRenamed("node", "cid").withColumnRenamed("component", "family"), "cid", "left")
-                       .withColumn("family", F.coalesce("family", "cid")).drop("high", "low"), "join-shown")
+        shown = staged(self.of_family(made.join(self.classes.select("high", "low", "cid", "n", band), ["high", "low"]), families).drop("high", "low"), "join-shown")
         # only tokens of several families tell sets of different families apart
         tokens = shown.select("cid", "family", F.explode("prefix").alias("token"))
-        several = staged(tokens.groupBy("token").agg(F.min("family").alias("f0"), F.max("family").alias("f1")).filter("f0 != f1").select("token"),
-                         "join-several")
-        shared = _kept(tokens.select("cid", "token"), several).groupBy("cid").agg(F.count(F.lit(1)).alias("shared"))
+        several = staged(tokens.groupBy("token").agg(F.min("family").alias("f0"), F.max("family").alias("f1"), F.count(F.lit(1)).alias("sets"))
+                         .filter("f0 != f1").select("token", "sets"), "join-several")
+        shared = (_sieved(tokens.select("cid", "token"), several).join(several, "token")
+                  .groupBy("cid").agg(F.count(F.lit(1)).alias("shared"), F.sum("sets").alias("weight")))
         sets = (shown.join(shared, "cid").filter("shared >= needed").withColumn("prefix", F.expr(f"slice(prefix, 1, cast(n - ({t} * n + 99) div 100 + 1 as int))"))
-                .withColumn("rest", F.col("n") - F.size("prefix")).drop("shared", "needed"))
+                .withColumn("rest", F.col("n") - F.size("prefix")).drop("shared", "needed", "family"))
         # groups: sets of one family, else of heads of one, else of one band, whose sizes differ by a twentieth at most, about GROUP_SETS of them
         sets = staged(sets.withColumn("step", F.floor(F.log("n") / float(np.log(1.05)))), "join-prefixes")
+        families = self.merged(sets, families)
+        sets = self.of_family(sets, families)
         several_sets = sets.groupBy("family").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("family", F.lit(1).alias("home"))
         beside = nearest.join(families.select(F.col("node").alias("a"), "component"), "a", "left").select("cid", F.coalesce("component", "a").alias("beside"))
         sets = sets.join(several_sets, "family", "left").join(beside, "cid", "left").withColumn("home", F.when(
             F.col("home") == 1, F.xxhash64(F.lit("family"), "family")).when(F.col("beside").isNotNull(), F.xxhash64(F.lit("beside"), "beside")).otherwise(F.col("band")))
         parts = sets.groupBy("home", "step").agg(F.ceil(F.count(F.lit(1)) / GROUP_SETS).alias("parts")).filter("parts > 1")
         grouped = staged(sets.join(parts, ["home", "step"], "left").withColumn(
-            "gid", F.xxhash64("home", "step", F.pmod(F.xxhash64("cid"), F.coalesce("parts", F.lit(1))))).drop("band", "home", "beside", "step", "parts"), "join-groups")
+            "gid", F.xxhash64("home", "step", F.pmod(F.xxhash64("cid"), F.coalesce("parts", F.lit(1))))).drop("band", "home", "beside", "step", "parts", "weight"), "join-groups")
         bounds = grouped.groupBy("gid").agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"), F.max("rest").alias("rest_max"),
                                             F.min("family").alias("f_min"), F.max("family").alias("f_max"))
         matrix = grouped.select("gid", F.explode("prefix").alias("token")).distinct()
@@ -330,21 +367,14 @@ class _Join:
         open_groups = staged(met.filter(F.col("shared") + F.greatest("rest", "rest_max") >= needed).select("cid", "gid"), "join-open")
         # the same bound for each member, from the prefixes that the two share
         asking = open_groups.join(grouped.select("cid", "n", "rest", "family", "prefix", "parity"), "cid")
-        members = grouped.select("gid", F.col("cid").alias("other"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b"),
-                                 F.col("family").alias("family_b"), F.col("prefix").alias("prefix_b"), F.col("parity").alias("parity_b"))
-        reach = f"size(array_intersect(prefix, prefix_b)) + greatest(rest, rest_b) >= ceil({t} * (n + n_b) / {100 + t})"
-        differ = " + ".join(f"bit_count(parity[{k}] ^ parity_b[{k}])" for k in range(PARITY))
-        near = f"({differ}) <= (n + n_b) * {100 - t} div {100 + t}"
-        return (asking.join(members, "gid").filter(f"family != family_b AND 100 * least(n, n_b) >= {t} * greatest(n, n_b) AND {near} AND {reach}")
-                .select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct())
+        return families, self.ordered(self.ruled(asking, grouped, "gid").select("cid", F.col("other").alias("a")))
 
 
 def join(docs: DataFrame, size: int = 5, t: int = 80, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``(id, n_shingles, component_id)`` for every row of ``docs``."""
     j = _Join(docs, size, t, text, id_col)
-    near, nearest = j.near()
-    links = near.unionByName(j.verify(j.opened(components(near), nearest)))
-    names = components(links).withColumnRenamed("node", "cid")
+    families, pairs = j.opened(*j.near())
+    names = extended(families, j.verify(pairs)).withColumnRenamed("node", "cid")
     whole = j.classes.select("cid", "high", "low", "least").join(names, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     smallest = whole.groupBy("component").agg(F.min("least").alias("component_id"))
     named = whole.join(smallest, "component").select("high", "low", "component_id")

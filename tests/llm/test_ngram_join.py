@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from roadlens.llm import ngram_join
-from roadlens.llm.components import components
+from roadlens.llm.components import components, extended
 from roadlens.llm.shingles import Shingler
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -160,6 +160,43 @@ def test_near_copies_are_merged_before_groups_are_opened(spark, monkeypatch):
     assert pairs[-1] <= 3 * len(rows), pairs
 
 
+def test_sets_that_miss_the_head_of_a_family_are_merged_by_their_rare_tokens(spark, monkeypatch):
+    """Much altered copies link with many less altered ones that share an alteration, not with the head: links are not all listed."""
+    rng = random.Random(8)
+    base, rows = words(150, 6).split(), []
+    altered = [(at, f"n{at}") for at in range(10, 130, 5)]
+    for i in range(420):
+        w = list(base)
+        for at, new in rng.sample(altered, 1 + i % 4):
+            w[at] = new
+        rows.append(" ".join(w))
+    rows = list(enumerate(rows))
+    pairs, staged = [], ngram_join.staged
+
+    def watched(df, name):
+        out = staged(df, name)
+        if name == "join-pairs":
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "staged", watched)
+    monkeypatch.setattr(ngram_join, "ALIKE", 15)
+    out = found(ngram_join.join(spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1), 3, 90))
+    assert out == brute(rows, 3, 90)
+    assert pairs[-1] <= len(rows), pairs
+
+
+def test_components_are_extended_by_further_links(spark):
+    def labels(links):
+        return components(spark.createDataFrame(links, "a bigint, b bigint"))
+
+    first, more = [(1, 2), (3, 4), (4, 5), (9, 8)], [(5, 2), (11, 12), (12, 9), (1, 2), (4, 3)]
+    further = extended(labels(first), spark.createDataFrame(more, "a bigint, b bigint"))
+    assert Counter(map(tuple, further.collect())) == Counter(map(tuple, labels(first + more).collect()))
+    same = extended(labels(first), spark.createDataFrame([], "a bigint, b bigint"))
+    assert Counter(map(tuple, same.collect())) == Counter(map(tuple, labels(first).collect()))
+
+
 def test_widely_used_tokens_come_last_by_their_use(spark):
     texts = ["a b c d e f g h i j"]
     _, tokens = Shingler(1).sets(texts)
