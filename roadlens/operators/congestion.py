@@ -21,7 +21,7 @@ pre-reduced in every task. Dimensions are broadcast with a static bound.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadlens.functions.congestion import indicator_sql
@@ -72,22 +72,55 @@ def sketched_stats(pings: DataFrame, minutes: int, slide: int, vehicle_col: str
             .selectExpr("analysis_ts", *GROUP, "hll_sketch_estimate(__s) AS veh_count", f"{_mean('__sum', '__n')} AS avg_speed"))
 
 
+# Panes of a block, at least; a block's first windows need the panes before it, which are copied to it.
+BLOCK_PANES = 60
+
+
+def vehicle_panes(pings: DataFrame, slide: int, vehicle_col: str = "gps_id") -> DataFrame:
+    """Pings with a light reduced to one row per vehicle, group and pane of ``slide`` minutes (number ``__p``): sum and count of speeds."""
+    return (pane_rows(pings, slide, vehicle_col).groupBy("__p", *GROUP, vehicle_col)
+            .agg(F.expr("sum(__speed) AS __sum"), F.expr("count(__speed) AS __n")))
+
+
+def pane_rows(pings: DataFrame, slide: int, vehicle_col: str = "gps_id") -> DataFrame:
+    """Pings with a light as rows of their pane, the number of whole ``slide`` minutes before them."""
+    us = slide * 60_000_000
+    return (pings.filter("traffic_light_id IS NOT NULL AND recorded_at IS NOT NULL")
+            .selectExpr(f"(unix_micros(recorded_at) - pmod(unix_micros(recorded_at), {us})) div {us} AS __p", *GROUP, f"`{vehicle_col}`",
+                        f"{SPEED_DEC} AS __speed", "unix_micros(recorded_at) AS __at"))
+
+
+def slide_panes(panes: DataFrame, minutes: int, slide: int, vehicle_col: str = "gps_id") -> DataFrame:
+    """Statistics of sliding windows, keyed by the window end ``analysis_ts``, from :func:`vehicle_panes`.
+
+    A vehicle is counted for a window by its first pane in it: a pane that comes ``d`` panes after the vehicle's last one is
+    the first of the ``d`` latest windows that cover it. So the windows are never listed per vehicle: a vehicle's rows are
+    brought together once, by blocks of panes, and only sums and counts per group, pane and ``d`` are copied to the windows.
+    Several rows of one vehicle and pane are counted once.
+    """
+    n = minutes // slide
+    block = max(BLOCK_PANES, 10 * n)
+    of = lambda p: f"({p} - pmod({p}, {block})) div {block}"
+    own = Window.partitionBy("__b", *GROUP, vehicle_col).orderBy("__p")
+    first = (panes.selectExpr(*GROUP, f"`{vehicle_col}`", "__p", "__sum", "__n", f"explode(sequence({of('__p')}, {of(f'(__p + {n - 1})')})) AS __b")
+             .withColumn("__d", F.least(F.lit(n), F.coalesce(F.col("__p") - F.lag("__p").over(own), F.lit(n))))
+             .filter(f"__b = {of('__p')}"))
+    groups = (first.groupBy("__p", *GROUP, "__d")
+              .agg(F.expr("sum(__sum) AS __sum"), F.expr("sum(__n) AS __n"), F.expr(f"count(`{vehicle_col}`) AS __c")))
+    ends = groups.selectExpr("*", f"explode(sequence(0, {n - 1})) AS __i").selectExpr(
+        *GROUP, "__p + __i AS __e", "__sum", "__n", f"CASE WHEN __i >= {n} - __d THEN __c ELSE 0 END AS __c")
+    return (ends.groupBy("__e", *GROUP)
+            .agg(F.expr("sum(__sum) AS __sum"), F.expr("sum(__n) AS __n"), F.expr("sum(__c) AS veh_count"))
+            .selectExpr(f"timestamp_micros((__e + 1) * {slide * 60_000_000}) AS analysis_ts", *GROUP, "veh_count", f"{_mean('__sum', '__n')} AS avg_speed"))
+
+
 def pane_stats(pings: DataFrame, minutes: int, slide: int, vehicle_col: str = "gps_id") -> DataFrame:
     """:func:`group_stats` of sliding windows, keyed by the window end ``analysis_ts``.
 
-    Pings are first reduced to one row per vehicle and pane of ``slide``
-    minutes (sum and count); only panes are copied to the windows that
-    cover them, never pings.
+    Pings are first reduced to one row per vehicle and pane of ``slide`` minutes; no
+    vehicle's row is copied to the windows that cover its pane (:func:`slide_panes`).
     """
-    step = f"INTERVAL {slide} MINUTES"
-    panes = (pings.filter("traffic_light_id IS NOT NULL")
-             .groupBy(F.window("recorded_at", f"{slide} minutes").alias("__p"), *GROUP, vehicle_col)
-             .agg(F.expr(f"sum({SPEED_DEC}) AS __sum"), F.expr("count(speed_kmh) AS __n")))
-    ends = panes.selectExpr(*GROUP, f"`{vehicle_col}`", "__sum", "__n",
-                            f"explode(sequence(__p.end, __p.end + INTERVAL {minutes - slide} MINUTES, {step})) AS analysis_ts")
-    return (ends.groupBy("analysis_ts", *GROUP)
-            .agg(F.expr("sum(__sum) AS __sum"), F.expr("sum(__n) AS __n"), F.expr(f"count(DISTINCT `{vehicle_col}`) AS veh_count"))
-            .withColumn("avg_speed", F.expr(_mean("__sum", "__n"))).drop("__sum", "__n"))
+    return slide_panes(vehicle_panes(pings, slide, vehicle_col), minutes, slide, vehicle_col)
 
 
 def run_stats(pings: DataFrame, last_run: str, minutes: int = 5, every: int = 1, received: str = "received_at",

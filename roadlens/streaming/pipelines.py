@@ -16,7 +16,9 @@ only stream-specific pieces live here:
 Exact distinct vehicles: two chained aggregations. The first keeps a sum and a
 count per window, group and vehicle, the second counts those rows, so state is
 one short row per vehicle of an open window, spread by vehicle, and a busy
-light is never one growing set.
+light is never one growing set. Sliding windows would make that a row per vehicle
+and each window that covers it: their state is one row per vehicle and pane, from which the closed
+windows are computed (:func:`sliding_batch_writer`).
 
 A stream in append mode emits what its watermark has closed, and drops what
 comes later than that. :func:`catch_up` completes the stored result from the
@@ -35,6 +37,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from roadlens.operators import congestion
 from roadlens.operators.joins import keep_first
+from roadlens.session import file_system
 from roadlens.sources import decode, lake
 
 WATERMARK = "10 minutes"
@@ -161,15 +164,62 @@ def verdict_batch_writer(schedule: DataFrame, out_path: str, mode: str = "strict
     return run
 
 
+def sliding_batch_writer(schedule: DataFrame, out_path: str, state: str, minutes: int, slide: int, watermark: str = WATERMARK,
+                         mode: str = "strict", vehicle_col: str = "gps_id"):
+    """``foreachBatch`` body: verdicts of the sliding windows that the watermark closes with this batch of pings.
+
+    The state is a folder per batch below ``state``: one short row per vehicle, group and pane, of the batch and of the panes
+    before it that an open window still needs. A batch reads the folder of the one before and writes its own,
+    overwritten on replay; older ones are removed. The watermark is the last ping so far less the delay. A late ping counts in
+    the windows that are open, and in none that has been written. A window's groups are all written with the batch that closes it.
+    """
+    us = slide * 60_000_000
+    write = verdict_batch_writer(schedule, out_path, mode)
+    last = f"unix_micros(timestamp_micros(max(__last)) - CAST('{watermark}' AS INTERVAL))"
+
+    def closed(panes: DataFrame) -> int | None:
+        """Number of the last closed window's last pane, if there is a ping."""
+        at = panes.selectExpr(f"{last} AS at").first()["at"]
+        return None if at is None else at // us - 1
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark, folder = batch.sparkSession, f"{state}/batch_id={batch_id}"
+        rows = congestion.pane_rows(batch, slide, vehicle_col).selectExpr(
+            "__p", *congestion.GROUP, f"`{vehicle_col}`", "CAST(__speed AS DECIMAL(28,6)) AS __sum", "CAST(nvl2(__speed, 1, 0) AS BIGINT) AS __n", "__at AS __last")
+        before = None
+        if batch_id:
+            kept = spark.read.schema(rows.schema).parquet(f"{state}/batch_id={batch_id - 1}")
+            before = closed(kept)
+            rows = rows.unionByName(kept)
+        if before is not None:
+            rows = rows.filter(f"__p > {before - minutes // slide + 1}")
+        (rows.groupBy("__p", *congestion.GROUP, vehicle_col)
+         .agg(F.expr("CAST(sum(__sum) AS DECIMAL(28,6)) AS __sum"), F.expr("sum(__n) AS __n"), F.expr("max(__last) AS __last"))
+         .write.mode("overwrite").parquet(folder))
+        panes = spark.read.schema(rows.schema).parquet(folder)
+        now = closed(panes)
+        stats = congestion.slide_panes(panes.filter(f"__p <= {now}" if now is not None else "false"), minutes, slide, vehicle_col)
+        ends = [f"unix_micros(analysis_ts) div {us} - 1 {o} {e}" for o, e in ((">", before), ("<=", now)) if e is not None]
+        write(stats.filter(" AND ".join(ends) or "true"), batch_id)
+        fs, old = file_system(spark, f"{state}/batch_id={batch_id - 2}")
+        fs.delete(old, True)
+    return run
+
+
 def verdicts(pings: DataFrame, schedule: DataFrame, out_path: str, checkpoint: str,
              minutes: int = 5, slide: int | None = None, watermark: str = WATERMARK,
              mode: str = "strict", available_now: bool = True,
              processing_time: str | None = "60 seconds"):
-    """Start the streaming verdict query (append mode, idempotent per batch)."""
-    stats = window_stats(pings, minutes, slide, watermark)
-    w = (stats.writeStream.outputMode("append")
-         .foreachBatch(verdict_batch_writer(schedule, out_path, mode))
-         .option("checkpointLocation", checkpoint))
+    """Start the streaming verdict query (append mode, idempotent per batch).
+
+    Sliding windows of whole panes keep their panes below the checkpoint (:func:`sliding_batch_writer`), others are stateful
+    aggregations (:func:`window_stats`).
+    """
+    if slide and minutes % slide == 0:
+        out = pings.writeStream.foreachBatch(sliding_batch_writer(schedule, out_path, checkpoint + "/panes", minutes, slide, watermark, mode))
+    else:
+        out = window_stats(pings, minutes, slide, watermark).writeStream.foreachBatch(verdict_batch_writer(schedule, out_path, mode))
+    w = out.outputMode("append").option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
 
